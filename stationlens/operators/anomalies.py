@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.labels import ANOMALY_LABELS
 from stationlens.operators.enrich import ts_literal
 from stationlens.operators.reports import since
@@ -25,7 +26,7 @@ def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7
     ``days`` days, a large-daily-change rule, a severity label; most extreme first."""
     f = fact.filter(since(day, as_of, days))
     keys = [group, product, day]
-    stats = f.groupBy(*keys).agg(F.avg(value).alias("regional_avg"),
+    stats = f.groupBy(*keys).agg(exact_avg(value).alias("regional_avg"),
                                  F.stddev_samp(value).alias("_std"))
     ent = dim_entity.select(F.col(entity).alias("_e"), "ville", "adresse")
     sp = (f.join(ent, f[entity] == ent["_e"], "inner")

@@ -94,3 +94,15 @@ def calendar(spark: SparkSession, start: str = "2023-01-01", end: str = "2030-12
     spine = date_spine(spark, start, end)
     return spine.select(surrogate_key("date_day").alias("date_key"), "date_day",
                         *calendar_columns("date_day", holidays))
+
+
+def calendar_span(df: DataFrame, day_col: str, holidays=HOLIDAYS_FR) -> DataFrame:
+    """MOD11 over the observed date range of ``df`` (first to last day, inclusive).
+
+    The bounds are one aggregate row; the spine length is the number of days in the
+    range (bounded by the calendar, not by the row count)."""
+    d = F.to_date(F.col(day_col))
+    bounds = df.agg(F.min(d).alias("_lo"), F.max(d).alias("_hi"))
+    spine = bounds.select(F.explode(F.sequence("_lo", "_hi")).alias("date_day"))
+    return spine.select(surrogate_key("date_day").alias("date_key"), "date_day",
+                        *calendar_columns("date_day", holidays))

@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.calendar import iso_year, week_start
 from stationlens.functions.labels import (
     NATIONAL_BAND_LABELS, NATIONAL_BAND_TOLERANCE, TREND_WEEKLY, band, gap_pct, spread,
@@ -54,6 +55,7 @@ def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: i
     top = ranked.filter((F.col("position_regionale_top10") <= k_group)
                         | (F.col("position_nationale_top100") <= k_all))
     cols = [c for c in CHEAPEST_ENTITY_COLUMNS if c in dim_entity.columns]
+    top = top.drop(*[c for c in cols if c in top.columns])
     ent = dim_entity.select(F.col(entity).alias("_e"), *cols)
     j = top.join(ent, top[entity] == ent["_e"], "left")
     rn_all, rn_grp = F.col("position_nationale_top100"), F.col("position_regionale_top10")
@@ -80,7 +82,7 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
     mean (unweighted mean of region means), with region rank and latest-day flag."""
     f = fact.filter(since(day, as_of, days))
     d = f.groupBy(group, product, day).agg(
-        F.avg(value).alias("_avg"), F.min(value).alias("_min"), F.max(value).alias("_max"),
+        exact_avg(value).alias("_avg"), F.min(value).alias("_min"), F.max(value).alias("_max"),
         F.count_distinct(entity).alias("nb_stations"), F.stddev_samp(value).alias("_std"))
     w = Window.partitionBy(product, day)
     wr = w.orderBy(F.col("_avg").asc_nulls_last(), F.col(group).asc_nulls_last())
@@ -135,13 +137,13 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
         reg_keys = ["debut_semaine", product]
     v = F.col(value)
     nat = wk.groupBy(*nat_keys).agg(
-        F.avg(v).alias("_avg"), F.min(v).alias("_min"), F.max(v).alias("_max"),
+        exact_avg(v).alias("_avg"), F.min(v).alias("_min"), F.max(v).alias("_max"),
         F.percentile(v.cast("double"), F.lit(0.5)).alias("_med"), F.stddev_samp(v).alias("_std"),
         F.count_distinct(entity).alias("nb_stations"), F.count(F.lit(1)).alias("nb_observations"))
     wl = Window.partitionBy(product).orderBy(F.col("debut_semaine").asc_nulls_last(),
                                              F.col("annee").asc_nulls_last())
     nat = nat.select("*", *[F.lag("_avg", n).over(wl).alias(name) for n, name in lags.items()])
-    regional_avg = wk.groupBy(*reg_keys, group).agg(F.avg(v).alias("_ravg"))
+    regional_avg = wk.groupBy(*reg_keys, group).agg(exact_avg(v).alias("_ravg"))
     pivot = (regional_avg.groupBy(*reg_keys)
              .pivot(group, list(pivot_regions.values())).agg(F.first("_ravg")))
     for out_name, region in pivot_regions.items():

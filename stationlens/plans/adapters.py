@@ -37,6 +37,21 @@ HOURS_LOW = ("Lundi::06.00-22.00|Mardi::06.00-22.00|Mercredi::|Jeudi::06.00-22.0
              "Vendredi::06.00-22.00|Samedi::06.00-22.00|Dimanche::06.00-22.00|Funday::01.00-02.00")
 
 
+# Event type -> product name / product id in the feed. Names carry case and blanks
+# that staging normalises; one id differs from the reference table's (S16), one type
+# has no reference row at all.
+EVENT_PRODUCT_NAMES = {"click": "Gazole", "view": "sp95", "purchase": "SP98 ", "signup": "E10"}
+EVENT_PRODUCT_IDS = {"click": "1", "view": "2", "purchase": "3", "signup": "44"}
+OTHER_PRODUCT_ID = "9"
+
+
+def _case(col, mapping, default):
+    out = None
+    for k, v in mapping.items():
+        out = F.when(col == k, F.lit(v)) if out is None else out.when(col == k, F.lit(v))
+    return out.otherwise(default)
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,8 +61,8 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("value")
     return ev.select(
         F.col("user_id").cast("string").alias("station_id"),
-        F.col("event_type").alias("carburant_nom"),
-        F.substring("event_type", 1, 2).alias("carburant_id"),
+        _case(F.col("event_type"), EVENT_PRODUCT_NAMES, F.col("event_type")).alias("carburant_nom"),
+        _case(F.col("event_type"), EVENT_PRODUCT_IDS, F.lit(OTHER_PRODUCT_ID)).alias("carburant_id"),
         F.when(v > 480, F.lit("n/a")).otherwise(v.cast("string")).alias("valeur"),
         F.when(v < 0.05, F.lit("not a date")).otherwise(F.col("ts").cast("string")).alias("maj"),
         ts_literal(AS_OF_EVENTS).alias("_loaded_at"),

@@ -74,6 +74,28 @@ class EventsBuild:
         p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
         return price_series(p, self.enriched, rank_strategy=rank_strategy)
 
+    def dim_stations(self) -> DataFrame:
+        from stationlens.operators.dims import entity_dim
+        return entity_dim(self.enriched)
+
+    def dim_products(self) -> DataFrame:
+        from stationlens.operators.dims import product_dim
+        return product_dim(self.prices, fuel.product_seed(self.spark))
+
+    def dim_regions(self) -> DataFrame:
+        from stationlens.operators.dims import region_dim
+        return region_dim(self.enriched, fuel.REGION_CODES, fuel.REGION_CODE_DEFAULT,
+                          fuel.REGION_CHIEF_TOWNS)
+
+    def dim_date(self) -> DataFrame:
+        from stationlens.operators.explode import calendar
+        return calendar(self.spark)
+
+    def fact(self, rank_strategy: str = "window") -> DataFrame:
+        from stationlens.operators.dims import price_fact
+        return price_fact(self.series(rank_strategy), self.dim_stations(), self.dim_products(),
+                          self.dim_date(), self.dim_regions())
+
 
 def li_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fuel.clean_prices(A.raw_line_prices(spark, sf_dir), *A.LINEITEM_PRICE_BOUNDS)
@@ -120,7 +142,7 @@ def q_shortages(spark, d):
 # ---------------------------------------------------------------------------
 
 @register("enriched_stations", O.sql(
-    "SELECT * REPLACE (round(prix_moyen_tous_carburants, 6) AS prix_moyen_tous_carburants) FROM enriched",
+    "SELECT * REPLACE (CAST(round(CAST(CAST(prix_moyen_tous_carburants AS VARCHAR) AS DECIMAL(38,20)), 6) AS DOUBLE) AS prix_moyen_tous_carburants) FROM enriched",
     "enriched"))
 def q_enriched(spark, d):
     """MOD6: AGG1-6, JOI1, PRJ13, PRJ18-20."""
@@ -162,6 +184,145 @@ def q_daily_series(spark, d):
     return EventsBuild(spark, d).series()
 
 
+# ---------------------------------------------------------------------------
+# Dimensions, fact, calendar (MOD8-12)
+# ---------------------------------------------------------------------------
+
+@register("station_dim", O.sql("SELECT * REPLACE (CAST(NULL AS VARCHAR) AS services_categories) "
+                               "FROM dim_stations", "dim_stations") if False else
+          O.sql("SELECT * FROM dim_stations", "dim_stations"))
+def q_station_dim(spark, d):
+    """MOD8: PRJ37 surrogate key over the enriched entities."""
+    return neutral(EventsBuild(spark, d).dim_stations())
+
+
+@register("product_dim", O.sql("SELECT * FROM dim_products", "dim_products"))
+def q_product_dim(spark, d):
+    """MOD9: SRC9 seed, SET1, JOI3 (normalised-name join), PRJ20, PRJ37."""
+    return EventsBuild(spark, d).dim_products()
+
+
+@register("region_dim", O.sql("SELECT * FROM dim_regions", "dim_regions"))
+def q_region_dim(spark, d):
+    """MOD10: SET1, AGG2, AGG3, PRJ14, PRJ37."""
+    return EventsBuild(spark, d).dim_regions()
+
+
+@register("calendar", O.sql(O.calendar_select(
+    "(SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d "
+    "FROM (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem))")))
+def q_calendar(spark, d):
+    """MOD11: GEN3 spine + PRJ34-36 over the line items' ship-date range."""
+    from stationlens.operators.explode import calendar_span
+    return calendar_span(spark.read.parquet(f"{d}/lineitem.parquet"), "l_shipdate")
+
+
+@register("price_fact", O.sql("SELECT * FROM fact", "fact"))
+def q_price_fact(spark, d):
+    """MOD12: JOI2 (4 dimension lookups), PRJ22, PRJ23, PRJ37."""
+    return EventsBuild(spark, d).fact()
+
+
+# ---------------------------------------------------------------------------
+# Reports and anomalies (MOD13-16)
+# ---------------------------------------------------------------------------
+
+@register("cheapest_stations", O.sql("SELECT * FROM cheapest", "cheapest"))
+def q_cheapest(spark, d):
+    """MOD13: JOI10 (scalar max date), WIN6 (two ranks, OR filter), PRJ27, PRJ30, JOI14."""
+    from stationlens.operators.reports import cheapest
+    b = EventsBuild(spark, d)
+    return neutral(cheapest(b.fact(), b.dim_stations()))
+
+
+@register("regional_report", O.sql("SELECT * FROM regional", "regional"))
+def q_regional(spark, d):
+    """MOD14: PRJ28, AGG7, AGG12, WIN7, WIN8, JOI11, JOI15, PRJ24, PRJ25."""
+    from stationlens.operators.reports import regional
+    b = EventsBuild(spark, d)
+    return regional(b.fact(), b.dim_regions(), A.AS_OF_EVENTS, days=30)
+
+
+@register("weekly_report", O.sql("SELECT * FROM weekly", "weekly"))
+def q_weekly(spark, d):
+    """MOD15: AGG8 (median), AGG9, AGG10 (pivot), WIN9, JOI6, PRJ23 (weekly), PRJ25, PRJ26."""
+    from stationlens.operators.reports import weekly
+    b = EventsBuild(spark, d)
+    return weekly(b.fact(), A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS, weeks=12)
+
+
+@register("price_anomalies", O.sql("SELECT * FROM anomalies", "anomalies"))
+def q_anomalies(spark, d):
+    """OBS4 / MOD16: AGG11, JOI7, PRJ31, SRT2 (top 100 by |z|)."""
+    from stationlens.operators.anomalies import price_anomalies
+    b = EventsBuild(spark, d)
+    return price_anomalies(b.fact(), b.dim_stations(), A.AS_OF_EVENTS, days=7)
+
+
+# ---------------------------------------------------------------------------
+# Label presets and calendar-exact lags on the long line-item series
+# ---------------------------------------------------------------------------
+
+def _li_daily(spark, d):
+    from stationlens.operators.series import daily_last, valid_observations
+    return daily_last(valid_observations(li_prices(spark, d)), "station_id", "carburant_nom",
+                      "date_prix", "date_maj", "prix_euros", ids=["carburant_id"])
+
+
+@register("trend_labels", O.sql(f"""
+SELECT station_id, carburant_nom, carburant_id, date_prix, variation_semaine_pct,
+       {O.trend_sql('variation_semaine_pct', 2, 0.5, O._TREND_LABELS)} AS tendance_jour,
+       {O.trend_sql('variation_semaine_pct', 3, 1, O._WEEKLY_LABELS)} AS tendance_hebdo,
+       {O.trend_sql('variation_semaine_pct', 5, 1, O._TREND_LABELS, 'Inconnu')} AS tendance_macro,
+       CASE WHEN prix_semaine_precedente IS NULL OR prix_euros IS NULL OR prix_semaine_precedente = 0 THEN NULL
+            ELSE CAST(round(CAST(CAST((prix_euros - prix_semaine_precedente) / prix_semaine_precedente * 100 AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE) END AS variation_macro,
+       pr AS percentile,
+       CASE WHEN pr IS NULL THEN 'Inconnu' WHEN pr <= 0.1 THEN 'Très bon marché' WHEN pr <= 0.25 THEN 'Bon marché'
+            WHEN pr <= 0.75 THEN 'Prix moyen' WHEN pr <= 0.9 THEN 'Cher' ELSE 'Très cher' END AS categorie_macro
+FROM (SELECT *, {O._VARS},
+             percent_rank() OVER (PARTITION BY carburant_nom, date_prix ORDER BY prix_euros) AS pr
+      FROM li_varied) t""", "li_varied"))
+def q_trend_labels(spark, d):
+    """PRJ22/PRJ23 presets: daily (+-0.5/2), weekly (+-1/3), macro (+-1/5, 'Inconnu'); UDF2-4."""
+    from stationlens.functions.labels import (
+        TREND_DAILY, TREND_MACRO, TREND_WEEKLY, pct_variation, price_bucket, trend_preset)
+    from stationlens.operators.ranking import add_ranks
+    from stationlens.operators.series import add_variations
+    v = add_variations(_li_daily(spark, d), "station_id", "carburant_nom", "date_prix", "prix_euros",
+                       tiebreak=[F.col("carburant_id").asc_nulls_last()])
+    v = add_ranks(v, ["carburant_nom", "date_prix"], "prix_euros", {}, percent="percentile")
+    x = F.col("variation_semaine_pct")
+    return v.select(
+        "station_id", "carburant_nom", "carburant_id", "date_prix", "variation_semaine_pct",
+        trend_preset(x, TREND_DAILY).alias("tendance_jour"),
+        trend_preset(x, TREND_WEEKLY).alias("tendance_hebdo"),
+        trend_preset(x, TREND_MACRO).alias("tendance_macro"),
+        pct_variation("prix_euros", "prix_semaine_precedente", 2, positive_only=False).alias("variation_macro"),
+        "percentile", price_bucket("percentile", "Inconnu").alias("categorie_macro"))
+
+
+@register("calendar_lags", O.sql(f"""
+SELECT station_id, carburant_nom, carburant_id, date_prix, prix_euros, {O._VARS}
+FROM (SELECT a.*, b1.p AS prix_veille, b7.p AS prix_semaine_precedente, b30.p AS prix_mois_precedent
+      FROM li_daily a
+      LEFT JOIN (SELECT station_id, carburant_nom, date_prix, max(prix_euros) AS p FROM li_daily GROUP BY 1, 2, 3) b1
+        ON b1.station_id = a.station_id AND b1.carburant_nom = a.carburant_nom AND b1.date_prix = a.date_prix - 1
+      LEFT JOIN (SELECT station_id, carburant_nom, date_prix, max(prix_euros) AS p FROM li_daily GROUP BY 1, 2, 3) b7
+        ON b7.station_id = a.station_id AND b7.carburant_nom = a.carburant_nom AND b7.date_prix = a.date_prix - 7
+      LEFT JOIN (SELECT station_id, carburant_nom, date_prix, max(prix_euros) AS p FROM li_daily GROUP BY 1, 2, 3) b30
+        ON b30.station_id = a.station_id AND b30.carburant_nom = a.carburant_nom AND b30.date_prix = a.date_prix - 30) t""",
+    "li_daily"))
+def q_calendar_lags(spark, d):
+    """WIN3 calendar-exact variant (value exactly 1/7/30 days earlier)."""
+    from stationlens.operators.series import add_variations
+    v = add_variations(_li_daily(spark, d), "station_id", "carburant_nom", "date_prix", "prix_euros",
+                       calendar_exact=True)
+    return v.select("station_id", "carburant_nom", "carburant_id", "date_prix", "prix_euros",
+                    "prix_veille", "variation_jour", "variation_jour_pct",
+                    "prix_semaine_precedente", "variation_semaine", "variation_semaine_pct",
+                    "prix_mois_precedent", "variation_mois", "variation_mois_pct")
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
