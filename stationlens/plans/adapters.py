@@ -78,7 +78,7 @@ def raw_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         F.col("s_suppkey").cast("string").alias("station_id"),
         F.when(bal < 0, F.lit("x")).otherwise(
-            (F.round(bal * 100) + F.lit(4100000)).cast("bigint").cast("string")).alias("latitude"),
+            (F.round(bal * 100) + F.lit(4000000)).cast("bigint").cast("string")).alias("latitude"),
         (F.col("s_nationkey") * 40000 - 500000).cast("string").alias("longitude"),
         F.concat(dept, F.lpad(F.col("s_suppkey").cast("string"), 3, "0")).alias("cp"),
         F.when(bal > 5000, F.lit("r")).when(bal > 0, F.lit("A")).alias("pop"),
