@@ -52,14 +52,14 @@ def range_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[st
                                                  F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(
         Window.unboundedPreceding, -1)
-    spans = spans.select("_pid", *partition, "_first",
-                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
     keys = ["_pid", *partition]
-    cond = [laid[k].eqNullSafe(spans[k]) for k in keys]
+    spans = spans.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_first",
+                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
+    cond = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
     joined = laid.join(spans, cond, "inner")
     return joined.select(
-        *[laid[c] for c in df.columns],
-        (spans["_offset"] + laid["_idx"] - spans["_first"] + F.lit(1)).cast("int").alias(out))
+        *[F.col(f"`{c}`") for c in df.columns],
+        (F.col("_offset") + F.col("_idx") - F.col("_first") + F.lit(1)).cast("int").alias(out))
 
 
 def row_numbers(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], out: str,
@@ -104,14 +104,14 @@ def range_percent_rank(df: DataFrame, base: Sequence[str], value: str, out: str)
     w = Window.partitionBy(*base).orderBy(F.col(value).asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1)
     tot = Window.partitionBy(*base)
-    hist = hist.select(*base, value,
+    keys = [*base, value]
+    hist = hist.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
                        F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_below"),
                        F.sum("_c").over(tot).alias("_n"))
-    keys = [*base, value]
-    joined = df.join(hist, [df[k].eqNullSafe(hist[k]) for k in keys], "inner")
-    pr = F.when(hist["_n"] <= 1, F.lit(0.0)).otherwise(
-        hist["_below"].cast("double") / (hist["_n"] - 1).cast("double"))
-    return joined.select(*[df[c] for c in df.columns], pr.alias(out))
+    joined = df.join(hist, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)], "inner")
+    pr = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
+        F.col("_below").cast("double") / (F.col("_n") - 1).cast("double"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], pr.alias(out))
 
 
 def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], k: int,
