@@ -40,13 +40,15 @@ def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7
     out = sp.filter((az > z_warn) | (ach > jump_pct)).select(
         entity, "ville", "adresse", group, product, day, value, "regional_avg",
         F.round("_z", 2).alias("z_score"), F.round(change, 2).alias(change),
-        status.alias("anomaly_status"), *tiebreak, "_z")
-    ordered = out.orderBy(F.abs("_z").desc_nulls_first(), F.col(day).desc_nulls_first(),
+        status.alias("anomaly_status"), *tiebreak)
+    # Ordered by the reported (rounded) score: ties then resolve on day and keys,
+    # independently of last-bit differences in the standard deviation.
+    ordered = out.orderBy(F.abs("z_score").desc_nulls_first(), F.col(day).desc_nulls_first(),
                           F.col(entity).asc_nulls_last(), F.col(product).asc_nulls_last(),
                           *[F.col(t).asc_nulls_last() for t in tiebreak])
     if limit is not None:
         ordered = ordered.limit(limit)
-    return ordered.drop("_z", *tiebreak)
+    return ordered.drop(*tiebreak)
 
 
 def _bucket_spine(df: DataFrame, bucket_col: str, step_seconds: int) -> DataFrame:

@@ -86,7 +86,9 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
         F.count_distinct(entity).alias("nb_stations"), F.stddev_samp(value).alias("_std"))
     w = Window.partitionBy(product, day)
     wr = w.orderBy(F.col("_avg").asc_nulls_last(), F.col(group).asc_nulls_last())
-    s = d.select("*", F.avg("_avg").over(w).alias("_nat"), F.row_number().over(wr).alias("rang_region"),
+    # Mean of region means as an exact decimal sum / count: order-independent.
+    nat_mean = F.sum(F.col("_avg").cast("decimal(38,12)")).over(w).cast("double") / F.count("_avg").over(w)
+    s = d.select("*", nat_mean.alias("_nat"), F.row_number().over(wr).alias("rang_region"),
                  F.count(group).over(w).alias("total_regions"))
     latest = f.select(F.max(day)).scalar()
     m, nat = F.col("_avg"), F.col("_nat")

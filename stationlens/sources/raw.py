@@ -91,8 +91,9 @@ def ingest(spark: SparkSession, feed_path: str, raw_base: str, as_of: _dt.dateti
     run_id = ingestion_id or as_of.strftime("%Y%m%d_%H%M%S")
     paths = ensure_raw_tables(spark, raw_base)
     started = as_of
-    feed = read_feed(spark, feed_path).persist(StorageLevel.MEMORY_AND_DISK)
+    feed = None
     try:
+        feed = read_feed(spark, feed_path).persist(StorageLevel.MEMORY_AND_DISK)
         n_st = full_refresh(flatten_stations(feed, as_of), paths["raw_stations"])
         n_px = full_refresh(explode_prices(feed, as_of), paths["raw_prix"])
         n_ru = full_refresh(explode_shortages(feed, as_of), paths["raw_ruptures"])
@@ -102,4 +103,5 @@ def ingest(spark: SparkSession, feed_path: str, raw_base: str, as_of: _dt.dateti
         append_run_log(spark, paths["raw_ingestion_log"], run_id, started, (0, 0, 0), "FAILED", str(exc))
         raise
     finally:
-        feed.unpersist()
+        if feed is not None:
+            feed.unpersist()
