@@ -521,3 +521,90 @@ _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
 def q_qry_tables(spark, d):
     """QRY11 / SRC14: row counts per table."""
     return D.table_counts(spark, {t: spark.read.parquet(f"{d}/{t}.parquet") for t in _TABLES})
+
+
+# ---------------------------------------------------------------------------
+# Weekly report, reference-compatible mode (S13) on the long line-item series
+# ---------------------------------------------------------------------------
+LI_WEEKS = 400  # the whole line-item history (several New-Year weeks)
+LI_CAL = ("1995-01-01", "2002-01-01")
+
+
+def _li_weekly_input(spark, d):
+    from stationlens.plans.catalog import _li_daily
+    b = EventsBuild(spark, d)
+    reg = b.enriched.select(F.col("station_id").alias("_sid"), "region")
+    li = _li_daily(spark, d)
+    return li.join(reg, li["station_id"] == reg["_sid"], "left").drop("_sid")
+
+
+cte("li_wf", ("li_daily", "enriched"), """
+SELECT d.station_id, d.carburant_nom, e.region, d.date_prix, d.prix_euros
+FROM li_daily d LEFT JOIN enriched e ON d.station_id = e.station_id""")
+cte("li_cal", (), O.calendar_select(
+    f"(SELECT CAST(unnest(generate_series(DATE '{LI_CAL[0]}', DATE '{LI_CAL[1]}' - 1, INTERVAL 1 DAY)) AS DATE) AS d)"))
+
+_LI_SINCE = f"DATE '{A.AS_OF_LINEITEM[:10]}' - {7 * LI_WEEKS}"
+cte("weekly_compat", ("li_wf", "li_cal"), f"""
+SELECT v.annee, v.semaine, v.debut_semaine, v.fin_semaine, v.carburant_nom,
+       {rnd('v.m', 3)} AS prix_moyen_national, {rnd('v.mn', 3)} AS prix_min_national,
+       {rnd('v.mx', 3)} AS prix_max_national, {rnd('v.med', 3)} AS prix_median_national,
+       {rnd('v.sd', 4)} AS prix_ecart_type, v.nb_stations, v.nb_observations,
+       {O._var('prix_semaine_precedente', 'variation_hebdo', 'variation_hebdo_pct')},
+       {O._var('prix_mois_precedent', 'variation_mensuelle', 'variation_mensuelle_pct')},
+       {O._var('prix_annee_precedente', 'variation_annuelle', 'variation_annuelle_pct')},
+       {O.trend_sql(O._WOW, 3, 1, O._WEEKLY_LABELS)} AS tendance_hebdo,
+       {O._PIVOT_OUT},
+       {O._SPREAD} AS ecart_regional_max
+FROM (SELECT *, lag(m, 1) OVER w AS prix_semaine_precedente, lag(m, 4) OVER w AS prix_mois_precedent,
+             lag(m, 52) OVER w AS prix_annee_precedente
+      FROM (SELECT c.annee, c.semaine_annee AS semaine, c.debut_semaine, c.fin_semaine, f.carburant_nom,
+                   {O.xavg('f.prix_euros')} AS m, min(f.prix_euros) AS mn, max(f.prix_euros) AS mx,
+                   quantile_cont(CAST(f.prix_euros AS DOUBLE), 0.5) AS med, stddev_samp(f.prix_euros) AS sd,
+                   count(DISTINCT f.station_id) AS nb_stations, count(*) AS nb_observations
+            FROM li_wf f JOIN li_cal c ON f.date_prix = c.date_day
+            WHERE f.date_prix >= {_LI_SINCE}
+            GROUP BY c.annee, c.semaine_annee, c.debut_semaine, c.fin_semaine, f.carburant_nom) n
+      WINDOW w AS (PARTITION BY carburant_nom ORDER BY debut_semaine, annee)) v
+LEFT JOIN (SELECT debut_semaine AS ws, carburant_nom,
+       {O._PIVOT}
+      FROM (SELECT c.annee, c.semaine_annee, c.debut_semaine, f.region, f.carburant_nom,
+                   {O.xavg('f.prix_euros')} AS ravg
+            FROM li_wf f JOIN li_cal c ON f.date_prix = c.date_day
+            WHERE f.date_prix >= {_LI_SINCE}
+            GROUP BY 1, 2, 3, 4, 5) x
+      GROUP BY annee, semaine_annee, debut_semaine, carburant_nom) r
+  ON v.debut_semaine = r.ws AND v.carburant_nom = r.carburant_nom""")
+
+
+@register("weekly_report_compat", sql("SELECT * FROM weekly_compat", "weekly_compat"))
+def q_weekly_compat(spark, d):
+    """MOD15 compat (S13): calendar-year x ISO-week grouping through the calendar (JOI5),
+    pivot joined on week start only -- New-Year weeks fan out as in the reference."""
+    from stationlens.operators.explode import calendar
+    from stationlens.operators.reports import weekly
+    return weekly(_li_weekly_input(spark, d), A.AS_OF_LINEITEM, fuel.WEEKLY_PIVOT_REGIONS, weeks=LI_WEEKS,
+                  compat=True, dim_date=calendar(spark, *LI_CAL))
+
+
+cte("weekly_li", ("li_wf",), O.CTES["weekly"][1].replace("FROM fact", "FROM li_wf")
+    .replace(f"{O.EV_DAY} - 84", _LI_SINCE))
+
+
+@register("weekly_report_li", sql("SELECT * FROM weekly_li", "weekly_li"))
+def q_weekly_li(spark, d):
+    """MOD15 fixed mode on the line-item series: ISO-week grouping, New-Year weeks whole."""
+    from stationlens.operators.reports import weekly
+    return weekly(_li_weekly_input(spark, d), A.AS_OF_LINEITEM, fuel.WEEKLY_PIVOT_REGIONS, weeks=LI_WEEKS)
+
+
+STALE_HOURS = 24
+
+
+@register("dq_stale_rows", sql(f"""
+SELECT count(*) FILTER (WHERE date_maj < {O.EV_ASOF} - INTERVAL {STALE_HOURS} HOUR) AS stale_records
+FROM stg_prix""", "stg_prix"))
+def q_dq_stale(spark, d):
+    """AGG20 / UDF5: stale-row count (older than n hours before as-of)."""
+    from stationlens.operators.anomalies import stale_count
+    return stale_count(EventsBuild(spark, d).prices, "date_maj", A.AS_OF_EVENTS, STALE_HOURS)
