@@ -10,7 +10,9 @@ Two physical strategies produce identical numbers:
   (partition keys, order keys) from a sample, so one hot partition key is spread over
   many tasks by its order values; each task numbers its rows, and a small
   per-(task, key) count table (one row per key per task it spans) gives every task
-  its starting offset. No task ever holds more than one range slice.
+  its starting offset. No task ever holds more than one range slice. The layout is
+  materialised with a reliable checkpoint (see ``_range_layout``), so this path
+  runs a job when it is called.
 
 The order keys must make the order total (append a unique tie-break) for both.
 """
@@ -38,15 +40,8 @@ def window_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[s
 def range_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
                      out: str, num_partitions: int | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by P order by O)`` without a per-key task."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(p).asc_nulls_last() for p in partition] + _sort_cols(order)
-    laid = (df.repartitionByRange(n, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    laid = laid.select("*", F.shiftrightunsigned("_mid", _IDX_BITS).alias("_pid"),
-                       (F.col("_mid") - F.shiftleft(F.shiftrightunsigned("_mid", _IDX_BITS),
-                                                     _IDX_BITS)).alias("_idx")).drop("_mid")
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = _range_layout(df, partition, order, n)
     # One row per (task, key): at most (#keys + #tasks) rows.
     spans = laid.groupBy("_pid", *partition).agg(F.min("_idx").alias("_first"),
                                                  F.count(F.lit(1)).alias("_cnt"))
@@ -122,3 +117,55 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column]
     w = Window.partitionBy(*partition).orderBy(*_sort_cols(order))
     ranked = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
     return ranked if out else ranked.drop(name)
+
+
+def _range_layout(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
+                  n: int) -> DataFrame:
+    """Range-partition on (partition, order), sort inside each task, number the rows
+    (task id, index in task) -- and materialise it with a reliable ``checkpoint()``.
+
+    The layout is read twice (row pass and per-task summary pass). Range bounds come
+    from a sample whose rows depend on the input's order, which is not stable when
+    the input comes from a shuffle; two evaluations could therefore disagree. The
+    checkpoint (in ``spark.checkpoint.dir``) fixes one layout for both passes and
+    means a lost executor re-reads it instead of re-sampling."""
+    from stationlens.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    sort_cols = [F.col(p).asc_nulls_last() for p in partition] + _sort_cols(order)
+    laid = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    hi = F.shiftrightunsigned("_mid", _IDX_BITS)
+    laid = laid.select("*", hi.alias("_pid"),
+                       (F.col("_mid") - F.shiftleft(hi, _IDX_BITS)).alias("_idx")).drop("_mid")
+    return laid.checkpoint(eager=True)
+
+
+def range_shift(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
+                cols: Sequence[str], out: str, direction: int = -1,
+                num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe ``lag``/``lead`` by one row of ``struct(cols)`` within ``partition``
+    ordered by ``order`` (``direction`` -1 = previous row, +1 = next row).
+
+    Rows are range-partitioned on (partition, order), so one key's rows may span
+    several tasks. Inside a task the neighbour comes from a window over
+    (task, key) -- bounded by the task's slice; at a slice edge it comes from the
+    adjacent slice's edge row, found in a per-(task, key) table (at most #keys +
+    #tasks rows). The order must be total (append a unique tie-break)."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = _range_layout(df, partition, order, n)
+    payload = F.struct(*[F.col(c) for c in cols])
+    w = Window.partitionBy("_pid", *partition).orderBy("_idx")
+    local = F.lag(payload).over(w) if direction < 0 else F.lead(payload).over(w)
+    with_local = laid.select("*", local.alias("_loc"))
+    edge = F.max_by(payload, F.col("_idx")) if direction < 0 else F.min_by(payload, F.col("_idx"))
+    seg = laid.groupBy("_pid", *partition).agg(edge.alias("_edge"), F.min("_idx").alias("_lo"),
+                                                F.max("_idx").alias("_hi"))
+    wseg = Window.partitionBy(*partition).orderBy("_pid")
+    nb = F.lag("_edge").over(wseg) if direction < 0 else F.lead("_edge").over(wseg)
+    keys = ["_pid", *partition]
+    seg = seg.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], nb.alias("_nb"), "_lo", "_hi")
+    joined = with_local.join(seg, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)], "inner")
+    at_edge = F.col("_idx") == (F.col("_lo") if direction < 0 else F.col("_hi"))
+    result = F.when(at_edge, F.col("_nb")).otherwise(F.col("_loc"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out))

@@ -74,3 +74,30 @@ def test_rank_windows_share_one_exchange(spark):
     out = add_ranks(df, ["p", "d"], "v", {"a": [], "b": ["r"], "c": ["e"]}, tiebreak=["e"], percent="pr")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_range_shift_matches_window_lag(spark):
+    from pyspark.sql import Window
+    from stationlens.operators.ranking import range_shift
+    rnd = random.Random(5)
+    rows = [("hot" if i % 4 else f"k{i % 13}", i, float(rnd.randint(0, 3))) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, t int, v double")
+    w = Window.partitionBy("g").orderBy("t")
+    exp = {r["t"]: (r["p"], r["n"]) for r in df.select(
+        "t", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n")).collect()}
+    prev = range_shift(df, ["g"], ["t"], ["v"], "pv", -1, num_partitions=7)
+    both = range_shift(prev, ["g"], ["t"], ["v"], "nx", +1, num_partitions=5)
+    got = {r["t"]: (r["pv"]["v"] if r["pv"] else None, r["nx"]["v"] if r["nx"] else None) for r in both.collect()}
+    assert got == exp
+
+
+def test_scd_rebuild_range_equals_window(spark):
+    from stationlens.operators.history import scd2_rebuild
+    rnd = random.Random(9)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot" if i % 3 else f"k{i % 7}", base + dt.timedelta(minutes=i), float(rnd.randint(0, 2)))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    a = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"]).collect())
+    b = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"], strategy="range").collect())
+    assert a == b and len(a) > 100
