@@ -36,11 +36,12 @@ def products(dim_product: DataFrame, col: str = "carburant_nom") -> DataFrame:
 
 
 def search_stations(fact: DataFrame, dim_entity: DataFrame, product: str, city: str | None = None,
-                    department: str | None = None, limit: int = 500) -> DataFrame:
+                    department: str | None = None, limit: int = 500,
+                    latest_day=None) -> DataFrame:
     """QRY4: stations of a city (case-insensitive substring) and/or department, priced for
     ``product`` on that product's latest day, cheapest first."""
     f = fact.filter(F.col("carburant_nom") == F.lit(product))
-    latest = f.select(F.max("date_prix")).scalar()
+    latest = latest_day if latest_day is not None else f.select(F.max("date_prix")).scalar()
     f = f.filter(F.col("date_prix") == latest)
     s = dim_entity.select(F.col("station_id").alias("_sid"), "ville", "adresse", "code_postal",
                           F.col("code_departement").alias("_dept"), F.col("region").alias("_reg"),

@@ -91,7 +91,7 @@ def quality_score(as_of) -> Column:
 
 
 def enrich(stations: DataFrame, services: DataFrame, hours: DataFrame, prices: DataFrame,
-           shortage_rows: DataFrame, as_of, region_fn: Callable[[Column], Column],
+           shortage_rows: DataFrame, as_of, region_fn: Callable[[str], Column],
            key: str = "station_id", category_flags: Mapping[str, str] = CATEGORY_FLAGS,
            name_flags: Mapping[str, str] = NAME_FLAGS) -> DataFrame:
     sv = services_summary(services, key, category_flags, name_flags)
@@ -103,7 +103,7 @@ def enrich(stations: DataFrame, services: DataFrame, hours: DataFrame, prices: D
     flag_names = list(category_flags) + list(name_flags)
     base = joined.select(
         key, "latitude", "longitude", "code_postal", "code_departement",
-        region_fn(F.col("code_departement")).alias("region"),
+        region_fn("code_departement").alias("region"),
         "ville", "adresse", "type_station", "is_automate_24_24",
         F.coalesce("nb_services", F.lit(0)).cast("long").alias("nb_services"),
         "services_list", "services_categories",

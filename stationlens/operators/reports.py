@@ -44,10 +44,15 @@ CHEAPEST_ENTITY_COLUMNS = ("station_key", "ville", "adresse", "code_postal", "ty
 def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: int = 100,
              group: str = "region", entity: str = "station_id", product: str = "carburant_nom",
              value: str = "prix_euros", day: str = "date_prix", tiebreak: Sequence[str] = ("carburant_id",),
-             rank_strategy: str = "window") -> DataFrame:
+             rank_strategy: str = "window", latest_day: Column | None = None) -> DataFrame:
     """MOD13: latest day's cheapest entities: top ``k_group`` per (group, product) OR top
-    ``k_all`` per product, each row carrying both full-population ranks."""
-    latest = fact.filter(F.col(day) == fact.select(F.max(day)).scalar())
+    ``k_all`` per product, each row carrying both full-population ranks.
+
+    ``latest_day`` (a scalar Column) may be given when a cheaper upstream determines
+    the fact's latest day; by default it is a scalar subquery on the fact (cheap on the
+    stored, month-partitioned fact)."""
+    last = latest_day if latest_day is not None else fact.select(F.max(day)).scalar()
+    latest = fact.filter(F.col(day) == last)
     order = [F.col(value).asc_nulls_last(), F.col(entity).asc_nulls_last(),
              *[F.col(t).asc_nulls_last() for t in tiebreak]]
     ranked = row_numbers(latest, [group, product], order, "position_regionale_top10", rank_strategy)
@@ -77,7 +82,8 @@ def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: i
 
 def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 30,
              group: str = "region", entity: str = "station_id", product: str = "carburant_nom",
-             value: str = "prix_euros", day: str = "date_prix") -> DataFrame:
+             value: str = "prix_euros", day: str = "date_prix",
+             latest_day: Column | None = None) -> DataFrame:
     """MOD14: daily per-region statistics over the last ``days`` days vs the national
     mean (unweighted mean of region means), with region rank and latest-day flag."""
     f = fact.filter(since(day, as_of, days))
@@ -90,7 +96,7 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
     nat_mean = F.sum(F.col("_avg").cast("decimal(38,12)")).over(w).cast("double") / F.count("_avg").over(w)
     s = d.select("*", nat_mean.alias("_nat"), F.row_number().over(wr).alias("rang_region"),
                  F.count(group).over(w).alias("total_regions"))
-    latest = f.select(F.max(day)).scalar()
+    latest = latest_day if latest_day is not None else f.select(F.max(day)).scalar()
     m, nat = F.col("_avg"), F.col("_nat")
     out = s.select(
         group, product, day,

@@ -8,6 +8,7 @@ and averages are rounded to 6 digits on both sides so summation order cannot sho
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,20 +54,54 @@ def neutral(df: DataFrame, round6: tuple[str, ...] = ()) -> DataFrame:
 
 class EventsBuild:
     """The fuel pipeline fed by the adapters (events prices, supplier stations, orders
-    shortages)."""
+    shortages). Members are built on first use, so a query only constructs the part
+    of the plan it reads."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        from stationlens.operators.enrich import enrich
-
         self.spark, self.sf_dir = spark, sf_dir
-        self.raw_stations = A.raw_stations(spark, sf_dir)
-        self.prices = fuel.clean_prices(A.raw_prices(spark, sf_dir), *A.EVENT_PRICE_BOUNDS)
-        self.stations = fuel.clean_stations(self.raw_stations)
-        self.services = fuel.station_services(self.raw_stations)
-        self.hours = fuel.opening_hours(self.raw_stations)
-        self.shortages = fuel.shortages(A.raw_shortages(spark, sf_dir))
-        self.enriched = enrich(self.stations, self.services, self.hours, self.prices,
-                               self.shortages, A.AS_OF_EVENTS, fuel.region_of)
+
+    @cached_property
+    def raw_stations(self) -> DataFrame:
+        return A.raw_stations(self.spark, self.sf_dir)
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return fuel.clean_prices(A.raw_prices(self.spark, self.sf_dir), *A.EVENT_PRICE_BOUNDS)
+
+    @cached_property
+    def stations(self) -> DataFrame:
+        return fuel.clean_stations(self.raw_stations)
+
+    @cached_property
+    def services(self) -> DataFrame:
+        return fuel.station_services(self.raw_stations)
+
+    @cached_property
+    def hours(self) -> DataFrame:
+        return fuel.opening_hours(self.raw_stations)
+
+    @cached_property
+    def shortages(self) -> DataFrame:
+        return fuel.shortages(A.raw_shortages(self.spark, self.sf_dir))
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        from stationlens.operators.enrich import enrich
+        return enrich(self.stations, self.services, self.hours, self.prices, self.shortages,
+                      A.AS_OF_EVENTS, fuel.region_of)
+
+    def latest_day(self, product: str | None = None, since_days: int | None = None):
+        """Scalar subquery: the latest day among valid observations -- the same as the
+        fact's latest day (one series row per valid entity/product/day), from a far
+        smaller plan."""
+        from stationlens.operators.reports import since
+        from stationlens.operators.series import valid_observations
+        v = valid_observations(self.prices)
+        if product is not None:
+            v = v.filter(F.col("carburant_nom") == F.lit(product))
+        if since_days is not None:
+            v = v.filter(since("date_prix", A.AS_OF_EVENTS, since_days))
+        return v.select(F.max("date_prix")).scalar()
 
     def series(self, rank_strategy: str = "window") -> DataFrame:
         from stationlens.operators.series import price_series
@@ -74,27 +109,31 @@ class EventsBuild:
         p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
         return price_series(p, self.enriched, rank_strategy=rank_strategy)
 
+    @cached_property
     def dim_stations(self) -> DataFrame:
         from stationlens.operators.dims import entity_dim
         return entity_dim(self.enriched)
 
+    @cached_property
     def dim_products(self) -> DataFrame:
         from stationlens.operators.dims import product_dim
         return product_dim(self.prices, fuel.product_seed(self.spark))
 
+    @cached_property
     def dim_regions(self) -> DataFrame:
         from stationlens.operators.dims import region_dim
         return region_dim(self.enriched, fuel.REGION_CODES, fuel.REGION_CODE_DEFAULT,
                           fuel.REGION_CHIEF_TOWNS)
 
+    @cached_property
     def dim_date(self) -> DataFrame:
         from stationlens.operators.explode import calendar
         return calendar(self.spark)
 
     def fact(self, rank_strategy: str = "window") -> DataFrame:
         from stationlens.operators.dims import price_fact
-        return price_fact(self.series(rank_strategy), self.dim_stations(), self.dim_products(),
-                          self.dim_date(), self.dim_regions())
+        return price_fact(self.series(rank_strategy), self.dim_stations, self.dim_products,
+                          self.dim_date, self.dim_regions)
 
 
 def li_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,19 +232,19 @@ def q_daily_series(spark, d):
           O.sql("SELECT * FROM dim_stations", "dim_stations"))
 def q_station_dim(spark, d):
     """MOD8: PRJ37 surrogate key over the enriched entities."""
-    return neutral(EventsBuild(spark, d).dim_stations())
+    return neutral(EventsBuild(spark, d).dim_stations)
 
 
 @register("product_dim", O.sql("SELECT * FROM dim_products", "dim_products"))
 def q_product_dim(spark, d):
     """MOD9: SRC9 seed, SET1, JOI3 (normalised-name join), PRJ20, PRJ37."""
-    return EventsBuild(spark, d).dim_products()
+    return EventsBuild(spark, d).dim_products
 
 
 @register("region_dim", O.sql("SELECT * FROM dim_regions", "dim_regions"))
 def q_region_dim(spark, d):
     """MOD10: SET1, AGG2, AGG3, PRJ14, PRJ37."""
-    return EventsBuild(spark, d).dim_regions()
+    return EventsBuild(spark, d).dim_regions
 
 
 @register("calendar", O.sql(O.calendar_select(
@@ -232,7 +271,7 @@ def q_cheapest(spark, d):
     """MOD13: JOI10 (scalar max date), WIN6 (two ranks, OR filter), PRJ27, PRJ30, JOI14."""
     from stationlens.operators.reports import cheapest
     b = EventsBuild(spark, d)
-    return neutral(cheapest(b.fact(), b.dim_stations()))
+    return neutral(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day()))
 
 
 @register("regional_report", O.sql("SELECT * FROM regional", "regional"))
@@ -240,7 +279,7 @@ def q_regional(spark, d):
     """MOD14: PRJ28, AGG7, AGG12, WIN7, WIN8, JOI11, JOI15, PRJ24, PRJ25."""
     from stationlens.operators.reports import regional
     b = EventsBuild(spark, d)
-    return regional(b.fact(), b.dim_regions(), A.AS_OF_EVENTS, days=30)
+    return regional(b.fact(), b.dim_regions, A.AS_OF_EVENTS, days=30, latest_day=b.latest_day(since_days=30))
 
 
 @register("weekly_report", O.sql("SELECT * FROM weekly", "weekly"))
@@ -256,7 +295,7 @@ def q_anomalies(spark, d):
     """OBS4 / MOD16: AGG11, JOI7, PRJ31, SRT2 (top 100 by |z|)."""
     from stationlens.operators.anomalies import price_anomalies
     b = EventsBuild(spark, d)
-    return price_anomalies(b.fact(), b.dim_stations(), A.AS_OF_EVENTS, days=7)
+    return price_anomalies(b.fact(), b.dim_stations, A.AS_OF_EVENTS, days=7)
 
 
 # ---------------------------------------------------------------------------

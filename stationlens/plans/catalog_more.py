@@ -186,7 +186,7 @@ GROUP BY f.station_id""", "fact", "dim_stations"))
 def q_dq_relationships(spark, d):
     """DQ4 / JOI13: fact -> entity dimension."""
     b = EventsBuild(spark, d)
-    return Q.relationships(b.fact(), "station_id", b.dim_stations(), "station_id")
+    return Q.relationships(b.fact(), "station_id", b.dim_stations, "station_id")
 
 
 @register("dq_between", sql(f"""
@@ -428,7 +428,7 @@ ORDER BY f.prix_euros, f.station_id LIMIT 500"""
 
 def _search(spark, d):
     b = EventsBuild(spark, d)
-    return D.search_stations(b.fact(), b.dim_stations(), PRODUCT, city=CITY)
+    return D.search_stations(b.fact(), b.dim_stations, PRODUCT, city=CITY, latest_day=b.latest_day(PRODUCT))
 
 
 @register("qry_cheapest", sql(f"""
@@ -436,7 +436,8 @@ SELECT * FROM cheapest WHERE carburant_nom = '{PRODUCT}' ORDER BY rang_national,
 def q_qry_cheapest(spark, d):
     """QRY1: cheapest stations for a product, first n."""
     b = EventsBuild(spark, d)
-    return neutral(D.cheapest_stations(cheapest(b.fact(), b.dim_stations()), PRODUCT, n=20))
+    return neutral(D.cheapest_stations(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day()),
+                                       PRODUCT, n=20))
 
 
 @register("qry_regional_latest", sql("SELECT * FROM regional WHERE is_latest", "regional"))
@@ -444,14 +445,15 @@ def q_qry_regional(spark, d):
     """QRY2: latest regional prices."""
     from stationlens.operators.reports import regional
     b = EventsBuild(spark, d)
-    return D.regional_latest(regional(b.fact(), b.dim_regions(), A.AS_OF_EVENTS))
+    return D.regional_latest(regional(b.fact(), b.dim_regions, A.AS_OF_EVENTS,
+                                      latest_day=b.latest_day(since_days=30)))
 
 
 @register("qry_products", sql("SELECT DISTINCT carburant_nom FROM dim_products WHERE carburant_nom IS NOT NULL",
                               "dim_products"))
 def q_qry_products(spark, d):
     """QRY3 / SRT5: ordered product list."""
-    return D.products(EventsBuild(spark, d).dim_products())
+    return D.products(EventsBuild(spark, d).dim_products)
 
 
 @register("qry_search", sql(_SEARCH, "fact", "dim_stations"))
@@ -480,7 +482,7 @@ SELECT ville, count(*) AS nb_stations FROM dim_stations WHERE code_departement =
 GROUP BY ville ORDER BY nb_stations DESC, ville LIMIT 50""", "dim_stations"))
 def q_qry_cities(spark, d):
     """QRY7 / AGG15: cities of a department, top 50."""
-    return D.cities_top(EventsBuild(spark, d).dim_stations(), DEPT)
+    return D.cities_top(EventsBuild(spark, d).dim_stations, DEPT)
 
 
 @register("qry_product_distribution", sql(f"""
@@ -491,7 +493,7 @@ WHERE s.code_departement = '{DEPT}' GROUP BY f.carburant_nom""", "fact", "dim_st
 def q_qry_distribution(spark, d):
     """QRY8 / AGG16."""
     b = EventsBuild(spark, d)
-    return D.product_distribution(b.fact(), b.dim_stations(), DEPT)
+    return D.product_distribution(b.fact(), b.dim_stations, DEPT)
 
 
 @register("qry_product_dates", sql(f"""
@@ -502,7 +504,7 @@ WHERE s.code_departement = '{DEPT}' GROUP BY f.carburant_nom""", "fact", "dim_st
 def q_qry_dates(spark, d):
     """QRY9 / AGG17."""
     b = EventsBuild(spark, d)
-    return D.product_date_range(b.fact(), b.dim_stations(), DEPT)
+    return D.product_date_range(b.fact(), b.dim_stations, DEPT)
 
 
 @register("qry_latest_dates", sql("""

@@ -180,9 +180,9 @@ def clean_prices(raw: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX) -
 def station_services(raw_stations: DataFrame) -> DataFrame:
     """MOD3: station x service, categorised by the ordered rules, distinct."""
     items = explode_list(raw_stations, "services", ",", "_svc", ["station_id", "_loaded_at"])
-    name = F.upper("_svc")
-    return (items.select("station_id", name.alias("service_nom"),
-                         classify(name, SERVICE_RULES, SERVICE_DEFAULT).alias("service_categorie"),
+    named = items.select("station_id", F.upper("_svc").alias("service_nom"), "_loaded_at")
+    return (named.select("station_id", "service_nom",
+                         classify("service_nom", SERVICE_RULES, SERVICE_DEFAULT).alias("service_categorie"),
                          "_loaded_at")
             .distinct())
 
@@ -209,7 +209,7 @@ def shortages(raw: DataFrame) -> DataFrame:
 
 
 def region_of(department) -> F.Column:
-    """PRJ13: department code -> region."""
+    """PRJ13: department code (column name or Column) -> region."""
     return map_code(department, REGION_GROUPS, REGION_PREFIX_RULES, REGION_DEFAULT)
 
 

@@ -17,6 +17,10 @@ from pyspark.sql import SparkSession
 #  * AQE: runtime broadcast conversion (checked by actual shuffle size), partition
 #    coalescing and skew-join splitting.
 RUNTIME_CONF = {
+    # Python call-site capture for every Column (error context) costs more than the
+    # query plans themselves on deep pipelines; read once per process, so it also
+    # goes into the builder below.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
