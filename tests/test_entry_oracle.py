@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from scripts.oracle_check import TABLES, rows_of
+from scripts.oracle_check import TABLES, rows_of, type_mismatches
 
 from conftest import SF_SMALL
 
@@ -42,3 +42,5 @@ def test_query_matches_oracle(spark, duck, name):
     assert sc == dc
     assert len(sr) == len(dr)
     assert sr == dr
+    rel = duck.sql(f"SELECT * FROM ({entry.oracle_sql()[name]}) LIMIT 0")
+    assert type_mismatches(df.schema, rel.columns, rel.types) == {}
