@@ -30,26 +30,30 @@ def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, valu
     * last = value at the latest ``ts``; equal timestamps resolve to the larger value
       (deterministic, unlike an order-by-time-only ``last_value``);
     * ``last_ts`` = latest update, ``n_updates`` = rows of the day;
-    * ``ids`` (e.g. a product id) stay in the output grain without splitting the
-      aggregate: two ids for one product/day give two rows carrying the same
-      name-level last value and update count.
-
-    One hash aggregate (partial + final) -- no sort, no window, no second shuffle
-    for a DISTINCT. A hot entity only produces one partial row per map task.
+    * ``ids`` (e.g. a product id) stay in the output grain: two ids for one
+      product/day give two rows carrying the same name-level last value and count.
+
+    Two hash aggregations, no sort: (1) by (keys, ids, ts) -- folds rows with equal
+    timestamps to their largest value, and spreads a hot entity-day over tasks by
+    time; (2) by (keys, ids) with ``max_by(value, ts)``, deterministic because ts is
+    now unique per group, its partial aggregate folding each task's share of a hot
+    key to one row. (A struct ordering or collect_set in one aggregate would force
+    Spark's sort-based aggregation on every row.) With ids, the per-id rows of one
+    product/day -- a handful -- are combined by a window over (keys).
     """
     keys = [entity, product, day]
-    aggs = [
-        F.max_by(F.col(value), F.struct(F.col(ts), F.col(value))).alias(value),
-        F.max(ts).alias(last_ts),
-        F.count(F.lit(1)).alias(n_updates),
-    ]
-    if ids:
-        aggs.append(F.collect_set(F.struct(*[F.col(i) for i in ids])).alias("_ids"))
-    out = df.groupBy(*keys).agg(*aggs)
+    ids = list(ids)
+    per_ts = df.groupBy(*keys, *ids, ts).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("_n"))
+    per_id = per_ts.groupBy(*keys, *ids).agg(
+        F.max_by(value, ts).alias(value), F.max(ts).alias(last_ts), F.sum("_n").alias(n_updates))
     if not ids:
-        return out
-    return (out.select(*keys, F.explode("_ids").alias("_id"), value, last_ts, n_updates)
-            .select(*keys, *[F.col("_id")[i].alias(i) for i in ids], value, last_ts, n_updates))
+        return per_id.select(*keys, value, last_ts, F.col(n_updates).cast("long").alias(n_updates))
+    w = Window.partitionBy(*keys)
+    return per_id.select(
+        *keys, *ids,
+        F.max_by(value, F.struct(F.col(last_ts), F.col(value))).over(w).alias(value),
+        F.max(last_ts).over(w).alias(last_ts),
+        F.sum(n_updates).over(w).cast("long").alias(n_updates))
 
 
 def add_lags(df: DataFrame, series: Sequence[str], order: Sequence[str | Column], value: str,
