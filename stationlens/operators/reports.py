@@ -117,10 +117,16 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
 def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int = 12,
            compat: bool = False, dim_date: DataFrame | None = None, group: str = "region",
            entity: str = "station_id", product: str = "carburant_nom", value: str = "prix_euros",
-           day: str = "date_prix", lags: Mapping[int, str] | None = None) -> DataFrame:
+           day: str = "date_prix", lags: Mapping[int, str] | None = None,
+           median: str = "exact") -> DataFrame:
     """MOD15: weekly national statistics, week-over-week / 4-week / 52-week variations,
     trend label and a per-region pivot with its spread.
 
+    ``median='exact'`` keeps a (value -> count) map per week and product: its size is
+    the number of distinct prices (bounded for prices with fixed decimals).
+    ``median='approx'`` uses ``percentile_approx`` (fixed-size sketch) for value
+    domains without such a bound.
+
     Default groups by ISO week start (year = ISO year), so a week straddling New Year
     is one row. ``compat=True`` reproduces the reference: group by calendar year + ISO
     week through the calendar dimension (inner join), pivot joined on week start only.
@@ -146,7 +152,9 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
     v = F.col(value)
     nat = wk.groupBy(*nat_keys).agg(
         exact_avg(v).alias("_avg"), F.min(v).alias("_min"), F.max(v).alias("_max"),
-        F.percentile(v.cast("double"), F.lit(0.5)).alias("_med"), F.stddev_samp(v).alias("_std"),
+        (F.percentile(v.cast("double"), F.lit(0.5)) if median == "exact"
+         else F.percentile_approx(v.cast("double"), 0.5, 10000)).alias("_med"),
+        F.stddev_samp(v).alias("_std"),
         F.count_distinct(entity).alias("nb_stations"), F.count(F.lit(1)).alias("nb_observations"))
     wl = Window.partitionBy(product).orderBy(F.col("debut_semaine").asc_nulls_last(),
                                              F.col("annee").asc_nulls_last())

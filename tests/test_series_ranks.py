@@ -101,3 +101,13 @@ def test_scd_rebuild_range_equals_window(spark):
     a = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"]).collect())
     b = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"], strategy="range").collect())
     assert a == b and len(a) > 100
+
+
+def test_top_k_uses_window_group_limit(spark):
+    from stationlens.operators.ranking import top_k
+    df = spark.createDataFrame([(f"g{i % 3}", float(i)) for i in range(60)], "g string, v double")
+    out = top_k(df, ["g"], ["v"], 2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert sorted((r["g"], r["v"]) for r in out.collect()) == [
+        ("g0", 0.0), ("g0", 3.0), ("g1", 1.0), ("g1", 4.0), ("g2", 2.0), ("g2", 5.0)]
