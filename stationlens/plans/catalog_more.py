@@ -610,3 +610,13 @@ def q_dq_stale(spark, d):
     """AGG20 / UDF5: stale-row count (older than n hours before as-of)."""
     from stationlens.operators.anomalies import stale_count
     return stale_count(EventsBuild(spark, d).prices, "date_maj", A.AS_OF_EVENTS, STALE_HOURS)
+
+
+@register("dq_product_ids", sql("""
+SELECT p.carburant_nom, p.carburant_id AS feed_id, s.carburant_id AS reference_id
+FROM (SELECT DISTINCT carburant_nom, carburant_id FROM stg_prix) p
+JOIN seed s ON upper(trim(p.carburant_nom)) = upper(trim(s.carburant_nom))
+WHERE p.carburant_id IS DISTINCT FROM s.carburant_id""", "stg_prix", "seed"))
+def q_dq_product_ids(spark, d):
+    """S16 / DQ: feed product ids that differ from the reference table's ids."""
+    return Q.product_id_mismatch(EventsBuild(spark, d).prices, fuel.product_seed(spark))

@@ -158,6 +158,14 @@ def clean_stations(raw: DataFrame) -> DataFrame:
     )
 
 
+def keep_latest_station(stations: DataFrame) -> DataFrame:
+    """S35 option: one row per station id, the most recently loaded (ties: greatest
+    row). The reference never deduplicates -- only tests uniqueness -- so this is an
+    opt-in step before enrichment."""
+    from stationlens.operators.history import latest_per_key
+    return latest_per_key(stations, ["station_id"], ["_loaded_at", "code_postal", "adresse"])
+
+
 def clean_prices(raw: DataFrame, lo: float = PRICE_MIN, hi: float = PRICE_MAX) -> DataFrame:
     """MOD2: typed price rows with invalid / suspect flags."""
     price = safe_decimal("valeur", 10, 3)

@@ -97,3 +97,12 @@ def test_shortages(spark):
     assert got["E10"]["date_debut"] is None  # 'T' separator rejected by the explicit pattern
     assert got["E85"]["date_fin"] == dt.datetime(2024, 1, 2, 10, 0)
     assert got["SP95"]["type_rupture"] == "TEMPORAIRE"
+
+
+def test_keep_latest_station(spark):
+    t1 = dt.datetime(2024, 1, 2)
+    rows = [station_row("1", adresse="old"), ("1", "1", "1", "75001", "R", "new", "P", "", "", "", t1),
+            station_row("2")]
+    st = fuel.clean_stations(spark.createDataFrame(rows, RAW_STATIONS))
+    got = {r["station_id"]: r["adresse"] for r in fuel.keep_latest_station(st).collect()}
+    assert got == {"1": "new", "2": "a"}
