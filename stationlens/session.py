@@ -78,3 +78,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="stationlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def scale_conf(input_bytes: int, executor_cores_total: int, target_partition_bytes: int = 256 << 20,
+               max_split_bytes: int = 512 << 20) -> dict[str, str]:
+    """Partition sizing for a cluster run, from the size of the largest input.
+
+    * shuffle partitions: enough that each holds ~``target_partition_bytes`` of the
+      largest shuffle (taken as the input size -- the daily aggregate shuffles at most
+      that), never fewer than 2x the cores; AQE then coalesces small ones;
+    * file splits: ``max_split_bytes`` per scan task, so a 100 TB scan is ~200k tasks;
+    * skew join: a partition 5x the median and above 256 MB is split.
+    Apply with ``for k, v in scale_conf(...).items(): spark.conf.set(k, v)``.
+    """
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
