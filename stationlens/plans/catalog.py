@@ -316,8 +316,7 @@ SELECT station_id, carburant_nom, carburant_id, date_prix, variation_semaine_pct
        CASE WHEN prix_semaine_precedente IS NULL OR prix_euros IS NULL OR prix_semaine_precedente = 0 THEN NULL
             ELSE CAST(round(CAST(CAST((prix_euros - prix_semaine_precedente) / prix_semaine_precedente * 100 AS VARCHAR) AS DECIMAL(38,20)), 2) AS DOUBLE) END AS variation_macro,
        pr AS percentile,
-       CASE WHEN pr IS NULL THEN 'Inconnu' WHEN pr <= 0.1 THEN 'Très bon marché' WHEN pr <= 0.25 THEN 'Bon marché'
-            WHEN pr <= 0.75 THEN 'Prix moyen' WHEN pr <= 0.9 THEN 'Cher' ELSE 'Très cher' END AS categorie_macro
+       {O.bucket_sql('pr', 'Inconnu')} AS categorie_macro
 FROM (SELECT *, {O._VARS},
              percent_rank() OVER (PARTITION BY carburant_nom, date_prix ORDER BY prix_euros) AS pr
       FROM li_varied) t""", "li_varied"))

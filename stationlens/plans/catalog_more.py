@@ -206,13 +206,13 @@ def q_dq_length(spark, d):
     return Q.length_eq(EventsBuild(spark, d).prices, "carburant_id", 1, keep=["station_id", "carburant_nom"])
 
 
-@register("dq_coordinates", sql("""
+@register("dq_coordinates", sql(f"""
 SELECT station_id, latitude, longitude, code_postal, ville,
-       CASE WHEN latitude < 41.0 THEN 'Latitude too low (south of France)'
-            WHEN latitude > 52.0 THEN 'Latitude too high (north of France)'
-            WHEN longitude < -6.0 THEN 'Longitude too low (west of France)'
-            WHEN longitude > 10.0 THEN 'Longitude too high (east of France)'
-            ELSE 'Unknown issue' END AS coordinate_issue
+       CASE WHEN latitude < {Q.BOX_LAT[0]} THEN {q(Q.BOX_REASONS[0])}
+            WHEN latitude > {Q.BOX_LAT[1]} THEN {q(Q.BOX_REASONS[1])}
+            WHEN longitude < {Q.BOX_LON[0]} THEN {q(Q.BOX_REASONS[2])}
+            WHEN longitude > {Q.BOX_LON[1]} THEN {q(Q.BOX_REASONS[3])}
+            ELSE {q(Q.BOX_REASONS[4])} END AS coordinate_issue
 FROM stg_stations
 WHERE code_departement NOT LIKE '97%' AND code_departement NOT LIKE '98%'
   AND latitude IS NOT NULL AND longitude IS NOT NULL
@@ -254,18 +254,18 @@ _CUT24 = f"({O.EV_ASOF} - INTERVAL 24 HOUR)"
 @register("dq_freshness", sql(f"""
 SELECT * FROM (
   SELECT i.*, p.*,
-         CASE WHEN i.last_success IS NULL THEN 'No successful ingestion found'
-              WHEN i.last_success < {_CUT24} THEN 'Last successful ingestion is too old'
-              WHEN p.most_recent_price_update IS NULL THEN 'No recent price data found'
-              WHEN p.most_recent_price_update < {_CUT24} THEN 'Most recent price update is too old'
-              WHEN p.stations_with_recent_data < 100 THEN 'Too few stations with recent data'
-              ELSE 'OK' END AS freshness_status
+         CASE WHEN i.last_success IS NULL THEN {q(Q.FRESHNESS_MESSAGES[0])}
+              WHEN i.last_success < {_CUT24} THEN {q(Q.FRESHNESS_MESSAGES[1])}
+              WHEN p.most_recent_price_update IS NULL THEN {q(Q.FRESHNESS_MESSAGES[2])}
+              WHEN p.most_recent_price_update < {_CUT24} THEN {q(Q.FRESHNESS_MESSAGES[3])}
+              WHEN p.stations_with_recent_data < 100 THEN {q(Q.FRESHNESS_MESSAGES[4])}
+              ELSE {q(Q.FRESHNESS_MESSAGES[5])} END AS freshness_status
   FROM (SELECT max(completed_at) AS last_successful_ingestion,
                max(CASE WHEN status = 'SUCCESS' THEN completed_at END) AS last_success FROM run_log) i
   CROSS JOIN (SELECT max(date_maj) AS most_recent_price_update,
                      count(DISTINCT station_id) AS stations_with_recent_data
               FROM stg_prix WHERE date_maj >= {_CUT24}) p) t
-WHERE freshness_status <> 'OK'""", "run_log", "stg_prix"))
+WHERE freshness_status <> {q(Q.FRESHNESS_MESSAGES[5])}""", "run_log", "stg_prix"))
 def q_dq_freshness(spark, d):
     """DQ9: pipeline freshness (AGG13, AGG14, JOI9)."""
     return Q.pipeline_freshness(run_log(spark, d), EventsBuild(spark, d).prices, A.AS_OF_EVENTS)
