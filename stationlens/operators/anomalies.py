@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.labels import ANOMALY_LABELS
 from stationlens.operators.enrich import ts_literal
-from stationlens.operators.reports import since
+from stationlens.operators.reports import slice_since
 
 
 def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7,
@@ -24,7 +24,7 @@ def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7
                     tiebreak: tuple[str, ...] = ("carburant_id",)) -> DataFrame:
     """OBS4: z-score of each price against its (group, product, day) mean over the last
     ``days`` days, a large-daily-change rule, a severity label; most extreme first."""
-    f = fact.filter(since(day, as_of, days))
+    f = slice_since(fact, day, as_of, days)
     keys = [group, product, day]
     stats = f.groupBy(*keys).agg(exact_avg(value).alias("regional_avg"),
                                  F.stddev_samp(value).alias("_std"))

@@ -36,6 +36,20 @@ def since(day_col: str, as_of, days: int) -> Column:
     return F.col(day_col) >= F.date_sub(date_literal(as_of), days)
 
 
+PARTITION_MONTH = "mois_prix"
+
+
+def slice_since(df: DataFrame, day_col: str, as_of, days: int) -> DataFrame:
+    """Date slice of a fact. On the stored fact (partitioned by month start) the implied
+    month predicate is added too, so whole directories are pruned before any file is
+    opened, then row groups by the day's min/max statistics."""
+    out = df.filter(since(day_col, as_of, days))
+    if PARTITION_MONTH in df.columns:
+        cutoff = F.date_sub(date_literal(as_of), days)
+        out = out.filter(F.col(PARTITION_MONTH) >= F.trunc(cutoff, "month"))
+    return out
+
+
 CHEAPEST_ENTITY_COLUMNS = ("station_key", "ville", "adresse", "code_postal", "type_station",
                            "is_automate_24_24", "is_ouvert_7j_7", "nb_services", "services_list",
                            "has_lavage", "has_restauration", "has_boutique", "latitude", "longitude")
@@ -86,7 +100,7 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
              latest_day: Column | None = None) -> DataFrame:
     """MOD14: daily per-region statistics over the last ``days`` days vs the national
     mean (unweighted mean of region means), with region rank and latest-day flag."""
-    f = fact.filter(since(day, as_of, days))
+    f = slice_since(fact, day, as_of, days)
     d = f.groupBy(group, product, day).agg(
         exact_avg(value).alias("_avg"), F.min(value).alias("_min"), F.max(value).alias("_max"),
         F.count_distinct(entity).alias("nb_stations"), F.stddev_samp(value).alias("_std"))
@@ -132,7 +146,7 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
     week through the calendar dimension (inner join), pivot joined on week start only.
     """
     lags = lags or {1: "prix_semaine_precedente", 4: "prix_mois_precedent", 52: "prix_annee_precedente"}
-    f = fact.filter(F.col(day) >= F.date_sub(date_literal(as_of), 7 * weeks))
+    f = slice_since(fact, day, as_of, 7 * weeks)
     if compat:
         if dim_date is None:
             raise ValueError("compat=True needs the calendar dimension")

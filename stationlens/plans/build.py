@@ -91,7 +91,7 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
 
     fact = price_fact(series, d_st, d_pr, d_dt, d_rg, product_key=cfg.product_key)
     M.write_fact(fact, f"{out}/fct_prix_carburants")
-    fact = M.read_mart(spark, f"{out}/fct_prix_carburants").drop("mois_prix")
+    fact = M.read_mart(spark, f"{out}/fct_prix_carburants")  # keeps mois_prix for pruning
 
     M.write_mart(cheapest(fact, d_st, rank_strategy=strategy), f"{out}/rpt_stations_moins_cheres")
     M.write_mart(regional(fact, d_rg, cfg.as_of), f"{out}/rpt_prix_moyen_region")

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MONTH_COL = "mois_prix"  # fact partition column: first day of the month (DATE)
+
+
 def write_mart(df: DataFrame, path: str) -> None:
     """SRC11: full rebuild of a mart table."""
     df.write.mode("overwrite").parquet(path)
@@ -24,10 +27,10 @@ def write_fact(df: DataFrame, path: str, day: str = "date_prix", product: str =
     """SRC12: clustered fact: month directories, range-partitioned and sorted by
     (day, product) inside. Date filters prune directories, then row groups."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.withColumn("mois_prix", F.date_format(F.col(day), "yyyy-MM"))
+    laid = (df.withColumn(MONTH_COL, F.trunc(F.col(day), "month"))
               .repartitionByRange(n, F.col(day), F.col(product))
               .sortWithinPartitions(day, product))
-    laid.write.mode("overwrite").partitionBy("mois_prix").parquet(path)
+    laid.write.mode("overwrite").partitionBy(MONTH_COL).parquet(path)
 
 
 def read_mart(spark: SparkSession, path: str, lower: bool = True) -> DataFrame:

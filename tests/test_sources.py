@@ -67,9 +67,11 @@ def test_fact_layout_and_pruning(spark, tmp_dir):
     df = spark.createDataFrame(rows, "station_id string, carburant_nom string, date_prix date, prix_euros double")
     path = os.path.join(tmp_dir, "fact")
     M.write_fact(df, path)
-    back = spark.read.parquet(path).filter(F.col("date_prix") >= F.lit("2024-03-01").cast("date"))
+    from stationlens.operators.reports import slice_since
+    back = slice_since(spark.read.parquet(path), "date_prix", "2024-03-10", 9)
     plan = back._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "PushedFilters" in plan
+    assert "PartitionFilters: [isnotnull(mois_prix" in plan, plan
+    assert "PushedFilters: [IsNotNull(date_prix), GreaterThanOrEqual(date_prix" in plan, plan
     assert back.count() == sum(1 for r in rows if r[2] >= dt.date(2024, 3, 1))
 
 
