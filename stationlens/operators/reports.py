@@ -67,10 +67,14 @@ def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: i
     stored, month-partitioned fact)."""
     last = latest_day if latest_day is not None else fact.select(F.max(day)).scalar()
     latest = fact.filter(F.col(day) == last)
+    if PARTITION_MONTH in fact.columns:  # stored fact: read one month directory only
+        latest = latest.filter(F.col(PARTITION_MONTH) == F.trunc(last, "month"))
     order = [F.col(value).asc_nulls_last(), F.col(entity).asc_nulls_last(),
              *[F.col(t).asc_nulls_last() for t in tiebreak]]
-    ranked = row_numbers(latest, [group, product], order, "position_regionale_top10", rank_strategy)
-    ranked = row_numbers(ranked, [product], order, "position_nationale_top100", rank_strategy)
+    # National rank first: its (product) exchange also clusters (group, product), so
+    # both windows share one shuffle.
+    ranked = row_numbers(latest, [product], order, "position_nationale_top100", rank_strategy)
+    ranked = row_numbers(ranked, [group, product], order, "position_regionale_top10", rank_strategy)
     top = ranked.filter((F.col("position_regionale_top10") <= k_group)
                         | (F.col("position_nationale_top100") <= k_all))
     cols = [c for c in CHEAPEST_ENTITY_COLUMNS if c in dim_entity.columns]

@@ -93,7 +93,11 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     M.write_fact(fact, f"{out}/fct_prix_carburants")
     fact = M.read_mart(spark, f"{out}/fct_prix_carburants")  # keeps mois_prix for pruning
 
-    M.write_mart(cheapest(fact, d_st, rank_strategy=strategy), f"{out}/rpt_stations_moins_cheres")
+    # Latest day from the checkpointed series (one scalar), so the report prunes the
+    # stored fact to that day's month directory instead of scanning its date column.
+    last_day = series.agg(F.max("date_prix")).first()[0]
+    M.write_mart(cheapest(fact, d_st, rank_strategy=strategy, latest_day=F.lit(last_day)),
+                 f"{out}/rpt_stations_moins_cheres")
     M.write_mart(regional(fact, d_rg, cfg.as_of), f"{out}/rpt_prix_moyen_region")
     M.write_mart(weekly(fact, cfg.as_of, fuel.WEEKLY_PIVOT_REGIONS, compat=cfg.weekly_compat, dim_date=d_dt),
                  f"{out}/rpt_evolution_prix_hebdo")
