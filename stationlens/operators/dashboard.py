@@ -43,6 +43,8 @@ def search_stations(fact: DataFrame, dim_entity: DataFrame, product: str, city:
     f = fact.filter(F.col("carburant_nom") == F.lit(product))
     latest = latest_day if latest_day is not None else f.select(F.max("date_prix")).scalar()
     f = f.filter(F.col("date_prix") == latest)
+    if "mois_prix" in fact.columns:  # stored fact: one month directory
+        f = f.filter(F.col("mois_prix") == F.trunc(latest, "month"))
     s = dim_entity.select(F.col("station_id").alias("_sid"), "ville", "adresse", "code_postal",
                           F.col("code_departement").alias("_dept"), F.col("region").alias("_reg"),
                           F.col("type_station").alias("_type"), "is_automate_24_24", "latitude", "longitude")
