@@ -8,7 +8,9 @@ Fault tolerance and lineage:
   tables, and later stages do not re-run the enrichment aggregates;
 * marts are written with the standard commit protocol (a failed task is retried, a
   failed job leaves the previous output committed);
-* the history is appended as a new version next to the one it was read from.
+* the history is appended as a new version next to the one it was read from;
+* staged prices (the only large staging model, read by five consumers) are written
+  once as a Parquet table instead of being re-derived from raw strings per consumer.
 
 Scale choices are made from cheap facts, not guesses: the rank strategy switches to
 the skew-safe range form when one (product, day) partition could exceed
@@ -67,7 +69,11 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     raw_ru = read_raw(spark, f"{cfg.raw_base}/raw_ruptures")
 
     stations = fuel.clean_stations(raw_st)
-    prices = fuel.clean_prices(raw_px)
+    # Staged prices feed five consumers (station summary, series, product dimension,
+    # history, checks). Written once as a Parquet table so the raw strings are parsed
+    # once and every consumer reads only the typed columns it needs.
+    M.write_mart(fuel.clean_prices(raw_px), f"{cfg.out_base}/stg_prix")
+    prices = M.read_mart(spark, f"{cfg.out_base}/stg_prix")
     services = fuel.station_services(raw_st)
     hours = fuel.opening_hours(raw_st)
     short = fuel.shortages(raw_ru)
