@@ -102,6 +102,10 @@ def price_fact(series: DataFrame, dim_entity: DataFrame, dim_product: DataFrame,
     reference behaviour); ``'name'`` joins on the normalised product name instead.
     """
     p = series.alias("p")
+    # When the series already carries the entity key (price_series(entity_key=...),
+    # from the same entity rows the dimension is built from), the entity join -- the
+    # only one with a data-sized dimension -- is skipped: no shuffle of the series.
+    key_in_series = "station_key" in series.columns
     ds = dim_entity.select("station_key", F.col("station_id").alias("_sid"))
     if product_key == "name":
         dc = dim_product.select("carburant_key", F.upper(F.trim("carburant_nom")).alias("_pid"))
@@ -111,13 +115,14 @@ def price_fact(series: DataFrame, dim_entity: DataFrame, dim_product: DataFrame,
         pk = F.col("p.carburant_id")
     dd = F.broadcast(dim_date.select("date_key", F.col("date_day").alias("_day")))
     dr = dim_region.select("region_key", F.col("region_nom").alias("_reg"))
-    j = (p.join(ds, F.col("p.station_id") == ds["_sid"], "left")
-         .join(dc, pk == dc["_pid"], "left")
+    j = p if key_in_series else p.join(ds, F.col("p.station_id") == ds["_sid"], "left")
+    j = (j.join(dc, pk == dc["_pid"], "left")
          .join(dd, F.col("p.date_prix") == dd["_day"], "left")
          .join(dr, F.col("p.region") == dr["_reg"], "left"))
     return j.select(
         surrogate_key("p.station_id", "p.carburant_nom", "p.date_prix").alias("prix_key"),
-        "station_key", "carburant_key", "date_key", "region_key",
+        F.col("p.station_key" if key_in_series else "station_key").alias("station_key"),
+        "carburant_key", "date_key", "region_key",
         "p.station_id", "p.carburant_nom", "p.carburant_id", "p.date_prix",
         "p.code_departement", "p.region", "p.type_station",
         *[F.col(f"p.{m}") for m in FACT_MEASURES],

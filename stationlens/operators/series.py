@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlens.functions.labels import pct_variation
+from stationlens.functions.labels import pct_variation, surrogate_key
 
 
 def valid_observations(df: DataFrame, invalid: str = "is_prix_invalide",
@@ -111,19 +111,23 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
                  day: str = "date_prix", ts: str = "date_maj", value: str = "prix_euros",
                  attributes: Sequence[str] = ("code_departement", "region", "type_station"),
                  rank_groups: Mapping[str, Sequence[str]] | None = None,
-                 rank_strategy: str = "window", calendar_exact: bool = False) -> DataFrame:
+                 rank_strategy: str = "window", calendar_exact: bool = False,
+                 entity_key: str | None = None) -> DataFrame:
     """MOD7: valid rows -> daily last value -> entity attributes -> lags/variations -> ranks.
 
     Windows: lags partition by (entity, product) (one series, at most one row per day
     and id); ranks partition by (product, day) and finer groups -- all rank windows
     share one exchange. ``rank_strategy='range'`` switches ranks to the skew-safe
-    range-partitioned form (see operators.ranking).
+    range-partitioned form (see operators.ranking). ``entity_key`` carries the entity
+    dimension's surrogate key from the attribute join (NULL for unknown entities), so
+    the fact needs no second join with the entity dimension.
     """
     from stationlens.operators.ranking import add_ranks
 
     daily = daily_last(valid_observations(prices, day=day), entity, product, day, ts, value,
                        ids=[product_id] if product_id else ())
-    attrs = entities.select(entity, *attributes)
+    key_col = [surrogate_key(entity).alias(entity_key)] if entity_key else []
+    attrs = entities.select(entity, *attributes, *key_col)
     with_attrs = daily.join(attrs, entity, "left")
     tiebreak = [product_id] if product_id else []
     varied = add_variations(with_attrs, entity, product, day, value, tiebreak=tiebreak,
@@ -136,7 +140,8 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
     for prev, (a, p) in VARIATION_NAMES.items():
         lag_cols += [prev, a, p]
     return ranked.select(entity, product, product_id, *attributes, day, value, last_ts_name(),
-                         "nb_updates_jour", *lag_cols, *groups.keys(), "percentile_national")
+                         "nb_updates_jour", *lag_cols, *groups.keys(), "percentile_national",
+                         *([entity_key] if entity_key else []))
 
 
 def last_ts_name() -> str:

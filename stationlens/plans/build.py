@@ -81,7 +81,7 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     enriched = enrich(stations, services, hours, prices, short, cfg.as_of, fuel.region_of).checkpoint()
     n_entities = enriched.count()  # reads the checkpoint: cheap
     strategy = rank_strategy_for(n_entities, cfg.max_window_rows)
-    series = price_series(prices, enriched, rank_strategy=strategy).checkpoint()
+    series = price_series(prices, enriched, rank_strategy=strategy, entity_key="station_key").checkpoint()
 
     seed = (spark.read.csv(cfg.seed_path, header=True, schema=fuel.PRODUCT_SEED_SCHEMA)
             if cfg.seed_path else fuel.product_seed(spark))

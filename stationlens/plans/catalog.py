@@ -132,8 +132,10 @@ class EventsBuild:
 
     def fact(self, rank_strategy: str = "window") -> DataFrame:
         from stationlens.operators.dims import price_fact
-        return price_fact(self.series(rank_strategy), self.dim_stations, self.dim_products,
-                          self.dim_date, self.dim_regions)
+        from stationlens.operators.series import price_series
+        p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
+        series = price_series(p, self.enriched, rank_strategy=rank_strategy, entity_key="station_key")
+        return price_fact(series, self.dim_stations, self.dim_products, self.dim_date, self.dim_regions)
 
 
 def li_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
