@@ -24,7 +24,8 @@ def valid_observations(df: DataFrame, invalid: str = "is_prix_invalide",
 
 def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, value: str,
                ids: Sequence[str] = (), last_ts: str = "derniere_maj",
-               n_updates: str = "nb_updates_jour") -> DataFrame:
+               n_updates: str = "nb_updates_jour",
+               cluster_by: Sequence[str] | None = None) -> DataFrame:
     """AGG21: last value of the day per (entity, product, day).
 
     * last = value at the latest ``ts``; equal timestamps resolve to the larger value
@@ -40,6 +41,10 @@ def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, valu
     key to one row. (A struct ordering or collect_set in one aggregate would force
     Spark's sort-based aggregation on every row.) With ids, the per-id rows of one
     product/day -- a handful -- are combined by a window over (keys).
+
+    ``cluster_by`` (a subset of the keys, e.g. the entity) hash-partitions the
+    aggregated rows once so that this window and the caller's next joins/windows on
+    that subset need no further exchange.
     """
     keys = [entity, product, day]
     ids = list(ids)
@@ -48,6 +53,8 @@ def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, valu
         F.max_by(value, ts).alias(value), F.max(ts).alias(last_ts), F.sum("_n").alias(n_updates))
     if not ids:
         return per_id.select(*keys, value, last_ts, F.col(n_updates).cast("long").alias(n_updates))
+    if cluster_by:
+        per_id = per_id.repartition(*cluster_by)
     w = Window.partitionBy(*keys)
     return per_id.select(
         *keys, *ids,
@@ -98,7 +105,8 @@ def add_variations(df: DataFrame, entity: str, product: str, day: str, value: st
     if calendar_exact:
         out = add_calendar_lags(df, [entity, product], day, value, lags)
     else:
-        out = add_lags(df, [entity, product], [F.col(day).asc_nulls_last(), *tiebreak], value, lags)
+        ties = [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tiebreak]
+        out = add_lags(df, [entity, product], [F.col(day).asc_nulls_last(), *ties], value, lags)
     extra = []
     for prev in lags.values():
         a, p = names[prev]
@@ -125,7 +133,7 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
     from stationlens.operators.ranking import add_ranks
 
     daily = daily_last(valid_observations(prices, day=day), entity, product, day, ts, value,
-                       ids=[product_id] if product_id else ())
+                       ids=[product_id] if product_id else (), cluster_by=[entity])
     key_col = [surrogate_key(entity).alias(entity_key)] if entity_key else []
     attrs = entities.select(entity, *attributes, *key_col)
     with_attrs = daily.join(attrs, entity, "left")
