@@ -62,7 +62,9 @@ class EventsBuild:
 
     @cached_property
     def raw_stations(self) -> DataFrame:
-        return A.raw_stations(self.spark, self.sf_dir)
+        # One exchange by station id, shared (exchange reuse) by the three station-side
+        # models and their per-station aggregates and joins.
+        return A.raw_stations(self.spark, self.sf_dir).repartition("station_id")
 
     @cached_property
     def prices(self) -> DataFrame:
