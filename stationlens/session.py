@@ -65,8 +65,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the platform (a shared filesystem every
-    executor and the driver see). Only when it is unset -- local tests -- a fresh
-    scratch folder is created and registered.
+    executor and the driver see); an unset value is an error there. Only in local
+    mode (tests) is a fresh scratch folder created and registered when it is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
@@ -75,6 +75,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared "
+                           "folder every executor can reach; a machine-local folder is not used")
     local = tempfile.mkdtemp(prefix="stationlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
