@@ -29,3 +29,19 @@ def test_full_build(spark, tmp_dir):
     assert M.latest_version(spark, f"{out}/snap_prix") == 1
     h = M.read_history(spark, f"{out}/snap_prix")
     assert h.filter("valid_to IS NULL").count() == 2
+
+
+def test_cli_ingest_build_query(spark, tmp_dir, capsys):
+    from stationlens.__main__ import QUERIES, main, run_query
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "marts")
+    assert main(["ingest", "--feed", _feed_file(tmp_dir), "--raw", raw, "--as-of", "2024-01-01T12:00:00"], spark) == 0
+    assert main(["build", "--raw", raw, "--out", out, "--as-of", "2024-01-01T13:00:00"], spark) == 0
+    for name in QUERIES:
+        df = run_query(spark, out, name, product="GAZOLE", city="paris", department="75")
+        df.collect()
+    got = run_query(spark, out, "search", product="GAZOLE", city="paris").collect()
+    assert [r["station_id"] for r in got] == ["1001"]
+    kp = run_query(spark, out, "kpis", product="SP95", department="75").first()
+    assert kp["nb_stations"] == 1 and float(kp["prix_min"]) == 1.899
+    assert main(["query", "--out", out, "cheapest", "--product", "SP95"], spark) == 0
+    assert "1001" in capsys.readouterr().out
