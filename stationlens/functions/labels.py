@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from stationlens.functions.cleaning import ColumnOrName, _c
 
+# Fixed value: the marker that stands for NULL inside surrogate keys (identical keys
+# require the same marker).
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 
 

@@ -231,9 +231,7 @@ def q_daily_series(spark, d):
 # Dimensions, fact, calendar (MOD8-12)
 # ---------------------------------------------------------------------------
 
-@register("station_dim", O.sql("SELECT * REPLACE (CAST(NULL AS VARCHAR) AS services_categories) "
-                               "FROM dim_stations", "dim_stations") if False else
-          O.sql("SELECT * FROM dim_stations", "dim_stations"))
+@register("station_dim", O.sql("SELECT * FROM dim_stations", "dim_stations"))
 def q_station_dim(spark, d):
     """MOD8: PRJ37 surrogate key over the enriched entities."""
     return neutral(EventsBuild(spark, d).dim_stations)
