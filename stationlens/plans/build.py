@@ -64,9 +64,9 @@ def rank_strategy_for(entity_count: int, max_window_rows: int) -> str:
 def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     configure(spark)
     checkpoint_dir(spark)
-    # Stations, services and hours all derive from this table: partition it by station
-    # once, and every per-station aggregate and join reuses that partitioning.
-    raw_st = read_raw(spark, f"{cfg.raw_base}/raw_stations").repartition("station_id")
+    # Station-side models are small at any scale: their joins are left to AQE (measured
+    # broadcasts), not pinned to a shared hash partitioning.
+    raw_st = read_raw(spark, f"{cfg.raw_base}/raw_stations")
     raw_px = read_raw(spark, f"{cfg.raw_base}/raw_prix")
     raw_ru = read_raw(spark, f"{cfg.raw_base}/raw_ruptures")
 
