@@ -44,3 +44,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sr == dr
     rel = duck.sql(f"SELECT * FROM ({entry.oracle_sql()[name]}) LIMIT 0")
     assert type_mismatches(df.schema, rel.columns, rel.types) == {}
+
+
+ALLOWED_NESTED_LOOP = {"dq_freshness"}  # cross join of two one-row aggregates (JOI9)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_has_no_python_udf_or_cartesian(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
+        assert bad not in plan, (name, bad)
+    if name not in ALLOWED_NESTED_LOOP:
+        assert "BroadcastNestedLoopJoin" not in plan, name
