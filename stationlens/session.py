@@ -68,7 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     executor and the driver see); an unset value is an error there. Only in local
     mode (tests) is a fresh scratch folder created and registered when it is unset.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("spark.checkpoint.dir is not set on the Spark Connect server")
+        return conf
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) \
         or sc.getConf().get("spark.checkpoint.dir", None)
     if current:

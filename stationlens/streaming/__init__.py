@@ -1,0 +1 @@
+"""Structured Streaming: incremental price-history refresh (snapshots)."""
