@@ -136,7 +136,7 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
            compat: bool = False, dim_date: DataFrame | None = None, group: str = "region",
            entity: str = "station_id", product: str = "carburant_nom", value: str = "prix_euros",
            day: str = "date_prix", lags: Mapping[int, str] | None = None,
-           median: str = "exact") -> DataFrame:
+           median: str = "exact", history_weeks: int | None = None) -> DataFrame:
     """MOD15: weekly national statistics, week-over-week / 4-week / 52-week variations,
     trend label and a per-region pivot with its spread.
 
@@ -145,12 +145,17 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
     ``median='approx'`` uses ``percentile_approx`` (fixed-size sketch) for value
     domains without such a bound.
 
+    ``history_weeks`` (S15): aggregate and lag over that many weeks, then show only the
+    last ``weeks`` -- so the 4- and 52-week comparisons can be filled. By default the
+    lags see only the displayed slice, as in the reference (52-week values are NULL).
+
     Default groups by ISO week start (year = ISO year), so a week straddling New Year
     is one row. ``compat=True`` reproduces the reference: group by calendar year + ISO
     week through the calendar dimension (inner join), pivot joined on week start only.
     """
     lags = lags or {1: "prix_semaine_precedente", 4: "prix_mois_precedent", 52: "prix_annee_precedente"}
-    f = slice_since(fact, day, as_of, 7 * weeks)
+    span = max(weeks, history_weeks or weeks)
+    f = slice_since(fact, day, as_of, 7 * span)
     if compat:
         if dim_date is None:
             raise ValueError("compat=True needs the calendar dimension")
@@ -194,6 +199,8 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
                 F.round(F.try_divide(m - p, F.nullif(p, F.lit(0))) * 100, 2).alias(pct_name)]
 
     wow = F.try_divide(m - F.col(prev[0]), F.nullif(F.col(prev[0]), F.lit(0))) * 100
+    if span > weeks:  # display only the last `weeks` after the lags have seen the history
+        j = j.filter(F.col("debut_semaine") >= F.date_sub(date_literal(as_of), 7 * weeks))
     return j.select(
         "annee", "semaine", "debut_semaine", "fin_semaine", product,
         F.round(m, 3).alias("prix_moyen_national"), F.round("_min", 3).alias("prix_min_national"),

@@ -48,3 +48,16 @@ def test_cheapest_or_filter_keeps_full_ranks(spark):
     assert b == list(range(151, 161))
     plan_rows = cheapest(_fact(spark, rows), ent, rank_strategy="range").count()
     assert plan_rows == 110
+
+
+def test_weekly_history_weeks_fills_year_over_year(spark):
+    start = dt.date(2023, 1, 2)  # a Monday
+    rows = [("s1", "GAZOLE", "A", start + dt.timedelta(weeks=w), 1.0 + w / 100) for w in range(60)]
+    fact = _fact(spark, rows)
+    as_of = start + dt.timedelta(weeks=60)
+    plain = weekly(fact, as_of, PIVOT, weeks=4).collect()
+    assert len(plain) == 4 and all(r["prix_annee_precedente"] is None for r in plain)
+    longer = weekly(fact, as_of, PIVOT, weeks=4, history_weeks=60).collect()
+    assert len(longer) == 4 and all(r["prix_annee_precedente"] is not None for r in longer)
+    last = max(longer, key=lambda r: r["debut_semaine"])
+    assert last["prix_annee_precedente"] == round(1.0 + 7 / 100, 3)  # week 59 vs week 7
