@@ -253,7 +253,7 @@ def q_region_dim(spark, d):
 def q_calendar(spark, d):
     """MOD11: GEN3 spine + PRJ34-36 over the line items' ship-date range."""
     from stationlens.operators.explode import calendar_span
-    return calendar_span(spark.read.parquet(f"{d}/lineitem.parquet"), "l_shipdate")
+    return calendar_span(A.read_table(spark, d, "lineitem"), "l_shipdate")
 
 
 @register("price_fact", O.sql("SELECT * FROM fact", "fact"))

@@ -144,7 +144,7 @@ FROM (SELECT *, lag(band) OVER (PARTITION BY user_id, event_type ORDER BY ts, ba
 WHERE rn = 1 OR pb IS DISTINCT FROM band"""))
 def q_scd_rebuild(spark, d):
     """SCD4: versions rebuilt from the full observation history (change rows only)."""
-    ev = spark.read.parquet(f"{d}/events.parquet").select(
+    ev = A.read_table(spark, d, "events").select(
         "user_id", "event_type", "ts", F.floor(F.col("value") / 100).cast("bigint").alias("band"))
     return H.scd2_rebuild(ev, ["user_id", "event_type"], "ts", ["band"])
 
@@ -158,7 +158,7 @@ SELECT o_custkey, count(*) AS n_records FROM orders WHERE o_custkey IS NOT NULL
 GROUP BY o_custkey HAVING count(*) > 1"""))
 def q_dq_unique(spark, d):
     """DQ1: unique."""
-    return Q.unique(spark.read.parquet(f"{d}/orders.parquet"), ["o_custkey"])
+    return Q.unique(A.read_table(spark, d, "orders"), ["o_custkey"])
 
 
 @register("dq_not_null", sql("SELECT station_id, latitude FROM enriched WHERE latitude IS NULL", "enriched"))
@@ -235,7 +235,7 @@ def q_dq_orphans(spark, d):
 
 def run_log(spark, d):
     """Run-log adapter: each order is an ingestion run (status from the order status)."""
-    o = spark.read.parquet(f"{d}/orders.parquet")
+    o = A.read_table(spark, d, "orders")
     return o.select(F.col("o_orderkey").cast("string").alias("ingestion_id"),
                     F.col("o_orderdate").alias("started_at"),
                     (F.col("o_orderdate") + F.expr("INTERVAL 1 HOURS")).alias("completed_at"),
@@ -398,7 +398,7 @@ def _round_monitor(df, metric):
     "metric", "row_count")))
 def q_volume(spark, d):
     """OBS1: daily volume z-score against the 14 previous days (gaps = 0)."""
-    ev = spark.read.parquet(f"{d}/events.parquet")
+    ev = A.read_table(spark, d, "events")
     return _round_monitor(volume_anomalies(ev, "ts", sensitivity=3.0, table="events"), "row_count")
 
 
@@ -406,7 +406,7 @@ def q_volume(spark, d):
     "metric", "staleness_seconds")))
 def q_freshness(spark, d):
     """OBS2: staleness at each 6-hour bucket end, z-score against 14 previous buckets."""
-    ev = spark.read.parquet(f"{d}/events.parquet")
+    ev = A.read_table(spark, d, "events")
     return _round_monitor(freshness_anomalies(ev, "ts", sensitivity=3.0, table="events"), "staleness_seconds")
 
 
@@ -522,7 +522,7 @@ _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineit
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _TABLES)))
 def q_qry_tables(spark, d):
     """QRY11 / SRC14: row counts per table."""
-    return D.table_counts(spark, {t: spark.read.parquet(f"{d}/{t}.parquet") for t in _TABLES})
+    return D.table_counts(spark, {t: A.read_table(spark, d, t) for t in _TABLES})
 
 
 # ---------------------------------------------------------------------------
