@@ -39,7 +39,7 @@ from stationlens.functions.labels import surrogate_key
 from stationlens.plans import fuel
 from stationlens.session import checkpoint_dir, configure
 from stationlens.sources import marts as M
-from stationlens.sources.raw import read_raw
+from stationlens.sources.raw import RAW_PRICES, RAW_SHORTAGES, RAW_STATIONS, read_raw
 
 # Monitored tables (OBS3) -> (timestamp column, sensitivity).
 MONITORED_TABLES = {"dim_stations": ("loaded_at", 2.0), "fct_prix_carburants": ("derniere_maj", 3.0)}
@@ -66,9 +66,9 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     checkpoint_dir(spark)
     # Station-side models are small at any scale: their joins are left to AQE (measured
     # broadcasts), not pinned to a shared hash partitioning.
-    raw_st = read_raw(spark, f"{cfg.raw_base}/raw_stations")
-    raw_px = read_raw(spark, f"{cfg.raw_base}/raw_prix")
-    raw_ru = read_raw(spark, f"{cfg.raw_base}/raw_ruptures")
+    raw_st = read_raw(spark, f"{cfg.raw_base}/raw_stations", RAW_STATIONS)
+    raw_px = read_raw(spark, f"{cfg.raw_base}/raw_prix", RAW_PRICES)
+    raw_ru = read_raw(spark, f"{cfg.raw_base}/raw_ruptures", RAW_SHORTAGES)
 
     stations = fuel.clean_stations(raw_st)
     # Staged prices feed five consumers (station summary, series, product dimension,
