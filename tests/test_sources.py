@@ -94,3 +94,15 @@ def test_versioned_history_and_stream(spark, tmp_dir):
     rows = sorted((r["station_id"], float(r["prix_euros"]), r["valid_to"] is None) for r in h.collect())
     assert rows == [("s1", 1.7, False), ("s1", 1.75, True), ("s2", 1.8, True)]
     assert M.latest_version(spark, hist) == 1
+
+
+def test_stream_batch_replay_is_skipped(spark, tmp_dir):
+    from stationlens.streaming.snapshots import merge_batch
+    hist = os.path.join(tmp_dir, "hist_replay")
+    t = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([("s1", "GAZOLE", "1", "1.70", "2024-01-01 08:00:00", t)], R.RAW_PRICES)
+    run = merge_batch(hist)
+    run(batch, 0)
+    run(batch, 0)  # replay after a committed write: no second copy of version 0
+    assert spark.read.parquet(hist).count() == 1
+    assert M.latest_version(spark, hist) == 0
