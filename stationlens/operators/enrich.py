@@ -16,6 +16,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.labels import weighted_score
 
 
@@ -69,7 +70,7 @@ def prices_summary(prices: DataFrame, key: str = "station_id") -> DataFrame:
     return ok.groupBy(key).agg(
         F.count_distinct("carburant_nom").alias("nb_carburants_disponibles"),
         F.max("date_maj").alias("derniere_maj_prix"),
-        F.avg(F.col("prix_euros").cast("double")).alias("prix_moyen_tous_carburants"))
+        exact_avg("prix_euros").alias("prix_moyen_tous_carburants"))
 
 
 def shortages_summary(shortages: DataFrame, key: str = "station_id") -> DataFrame:
