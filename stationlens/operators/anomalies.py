@@ -93,7 +93,10 @@ def freshness_anomalies(df: DataFrame, ts: str, bucket: str = "6 hours", step_se
 def _trailing_z(df: DataFrame, metric: str, trailing: int, sensitivity: float) -> DataFrame:
     # One row per bucket: the window partition (table) holds #buckets rows, not #rows.
     w = Window.partitionBy("table_name").orderBy("bucket_start").rowsBetween(-trailing, -1)
-    mean, sd = F.avg(metric).over(w), F.stddev_samp(metric).over(w)
+    # Exact mean (metrics are counts or microsecond-resolution seconds): decimal sum / count.
+    mean = F.try_divide(F.sum(F.col(metric).cast("decimal(38,6)")).over(w).cast("double"),
+                        F.count(metric).over(w).cast("double"))
+    sd = F.stddev_samp(metric).over(w)
     z = F.try_divide(F.col(metric) - mean, F.nullif(sd, F.lit(0)))
     out = df.select("*", mean.alias("trailing_mean"), sd.alias("trailing_stddev"), z.alias("z_score"))
     return out.select("*", F.coalesce(F.abs("z_score") > sensitivity, F.lit(False)).alias("is_anomaly"))
