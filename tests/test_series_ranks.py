@@ -111,3 +111,16 @@ def test_top_k_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in plan
     assert sorted((r["g"], r["v"]) for r in out.collect()) == [
         ("g0", 0.0), ("g0", 3.0), ("g1", 1.0), ("g1", 4.0), ("g2", 2.0), ("g2", 5.0)]
+
+
+def test_daily_last_is_hash_aggregated_with_map_side_combine(spark):
+    rows = [("hot", "GAZOLE", "1", _ts(1, h % 24), float(h)) for h in range(300)] + \
+           [(f"s{i}", "SP95", "2", _ts(1, 8), 1.5) for i in range(50)]
+    df = spark.createDataFrame(rows, "station string, product string, pid string, ts timestamp_ntz, v double")
+    df = df.withColumn("day", F.to_date("ts"))
+    out = daily_last(df, "station", "product", "day", "ts", "v", ids=["pid"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert "partial_max_by" in plan  # second level folds each task's share before its shuffle
+    hot = [r for r in out.collect() if r["station"] == "hot"]
+    assert len(hot) == 1 and hot[0]["nb_updates_jour"] == 300 and hot[0]["v"] == 299.0
