@@ -2,6 +2,7 @@
 
   python -m stationlens ingest --feed FEED_DIR --raw RAW_DIR [--as-of TS]
   python -m stationlens build  --raw RAW_DIR --out MARTS_DIR [--as-of TS] [--seed CSV] [--weekly-compat]
+                               [--max-window-rows N]
   python -m stationlens query  --out MARTS_DIR NAME [--product P] [--region R] [--city C]
                                [--department D] [--n N]
 
@@ -72,6 +73,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p_b.add_argument("--as-of")
     p_b.add_argument("--seed")
     p_b.add_argument("--weekly-compat", action="store_true")
+    p_b.add_argument("--max-window-rows", type=int, default=5_000_000,
+                     help="entities above which ranks use the skew-safe range layout")
     p_q = sub.add_parser("query")
     p_q.add_argument("--out", required=True)
     p_q.add_argument("name", choices=QUERIES)
@@ -90,7 +93,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "build":
         from stationlens.plans.build import BuildConfig, build
         cfg = BuildConfig(raw_base=args.raw, out_base=args.out, as_of=_ts(args.as_of),
-                          seed_path=args.seed, weekly_compat=args.weekly_compat)
+                          seed_path=args.seed, weekly_compat=args.weekly_compat,
+                          max_window_rows=args.max_window_rows)
         print(json.dumps(build(spark, cfg)))
     else:
         df = run_query(spark, args.out, args.name, args.product, args.region, args.city, args.department, args.n)
