@@ -25,11 +25,16 @@ def write_mart(df: DataFrame, path: str) -> None:
 def write_fact(df: DataFrame, path: str, day: str = "date_prix", product: str = "carburant_nom",
                num_partitions: int | None = None) -> None:
     """SRC12: clustered fact: month directories, range-partitioned and sorted by
-    (day, product) inside. Date filters prune directories, then row groups."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.withColumn(MONTH_COL, F.trunc(F.col(day), "month"))
-              .repartitionByRange(n, F.col(day), F.col(product))
-              .sortWithinPartitions(day, product))
+    (day, product) inside. Date filters prune directories, then row groups.
+
+    Without ``num_partitions`` the range exchange is left to AQE, which coalesces it to
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` -- file sizes follow the data
+    instead of the shuffle-partition count (which, sized for the raw input, would
+    write thousands of tiny files per month)."""
+    with_month = df.withColumn(MONTH_COL, F.trunc(F.col(day), "month"))
+    ranged = (with_month.repartitionByRange(num_partitions, F.col(day), F.col(product)) if num_partitions
+              else with_month.repartitionByRange(F.col(day), F.col(product)))
+    laid = ranged.sortWithinPartitions(day, product)
     laid.write.mode("overwrite").partitionBy(MONTH_COL).parquet(path)
 
 
