@@ -90,19 +90,39 @@ def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[st
     return out
 
 
+def range_running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
+                      value: str, out: str, num_partitions: int | None = None) -> DataFrame:
+    """Skew-safe exclusive running sum of ``value`` within ``partition`` by ``order``
+    (sum over the rows strictly before each row). Same layout as
+    :func:`range_row_number`: a window per (task, key) slice plus per-slice offsets."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = _range_layout(df, partition, order, n)
+    w = Window.partitionBy("_pid", *partition).orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
+    local = laid.select("*", F.coalesce(F.sum(value).over(w), F.lit(0)).alias("_local"))
+    spans = laid.groupBy("_pid", *partition).agg(F.sum(value).alias("_tot"))
+    before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    keys = ["_pid", *partition]
+    spans = spans.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
+                         F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_offset"))
+    joined = local.join(spans, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)], "inner")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns],
+                         (F.col("_offset") + F.col("_local")).alias(out))
+
+
 def range_percent_rank(df: DataFrame, base: Sequence[str], value: str, out: str) -> DataFrame:
     """percent_rank = (rank - 1) / (n - 1), rank = 1 + #rows with a smaller value.
 
     Built from pre-aggregated counts: a (key, value) histogram (partial aggregation
-    folds hot keys) and its running sum, joined back on (key, value)."""
+    folds hot keys), its running count from the skew-safe range layout (so a key with
+    very many distinct values is still spread over tasks), and the per-key total --
+    joined back on (key, value)."""
     hist = df.groupBy(*base, value).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*base).orderBy(F.col(value).asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    tot = Window.partitionBy(*base)
+    below = range_running_sum(hist, base, [F.col(value).asc_nulls_last()], "_c", "_below")
+    totals = hist.groupBy(*base).agg(F.sum("_c").alias("_n"))
+    hist = below.join(totals, [below[b].eqNullSafe(totals[b]) for b in base], "inner").select(
+        *[below[b] for b in base], below[value], "_below", "_n")
     keys = [*base, value]
-    hist = hist.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
-                       F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_below"),
-                       F.sum("_c").over(tot).alias("_n"))
+    hist = hist.select(*[F.col(f"`{k}`").alias(f"_h{i}") for i, k in enumerate(keys)], "_below", "_n")
     joined = df.join(hist, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)], "inner")
     pr = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
         F.col("_below").cast("double") / (F.col("_n") - 1).cast("double"))
