@@ -16,11 +16,14 @@ from pyspark.sql import SparkSession
 #  * UTC: wall-clock timestamps round-trip through LTZ parsing unchanged.
 #  * AQE: runtime broadcast conversion (checked by actual shuffle size), partition
 #    coalescing and skew-join splitting.
-RUNTIME_CONF = {
-    # Python call-site capture for every Column (error context) costs more than the
-    # query plans themselves on deep pipelines; read once per process, so it also
-    # goes into the builder below.
+# Static confs: only settable when the session is built (``get_spark``). Python
+# call-site capture for every Column (error context) costs more than the query plans
+# themselves on deep pipelines.
+STATIC_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
+RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,9 +33,14 @@ RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime confs to any session (the driver's, a notebook's). A conf the
+    session does not allow to change at runtime is left as it is."""
     for key, value in RUNTIME_CONF.items():
-        if spark.conf.get(key, None) != value:
-            spark.conf.set(key, value)
+        try:
+            if spark.conf.get(key, None) != value:
+                spark.conf.set(key, value)
+        except Exception:  # static or locked conf: keep the session's value
+            pass
     return spark
 
 
@@ -54,7 +62,7 @@ def get_spark(app: str = "stationlens", master: str | None = None,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in RUNTIME_CONF.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

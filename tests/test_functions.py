@@ -67,3 +67,14 @@ def test_calendar_attributes(spark):
     assert a["fin_trimestre"] == dt.date(2024, 12, 31) and a["mois_nom_fr"] == "Décembre"
     assert b["is_jour_ferie"] and not b["is_weekend"] and b["jour_nom_en"] == "Mon"
     assert CAL.iso_year(F.lit("2024-12-30").cast("date")) is not None
+
+
+def test_configure_tolerates_static_confs(spark, monkeypatch):
+    """configure() runs on sessions built elsewhere (the driver's): a conf that cannot be
+    changed at runtime must not make every query fail."""
+    from stationlens import session as S
+    conf = dict(S.RUNTIME_CONF)
+    conf["spark.sql.warehouse.dir"] = "/nonexistent/other-warehouse"  # static conf
+    monkeypatch.setattr(S, "RUNTIME_CONF", conf)
+    assert S.configure(spark) is spark
+    assert "spark.python.sql.dataFrameDebugging.enabled" not in S.RUNTIME_CONF
