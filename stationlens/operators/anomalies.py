@@ -84,7 +84,8 @@ def freshness_anomalies(df: DataFrame, ts: str, bucket: str = "6 hours", step_se
     w = Window.partitionBy(F.lit(table)).orderBy("bucket_start").rowsBetween(Window.unboundedPreceding, 0)
     end = F.col("bucket_start") + F.make_dt_interval(secs=F.lit(step_seconds))
     seen = F.max("_last").over(w)
-    staleness = (F.unix_micros(end.cast("timestamp")) - F.unix_micros(seen.cast("timestamp"))) / F.lit(1e6)
+    # Wall-clock (NTZ) difference: independent of the session time zone and of DST.
+    staleness = F.timestamp_diff("MICROSECOND", seen, end) / F.lit(1e6)
     out = filled.select(F.lit(table).alias("table_name"), "bucket_start",
                         staleness.cast("double").alias("staleness_seconds"))
     return _trailing_z(out, "staleness_seconds", trailing, sensitivity)

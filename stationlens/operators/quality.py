@@ -143,7 +143,7 @@ def source_freshness(tables: dict[str, DataFrame], as_of, warn_hours: int = 12,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    age_h = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / 3.6e9
+    age_h = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / 3.6e9  # zone-independent
     status = (F.when(F.col("max_loaded_at").isNull(), "error")
               .when(age_h > error_hours, "error").when(age_h > warn_hours, "warn").otherwise("pass"))
     return out.select("table_name", "max_loaded_at", F.round(age_h, 6).alias("age_hours"),
