@@ -78,3 +78,12 @@ def test_configure_tolerates_static_confs(spark, monkeypatch):
     monkeypatch.setattr(S, "RUNTIME_CONF", conf)
     assert S.configure(spark) is spark
     assert "spark.python.sql.dataFrameDebugging.enabled" not in S.RUNTIME_CONF
+
+
+def test_scale_conf_sizing():
+    from stationlens.session import scale_conf
+    big = scale_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    small = scale_conf(10 << 20, 64)  # tiny input: never fewer than 2x cores
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert small["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
