@@ -67,3 +67,16 @@ def read_history(spark: SparkSession, base: str) -> DataFrame | None:
 def write_history(df: DataFrame, base: str, version: int) -> None:
     """Append version ``version`` as a new partition; earlier versions stay readable."""
     df.withColumn(VERSION_COL, F.lit(version)).write.mode("append").partitionBy(VERSION_COL).parquet(base)
+
+
+def compact_history(spark: SparkSession, base: str, new_base: str, keep: int = 1) -> int | None:
+    """Retention without a table format: copy the last ``keep`` versions of the history at
+    ``base`` to ``new_base`` (which must not exist yet) and return the latest version.
+    Readers switch to ``new_base``; the old location can then be dropped by the storage
+    layer's own tools. Versions are partitions, so the copy reads only the kept ones."""
+    v = latest_version(spark, base)
+    if v is None:
+        return None
+    kept = spark.read.parquet(base).filter(F.col(VERSION_COL) > F.lit(v - keep))
+    kept.write.mode("errorifexists").partitionBy(VERSION_COL).parquet(new_base)
+    return v

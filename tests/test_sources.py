@@ -106,3 +106,13 @@ def test_stream_batch_replay_is_skipped(spark, tmp_dir):
     run(batch, 0)  # replay after a committed write: no second copy of version 0
     assert spark.read.parquet(hist).count() == 1
     assert M.latest_version(spark, hist) == 0
+
+
+def test_compact_history_keeps_last_versions(spark, tmp_dir):
+    base, new = os.path.join(tmp_dir, "h"), os.path.join(tmp_dir, "h2")
+    for v in range(3):
+        M.write_history(spark.createDataFrame([(f"k{v}", v)], "k string, x int"), base, v)
+    assert M.compact_history(spark, base, new, keep=2) == 2
+    versions = sorted(r[0] for r in spark.read.parquet(new).select(M.VERSION_COL).distinct().collect())
+    assert versions == [1, 2]
+    assert [r["k"] for r in M.read_history(spark, new).collect()] == ["k2"]
