@@ -20,3 +20,24 @@ def test_bench_json_contract():
     assert out["unit"] == "sec" and out["sf"] == 0.001
     assert set(out["queries"]) == {"clean_prices", "daily_series"}
     assert out["value"] > 0
+
+
+DRIVER_SCRIPT = r"""
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+import __spark_entry__ as E
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "8").getOrCreate()
+print("ENTRY_ROWS", E.entry(spark).count())
+for name in ("clean_prices", "price_anomalies", "dq_source_freshness", "freshness_anomalies"):
+    print("ROWS", name, E.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+
+
+def test_driver_style_session_runs_queries(tmp_path):
+    """A session built the driver's way (not by stationlens) must run the queries."""
+    script = tmp_path / "driver.py"
+    script.write_text(DRIVER_SCRIPT)
+    res = subprocess.run([sys.executable, str(script), ROOT], capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert "ENTRY_ROWS" in res.stdout and res.stdout.count("ROWS ") == 5
