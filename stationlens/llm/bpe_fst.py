@@ -30,7 +30,7 @@ from . import common as C
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pre-tokens and transitions remembered in a worker before it starts anew.
-REMEMBER, TRANSITIONS = 300_000, 200_000
+REMEMBER, TRANSITIONS = 200_000, 400_000
 #: Pre-tokens of a text encoded and decoded at a time.
 CHUNK = 50_000
 NONE = -1
@@ -253,17 +253,20 @@ class Codec:
         self.latin_words = re.compile(latin).findall
         codec = self
 
-        class Known(dict):  # pre-token -> ids joined by commas; ``data`` has the ids' bytes
+        class Known(dict):  # pre-token -> its ids, decimal, joined by commas
+            old: dict = {}
+
             def __missing__(self, word: str) -> str:
                 if len(self) > REMEMBER:
+                    self.old = dict(self)
                     self.clear()
-                    codec.data.clear()
-                ids = codec.fst.encode(word.encode("utf-8"))
-                row = self[word] = ",".join(map(str, ids))
-                codec.data[word] = codec.decode_bytes(ids)
+                row = self.old.get(word) or ",".join(map(str, codec.fst.encode(word.encode("utf-8"))))
+                if len(word) <= 64:
+                    self[word] = row
                 return row
 
-        self.known, self.data = Known(), {}
+        self.known = Known()
+        self.bytes_of = {str(i): t for i, t in self.fst.bytes_of.items()}
 
     def pieces(self, text: str) -> list[str]:
         return self.latin_words(text) if C.BEYOND_LATIN1.search(text) is None else self.any_words(text)
@@ -288,18 +291,14 @@ class Codec:
         pieces = self.pieces(text)
         for at in range(0, len(pieces), CHUNK):
             part = pieces[at : at + CHUNK]
-            ids = ",".join([self.known[p] for p in part])
-            data = b"".join([self.data.get(p) or self.forgotten(p) for p in part])
+            ids = ",".join(map(self.known.__getitem__, part))
             hashed.update(("," * bool(at) + ids).encode("ascii"))
-            n += ids.count(",") + 1
-            decoded.update(stream.feed(data).encode("utf-8"))
+            each = ids.split(",")
+            n += len(each)
+            decoded.update(stream.feed(b"".join(map(self.bytes_of.__getitem__, each))).encode("utf-8"))
         decoded.update(stream.end().encode("utf-8"))
         return n, hashed.hexdigest(), decoded.hexdigest()
 
-    def forgotten(self, piece: str) -> bytes:
-        """Bytes of a pre-token's ids that was dropped from memory while its chunk was read."""
-        return self.decode_bytes(self.fst.encode(piece.encode("utf-8")))
-
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: number of ids, digest of the ids, digest of the decoded bytes. One

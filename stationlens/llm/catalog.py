@@ -8,12 +8,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_fst, packing, token_count
+from . import bpe_fst, packing, quality, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.7)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("word_bpe_49k.json"), limit=2048)
@@ -24,6 +28,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fst.encode_documents(table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -31,7 +39,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_counts, op3_packing, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality, op2_token_counts, op3_packing, op8_toxicity, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

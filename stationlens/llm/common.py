@@ -21,6 +21,7 @@ import unicodedata
 import zipfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,12 +106,40 @@ LETTERS, NUMBERS = char_class("L"), char_class("N")
 BEYOND_LATIN1 = re.compile("[^\x00-\xff]")
 
 
-def train_fraction(n_rows: int, bound: int) -> float:
-    return 1.0 if n_rows <= bound else bound / n_rows
-
-
 def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
     """Rows whose hashed key falls below ``fraction``: the same rows in every run and retry."""
     if fraction >= 1.0:
         return df
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(fraction * (1 << 30)))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """(doc_id, text, label double) of about ``bound`` labelled rows that are not held out: a
+    hash sample of the ids, so a retry sees the same rows. Rows labelled several times take the
+    majority (ties: 0); null ids and labels take no part."""
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+             .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+             .agg((F.avg(F.col(label).cast("double")) > 0.5).cast("double").alias("label"))
+             .where(~held_out()))
+    n = known.count()
+    fraction = 1.0 if n <= bound else bound / n
+    return (hash_sample(texts(docs).where(F.col("doc_id").isNotNull() & ~held_out()), "doc_id", fraction)
+            .join(hash_sample(known, "doc_id", fraction), "doc_id"))
+
+
+def newton_logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 30) -> np.ndarray:
+    """Weights of a ridge-penalised logistic regression (mean loss), by Newton's method."""
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = sigmoid(x @ w)
+        g = x.T @ (p - y) / len(y) + ridge * w
+        h = (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(x.shape[1])
+        step = np.linalg.solve(h, g)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -60.0, 60.0)))
