@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_fst, packing, quality, token_count, toxicity
+from . import bpe_fst, fingerprint, packing, quality, secret_scan, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=0.3)
 
@@ -39,7 +47,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_token_counts, op3_packing, op8_toxicity, op9_byte_bpe)}
+    found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
+    return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
 
 
 def oracle_sql() -> dict[str, str]:
