@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_fst, fingerprint, line_dedup, packing, quality, secret_scan, token_count, toxicity
+from . import ann, bpe_fst, fingerprint, line_dedup, packing, quality, secret_scan, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_digests(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
 
