@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe_fst, fingerprint, line_dedup, packing, quality, secret_scan, token_count, toxicity
+from . import ann, bpe_fst, fingerprint, line_dedup, ngram_join, packing, quality, secret_scan, token_count, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), threshold=0.8, n=5)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
