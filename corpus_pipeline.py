@@ -12,18 +12,26 @@ import itertools
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stationlens.llm import line_dedup, ngram_join, packing, secret_scan, toxicity
 from stationlens.llm.common import table
 from stationlens.session import checkpoint_dir
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """The documents with ``n_chars`` of their present texts."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars").cast("long")))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), cut=0.3)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(docs, min_chars=40, min_docs=5)
+    return _measured(line_dedup.dedup(docs, min_chars=40, min_docs=5))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +39,7 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.redact_documents(docs)
+    return _measured(secret_scan.redact_documents(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

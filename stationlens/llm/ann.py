@@ -6,7 +6,8 @@ the part where most of its neighbours lie, under a size limit), and a small clas
 hidden layer, learns which parts a vector's neighbours lie in. Every row is indexed in the part that
 the classifier gives it; a query is sent to as many most probable parts as the sample needs for
 ``RECALL`` of its true neighbours there, and ranked exactly on the original vectors. Rows that
-score less than a query's k-th in the sample cannot be among its k nearest and are not sent on.
+score less than a query's k-th in the sample cannot be among its k nearest and are not sent on;
+the sample's own rows are candidates too, so every query finds k rows.
 
 The sample (at most ``MAX_SAMPLE`` rows) and the classifier are bounded; all rows are indexed and
 no part is capped: parts larger than ``BLOCK`` rows are dealt into blocks, and so are the queries,
@@ -141,15 +142,14 @@ class Router:
         return np.argsort(-score, axis=1, kind="stable")[:, :m]
 
 
-    def floor(self, q: np.ndarray, q_ids: np.ndarray, k: int) -> np.ndarray:
-        """What the k-th nearest row scores at least: the k-th score among the sample's rows."""
-        out = np.full(len(q), -np.inf)
-        for at in range(0, len(q), AT_ONCE):
-            s = q[at : at + AT_ONCE] @ self.sample.T
-            s[q_ids[at : at + AT_ONCE, None] == self.ids[None, :]] = -np.inf
-            if s.shape[1] >= k:
-                out[at : at + AT_ONCE] = np.partition(s, -k, axis=1)[:, -k]
-        return out - 1e-9 * np.maximum(np.abs(out), 1e-300)
+    def floor(self, q: np.ndarray, q_ids: np.ndarray, k: int) -> tuple:
+        """The queries' nearest among the sample's rows, as :func:`exact_top` gives them, and for
+        each query the k-th score there: its k-th nearest row scores that at least."""
+        qi, xi, score = exact_top(q, q_ids, self.sample, self.ids, k)
+        least = np.full(len(q), -np.inf)
+        last = np.flatnonzero(np.arange(len(qi)) - np.searchsorted(qi, qi) == k - 1)
+        least[qi[last]] = score[last]
+        return qi, self.ids[xi], score, least
 
 
 def learn(v: DataFrame, n: int, k: int) -> Router:
@@ -203,14 +203,23 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
 
         def run(cols: dict) -> dict:
             x = np.array(cols["embedding"], np.float64).reshape(len(cols["vec_id"]), -1)
-            least = r.floor(x, np.array(cols["vec_id"], np.int64), k) if asks else np.zeros(len(x))
+            least = r.floor(x, np.array(cols["vec_id"], np.int64), k)[3] if asks else np.zeros(len(x))
             return {"vec_id": cols["vec_id"], "embedding": cols["embedding"], "least": least,
                     "part": r.order(x, r.probes if asks else 1).tolist()}
         return run
 
+    def in_sample():
+        def run(cols: dict) -> dict:
+            ids = np.array(cols["vec_id"], np.int64)
+            qi, found, score, _ = router.value.floor(np.array(cols["embedding"], np.float64).reshape(len(ids), -1), ids, k)
+            return {"query_id": ids[qi], "vec_id": found, "score": score}
+        return run
+
     schema = "vec_id long, embedding array<double>, least double, part array<int>"
     rows = C.map_rows(v, schema, lambda: place(False), rows=4096).withColumn("part", F.col("part")[0])
-    asked = C.map_rows(v.where(F.col("vec_id") % every == 0), schema, lambda: place(True), rows=1024) \
+    queries = v.where(F.col("vec_id") % every == 0)
+    known = C.map_rows(queries, SCHEMA, in_sample, rows=1024)  # so each query has its k rows whatever its parts hold
+    asked = C.map_rows(queries, schema, lambda: place(True), rows=1024) \
         .withColumn("part", F.explode("part"))
 
     def sizes(df: DataFrame, block: int):
@@ -235,6 +244,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
         return pd.DataFrame({"query_id": q_ids[qi], "vec_id": ids[xi], "score": score})
 
     found = rows.groupBy("part", "b", "q").cogroup(asked.groupBy("part", "b", "q")).applyInPandas(rank, SCHEMA)
+    found = found.unionByName(known).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # probes x blocks x k rows
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

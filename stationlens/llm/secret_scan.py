@@ -6,7 +6,7 @@ kind. The method adds kind ``markov``: runs of 20 or more key characters that no
 and that look random. Two first-order character models are trained from labelled samples, the
 values that the patterns found (random strings) and the long words of the same documents
 (ordinary identifiers); a run is a secret if its mean log-likelihood ratio reaches the level
-that separates the samples.
+half-way between what the two models' own strings have.
 
 The models are sums of character-pair counts over all documents (a fixed-size table, summed in
 each task before the shuffle), so they need no sample and stay small; scanning is one more pass
@@ -42,7 +42,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 CODE = np.full(256, len(ALPHABET) - 1, np.int64)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 N = len(ALPHABET)
-MIN_SAMPLES = 20
+MIN_SAMPLES, LEAN = 20, 8.0
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -127,15 +127,19 @@ def train(docs: DataFrame) -> Models:
         count[r.model, r.pair], n[r.model] = r.k, r.n
     if min(n) < MIN_SAMPLES:
         return Models()
-    share = []
+    share, first = [], []
     for c in count:
-        c = c.reshape(N, N) + 0.5
-        share.append(c / c.sum(axis=1, keepdims=True))
+        c = c.reshape(N, N)
+        single = (c.sum(axis=0) + 0.5) / (c.sum() + 0.5 * N)  # pairs seen seldom lean on the character alone
+        share.append((c + LEAN * single) / (c.sum(axis=1, keepdims=True) + LEAN))
+        first.append((c.sum(axis=1) + 0.5) / (c.sum() + 0.5 * N))
     ratio = np.log(share[0] / share[1])
-    # the mean ratio that each model's own strings have, weighted by its pairs; half-way between
-    inner = [c.reshape(N, N)[: N - 1, : N - 1] for c in count]
-    means = [float((c * ratio[: N - 1, : N - 1]).sum() / max(c.sum(), 1)) for c in inner]
-    return Models(ratio.reshape(-1), max(means[1] + 0.6 * (means[0] - means[1]), 0.5))
+    inner = np.arange(N - 1)  # without the border
+    means = []
+    for p, q in zip(share, first):  # the mean ratio of strings that each model itself would write
+        w = (q[:, None] * p)[np.ix_(inner, inner)]
+        means.append(float((w * ratio[np.ix_(inner, inner)]).sum() / w.sum()))
+    return Models(ratio.reshape(-1), max((means[0] + means[1]) / 2, 0.0))
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:

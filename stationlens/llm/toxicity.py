@@ -37,7 +37,7 @@ from . import common as C
 TRAIN_ROWS, MAX_ENTRIES, MAX_EXCEPTIONS, STEMS = 20_000, 2_000, 2_000, (4, 5, 6, 7, 8)
 #: Terms of toxic documents that are counted in clean ones; documents that a candidate and an
 #: exception must at least occur in.
-MAX_CANDIDATES, MIN_TOXIC, MIN_CLEAN = 50_000, 5, 4
+MAX_CANDIDATES, MIN_TOXIC, MIN_CLEAN = 50_000, 4, 4
 
 # Letters of other scripts that look like a Latin one, and signs used for letters.
 HOMOGLYPHS = {
@@ -211,8 +211,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> Lexico
         return lambda folded: _terms(folded, cand)
 
     seen = {r.term: (r.once, r.twice) for r in _tally(good, counter).collect()}  # candidates only
-    # no chance word among some 200 terms a document gets to this ratio
-    need = math.log((toxic + clean) * 200.0) + 2.0
+    # no chance word among the terms that recur (some 10 for each document) gets to this ratio
+    need = math.log((toxic + clean) * 10.0)
     ranked = []
     for term, t in cand.items():
         c = seen.get(term, (0, 0))
