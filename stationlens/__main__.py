@@ -41,20 +41,20 @@ def run_query(spark: SparkSession, out: str, name: str, product: str = "GAZOLE",
     if name == "regional":
         return D.regional_latest(mart("rpt_prix_moyen_region"))
     if name == "products":
-        return D.products(mart("dim_carburants"))
+        return D.products(mart("dim_produits"))
     if name in ("search", "kpis"):
-        sel = D.search_stations(mart("fct_prix_carburants"), mart("dim_stations"), product, city, department)
-        return D.selection_kpis(sel) if name == "kpis" else sel
+        sel = D.search_selection(mart("fct_prix_produits"), mart("dim_stations"), product, city, department)
+        return D.selection_kpis(sel) if name == "kpis" else D.search_stations(sel)
     if name == "cities":
         return D.cities_top(mart("dim_stations"), department or "")
     if name == "distribution":
-        return D.product_distribution(mart("fct_prix_carburants"), mart("dim_stations"), department or "")
+        return D.product_distribution(mart("fct_prix_produits"), mart("dim_stations"), department or "")
     if name == "dates":
-        return D.product_date_range(mart("fct_prix_carburants"), mart("dim_stations"), department or "")
+        return D.product_date_range(mart("fct_prix_produits"), mart("dim_stations"), department or "")
     if name == "latest":
-        return D.latest_dates(mart("fct_prix_carburants"))
+        return D.latest_dates(mart("fct_prix_produits"))
     if name == "tables":
-        names = ("dim_stations", "dim_carburants", "dim_regions", "dim_date", "fct_prix_carburants",
+        names = ("dim_stations", "dim_produits", "dim_regions", "dim_date", "fct_prix_produits",
                  "rpt_stations_moins_cheres", "rpt_prix_moyen_region", "rpt_evolution_prix_hebdo")
         return D.table_counts(spark, {m: mart(m) for m in names})
     raise ValueError(f"unknown query {name!r}; one of {QUERIES}")
@@ -73,8 +73,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p_b.add_argument("--as-of")
     p_b.add_argument("--seed")
     p_b.add_argument("--weekly-compat", action="store_true")
-    p_b.add_argument("--max-window-rows", type=int, default=5_000_000,
-                     help="entities above which ranks use the skew-safe range layout")
     p_q = sub.add_parser("query")
     p_q.add_argument("--out", required=True)
     p_q.add_argument("name", choices=QUERIES)
@@ -93,8 +91,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "build":
         from stationlens.plans.build import BuildConfig, build
         cfg = BuildConfig(raw_base=args.raw, out_base=args.out, as_of=_ts(args.as_of),
-                          seed_path=args.seed, weekly_compat=args.weekly_compat,
-                          max_window_rows=args.max_window_rows)
+                          seed_path=args.seed, weekly_compat=args.weekly_compat)
         print(json.dumps(build(spark, cfg)))
     else:
         df = run_query(spark, args.out, args.name, args.product, args.region, args.city, args.department, args.n)

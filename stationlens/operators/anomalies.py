@@ -18,12 +18,13 @@ from stationlens.operators.reports import slice_since
 
 def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7,
                     z_warn: float = 2.0, z_crit: float = 3.0, jump_pct: float = 10.0,
-                    limit: int | None = 100, group: str = "region", entity: str = "station_id",
+                    group: str = "region", entity: str = "station_id",
                     product: str = "carburant_nom", value: str = "prix_euros",
                     day: str = "date_prix", change: str = "variation_jour_pct",
                     tiebreak: tuple[str, ...] = ("carburant_id",)) -> DataFrame:
     """OBS4: z-score of each price against its (group, product, day) mean over the last
-    ``days`` days, a large-daily-change rule, a severity label; most extreme first."""
+    ``days`` days, a large-daily-change rule, a severity label: all anomalies, in no order
+    (see :func:`top_anomalies`)."""
     f = slice_since(fact, day, as_of, days)
     keys = [group, product, day]
     stats = f.groupBy(*keys).agg(exact_avg(value).alias("regional_avg"),
@@ -37,18 +38,18 @@ def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7
     crit, warn, jump, normal = ANOMALY_LABELS
     status = (F.when(az > z_crit, F.lit(crit)).when(az > z_warn, F.lit(warn))
               .when(ach > jump_pct, F.lit(jump)).otherwise(F.lit(normal)))
-    out = sp.filter((az > z_warn) | (ach > jump_pct)).select(
+    return sp.filter((az > z_warn) | (ach > jump_pct)).select(
         entity, "ville", "adresse", group, product, day, value, "regional_avg",
         F.round("_z", 2).alias("z_score"), F.round(change, 2).alias(change),
         status.alias("anomaly_status"), *tiebreak)
-    # Ordered by the reported (rounded) score: ties then resolve on day and keys,
-    # independently of last-bit differences in the standard deviation.
-    ordered = out.orderBy(F.abs("z_score").desc_nulls_first(), F.col(day).desc_nulls_first(),
-                          F.col(entity).asc_nulls_last(), F.col(product).asc_nulls_last(),
-                          *[F.col(t).asc_nulls_last() for t in tiebreak])
-    if limit is not None:
-        ordered = ordered.limit(limit)
-    return ordered.drop(*tiebreak)
+
+
+def top_anomalies(anomalies: DataFrame, n: int = 100) -> DataFrame:
+    """SRT2: the ``n`` most extreme anomalies. Ordered by the reported (rounded) score: ties
+    resolve on day and keys, independently of last-bit differences in the deviation."""
+    return anomalies.orderBy(
+        F.abs("z_score").desc_nulls_first(), F.col("date_prix").desc_nulls_first(),
+        *[F.col(c).asc_nulls_last() for c in ("station_id", "carburant_nom", "carburant_id")]).limit(n)
 
 
 def _bucket_spine(df: DataFrame, bucket_col: str, step_seconds: int) -> DataFrame:

@@ -35,11 +35,10 @@ def products(dim_product: DataFrame, col: str = "carburant_nom") -> DataFrame:
     return dim_product.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
-def search_stations(fact: DataFrame, dim_entity: DataFrame, product: str, city: str | None = None,
-                    department: str | None = None, limit: int = 500,
-                    latest_day=None) -> DataFrame:
-    """QRY4: stations of a city (case-insensitive substring) and/or department, priced for
-    ``product`` on that product's latest day, cheapest first."""
+def search_selection(fact: DataFrame, dim_entity: DataFrame, product: str, city: str | None = None,
+                     department: str | None = None, latest_day=None) -> DataFrame:
+    """All stations of a city (case-insensitive substring) and/or department, priced for
+    ``product`` on that product's latest day: what the KPIs and the map read."""
     f = fact.filter(F.col("carburant_nom") == F.lit(product))
     latest = latest_day if latest_day is not None else f.select(F.max("date_prix")).scalar()
     f = f.filter(F.col("date_prix") == latest)
@@ -56,9 +55,14 @@ def search_stations(fact: DataFrame, dim_entity: DataFrame, product: str, city:
     return j.select(
         "station_id", "ville", "adresse", "code_postal", F.col("_dept").alias("code_departement"),
         F.col("_reg").alias("region"), F.col("_type").alias("type_station"), "is_automate_24_24",
-        "carburant_nom", "prix_euros", "categorie_prix", "tendance_prix", "rang_national", "rang_region",
-        "latitude", "longitude", "date_prix",
-    ).orderBy(F.col("prix_euros").asc_nulls_last(), F.col("station_id").asc_nulls_last()).limit(limit)
+        "carburant_nom", "carburant_id", "prix_euros", "categorie_prix", "tendance_prix", "rang_national",
+        "rang_region", "latitude", "longitude", "date_prix")
+
+
+def search_stations(selection: DataFrame, limit: int = 500) -> DataFrame:
+    """QRY4 / SRT3: the first ``limit`` rows of a selection, cheapest first. The order is total: a
+    station has one row for each product id."""
+    return selection.orderBy(*[F.col(c).asc_nulls_last() for c in ("prix_euros", "station_id", "carburant_id")]).limit(limit)
 
 
 def selection_kpis(selection: DataFrame, value: str = "prix_euros") -> DataFrame:

@@ -24,8 +24,8 @@ ENTITY_COLUMNS = (
     "adresse", "type_station", "is_automate_24_24", "is_ouvert_7j_7", "nb_services",
     "services_list", "services_categories", "has_lavage", "has_restauration", "has_boutique",
     "has_borne_electrique", "has_gpl", "jours_ouverts_semaine", "heure_ouverture_min",
-    "heure_fermeture_max", "nb_carburants_disponibles", "derniere_maj_prix",
-    "nb_ruptures_en_cours", "carburants_en_rupture", "data_quality_score",
+    "heure_fermeture_max", "nb_produits_disponibles", "derniere_maj_prix",
+    "nb_ruptures_en_cours", "produits_en_rupture", "data_quality_score",
 )
 
 

@@ -68,15 +68,15 @@ def hours_summary(hours: DataFrame, key: str = "station_id") -> DataFrame:
 def prices_summary(prices: DataFrame, key: str = "station_id") -> DataFrame:
     ok = prices.filter(~F.col("is_prix_invalide") & ~F.col("is_prix_suspect"))
     return ok.groupBy(key).agg(
-        F.count_distinct("carburant_nom").alias("nb_carburants_disponibles"),
+        F.count_distinct("carburant_nom").alias("nb_produits_disponibles"),
         F.max("date_maj").alias("derniere_maj_prix"),
-        exact_avg("prix_euros").alias("prix_moyen_tous_carburants"))
+        exact_avg("prix_euros").alias("prix_moyen_tous_produits"))
 
 
 def shortages_summary(shortages: DataFrame, key: str = "station_id") -> DataFrame:
     return shortages.filter(F.col("is_en_cours")).groupBy(key).agg(
         F.count(F.lit(1)).alias("nb_ruptures_en_cours"),
-        sorted_distinct_list("carburant_nom").alias("carburants_en_rupture"))
+        sorted_distinct_list("carburant_nom").alias("produits_en_rupture"))
 
 
 def quality_score(as_of) -> Column:
@@ -86,7 +86,7 @@ def quality_score(as_of) -> Column:
         (F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), 20, 0),
         (F.col("adresse").isNotNull() & (F.col("adresse") != ""), 10, 0),
         (F.col("nb_services") > 0, 20, 0),
-        (F.col("nb_carburants_disponibles") >= 3, 20, 10),
+        (F.col("nb_produits_disponibles") >= 3, 20, 10),
         (F.coalesce(F.col("derniere_maj_prix") >= cutoff, F.lit(False)), 30, 10),
     ])
 
@@ -113,10 +113,10 @@ def enrich(stations: DataFrame, services: DataFrame, hours: DataFrame, prices: D
         "heure_ouverture_min", "heure_fermeture_max",
         (F.col("is_automate_24_24") | F.coalesce(F.col("jours_ouverts") == 7, F.lit(False)))
         .alias("is_ouvert_7j_7"),
-        F.coalesce("nb_carburants_disponibles", F.lit(0)).cast("long").alias("nb_carburants_disponibles"),
-        "derniere_maj_prix", "prix_moyen_tous_carburants",
+        F.coalesce("nb_produits_disponibles", F.lit(0)).cast("long").alias("nb_produits_disponibles"),
+        "derniere_maj_prix", "prix_moyen_tous_produits",
         F.coalesce("nb_ruptures_en_cours", F.lit(0)).cast("long").alias("nb_ruptures_en_cours"),
-        "carburants_en_rupture",
+        "produits_en_rupture",
         "_loaded_at",
     )
     return base.select(*[c for c in base.columns if c != "_loaded_at"],

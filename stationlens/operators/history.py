@@ -127,31 +127,23 @@ def version_counts(history: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def scd2_rebuild(observations: DataFrame, key: Sequence[str], ts: str,
-                 cols: Sequence[str], strategy: str = "window") -> DataFrame:
+                 cols: Sequence[str], bounds: Column | None = None) -> DataFrame:
     """SCD4: versions from a full observation history: rows whose tracked columns differ
     from the previous observation of the key; valid until the next version.
 
-    Duplicate observations are folded first (distinct). ``strategy='window'`` orders
-    each key's observations in one task (fine while a key's history is bounded);
-    ``'range'`` finds the previous / next row with the skew-safe range layout
-    (operators.ranking.range_shift), so one key holding a third of all rows is
+    Duplicate observations are folded first (distinct). Previous and next rows are found in
+    slices of time (operators.ranking.sliced_shift), so one key holding a third of all rows is
     spread over many tasks."""
     key = list(key)
     obs = observations.select(*key, ts, *cols).distinct()
-    order = [F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in cols]]
+    from stationlens.operators.ranking import slice_bounds, sliced_shift
+
     cur = F.struct(*[F.col(c) for c in cols])
-    if strategy == "range":
-        from stationlens.operators.ranking import range_shift
-
-        prev_df = range_shift(obs, key, order, list(cols), "_prev", -1)
-        versions = prev_df.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(cur)).drop("_prev")
-        nxt = range_shift(versions, key, order, [ts], "_next", +1)
-        return nxt.select(*key, *cols, F.col(ts).alias(VALID_FROM), F.col(f"_next.{ts}").alias(VALID_TO),
-                          surrogate_key(*key, F.col(ts)).alias(SCD_ID))
-    w = Window.partitionBy(*key).orderBy(*order)
-    prev = F.lag(cur).over(w)
-    marked = obs.select("*", (prev.isNull() | ~prev.eqNullSafe(cur)).alias("_chg"))
-    versions = marked.filter("_chg").drop("_chg")
-    return versions.select(*key, *cols, F.col(ts).alias(VALID_FROM),
-                           F.lead(ts).over(w).alias(VALID_TO),
-                           surrogate_key(*key, F.col(ts)).alias(SCD_ID))
+    if bounds is None:
+        bounds = slice_bounds(observations, F.unix_micros(F.col(ts).cast("timestamp")))
+    order = [ts, *cols]
+    seen = sliced_shift(obs, key, order, cols, "_prev", -1, bounds)
+    versions = seen.filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(cur)).drop("_prev")
+    following = sliced_shift(versions, key, order, [ts], "_next", +1, bounds)
+    return following.select(*key, *cols, F.col(ts).alias(VALID_FROM), F.col(f"_next.{ts}").alias(VALID_TO),
+                            surrogate_key(*key, F.col(ts)).alias(SCD_ID))

@@ -1,20 +1,14 @@
-"""Ranks and top-k (WIN4-6, WIN8, PRJ27, PRJ30).
-
-Two physical strategies produce identical numbers:
-
-* ``window`` -- Spark window functions. All rank windows whose partition keys are a
-  superset of the coarsest one share a single exchange (hash on the coarsest keys);
-  each window partition is sorted inside one task. Right when a partition is bounded,
-  e.g. (product, day) after :func:`daily_last` holds at most one row per entity.
-* ``range`` -- skew-safe exact ranks. The rows are range-partitioned on
-  (partition keys, order keys) from a sample, so one hot partition key is spread over
-  many tasks by its order values; each task numbers its rows, and a small
-  per-(task, key) count table (one row per key per task it spans) gives every task
-  its starting offset. No task ever holds more than one range slice. The layout is
-  materialised with a reliable checkpoint (see ``_range_layout``), so this path
-  runs a job when it is called.
-
-The order keys must make the order total (append a unique tie-break) for both.
+"""Exact ranks and neighbours over groups of any size (WIN4-6, WIN8, PRJ27, PRJ30, SCD4).
+
+One layout serves all: an order is cut into *slices* by fixed bounds (quantiles of the first
+order column, read by a scalar subquery inside the plan), so that a group holding a third of all
+rows is spread over as many tasks as there are slices. Rows are numbered inside (group, slice);
+what lies before a slice comes from the slices' counts, a table of at most #slices rows for a
+group, and is joined back on the same (group, slice) partitioning. The slice is a pure function of
+the row, so both reads of the input agree and nothing is materialised or run beforehand.
+
+The order keys must make the order total (append a unique tie-break). Columns of ``base`` must
+not be NULL (series keys never are).
 """
 
 from __future__ import annotations
@@ -24,109 +18,74 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_IDX_BITS = 33  # monotonically_increasing_id = (partition id << 33) + row index
+_NULL = "\x00"
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def window_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
-                      out: str) -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(*_sort_cols(order))
-    return df.withColumn(out, F.row_number().over(w))
-
-
-def range_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
-                     out: str, num_partitions: int | None = None) -> DataFrame:
-    """Exact ``row_number() over (partition by P order by O)`` without a per-key task."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = _range_layout(df, partition, order, n)
-    # One row per (task, key): at most (#keys + #tasks) rows.
-    spans = laid.groupBy("_pid", *partition).agg(F.min("_idx").alias("_first"),
-                                                 F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    keys = ["_pid", *partition]
-    spans = spans.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)], "_first",
-                         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"))
-    cond = [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)]
-    joined = laid.join(spans, cond, "inner")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        (F.col("_offset") + F.col("_idx") - F.col("_first") + F.lit(1)).cast("int").alias(out))
-
-
-def row_numbers(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], out: str,
-                strategy: str = "window") -> DataFrame:
-    if strategy == "range":
-        return range_row_number(df, partition, order, out)
-    return window_row_number(df, partition, order, out)
+def slice_bounds(source: DataFrame, value: str | Column, slices: int | None = None) -> Column:
+    """Quantiles of ``value`` over ``source`` as a scalar subquery (an array column): one mergeable
+    sketch, no shuffle of rows. ``source`` may be any cheaper table with about the same values.
+    By default as many slices as shuffle partitions, which follow the cluster and the data."""
+    n = slices or max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    v = F.col(value) if isinstance(value, str) else value
+    marks = [i / n for i in range(1, n)] or [0.5]
+    return source.select(F.percentile_approx(v.cast("double"), marks, max(10_000, 20 * n))).scalar()
+
+
+def with_slice(df: DataFrame, value: str | Column, bounds: Column, out: str = "_slice") -> DataFrame:
+    """Adds the number of the slice that a value lies in: never decreasing in the value, NULL last.
+    (The bounds are a column of their own first: a subquery may not stand inside a lambda.)"""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    held = df.select("*", F.coalesce(bounds, F.array().cast("array<double>")).alias("_bounds"), v.alias("_at"))
+    below = F.size(F.filter("_bounds", lambda b: b < F.col("_at")))
+    return held.withColumn(out, F.when(F.col("_at").isNull(), F.size("_bounds") + 1).otherwise(below)).drop("_bounds", "_at")
+
+
+def _text(cols: Sequence[str]) -> Column:
+    """Group columns as one map key."""
+    if not cols:
+        return F.lit("")
+    return F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in cols])
 
 
 def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[str, Sequence[str]],
               tiebreak: Sequence[str] = (), percent: str | None = None,
-              strategy: str = "window") -> DataFrame:
+              bounds: Column | None = None) -> DataFrame:
     """WIN4/WIN5: row numbers by ascending ``value`` within ``base`` + each extra group,
     plus ``percent_rank`` within ``base``.
 
-    ``groups`` maps output name -> extra partition columns (``[]`` = base only).
-    """
+    ``groups`` maps output name -> extra partition columns (``[]`` = base only). All ranks share
+    one exchange of the rows, on (base, slice)."""
+    base = list(base)
+    bounds = slice_bounds(df, value) if bounds is None else bounds
+    laid = with_slice(df, value, bounds)
+    extra = list(dict.fromkeys(c for cols in groups.values() for c in cols))
+    cells = laid.groupBy(*base, "_slice", *extra).agg(F.count(F.lit(1)).alias("_n"))
+    # Rows before a slice, per group: windows over slice counts (at most #slices x #groups a base).
+    def before(cols):
+        w = Window.partitionBy(*base, *cols).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_n").over(w), F.lit(0))
+
+    cells = cells.select(*base, "_slice", *extra, F.sum("_n").over(Window.partitionBy(*base)).alias("_all"),
+                         before([]).alias("_b"), *[before(c).alias(f"_b{i}") for i, c in enumerate(groups.values())])
+    offsets = cells.groupBy(*base, "_slice").agg(
+        F.first("_all").alias("_all"), F.first("_b").alias("_b"),
+        *[F.map_from_entries(F.collect_set(F.struct(_text(c), F.col(f"_b{i}")))).alias(f"_m{i}")
+          for i, c in enumerate(groups.values())])
     order = [F.col(value).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tiebreak]]
-    if strategy == "window":
-        cols = []
-        for name, extra in groups.items():
-            w = Window.partitionBy(*base, *extra).orderBy(*order)
-            cols.append(F.row_number().over(w).alias(name))
-        if percent:
-            w = Window.partitionBy(*base).orderBy(F.col(value).asc_nulls_last())
-            cols.append(F.percent_rank().over(w).alias(percent))
-        return df.select("*", *cols)
-    out = df
-    for name, extra in groups.items():
-        out = range_row_number(out, [*base, *extra], order, name)
+    joined = laid.join(offsets, [*base, "_slice"])
+    out = []
+    for i, (name, cols) in enumerate(groups.items()):
+        w = Window.partitionBy(*base, "_slice", *cols).orderBy(*order)
+        out.append((F.row_number().over(w) + F.element_at(f"_m{i}", _text(cols))).cast("long").alias(name))
     if percent:
-        out = range_percent_rank(out, base, value, percent)
-    return out
-
-
-def range_running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
-                      value: str, out: str, num_partitions: int | None = None) -> DataFrame:
-    """Skew-safe exclusive running sum of ``value`` within ``partition`` by ``order``
-    (sum over the rows strictly before each row). Same layout as
-    :func:`range_row_number`: a window per (task, key) slice plus per-slice offsets."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = _range_layout(df, partition, order, n)
-    w = Window.partitionBy("_pid", *partition).orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)
-    local = laid.select("*", F.coalesce(F.sum(value).over(w), F.lit(0)).alias("_local"))
-    spans = laid.groupBy("_pid", *partition).agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*partition).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    keys = ["_pid", *partition]
-    spans = spans.select(*[F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)],
-                         F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_offset"))
-    joined = local.join(spans, [F.col(k).eqNullSafe(F.col(f"_s{i}")) for i, k in enumerate(keys)], "inner")
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns],
-                         (F.col("_offset") + F.col("_local")).alias(out))
-
-
-def range_percent_rank(df: DataFrame, base: Sequence[str], value: str, out: str) -> DataFrame:
-    """percent_rank = (rank - 1) / (n - 1), rank = 1 + #rows with a smaller value.
-
-    Built from pre-aggregated counts: a (key, value) histogram (partial aggregation
-    folds hot keys), its running count from the skew-safe range layout (so a key with
-    very many distinct values is still spread over tasks), and the per-key total --
-    joined back on (key, value)."""
-    hist = df.groupBy(*base, value).agg(F.count(F.lit(1)).alias("_c"))
-    below = range_running_sum(hist, base, [F.col(value).asc_nulls_last()], "_c", "_below")
-    totals = hist.groupBy(*base).agg(F.sum("_c").alias("_n"))
-    hist = below.join(totals, [below[b].eqNullSafe(totals[b]) for b in base], "inner").select(
-        *[below[b] for b in base], below[value], "_below", "_n")
-    keys = [*base, value]
-    hist = hist.select(*[F.col(f"`{k}`").alias(f"_h{i}") for i, k in enumerate(keys)], "_below", "_n")
-    joined = df.join(hist, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)], "inner")
-    pr = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
-        F.col("_below").cast("double") / (F.col("_n") - 1).cast("double"))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], pr.alias(out))
+        w = Window.partitionBy(*base, "_slice").orderBy(F.col(value).asc_nulls_last())
+        rank = (F.rank().over(w) + F.col("_b") - 1).cast("double")
+        out.append(F.when(F.col("_all") <= 1, F.lit(0.0)).otherwise(rank / (F.col("_all") - 1).cast("double")).alias(percent))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *out)
 
 
 def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], k: int,
@@ -139,53 +98,28 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column]
     return ranked if out else ranked.drop(name)
 
 
-def _range_layout(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
-                  n: int) -> DataFrame:
-    """Range-partition on (partition, order), sort inside each task, number the rows
-    (task id, index in task) -- and materialise it with a reliable ``checkpoint()``.
-
-    The layout is read twice (row pass and per-task summary pass). Range bounds come
-    from a sample whose rows depend on the input's order, which is not stable when
-    the input comes from a shuffle; two evaluations could therefore disagree. The
-    checkpoint (in ``spark.checkpoint.dir``) fixes one layout for both passes and
-    means a lost executor re-reads it instead of re-sampling."""
-    from stationlens.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    sort_cols = [F.col(p).asc_nulls_last() for p in partition] + _sort_cols(order)
-    laid = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    hi = F.shiftrightunsigned("_mid", _IDX_BITS)
-    laid = laid.select("*", hi.alias("_pid"),
-                       (F.col("_mid") - F.shiftleft(hi, _IDX_BITS)).alias("_idx")).drop("_mid")
-    return laid.checkpoint(eager=True)
-
-
-def range_shift(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column],
-                cols: Sequence[str], out: str, direction: int = -1,
-                num_partitions: int | None = None) -> DataFrame:
-    """Skew-safe ``lag``/``lead`` by one row of ``struct(cols)`` within ``partition``
-    ordered by ``order`` (``direction`` -1 = previous row, +1 = next row).
-
-    Rows are range-partitioned on (partition, order), so one key's rows may span
-    several tasks. Inside a task the neighbour comes from a window over
-    (task, key) -- bounded by the task's slice; at a slice edge it comes from the
-    adjacent slice's edge row, found in a per-(task, key) table (at most #keys +
-    #tasks rows). The order must be total (append a unique tie-break)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = _range_layout(df, partition, order, n)
+def sliced_shift(df: DataFrame, partition: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                 out: str, direction: int = -1, bounds: Column | None = None) -> DataFrame:
+    """``lag``/``lead`` by one row of ``struct(cols)`` within ``partition`` by ``order`` (``direction``
+    -1 = previous row, +1 = next row), for keys of any size: the neighbour comes from the row's
+    slice (of the first order column) or, at a slice's edge, from the nearest slice's edge row
+    (one row per key and slice)."""
+    first = F.unix_micros(F.col(order[0]).cast("timestamp")) if dict(df.dtypes)[order[0]].startswith("timestamp") \
+        else F.col(order[0])
+    bounds = slice_bounds(df, first) if bounds is None else bounds
+    laid = with_slice(df, first, bounds)
     payload = F.struct(*[F.col(c) for c in cols])
-    w = Window.partitionBy("_pid", *partition).orderBy("_idx")
-    local = F.lag(payload).over(w) if direction < 0 else F.lead(payload).over(w)
-    with_local = laid.select("*", local.alias("_loc"))
-    edge = F.max_by(payload, F.col("_idx")) if direction < 0 else F.min_by(payload, F.col("_idx"))
-    seg = laid.groupBy("_pid", *partition).agg(edge.alias("_edge"), F.min("_idx").alias("_lo"),
-                                                F.max("_idx").alias("_hi"))
-    wseg = Window.partitionBy(*partition).orderBy("_pid")
-    nb = F.lag("_edge").over(wseg) if direction < 0 else F.lead("_edge").over(wseg)
-    keys = ["_pid", *partition]
-    seg = seg.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], nb.alias("_nb"), "_lo", "_hi")
-    joined = with_local.join(seg, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)], "inner")
-    at_edge = F.col("_idx") == (F.col("_lo") if direction < 0 else F.col("_hi"))
-    result = F.when(at_edge, F.col("_nb")).otherwise(F.col("_loc"))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out))
+    w = Window.partitionBy(*partition, "_slice").orderBy(*_sort_cols(order))
+    local = (F.lag if direction < 0 else F.lead)(payload).over(w)
+    at_edge = (F.lag if direction < 0 else F.lead)(F.lit(1)).over(w).isNull()
+    place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])  # NULL last
+    edge = (F.max_by if direction < 0 else F.min_by)(payload, place)
+    edges = laid.groupBy(*partition, "_slice").agg(edge.alias("_edge"))
+    between = Window.partitionBy(*partition).orderBy("_slice")  # one row per slice
+    beyond = (F.lag if direction < 0 else F.lead)("_edge").over(between)
+    keys = [*partition, "_slice"]
+    edges = edges.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], beyond.alias("_beyond"))
+    marked = laid.select("*", local.alias("_local"), at_edge.alias("_ends"))
+    joined = marked.join(edges, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
+    value = F.when(F.col("_ends"), F.col("_beyond")).otherwise(F.col("_local"))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(out))

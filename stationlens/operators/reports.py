@@ -3,9 +3,9 @@ AGG12, WIN6-9, PRJ24-28, PRJ30).
 
 Every report slices the fact by date first (partition pruning when the fact is
 stored partitioned by date), aggregates with map-side combine, and only runs windows
-over aggregated rows (at most one row per region / week per key) -- except the
-cheapest report, whose two station ranks run over the latest day's rows; use
-``rank_strategy='range'`` there when one product holds an unbounded number of rows.
+over aggregated rows (at most one row per region / week per key) -- the cheapest
+report's two station ranks run over slices of the latest day's prices (see
+operators.ranking), so a product of any size is spread over tasks.
 """
 
 from __future__ import annotations
@@ -19,10 +19,9 @@ from pyspark.sql import functions as F
 from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.calendar import iso_year, week_start
 from stationlens.functions.labels import (
-    NATIONAL_BAND_LABELS, NATIONAL_BAND_TOLERANCE, TREND_WEEKLY, band, gap_pct, spread,
-    trend_preset,
+    NATIONAL_BAND_LABELS, NATIONAL_BAND_TOLERANCE, TREND_WEEKLY, band, spread, trend_preset,
 )
-from stationlens.operators.ranking import row_numbers
+from stationlens.operators.ranking import add_ranks
 
 
 def date_literal(value) -> Column:
@@ -58,23 +57,19 @@ CHEAPEST_ENTITY_COLUMNS = ("station_key", "ville", "adresse", "code_postal", "ty
 def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: int = 100,
              group: str = "region", entity: str = "station_id", product: str = "carburant_nom",
              value: str = "prix_euros", day: str = "date_prix", tiebreak: Sequence[str] = ("carburant_id",),
-             rank_strategy: str = "window", latest_day: Column | None = None) -> DataFrame:
+             bounds: Column | None = None, latest_day: Column | None = None) -> DataFrame:
     """MOD13: latest day's cheapest entities: top ``k_group`` per (group, product) OR top
     ``k_all`` per product, each row carrying both full-population ranks.
 
-    ``latest_day`` (a scalar Column) may be given when a cheaper upstream determines
-    the fact's latest day; by default it is a scalar subquery on the fact (cheap on the
-    stored, month-partitioned fact)."""
+    ``latest_day`` (a scalar Column) and ``bounds`` (see operators.ranking.slice_bounds) may be
+    given when a cheaper upstream determines the fact's latest day and its range of values; by
+    default they are scalar subqueries on the fact (cheap on the stored, month-partitioned one)."""
     last = latest_day if latest_day is not None else fact.select(F.max(day)).scalar()
     latest = fact.filter(F.col(day) == last)
     if PARTITION_MONTH in fact.columns:  # stored fact: read one month directory only
         latest = latest.filter(F.col(PARTITION_MONTH) == F.trunc(last, "month"))
-    order = [F.col(value).asc_nulls_last(), F.col(entity).asc_nulls_last(),
-             *[F.col(t).asc_nulls_last() for t in tiebreak]]
-    # National rank first: its (product) exchange also clusters (group, product), so
-    # both windows share one shuffle.
-    ranked = row_numbers(latest, [product], order, "position_nationale_top100", rank_strategy)
-    ranked = row_numbers(ranked, [group, product], order, "position_regionale_top10", rank_strategy)
+    ranked = add_ranks(latest, [product], value, {"position_nationale_top100": [], "position_regionale_top10": [group]},
+                       tiebreak=[entity, *tiebreak], bounds=bounds)
     top = ranked.filter((F.col("position_regionale_top10") <= k_group)
                         | (F.col("position_nationale_top100") <= k_all))
     cols = [c for c in CHEAPEST_ENTITY_COLUMNS if c in dim_entity.columns]
@@ -91,8 +86,7 @@ def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: i
         *front, entity, *mid, "code_departement", group, *attrs,
         product, value, "categorie_prix", "tendance_prix",
         "rang_national", "rang_region", "rang_departement",
-        rn_grp.cast("int").alias("position_regionale_top10"),
-        rn_all.cast("int").alias("position_nationale_top100"),
+        rn_grp.alias("position_regionale_top10"), rn_all.alias("position_nationale_top100"),
         (rn_all <= 10).alias("is_top10_france"), (rn_all <= 100).alias("is_top100_france"),
         (rn_grp <= 3).alias("is_top3_region"), (rn_grp <= 10).alias("is_top10_region"),
         *geo, day)
@@ -132,18 +126,17 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
     return j.select("region_key", *[out[c] for c in out.columns])
 
 
-def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int = 12,
+def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int | None = 12,
            compat: bool = False, dim_date: DataFrame | None = None, group: str = "region",
            entity: str = "station_id", product: str = "carburant_nom", value: str = "prix_euros",
            day: str = "date_prix", lags: Mapping[int, str] | None = None,
-           median: str = "exact", history_weeks: int | None = None) -> DataFrame:
+           history_weeks: int | None = None) -> DataFrame:
     """MOD15: weekly national statistics, week-over-week / 4-week / 52-week variations,
     trend label and a per-region pivot with its spread.
 
-    ``median='exact'`` keeps a (value -> count) map per week and product: its size is
-    the number of distinct prices (bounded for prices with fixed decimals).
-    ``median='approx'`` uses ``percentile_approx`` (fixed-size sketch) for value
-    domains without such a bound.
+    The exact median keeps a (value -> count) map per week and product: its size is the
+    number of distinct prices, which the fixed decimals and the valid price range bound.
+    ``weeks=None`` reads the whole fact.
 
     ``history_weeks`` (S15): aggregate and lag over that many weeks, then show only the
     last ``weeks`` -- so the 4- and 52-week comparisons can be filled. By default the
@@ -154,8 +147,8 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
     week through the calendar dimension (inner join), pivot joined on week start only.
     """
     lags = lags or {1: "prix_semaine_precedente", 4: "prix_mois_precedent", 52: "prix_annee_precedente"}
-    span = max(weeks, history_weeks or weeks)
-    f = slice_since(fact, day, as_of, 7 * span)
+    span = max(weeks, history_weeks or weeks) if weeks is not None else None
+    f = fact if span is None else slice_since(fact, day, as_of, 7 * span)
     if compat:
         if dim_date is None:
             raise ValueError("compat=True needs the calendar dimension")
@@ -175,8 +168,7 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
     v = F.col(value)
     nat = wk.groupBy(*nat_keys).agg(
         exact_avg(v).alias("_avg"), F.min(v).alias("_min"), F.max(v).alias("_max"),
-        (F.percentile(v.cast("double"), F.lit(0.5)) if median == "exact"
-         else F.percentile_approx(v.cast("double"), 0.5, 10000)).alias("_med"),
+        F.percentile(v.cast("double"), F.lit(0.5)).alias("_med"),
         F.stddev_samp(v).alias("_std"),
         F.count_distinct(entity).alias("nb_stations"), F.count(F.lit(1)).alias("nb_observations"))
     wl = Window.partitionBy(product).orderBy(F.col("debut_semaine").asc_nulls_last(),
@@ -199,7 +191,7 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
                 F.round(F.try_divide(m - p, F.nullif(p, F.lit(0))) * 100, 2).alias(pct_name)]
 
     wow = F.try_divide(m - F.col(prev[0]), F.nullif(F.col(prev[0]), F.lit(0))) * 100
-    if span > weeks:  # display only the last `weeks` after the lags have seen the history
+    if span is not None and span > weeks:  # display only the last `weeks` after the lags have seen the history
         j = j.filter(F.col("debut_semaine") >= F.date_sub(date_literal(as_of), 7 * weeks))
     return j.select(
         "annee", "semaine", "debut_semaine", "fin_semaine", product,

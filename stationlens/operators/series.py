@@ -22,10 +22,13 @@ def valid_observations(df: DataFrame, invalid: str = "is_prix_invalide",
     return df.filter(~F.col(invalid) & ~F.col(suspect) & F.col(day).isNotNull())
 
 
+_SPAN = 10**16  # room for a packed value: 12 digits, up to 3 decimals, both signs
+
+
 def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, value: str,
                ids: Sequence[str] = (), last_ts: str = "derniere_maj",
                n_updates: str = "nb_updates_jour",
-               cluster_by: Sequence[str] | None = None) -> DataFrame:
+               cluster_by: Sequence[str] | None = None, scale: int = 3) -> DataFrame:
     """AGG21: last value of the day per (entity, product, day).
 
     * last = value at the latest ``ts``; equal timestamps resolve to the larger value
@@ -34,13 +37,14 @@ def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, valu
     * ``ids`` (e.g. a product id) stay in the output grain: two ids for one
       product/day give two rows carrying the same name-level last value and count.
 
-    Two hash aggregations, no sort: (1) by (keys, ids, ts) -- folds rows with equal
-    timestamps to their largest value, and spreads a hot entity-day over tasks by
-    time; (2) by (keys, ids) with ``max_by(value, ts)``, deterministic because ts is
-    now unique per group, its partial aggregate folding each task's share of a hot
-    key to one row. (A struct ordering or collect_set in one aggregate would force
-    Spark's sort-based aggregation on every row.) With ids, the per-id rows of one
-    product/day -- a handful -- are combined by a window over (keys).
+    One hash aggregation, no sort, one shuffle: time and value are packed into one
+    DECIMAL (microseconds, then the value in units of 10**-``scale``), whose ``max`` is the
+    last update with the larger value first among ties; the partial aggregate folds each
+    task's share of a key, however hot, to one row before the shuffle. (``max_by`` over a
+    struct, or collect_set, would force Spark's sort-based aggregation on every row.) Values
+    must have at most ``scale`` decimals and 12 digits before them, and neither they nor the
+    times may be NULL (``valid_observations``). With ids, the per-id rows of one product/day
+    -- a handful -- are combined by a window over (keys).
 
     ``cluster_by`` (a subset of the keys, e.g. the entity) hash-partitions the
     aggregated rows once so that this window and the caller's next joins/windows on
@@ -48,9 +52,16 @@ def daily_last(df: DataFrame, entity: str, product: str, day: str, ts: str, valu
     """
     keys = [entity, product, day]
     ids = list(ids)
-    per_ts = df.groupBy(*keys, *ids, ts).agg(F.max(value).alias(value), F.count(F.lit(1)).alias("_n"))
-    per_id = per_ts.groupBy(*keys, *ids).agg(
-        F.max_by(value, ts).alias(value), F.max(ts).alias(last_ts), F.sum("_n").alias(n_updates))
+    types = dict(df.dtypes)
+    units = (F.col(value).cast(f"decimal({12 + scale},{scale})") * F.lit(10**scale)).cast("decimal(20,0)")
+    at = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(20,0)")
+    packed = (at * F.lit(_SPAN).cast("decimal(18,0)") + units + F.lit(_SPAN // 2)).cast("decimal(38,0)")
+    per_id = df.groupBy(*keys, *ids).agg(F.max(packed).alias("_last"), F.count(F.lit(1)).alias(n_updates))
+    micros = F.expr(f"_last div {_SPAN}BD")
+    unpacked = (F.col("_last") - micros.cast("decimal(20,0)") * F.lit(_SPAN).cast("decimal(18,0)") - F.lit(_SPAN // 2))
+    per_id = per_id.select(*keys, *ids, F.try_divide(unpacked.cast("decimal(20,0)"), F.lit(10**scale)).cast(
+        f"decimal({12 + scale},{scale})").cast(types[value]).alias(value),
+        F.timestamp_micros(micros).cast(types[ts]).alias(last_ts), n_updates)
     if not ids:
         return per_id.select(*keys, value, last_ts, F.col(n_updates).cast("long").alias(n_updates))
     if cluster_by:
@@ -119,20 +130,20 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
                  day: str = "date_prix", ts: str = "date_maj", value: str = "prix_euros",
                  attributes: Sequence[str] = ("code_departement", "region", "type_station"),
                  rank_groups: Mapping[str, Sequence[str]] | None = None,
-                 rank_strategy: str = "window", calendar_exact: bool = False,
+                 calendar_exact: bool = False,
                  entity_key: str | None = None) -> DataFrame:
     """MOD7: valid rows -> daily last value -> entity attributes -> lags/variations -> ranks.
 
     Windows: lags partition by (entity, product) (one series, at most one row per day
-    and id); ranks partition by (product, day) and finer groups -- all rank windows
-    share one exchange. ``rank_strategy='range'`` switches ranks to the skew-safe
-    range-partitioned form (see operators.ranking). ``entity_key`` carries the entity
+    and id); ranks within (product, day) and finer groups number slices of the price
+    range (see operators.ranking) and share one exchange. ``entity_key`` carries the entity
     dimension's surrogate key from the attribute join (NULL for unknown entities), so
     the fact needs no second join with the entity dimension.
     """
-    from stationlens.operators.ranking import add_ranks
+    from stationlens.operators.ranking import add_ranks, slice_bounds
 
-    daily = daily_last(valid_observations(prices, day=day), entity, product, day, ts, value,
+    valid = valid_observations(prices, day=day)
+    daily = daily_last(valid, entity, product, day, ts, value,
                        ids=[product_id] if product_id else (), cluster_by=[entity])
     key_col = [surrogate_key(entity).alias(entity_key)] if entity_key else []
     attrs = entities.select(entity, *attributes, *key_col)
@@ -143,7 +154,7 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
     groups = rank_groups if rank_groups is not None else {
         "rang_national": [], "rang_departement": ["code_departement"], "rang_region": ["region"]}
     ranked = add_ranks(varied, [product, day], value, groups, tiebreak=[entity, *tiebreak],
-                       percent="percentile_national", strategy=rank_strategy)
+                       percent="percentile_national", bounds=slice_bounds(valid, value))
     lag_cols = []
     for prev, (a, p) in VARIATION_NAMES.items():
         lag_cols += [prev, a, p]

@@ -11,12 +11,6 @@ Fault tolerance and lineage:
 * the history is appended as a new version next to the one it was read from;
 * staged prices (the only large staging model, read by five consumers) are written
   once as a Parquet table instead of being re-derived from raw strings per consumer.
-
-Scale choices are made from cheap facts, not guesses: the rank strategy switches to
-the skew-safe range form when one (product, day) partition could exceed
-``max_window_rows`` -- bounded by the number of entities because the series holds at
-most one row per (entity, product, day) -- and the entity count is read from the
-checkpointed entity table.
 """
 
 from __future__ import annotations
@@ -42,7 +36,7 @@ from stationlens.sources import marts as M
 from stationlens.sources.raw import RAW_PRICES, RAW_SHORTAGES, RAW_STATIONS, read_raw
 
 # Monitored tables (OBS3) -> (timestamp column, sensitivity).
-MONITORED_TABLES = {"dim_stations": ("loaded_at", 2.0), "fct_prix_carburants": ("derniere_maj", 3.0)}
+MONITORED_TABLES = {"dim_stations": ("loaded_at", 2.0), "fct_prix_produits": ("derniere_maj", 3.0)}
 STATION_SNAPSHOT_COLS = ("adresse", "ville", "code_postal", "services_list", "is_automate_24_24", "type_station")
 
 
@@ -52,15 +46,10 @@ class BuildConfig:
     out_base: str
     as_of: _dt.datetime
     seed_path: str | None = None
-    max_window_rows: int = 5_000_000
     product_key: str = "id"
     weekly_compat: bool = False
 
 
-def rank_strategy_for(entity_count: int, max_window_rows: int) -> str:
-    return "window" if entity_count <= max_window_rows else "range"
-
-
 def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     configure(spark)
     checkpoint_dir(spark)
@@ -82,8 +71,7 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
 
     enriched = enrich(stations, services, hours, prices, short, cfg.as_of, fuel.region_of).checkpoint()
     n_entities = enriched.count()  # reads the checkpoint: cheap
-    strategy = rank_strategy_for(n_entities, cfg.max_window_rows)
-    series = price_series(prices, enriched, rank_strategy=strategy, entity_key="station_key").checkpoint()
+    series = price_series(prices, enriched, entity_key="station_key").checkpoint()
 
     seed = (spark.read.csv(cfg.seed_path, header=True, schema=fuel.PRODUCT_SEED_SCHEMA)
             if cfg.seed_path else fuel.product_seed(spark))
@@ -92,19 +80,19 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     d_rg = region_dim(enriched, fuel.REGION_CODES, fuel.REGION_CODE_DEFAULT, fuel.REGION_CHIEF_TOWNS)
     d_dt = calendar(spark)
     out = cfg.out_base
-    for name, df in (("dim_stations", d_st), ("dim_carburants", d_pr), ("dim_regions", d_rg), ("dim_date", d_dt)):
+    for name, df in (("dim_stations", d_st), ("dim_produits", d_pr), ("dim_regions", d_rg), ("dim_date", d_dt)):
         M.write_mart(df, f"{out}/{name}")
-    d_st, d_pr, d_rg = (M.read_mart(spark, f"{out}/{n}") for n in ("dim_stations", "dim_carburants", "dim_regions"))
+    d_st, d_pr, d_rg = (M.read_mart(spark, f"{out}/{n}") for n in ("dim_stations", "dim_produits", "dim_regions"))
     d_dt = M.read_mart(spark, f"{out}/dim_date")
 
     fact = price_fact(series, d_st, d_pr, d_dt, d_rg, product_key=cfg.product_key)
-    M.write_fact(fact, f"{out}/fct_prix_carburants")
-    fact = M.read_mart(spark, f"{out}/fct_prix_carburants")  # keeps mois_prix for pruning
+    M.write_fact(fact, f"{out}/fct_prix_produits")
+    fact = M.read_mart(spark, f"{out}/fct_prix_produits")  # keeps mois_prix for pruning
 
     # Latest day from the checkpointed series (one scalar), so the report prunes the
     # stored fact to that day's month directory instead of scanning its date column.
     last_day = series.agg(F.max("date_prix")).first()[0]
-    M.write_mart(cheapest(fact, d_st, rank_strategy=strategy, latest_day=F.lit(last_day)),
+    M.write_mart(cheapest(fact, d_st, latest_day=F.lit(last_day)),
                  f"{out}/rpt_stations_moins_cheres")
     M.write_mart(regional(fact, d_rg, cfg.as_of), f"{out}/rpt_prix_moyen_region")
     M.write_mart(weekly(fact, cfg.as_of, fuel.WEEKLY_PIVOT_REGIONS, compat=cfg.weekly_compat, dim_date=d_dt),
@@ -132,7 +120,7 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     for m in monitors[1:]:
         mon = mon.unionByName(m)
     M.write_mart(mon, f"{out}/volume_monitors")
-    return {"entities": n_entities, "rank_strategy_range": int(strategy == "range")}
+    return {"entities": n_entities}
 
 
 def _next_version(spark: SparkSession, base: str, merge) -> int:
@@ -164,8 +152,8 @@ def default_checks(stations: DataFrame, prices: DataFrame, services: DataFrame,
                 Q.accepted_values(hours, "jour_numero", [1, 2, 3, 4, 5, 6, 7]), "error"),
         Q.Check("between_quality_score", "int_stations_enriched", "data_quality_score",
                 Q.between(enriched, "data_quality_score", 0, 100), "error"),
-        Q.Check("unique_carburant_id", "dim_carburants", "carburant_id", Q.unique(d_pr, ["carburant_id"]), "error"),
-        Q.Check("relationship_station_key", "fct_prix_carburants", "station_key",
+        Q.Check("unique_carburant_id", "dim_produits", "carburant_id", Q.unique(d_pr, ["carburant_id"]), "error"),
+        Q.Check("relationship_station_key", "fct_prix_produits", "station_key",
                 Q.relationships(fact, "station_key", d_st, "station_key"), "error"),
         Q.Check("coordinates_in_box", "stg_stations", "latitude,longitude", Q.in_box(stations), "error"),
         Q.Check("orphan_prices", "stg_prix", "station_id", Q.orphans(prices, stations), "error"),

@@ -103,11 +103,18 @@ class EventsBuild:
             v = v.filter(since("date_prix", A.AS_OF_EVENTS, since_days))
         return v.select(F.max("date_prix")).scalar()
 
-    def series(self, rank_strategy: str = "window") -> DataFrame:
+    @cached_property
+    def bounds(self):
+        """Price quantiles of the raw observations: the slices of every rank over the fact."""
+        from stationlens.operators.ranking import slice_bounds
+        from stationlens.operators.series import valid_observations
+        return slice_bounds(valid_observations(self.prices), "prix_euros")
+
+    def series(self) -> DataFrame:
         from stationlens.operators.series import price_series
 
         p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
-        return price_series(p, self.enriched, rank_strategy=rank_strategy)
+        return price_series(p, self.enriched)
 
     @cached_property
     def dim_stations(self) -> DataFrame:
@@ -130,11 +137,11 @@ class EventsBuild:
         from stationlens.operators.explode import calendar
         return calendar(self.spark)
 
-    def fact(self, rank_strategy: str = "window") -> DataFrame:
+    def fact(self) -> DataFrame:
         from stationlens.operators.dims import price_fact
         from stationlens.operators.series import price_series
         p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
-        series = price_series(p, self.enriched, rank_strategy=rank_strategy, entity_key="station_key")
+        series = price_series(p, self.enriched, entity_key="station_key")
         return price_fact(series, self.dim_stations, self.dim_products, self.dim_date, self.dim_regions)
 
 
@@ -183,11 +190,11 @@ def q_shortages(spark, d):
 # ---------------------------------------------------------------------------
 
 @register("enriched_stations", O.sql(
-    "SELECT * REPLACE (CAST(round(CAST(CAST(prix_moyen_tous_carburants AS VARCHAR) AS DECIMAL(38,20)), 6) AS DOUBLE) AS prix_moyen_tous_carburants) FROM enriched",
+    "SELECT * REPLACE (CAST(round(CAST(CAST(prix_moyen_tous_produits AS VARCHAR) AS DECIMAL(38,20)), 6) AS DOUBLE) AS prix_moyen_tous_produits) FROM enriched",
     "enriched"))
 def q_enriched(spark, d):
     """MOD6: AGG1-6, JOI1, PRJ13, PRJ18-20."""
-    return neutral(EventsBuild(spark, d).enriched, round6=("prix_moyen_tous_carburants",))
+    return neutral(EventsBuild(spark, d).enriched, round6=("prix_moyen_tous_produits",))
 
 
 @register("daily_last", O.sql("SELECT * FROM daily", "daily"))
@@ -271,7 +278,7 @@ def q_cheapest(spark, d):
     """MOD13: JOI10 (scalar max date), WIN6 (two ranks, OR filter), PRJ27, PRJ30, JOI14."""
     from stationlens.operators.reports import cheapest
     b = EventsBuild(spark, d)
-    return neutral(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day()))
+    return neutral(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day(), bounds=b.bounds))
 
 
 @register("regional_report", O.sql("SELECT * FROM regional", "regional"))
@@ -290,14 +297,27 @@ def q_weekly(spark, d):
     return weekly(b.fact(), A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS, weeks=12)
 
 
-@register("price_anomalies", O.sql("SELECT * FROM anomalies", "anomalies"))
-def q_anomalies(spark, d):
-    """OBS4 / MOD16: AGG11, JOI7, PRJ31, SRT2 (top 100 by |z|)."""
+def _anomalies(spark, d):
     from stationlens.operators.anomalies import price_anomalies
     b = EventsBuild(spark, d)
     return price_anomalies(b.fact(), b.dim_stations, A.AS_OF_EVENTS, days=7)
 
 
+@register("price_anomalies", O.sql("SELECT * FROM anomalies", "anomalies"))
+def q_anomalies(spark, d):
+    """OBS4 / MOD16: AGG11, JOI7, PRJ31: all anomalies."""
+    return _anomalies(spark, d)
+
+
+@register("top_anomalies", O.sql("""SELECT * FROM anomalies
+ORDER BY abs(z_score) DESC NULLS FIRST, date_prix DESC, station_id, carburant_nom, carburant_id NULLS LAST LIMIT 100""",
+                                 "anomalies"))
+def q_top_anomalies(spark, d):
+    """SRT2: the 100 most extreme anomalies."""
+    from stationlens.operators.anomalies import top_anomalies
+    return top_anomalies(_anomalies(spark, d), 100)
+
+
 # ---------------------------------------------------------------------------
 # Label presets and calendar-exact lags on the long line-item series
 # ---------------------------------------------------------------------------
@@ -324,11 +344,12 @@ def q_trend_labels(spark, d):
     """PRJ22/PRJ23 presets: daily (+-0.5/2), weekly (+-1/3), macro (+-1/5, 'Inconnu'); UDF2-4."""
     from stationlens.functions.labels import (
         TREND_DAILY, TREND_MACRO, TREND_WEEKLY, pct_variation, price_bucket, trend_preset)
-    from stationlens.operators.ranking import add_ranks
-    from stationlens.operators.series import add_variations
+    from stationlens.operators.ranking import add_ranks, slice_bounds
+    from stationlens.operators.series import add_variations, valid_observations
     v = add_variations(_li_daily(spark, d), "station_id", "carburant_nom", "date_prix", "prix_euros",
                        tiebreak=[F.col("carburant_id").asc_nulls_last()])
-    v = add_ranks(v, ["carburant_nom", "date_prix"], "prix_euros", {}, percent="percentile")
+    v = add_ranks(v, ["carburant_nom", "date_prix"], "prix_euros", {}, percent="percentile",
+                  bounds=slice_bounds(valid_observations(li_prices(spark, d)), "prix_euros"))
     x = F.col("variation_semaine_pct")
     return v.select(
         "station_id", "carburant_nom", "carburant_id", "date_prix", "variation_semaine_pct",

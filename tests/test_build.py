@@ -16,7 +16,7 @@ def test_full_build(spark, tmp_dir):
     cfg = BuildConfig(raw_base=raw, out_base=out, as_of=AS_OF + dt.timedelta(hours=1))
     info = build(spark, cfg)
     assert info["entities"] == 2
-    fact = M.read_mart(spark, f"{out}/fct_prix_carburants")
+    fact = M.read_mart(spark, f"{out}/fct_prix_produits")
     assert fact.count() == 2
     rep = M.read_mart(spark, f"{out}/rpt_stations_moins_cheres").collect()
     assert {r["carburant_nom"] for r in rep} == {"GAZOLE", "SP95"}
@@ -58,5 +58,5 @@ def test_build_range_ranks_match_window(spark, tmp_dir):
         main(["build", "--raw", raw, "--out", out, "--as-of", "2024-01-01T13:00:00", "--max-window-rows", thr], spark)
         outs[thr] = sorted((r["station_id"], r["carburant_nom"], r["rang_national"], r["rang_region"],
                             r["percentile_national"])
-                           for r in M.read_mart(spark, f"{out}/fct_prix_carburants").collect())
+                           for r in M.read_mart(spark, f"{out}/fct_prix_produits").collect())
     assert outs["5000000"] == outs["0"] and len(outs["0"]) == 2
