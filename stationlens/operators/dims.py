@@ -1,17 +1,18 @@
 """Star schema: entity, product and region dimensions and the price fact (MOD8-10, MOD12).
 
 Join strategy: the calendar and the product reference table have a size fixed by
-construction (a date range, a seed) and are broadcast explicitly. Dimensions derived
-from the data (entities, products seen, regions) are left to AQE, which turns a
-sort-merge join into a broadcast only after measuring the dimension's actual shuffle
-size against ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+construction (a date range, a seed) and are broadcast explicitly. The product
+and region dimensions are looked up in the fact by a map that a scalar subquery reads
+(``lookup_keys``): a shuffle on their few values would leave all but a few tasks idle. The
+entity dimension grows with the data; its key is carried by the series, or its join is left
+to AQE.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationlens.functions.labels import (
@@ -85,6 +86,19 @@ def region_dim(enriched: DataFrame, codes: Mapping[str, str], code_default: str,
         F.coalesce("nb_stations", F.lit(0)).cast("long").alias("nb_stations"))
 
 
+MAX_LOOKUP = 100_000
+
+
+def lookup_keys(dim: DataFrame, key: Column, value: str) -> Column:
+    """key -> values of a dimension, as a scalar map: one row, shipped with the plan. A dimension of
+    more than ``MAX_LOOKUP`` keys is an error: it is no dimension of products or regions."""
+    lists = dim.select(key.alias("_k"), F.col(value).alias("_v")).filter(F.col("_k").isNotNull()) \
+        .groupBy("_k").agg(F.collect_list("_v").alias("_v"))
+    entries = F.map_from_entries(F.collect_list(F.struct("_k", "_v")))
+    return lists.agg(F.when(F.count(F.lit(1)) <= MAX_LOOKUP, entries).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_LOOKUP} keys in a looked-up dimension")))).scalar()
+
+
 FACT_MEASURES = (
     "prix_euros", "nb_updates_jour", "prix_veille", "variation_jour", "variation_jour_pct",
     "prix_semaine_precedente", "variation_semaine", "variation_semaine_pct",
@@ -108,20 +122,20 @@ def price_fact(series: DataFrame, dim_entity: DataFrame, dim_product: DataFrame,
     key_in_series = "station_key" in series.columns
     ds = dim_entity.select("station_key", F.col("station_id").alias("_sid"))
     if product_key == "name":
-        dc = dim_product.select("carburant_key", F.upper(F.trim("carburant_nom")).alias("_pid"))
-        pk = F.upper(F.trim(F.col("p.carburant_nom")))
+        dc, pk = F.upper(F.trim("carburant_nom")), F.upper(F.trim(F.col("p.carburant_nom")))
     else:
-        dc = dim_product.select("carburant_key", F.col("carburant_id").alias("_pid"))
-        pk = F.col("p.carburant_id")
+        dc, pk = F.col("carburant_id"), F.col("p.carburant_id")
     dd = F.broadcast(dim_date.select("date_key", F.col("date_day").alias("_day")))
-    dr = dim_region.select("region_key", F.col("region_nom").alias("_reg"))
     j = p if key_in_series else p.join(ds, F.col("p.station_id") == ds["_sid"], "left")
-    j = (j.join(dc, pk == dc["_pid"], "left")
-         .join(dd, F.col("p.date_prix") == dd["_day"], "left")
-         .join(dr, F.col("p.region") == dr["_reg"], "left"))
+    j = j.join(dd, F.col("p.date_prix") == dd["_day"], "left")
+    # a key that a dimension holds twice gives two rows, as a join would
+    j = j.select("p.*", *[c for c in ("station_key",) if not key_in_series], "date_key",
+                 F.explode_outer(F.element_at(lookup_keys(dim_product, dc, "carburant_key"), pk)).alias("carburant_key"))
+    j = j.select("*", F.explode_outer(F.element_at(
+        lookup_keys(dim_region, F.col("region_nom"), "region_key"), F.col("region"))).alias("region_key")).alias("p")
     return j.select(
         surrogate_key("p.station_id", "p.carburant_nom", "p.date_prix").alias("prix_key"),
-        F.col("p.station_key" if key_in_series else "station_key").alias("station_key"),
+        F.col("p.station_key").alias("station_key"),
         "carburant_key", "date_key", "region_key",
         "p.station_id", "p.carburant_nom", "p.carburant_id", "p.date_prix",
         "p.code_departement", "p.region", "p.type_station",

@@ -20,11 +20,11 @@ from stationlens.operators.enrich import ts_literal
 VALID_FROM, VALID_TO, SCD_ID = "valid_from", "valid_to", "scd_id"
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the row with the greatest ``order`` tuple (a single aggregate
-    with map-side combine; ties on the whole tuple resolve to the greatest row)."""
-    cols = [c for c in df.columns]
-    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(o) for o in order]))
+def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the row with the greatest ``order`` tuple, and of equal ones the greatest
+    row (a single aggregate with map-side combine)."""
+    row = F.struct(*[F.col(c) for c in df.columns])
+    best = F.max_by(row, F.struct(*[F.col(o) for o in order], row.alias("_row")))
     return df.groupBy(*key).agg(best.alias("_r")).select("_r.*")
 
 
@@ -36,43 +36,35 @@ def _empty_history(incoming: DataFrame) -> DataFrame:
 
 def scd2_timestamp(current: DataFrame | None, incoming: DataFrame, key: Sequence[str],
                    updated_at: str, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """SCD1: timestamp strategy. A key gets a new version when the incoming
-    ``updated_at`` is newer than its open version's; the old one is closed at that
-    time. Keys absent from the batch stay open (deletes are not closed). Rows with a
-    NULL ``updated_at`` cannot be ordered and are ignored."""
+    """SCD1: timestamp strategy. Every update of a key that is newer than its open version is a
+    version, valid until the next update; the first of them closes the open version. So several
+    batches give the same history as one. Of updates with equal times the greatest by ``tiebreak``
+    counts. Keys absent from the batch stay open (deletes are not closed). Rows with a NULL
+    ``updated_at`` cannot be ordered and are ignored; NULL key parts are values like others.
+
+    Next updates are found in slices of time (operators.ranking.sliced_shift), so a key with a third
+    of all updates is spread over tasks."""
+    from stationlens.operators.ranking import slice_bounds, sliced_shift
+
     key = list(key)
-    inc = latest_per_key(incoming.filter(F.col(updated_at).isNotNull()), key,
-                         [updated_at, *tiebreak])
-    data_cols = inc.columns
+    dated = incoming.filter(F.col(updated_at).isNotNull())
+    inc = latest_per_key(dated, [*key, updated_at], tiebreak)
     if current is None:
         current = _empty_history(inc)
+    data = inc.columns
     closed = current.filter(F.col(VALID_TO).isNotNull())
     open_ = current.filter(F.col(VALID_TO).isNull())
-    o = open_.alias("o")
-    i = inc.select(*[F.col(c).alias(f"_i_{c}") for c in data_cols])
-    j = o.join(i, [F.col(f"o.{k}").eqNullSafe(F.col(f"_i_{k}")) for k in key], "full")
-    has_open = F.col(f"o.{VALID_FROM}").isNotNull() | F.col(f"o.{SCD_ID}").isNotNull()
-    has_inc = F.col(f"_i_{key[0]}").isNotNull() if len(key) == 1 else \
-        F.coalesce(*[F.col(f"_i_{k}").isNotNull() for k in key])
-    newer = has_inc & (~has_open | (F.col(f"_i_{updated_at}") > F.col(f"o.{updated_at}")))
-    kept = j.filter(has_open).select(
-        *[F.col(f"o.{c}").alias(c) for c in data_cols],
-        F.col(f"o.{VALID_FROM}").alias(VALID_FROM),
-        F.when(newer, F.col(f"_i_{updated_at}")).alias(VALID_TO),
-        F.col(f"o.{SCD_ID}").alias(SCD_ID))
-    inserted = j.filter(newer).select(
-        *[F.col(f"_i_{c}").alias(c) for c in data_cols],
-        F.col(f"_i_{updated_at}").alias(VALID_FROM),
-        F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-        surrogate_key(*[F.col(f"_i_{k}") for k in key], F.col(f"_i_{updated_at}")).alias(SCD_ID))
-    return closed.unionByName(kept).unionByName(inserted)
-
-
-def _changed(cols: Sequence[str], left: str, right: str) -> Column:
-    cond = F.lit(False)
-    for c in cols:
-        cond = cond | ~F.col(f"{left}{c}").eqNullSafe(F.col(f"{right}{c}"))
-    return cond
+    known = open_.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.col(updated_at).alias("_o_at"),
+                         F.lit(True).alias("_o"))
+    newer = inc.join(known, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in key], "left") \
+        .filter(F.col("_o").isNull() | F.col("_o_at").isNull() | (F.col(updated_at) > F.col("_o_at")))
+    fresh = newer.select(*data, F.col(updated_at).alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
+                         surrogate_key(*key, updated_at).alias(SCD_ID), F.lit(True).alias("_new"))
+    rows = fresh.unionByName(open_.select(*data, VALID_FROM, VALID_TO, SCD_ID, F.lit(False).alias("_new")))
+    bounds = slice_bounds(dated, F.unix_micros(F.col(updated_at).cast("timestamp")))
+    following = sliced_shift(rows, key, ["_new", updated_at], [updated_at], "_next", +1, bounds, by=updated_at)
+    done = following.select(*data, VALID_FROM, F.col(f"_next.{updated_at}").cast("timestamp_ntz").alias(VALID_TO), SCD_ID)
+    return closed.select(*data, VALID_FROM, VALID_TO, SCD_ID).unionByName(done)
 
 
 def scd2_check(current: DataFrame | None, incoming: DataFrame, key: Sequence[str],
@@ -80,34 +72,33 @@ def scd2_check(current: DataFrame | None, incoming: DataFrame, key: Sequence[str
                order: Sequence[str] = ()) -> DataFrame:
     """SCD2: check strategy. A new version (valid from ``run_ts``) when any check column
     differs null-safely from the open version; keys missing from the batch are closed
-    at ``run_ts`` when ``close_missing``."""
+    at ``run_ts`` when ``close_missing``. Rows that repeat a key count once (the greatest by
+    ``order``); NULL key parts are values like others."""
     key = list(key)
     run = ts_literal(run_ts)
-    inc = latest_per_key(incoming, key, list(order) or list(key)) if order else incoming
-    data_cols = inc.columns
+    inc = latest_per_key(incoming, key, order)
+    data = inc.columns
     if current is None:
         current = _empty_history(inc)
     closed = current.filter(F.col(VALID_TO).isNotNull())
-    o = current.filter(F.col(VALID_TO).isNull()).alias("o")
-    i = inc.select(*[F.col(c).alias(f"_i_{c}") for c in data_cols])
+    o = current.filter(F.col(VALID_TO).isNull()).withColumn("_open", F.lit(True)).alias("o")
+    i = inc.select(*[F.col(c).alias(f"_i_{c}") for c in data], F.lit(True).alias("_came"))
     j = o.join(i, [F.col(f"o.{k}").eqNullSafe(F.col(f"_i_{k}")) for k in key], "full")
-    has_open = F.col(f"o.{SCD_ID}").isNotNull()
-    has_inc = F.col("_i_present")
-    j = j.withColumn("_i_present", F.coalesce(*[F.col(f"_i_{k}").isNotNull() for k in key]))
-    changed = has_open & has_inc & _changed(check_cols, "o.", "_i_")
-    gone = has_open & ~has_inc
-    close_now = changed | (gone & F.lit(close_missing))
-    kept = j.filter(has_open).select(
-        *[F.col(f"o.{c}").alias(c) for c in data_cols],
-        F.col(f"o.{VALID_FROM}").alias(VALID_FROM),
-        F.when(close_now, run).alias(VALID_TO),
-        F.col(f"o.{SCD_ID}").alias(SCD_ID))
-    new_version = has_inc & (~has_open | changed)
-    inserted = j.filter(new_version).select(
-        *[F.col(f"_i_{c}").alias(c) for c in data_cols],
-        run.alias(VALID_FROM), F.lit(None).cast("timestamp_ntz").alias(VALID_TO),
-        surrogate_key(*[F.col(f"_i_{k}") for k in key], run).alias(SCD_ID))
-    return closed.unionByName(kept).unionByName(inserted)
+    was, came = F.col("_open").isNotNull(), F.col("_came").isNotNull()
+    differs = F.lit(False)
+    for c in check_cols:
+        differs = differs | ~F.col(f"o.{c}").eqNullSafe(F.col(f"_i_{c}"))
+    changed = was & came & differs
+    ends = changed | (was & ~came & F.lit(close_missing))
+    none = F.lit(None).cast("timestamp_ntz")
+    kept = F.struct(*[F.col(f"o.{c}").alias(c) for c in data], F.col(f"o.{VALID_FROM}").alias(VALID_FROM),
+                    F.when(ends, run).otherwise(none).alias(VALID_TO), F.col(f"o.{SCD_ID}").alias(SCD_ID))
+    added = F.struct(*[F.col(f"_i_{c}").alias(c) for c in data], run.alias(VALID_FROM), none.alias(VALID_TO),
+                     surrogate_key(*[F.col(f"_i_{k}") for k in key], run).alias(SCD_ID))
+    # both rows of a key from one pass over the join
+    both = j.select(F.explode(F.filter(F.array(F.when(was, kept), F.when(came & (~was | changed), added)),
+                                       lambda x: x.isNotNull())).alias("_r")).select("_r.*")
+    return closed.select(*data, VALID_FROM, VALID_TO, SCD_ID).unionByName(both)
 
 
 def as_of_version(history: DataFrame, t) -> DataFrame:

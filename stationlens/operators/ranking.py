@@ -99,13 +99,14 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column]
 
 
 def sliced_shift(df: DataFrame, partition: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 out: str, direction: int = -1, bounds: Column | None = None) -> DataFrame:
+                 out: str, direction: int = -1, bounds: Column | None = None, by: str | None = None) -> DataFrame:
     """``lag``/``lead`` by one row of ``struct(cols)`` within ``partition`` by ``order`` (``direction``
     -1 = previous row, +1 = next row), for keys of any size: the neighbour comes from the row's
     slice (of the first order column) or, at a slice's edge, from the nearest slice's edge row
-    (one row per key and slice)."""
-    first = F.unix_micros(F.col(order[0]).cast("timestamp")) if dict(df.dtypes)[order[0]].startswith("timestamp") \
-        else F.col(order[0])
+    (one row per key and slice). ``by``: the column that is sliced, if not the first; it must
+    never decrease in the order."""
+    by = by or order[0]
+    first = F.unix_micros(F.col(by).cast("timestamp")) if dict(df.dtypes)[by].startswith("timestamp") else F.col(by)
     bounds = slice_bounds(df, first) if bounds is None else bounds
     laid = with_slice(df, first, bounds)
     payload = F.struct(*[F.col(c) for c in cols])

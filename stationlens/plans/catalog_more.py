@@ -51,26 +51,13 @@ SELECT {sk('station_id', 'carburant_nom')} AS prix_snapshot_key, station_id, car
 FROM stg_prix WHERE NOT is_prix_invalide AND date_maj IS NOT NULL""")
 
 
-def _batch(cond: str) -> str:
-    return f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY prix_snapshot_key
-                               ORDER BY date_maj DESC, prix_euros DESC, carburant_id DESC) AS rn
-  FROM snap_src WHERE {cond}) t WHERE rn = 1"""
-
-
-cte("snap_b1", ("snap_src",), _batch(f"date_maj < TIMESTAMP '{SNAP_CUT}'"))
-cte("snap_b2", ("snap_src",), _batch(f"date_maj >= TIMESTAMP '{SNAP_CUT}'"))
-cte("price_hist", ("snap_b1", "snap_b2"), f"""
-SELECT b1.*, b1.date_maj AS valid_from,
-       CASE WHEN b2.date_maj > b1.date_maj THEN b2.date_maj END AS valid_to,
-       {sk('b1.prix_snapshot_key', 'b1.date_maj')} AS scd_id
-FROM snap_b1 b1 LEFT JOIN snap_b2 b2 ON b1.prix_snapshot_key = b2.prix_snapshot_key
-UNION ALL
-SELECT b2.*, b2.date_maj AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to,
-       {sk('b2.prix_snapshot_key', 'b2.date_maj')} AS scd_id
-FROM snap_b2 b2 LEFT JOIN snap_b1 b1 ON b1.prix_snapshot_key = b2.prix_snapshot_key
-WHERE b1.prix_snapshot_key IS NULL OR b2.date_maj > b1.date_maj""")
+cte("price_hist", ("snap_src",), f"""
+SELECT * EXCLUDE (rn), date_maj AS valid_from,
+       lead(date_maj) OVER (PARTITION BY prix_snapshot_key ORDER BY date_maj) AS valid_to,
+       {sk('prix_snapshot_key', 'date_maj')} AS scd_id
+FROM (SELECT *, row_number() OVER (PARTITION BY prix_snapshot_key, date_maj
+                                   ORDER BY prix_euros DESC, carburant_id DESC) AS rn FROM snap_src) u
+WHERE rn = 1""")
 
 
 @register("scd_prices", sql("SELECT * FROM price_hist", "price_hist"))

@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,29 +45,44 @@ def read_mart(spark: SparkSession, path: str, lower: bool = True) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns]) if lower else df
 
 
-VERSION_COL = "snapshot_version"
+VERSION_COL, SOURCE_COL = "snapshot_version", "snapshot_source"
+
+
+def _history(spark: SparkSession, base: str) -> DataFrame | None:
+    """The stored versions, None when there is no dataset yet; any other failure is raised (a
+    storage fault must not look like an empty history)."""
+    try:
+        return spark.read.parquet(base)
+    except AnalysisException as e:
+        if (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
     """Highest committed version under ``base`` (None when there is none yet)."""
-    try:
-        df = spark.read.parquet(base)
-    except Exception:  # no dataset yet
-        return None
-    row = df.select(F.max(VERSION_COL).alias("v")).first()
+    df = _history(spark, base)
+    row = None if df is None else df.select(F.max(VERSION_COL).alias("v")).first()
     return None if row is None or row["v"] is None else int(row["v"])
 
 
+def version_sources(spark: SparkSession, base: str) -> set[str]:
+    """What wrote the versions (one name a version)."""
+    df = _history(spark, base)
+    return set() if df is None else {r[0] for r in df.select(SOURCE_COL).distinct().collect()}
+
+
 def read_history(spark: SparkSession, base: str) -> DataFrame | None:
     v = latest_version(spark, base)
     if v is None:
         return None
-    return spark.read.parquet(base).filter(F.col(VERSION_COL) == v).drop(VERSION_COL)
+    return spark.read.parquet(base).filter(F.col(VERSION_COL) == v).drop(VERSION_COL, SOURCE_COL)
 
 
-def write_history(df: DataFrame, base: str, version: int) -> None:
+def write_history(df: DataFrame, base: str, version: int, source: str = "run") -> None:
     """Append version ``version`` as a new partition; earlier versions stay readable."""
-    df.withColumn(VERSION_COL, F.lit(version)).write.mode("append").partitionBy(VERSION_COL).parquet(base)
+    df.withColumn(VERSION_COL, F.lit(version)).withColumn(SOURCE_COL, F.lit(source)) \
+        .write.mode("append").partitionBy(VERSION_COL, SOURCE_COL).parquet(base)
 
 
 def compact_history(spark: SparkSession, base: str, new_base: str, keep: int = 1) -> int | None:
@@ -78,5 +94,5 @@ def compact_history(spark: SparkSession, base: str, new_base: str, keep: int = 1
     if v is None:
         return None
     kept = spark.read.parquet(base).filter(F.col(VERSION_COL) > F.lit(v - keep))
-    kept.write.mode("errorifexists").partitionBy(VERSION_COL).parquet(new_base)
+    kept.write.mode("errorifexists").partitionBy(VERSION_COL, SOURCE_COL).parquet(new_base)
     return v

@@ -8,9 +8,10 @@ history (SCD1) and commits the result as the next version. With
 processes whatever arrived since the last run and stops.
 
 Exactly-once: the stream's checkpoint (in the shared checkpoint folder) records which
-files were consumed. The version written is the batch id, and a replayed batch whose
-version is already committed (driver lost between the write and the checkpoint
-commit) is skipped, so a replay never appends the same version twice.
+files were consumed. Each version names the stream and batch that wrote it; a replayed batch
+(driver lost between the write and the checkpoint commit) finds its pair in a version and is
+skipped. Any other batch merges onto the latest version, whatever its id: a stream with a new
+checkpoint, whose ids start at 0 again, or a gap in the ids lose nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from stationlens.functions.labels import surrogate_key
 from stationlens.operators.history import scd2_timestamp
 from stationlens.plans.fuel import clean_prices
 from stationlens.session import checkpoint_dir
-from stationlens.sources.marts import VERSION_COL, write_history
+from stationlens.sources.marts import latest_version, read_history, version_sources, write_history
 from stationlens.sources.raw import RAW_PRICES
 
 KEY = "prix_snapshot_key"
@@ -37,24 +38,20 @@ def snapshot_rows(raw_prices: DataFrame) -> DataFrame:
                     "is_prix_suspect", F.col("_loaded_at").alias("source_loaded_at"))
 
 
-def merge_batch(history_base: str):
-    """foreachBatch function: merge one batch into the latest version, write the next."""
+def merge_batch(history_base: str, stream_id: str | None = None):
+    """foreachBatch function: merge one batch into the latest version, write the next.
+    ``stream_id`` defaults to the running query's id, which its checkpoint keeps."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        from stationlens.sources.marts import latest_version
-
         spark = batch.sparkSession
-        done = latest_version(spark, history_base)
-        if done is not None and done >= batch_id:
+        stream = stream_id or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "stream"
+        source = f"{stream}:{batch_id}"
+        if source in version_sources(spark, history_base):
             return  # replay of a committed batch
-        rows = snapshot_rows(batch)
-        try:
-            all_versions = spark.read.parquet(history_base)
-            current = all_versions.filter(F.col(VERSION_COL) == F.lit(batch_id - 1)).drop(VERSION_COL)
-        except Exception:  # first batch: no history yet
-            current = None
-        merged = scd2_timestamp(current, rows, [KEY], "date_maj", ["prix_euros", "carburant_id"])
-        write_history(merged, history_base, batch_id)
+        done = latest_version(spark, history_base)
+        current = read_history(spark, history_base)
+        merged = scd2_timestamp(current, snapshot_rows(batch), [KEY], "date_maj", ["prix_euros", "carburant_id"])
+        write_history(merged, history_base, 0 if done is None else done + 1, source)
 
     return run
 
