@@ -43,40 +43,27 @@ CATEGORY_FLAGS = {
 NAME_FLAGS = {"has_gpl": "GPL"}  # flag -> substring of the service name
 
 
-def services_summary(services: DataFrame, key: str = "station_id",
-                     category_flags: Mapping[str, str] = CATEGORY_FLAGS,
-                     name_flags: Mapping[str, str] = NAME_FLAGS) -> DataFrame:
-    flags = [F.max(F.when(F.col("service_categorie") == cat, 1).otherwise(0)).alias(f)
-             for f, cat in category_flags.items()]
-    flags += [F.max(F.when(F.col("service_nom").contains(pat), 1).otherwise(0)).alias(f)
-              for f, pat in name_flags.items()]
-    return services.groupBy(key).agg(
-        F.count(F.lit(1)).alias("nb_services"),
-        sorted_distinct_list("service_nom").alias("services_list"),
-        sorted_distinct_list("service_categorie").alias("services_categories"),
-        *flags)
-
-
-def hours_summary(hours: DataFrame, key: str = "station_id") -> DataFrame:
-    is_open = ~F.col("is_ferme")
-    return hours.groupBy(key).agg(
-        F.count(F.when(is_open, 1)).alias("jours_ouverts"),
-        F.min(F.when(is_open, F.col("ouverture_1"))).alias("heure_ouverture_min"),
-        F.max(F.when(is_open, F.col("fermeture_1"))).alias("heure_fermeture_max"))
-
-
-def prices_summary(prices: DataFrame, key: str = "station_id") -> DataFrame:
-    ok = prices.filter(~F.col("is_prix_invalide") & ~F.col("is_prix_suspect"))
-    return ok.groupBy(key).agg(
-        F.count_distinct("carburant_nom").alias("nb_produits_disponibles"),
-        F.max("date_maj").alias("derniere_maj_prix"),
-        exact_avg("prix_euros").alias("prix_moyen_tous_produits"))
-
-
-def shortages_summary(shortages: DataFrame, key: str = "station_id") -> DataFrame:
-    return shortages.filter(F.col("is_en_cours")).groupBy(key).agg(
-        F.count(F.lit(1)).alias("nb_ruptures_en_cours"),
-        sorted_distinct_list("carburant_nom").alias("produits_en_rupture"))
+# What an absent summary counts as.
+DEFAULTS = {"nb_services": 0, "jours_ouverts_semaine": 0, "nb_produits_disponibles": 0, "nb_ruptures_en_cours": 0}
+
+
+def summaries(services: DataFrame, hours: DataFrame, prices: DataFrame, shortage_rows: DataFrame,
+              category_flags: Mapping[str, str] = CATEGORY_FLAGS,
+              name_flags: Mapping[str, str] = NAME_FLAGS) -> list[tuple[DataFrame, dict[str, Column]]]:
+    """What an entity's detail tables say about it: (rows that count, name -> aggregate)."""
+    open_day, good = ~F.col("is_ferme"), ~F.col("is_prix_invalide") & ~F.col("is_prix_suspect")
+    flags = {f: F.bool_or(F.col("service_categorie") == cat) for f, cat in category_flags.items()}
+    flags |= {f: F.bool_or(F.col("service_nom").contains(part)) for f, part in name_flags.items()}
+    return [
+        (services, {"nb_services": F.count(F.lit(1)), "services_list": sorted_distinct_list("service_nom"),
+                    "services_categories": sorted_distinct_list("service_categorie"), **flags}),
+        (hours.filter(open_day), {"jours_ouverts_semaine": F.count(F.lit(1)), "heure_ouverture_min": F.min("ouverture_1"),
+                                  "heure_fermeture_max": F.max("fermeture_1")}),
+        (prices.filter(good), {"nb_produits_disponibles": F.count_distinct("carburant_nom"),
+                               "derniere_maj_prix": F.max("date_maj"), "prix_moyen_tous_produits": exact_avg("prix_euros")}),
+        (shortage_rows.filter("is_en_cours"), {"nb_ruptures_en_cours": F.count(F.lit(1)),
+                                               "produits_en_rupture": sorted_distinct_list("carburant_nom")}),
+    ]
 
 
 def quality_score(as_of) -> Column:
@@ -91,33 +78,28 @@ def quality_score(as_of) -> Column:
     ])
 
 
+ATTRIBUTES = ("latitude", "longitude", "code_postal", "code_departement", "ville", "adresse", "type_station",
+              "is_automate_24_24")
+
+
 def enrich(stations: DataFrame, services: DataFrame, hours: DataFrame, prices: DataFrame,
            shortage_rows: DataFrame, as_of, region_fn: Callable[[str], Column],
            key: str = "station_id", category_flags: Mapping[str, str] = CATEGORY_FLAGS,
            name_flags: Mapping[str, str] = NAME_FLAGS) -> DataFrame:
-    sv = services_summary(services, key, category_flags, name_flags)
-    h = hours_summary(hours, key)
-    p = prices_summary(prices, key)
-    rp = shortages_summary(shortage_rows, key)
-    joined = (stations.join(sv, key, "left").join(h, key, "left")
-              .join(p, key, "left").join(rp, key, "left"))
-    flag_names = list(category_flags) + list(name_flags)
-    base = joined.select(
-        key, "latitude", "longitude", "code_postal", "code_departement",
-        region_fn("code_departement").alias("region"),
-        "ville", "adresse", "type_station", "is_automate_24_24",
-        F.coalesce("nb_services", F.lit(0)).cast("long").alias("nb_services"),
-        "services_list", "services_categories",
-        *[F.coalesce(F.col(f), F.lit(0)).cast("boolean").alias(f) for f in flag_names],
-        F.coalesce("jours_ouverts", F.lit(0)).cast("long").alias("jours_ouverts_semaine"),
-        "heure_ouverture_min", "heure_fermeture_max",
-        (F.col("is_automate_24_24") | F.coalesce(F.col("jours_ouverts") == 7, F.lit(False)))
-        .alias("is_ouvert_7j_7"),
-        F.coalesce("nb_produits_disponibles", F.lit(0)).cast("long").alias("nb_produits_disponibles"),
-        "derniere_maj_prix", "prix_moyen_tous_produits",
-        F.coalesce("nb_ruptures_en_cours", F.lit(0)).cast("long").alias("nb_ruptures_en_cours"),
-        "produits_en_rupture",
-        "_loaded_at",
-    )
-    return base.select(*[c for c in base.columns if c != "_loaded_at"],
-                       quality_score(as_of).cast("int").alias("data_quality_score"), "_loaded_at")
+    """MOD6: an entity's attributes with the summaries of its detail tables, their defaults filled
+    in, and the completeness score."""
+    out = stations.select(key, *ATTRIBUTES, region_fn("code_departement").alias("region"), "_loaded_at")
+    names: list[Column] = []
+    for rows, aggregates in summaries(services, hours, prices, shortage_rows, category_flags, name_flags):
+        out = out.join(rows.groupBy(key).agg(*[a.alias(n) for n, a in aggregates.items()]), key, "left")
+        for n in aggregates:
+            if n in DEFAULTS:
+                names.append(F.coalesce(n, F.lit(DEFAULTS[n])).cast("long").alias(n))
+            elif n in category_flags or n in name_flags:
+                names.append(F.coalesce(n, F.lit(False)).alias(n))
+            else:
+                names.append(F.col(n))
+    out = out.select(key, *ATTRIBUTES, "region", *names, "_loaded_at")
+    always_open = F.col("is_automate_24_24") | (F.col("jours_ouverts_semaine") == 7)
+    return out.select(*[c for c in out.columns if c != "_loaded_at"], always_open.alias("is_ouvert_7j_7"),
+                      quality_score(as_of).cast("int").alias("data_quality_score"), "_loaded_at")

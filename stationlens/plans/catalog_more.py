@@ -235,24 +235,21 @@ SELECT CAST(o_orderkey AS VARCHAR) AS ingestion_id, o_orderdate AS started_at,
        CASE WHEN o_orderstatus = 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status
 FROM orders""")
 
-_CUT24 = f"({O.EV_ASOF} - INTERVAL 24 HOUR)"
+# the first rule that holds gives the message: (rule, number of the message)
+_OLD = f"< {O.EV_ASOF} - INTERVAL 24 HOUR"
+_FRESH_RULES = (("last_success IS NULL", 0), (f"last_success {_OLD}", 1), ("most_recent_price_update IS NULL", 2),
+                (f"most_recent_price_update {_OLD}", 3), ("stations_with_recent_data < 100", 4))
 
 
 @register("dq_freshness", sql(f"""
-SELECT * FROM (
-  SELECT i.*, p.*,
-         CASE WHEN i.last_success IS NULL THEN {q(Q.FRESHNESS_MESSAGES[0])}
-              WHEN i.last_success < {_CUT24} THEN {q(Q.FRESHNESS_MESSAGES[1])}
-              WHEN p.most_recent_price_update IS NULL THEN {q(Q.FRESHNESS_MESSAGES[2])}
-              WHEN p.most_recent_price_update < {_CUT24} THEN {q(Q.FRESHNESS_MESSAGES[3])}
-              WHEN p.stations_with_recent_data < 100 THEN {q(Q.FRESHNESS_MESSAGES[4])}
-              ELSE {q(Q.FRESHNESS_MESSAGES[5])} END AS freshness_status
-  FROM (SELECT max(completed_at) AS last_successful_ingestion,
-               max(CASE WHEN status = 'SUCCESS' THEN completed_at END) AS last_success FROM run_log) i
-  CROSS JOIN (SELECT max(date_maj) AS most_recent_price_update,
-                     count(DISTINCT station_id) AS stations_with_recent_data
-              FROM stg_prix WHERE date_maj >= {_CUT24}) p) t
-WHERE freshness_status <> {q(Q.FRESHNESS_MESSAGES[5])}""", "run_log", "stg_prix"))
+WITH seen AS (
+  SELECT (SELECT max(completed_at) FROM run_log) AS last_successful_ingestion,
+         (SELECT max(completed_at) FROM run_log WHERE status = 'SUCCESS') AS last_success,
+         (SELECT max(date_maj) FROM stg_prix WHERE NOT date_maj {_OLD}) AS most_recent_price_update,
+         (SELECT count(DISTINCT station_id) FROM stg_prix WHERE NOT date_maj {_OLD}) AS stations_with_recent_data)
+SELECT *, list_filter([{', '.join(f'if({rule}, {q(Q.FRESHNESS_MESSAGES[m])}, NULL)' for rule, m in _FRESH_RULES)}],
+                      lambda x: x IS NOT NULL)[1] AS freshness_status
+FROM seen WHERE {' OR '.join(rule for rule, _ in _FRESH_RULES)}""", "run_log", "stg_prix"))
 def q_dq_freshness(spark, d):
     """DQ9: pipeline freshness (AGG13, AGG14, JOI9)."""
     return Q.pipeline_freshness(run_log(spark, d), EventsBuild(spark, d).prices, A.AS_OF_EVENTS)
