@@ -45,18 +45,3 @@ def test_cli_ingest_build_query(spark, tmp_dir, capsys):
     assert kp["nb_stations"] == 1 and float(kp["prix_min"]) == 1.899
     assert main(["query", "--out", out, "cheapest", "--product", "SP95"], spark) == 0
     assert "1001" in capsys.readouterr().out
-
-
-def test_build_range_ranks_match_window(spark, tmp_dir):
-    """Forcing the skew-safe rank layout (threshold 0) gives the same fact ranks."""
-    from stationlens.__main__ import main
-    raw = os.path.join(tmp_dir, "raw")
-    main(["ingest", "--feed", _feed_file(tmp_dir), "--raw", raw, "--as-of", "2024-01-01T12:00:00"], spark)
-    outs = {}
-    for thr in ("5000000", "0"):
-        out = os.path.join(tmp_dir, f"marts{thr}")
-        main(["build", "--raw", raw, "--out", out, "--as-of", "2024-01-01T13:00:00", "--max-window-rows", thr], spark)
-        outs[thr] = sorted((r["station_id"], r["carburant_nom"], r["rang_national"], r["rang_region"],
-                            r["percentile_national"])
-                           for r in M.read_mart(spark, f"{out}/fct_prix_produits").collect())
-    assert outs["5000000"] == outs["0"] and len(outs["0"]) == 2

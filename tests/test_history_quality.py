@@ -13,34 +13,45 @@ def _obs(spark, rows):
     return spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
 
 
-def test_scd_timestamp_incremental_equals_rebuild(spark):
+def test_scd_timestamp_batches_equal_one(spark):
+    """Any split into batches gives the same versions as all updates at once: every dated update."""
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
-    rows = [(f"k{rnd.randint(0, 9)}", base + dt.timedelta(hours=i), float(rnd.randint(1, 3)))
+    rows = [(f"k{rnd.randint(0, 9)}" if i % 3 else "hot", base + dt.timedelta(hours=i), float(rnd.randint(1, 3)))
             for i in range(120)]
+    rows += [("k1", None, 9.0), (None, base, 1.0), (None, base + dt.timedelta(hours=7), 2.0)]
+    rows += rows[:10]  # repeated updates
     df = _obs(spark, rows)
-    hist = None
-    for lo, hi in ((0, 40), (40, 80), (80, 120)):
-        batch = df.filter((F.col("ts") >= base + dt.timedelta(hours=lo)) & (F.col("ts") < base + dt.timedelta(hours=hi)))
-        hist = H.scd2_timestamp(hist, batch, ["k"], "ts")
-    got = sorted((r["k"], r["valid_from"], r["valid_to"]) for r in hist.collect())
-    # expected: per batch, the latest row per key becomes a version
-    latest = {}
-    for lo, hi in ((0, 40), (40, 80), (80, 120)):
-        b = {}
-        for k, ts, v in rows[lo:hi]:
-            if k not in b or ts > b[k]:
-                b[k] = ts
-        for k, ts in b.items():
-            latest.setdefault(k, []).append(ts)
-    exp = []
-    for k, tss in latest.items():
-        for i, ts in enumerate(tss):
-            exp.append((k, ts, tss[i + 1] if i + 1 < len(tss) else None))
-    assert got == sorted(exp)
-    # exactly one open version per key
-    open_ = hist.filter(F.col("valid_to").isNull()).groupBy("k").count()
-    assert open_.filter("count != 1").count() == 0
+    want = []
+    for k in {r[0] for r in rows}:
+        times = sorted({r[1] for r in rows if r[0] == k and r[1]})
+        want += [(k, t, n) for t, n in zip(times, [*times[1:], None])]
+    key = lambda x: (x[0] or "", x[1])
+    for cuts in ((0, 120), (0, 40, 80, 120), (0, 7, 60, 61, 120)):
+        hist = None
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = df.filter(F.col("ts").isNull() | ((F.col("ts") >= base + dt.timedelta(hours=lo))
+                                                     & (F.col("ts") < base + dt.timedelta(hours=hi))))
+            hist = H.scd2_timestamp(hist, part, ["k"], "ts").cache()
+        got = sorted(((r["k"], r["valid_from"], r["valid_to"]) for r in hist.collect()), key=key)
+        assert got == sorted(want, key=key)
+        again = H.scd2_timestamp(hist, df, ["k"], "ts")  # a replay adds nothing
+        assert again.count() == len(want)
+    at = H.as_of_version(hist, "2024-01-03 00:30:00").filter("k = 'hot'").collect()
+    assert [r["valid_from"] for r in at] == [max(r[1] for r in rows if r[0] == "hot" and r[1] and r[1] <= dt.datetime(2024, 1, 3, 0, 30))]
+
+
+def test_scd_check_repeated_and_null_keys(spark):
+    cols = "a string, b string, x string"
+    s1 = spark.createDataFrame([("k", "1", "p"), ("k", "1", "q"), (None, "2", "r"), ("k", None, "s"), (None, None, "t")], cols)
+    h = None
+    for day in (1, 2, 3):  # the same rows again change nothing
+        h = H.scd2_check(h, s1, ["a", "b"], ["x"], f"2024-01-0{day} 00:00:00").cache()
+    got = sorted((r["a"] or "", r["b"] or "", r["x"], r["valid_to"]) for r in h.collect())
+    assert got == [("", "", "t", None), ("", "2", "r", None), ("k", "", "s", None), ("k", "1", "q", None)]
+    assert h.select("scd_id").distinct().count() == 4
+    h = H.scd2_check(h, s1.filter("a is not null"), ["a", "b"], ["x"], "2024-01-04 00:00:00")
+    assert h.filter("a is null and valid_to is not null").count() == 2
 
 
 def test_scd_check_closes_missing_and_changed(spark):

@@ -1,11 +1,12 @@
-"""Daily series, lags, ranks (window vs skew-safe range strategy)."""
+"""Daily series, lags, ranks in slices against plain windows."""
 
 import datetime as dt
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stationlens.operators.ranking import add_ranks, range_row_number, window_row_number
+from stationlens.operators.ranking import add_ranks, slice_bounds, sliced_shift
 from stationlens.operators.series import add_calendar_lags, add_lags, daily_last
 
 
@@ -39,68 +40,87 @@ def test_lags_by_rows_and_calendar(spark):
     assert cal == {1: None, 2: 1.0, 4: None, 8: None, 9: 8.0}
 
 
-def test_range_row_number_matches_window(spark):
-    rnd = random.Random(7)
-    # one hot key holding most rows + many small keys, duplicate values (tie-break by id)
-    rows = [("hot" if i % 3 else f"k{i % 17}", round(rnd.uniform(1, 2), 2), i) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v double, id int")
-    order = [F.col("v").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    a = {r["id"]: r["rn"] for r in window_row_number(df, ["g"], order, "rn").collect()}
-    b = {r["id"]: r["rn"] for r in range_row_number(df, ["g"], order, "rn", num_partitions=8).collect()}
-    assert a == b
+def _windows(df, base, groups, value, tiebreak):
+    """The same ranks by one window for each group."""
+    order = [F.col(value).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tiebreak]]
+    cols = [F.row_number().over(Window.partitionBy(*base, *c).orderBy(*order)).cast("long").alias(n) for n, c in groups.items()]
+    return df.select("*", *cols, F.percent_rank().over(Window.partitionBy(*base).orderBy(F.col(value).asc_nulls_last())).alias("pr"))
 
 
-def test_add_ranks_strategies_agree(spark):
+def _same(a, b):
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+
+
+def test_ranks_equal_windows(spark):
     rnd = random.Random(3)
-    rows = [(f"s{i}", rnd.choice(["A", "B"]), rnd.choice(["r1", "r2", None]), round(rnd.uniform(1, 2), 1))
-            for i in range(400)]
+    # one product-day holds most rows; equal prices, NULL prices and NULL groups
+    rows = [(f"s{i}", "A" if i % 3 else rnd.choice("BCD"), rnd.choice(["r1", "r2", None]),
+             rnd.choice([None, 1.5, 1.5, round(rnd.uniform(1, 2), 2), 1e9, -1.0])) for i in range(3000)]
     df = spark.createDataFrame(rows, "e string, p string, r string, v double").withColumn("d", F.lit("2024-01-01"))
-    groups = {"rn_all": [], "rn_reg": ["r"]}
-    w = add_ranks(df, ["p", "d"], "v", groups, tiebreak=["e"], percent="pr", strategy="window")
-    r = add_ranks(df, ["p", "d"], "v", groups, tiebreak=["e"], percent="pr", strategy="range")
-    key = lambda x: (x["e"], x["p"])
-    wa = {key(x): (x["rn_all"], x["rn_reg"], round(x["pr"], 12)) for x in w.collect()}
-    ra = {key(x): (x["rn_all"], x["rn_reg"], round(x["pr"], 12)) for x in r.collect()}
-    assert wa == ra
-    # ranks are a permutation 1..n per partition, percent rank in [0, 1]
-    for p in ("A", "B"):
-        ns = sorted(v[0] for k, v in wa.items() if k[1] == p)
-        assert ns == list(range(1, len(ns) + 1))
-    assert all(0.0 <= v[2] <= 1.0 for v in wa.values())
-
-
-def test_rank_windows_share_one_exchange(spark):
+    groups = {"rn_all": [], "rn_reg": ["r"], "rn_two": ["r", "e"]}
+    want = _windows(df, ["p", "d"], groups, "v", ["e"])
+    for slices in (2, 7, 64):
+        _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", slice_bounds(df, "v", slices)), want)
+    far = slice_bounds(spark.createDataFrame([(5e9,)], "v double"), "v", 4)  # bounds of other data: same ranks
+    _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", far), want)
+    none = slice_bounds(df.limit(0), "v", 4)
+    _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", none), want)
+    assert add_ranks(df.limit(0), ["p", "d"], "v", groups, ["e"], "pr").count() == 0
+
+
+def _window_partitions(df) -> list[str]:
+    import re
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [re.sub(r"#\d+L?", "", m) for m in re.findall(r"Window \[.*?\], \[([^\]]*)\]", plan)]
+
+
+def test_rows_are_ranked_in_slices(spark):
+    """No window over the rows partitions by a whole product-day: those over whole groups read slice
+    counts, made by an aggregate."""
     df = spark.createDataFrame([("e", "p", "d", "r", 1.0)], "e string, p string, d string, r string, v double")
-    out = add_ranks(df, ["p", "d"], "v", {"a": [], "b": ["r"], "c": ["e"]}, tiebreak=["e"], percent="pr")
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    out = add_ranks(df, ["p", "d"], "v", {"a": [], "b": ["r"]}, tiebreak=["e"], percent="pr")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    import re
+    ranks = [re.sub(r"#\d+L?", "", x) for x in plan.split("\n") if "row_number()" in x or " rank(" in x]
+    assert ranks and all("_slice" in x.split("windowspecdefinition(")[1].split(" ASC")[0] for x in ranks)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(p") >= 1
+
 
+def test_a_hot_product_day_is_spread(spark):
+    """A product-day with a third of all rows: no (group, slice) holds more than its share."""
+    rows = [(f"s{i}", "hot" if i % 3 == 0 else f"p{i % 97}", float(i % 1009)) for i in range(9000)]
+    df = spark.createDataFrame(rows, "e string, p string, v double")
+    from stationlens.operators.ranking import with_slice
+    biggest = with_slice(df, "v", slice_bounds(df, "v", 30)).groupBy("p", "_slice").count().agg(F.max("count")).first()[0]
+    assert biggest < 3000 / 30 * 1.5
 
-def test_range_shift_matches_window_lag(spark):
-    from pyspark.sql import Window
-    from stationlens.operators.ranking import range_shift
+
+def test_neighbours_equal_windows(spark):
     rnd = random.Random(5)
-    rows = [("hot" if i % 4 else f"k{i % 13}", i, float(rnd.randint(0, 3))) for i in range(2500)]
-    df = spark.createDataFrame(rows, "g string, t int, v double")
-    w = Window.partitionBy("g").orderBy("t")
-    exp = {r["t"]: (r["p"], r["n"]) for r in df.select(
-        "t", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n")).collect()}
-    prev = range_shift(df, ["g"], ["t"], ["v"], "pv", -1, num_partitions=7)
-    both = range_shift(prev, ["g"], ["t"], ["v"], "nx", +1, num_partitions=5)
-    got = {r["t"]: (r["pv"]["v"] if r["pv"] else None, r["nx"]["v"] if r["nx"] else None) for r in both.collect()}
-    assert got == exp
-
-
-def test_scd_rebuild_range_equals_window(spark):
+    rows = [("hot" if i % 4 else (f"k{i % 13}" if i % 8 else None), i // 2, i, float(rnd.randint(0, 3))) for i in range(2500)]
+    df = spark.createDataFrame(rows, "g string, t int, i int, v double")
+    w = Window.partitionBy("g").orderBy("t", "i")
+    want = df.select("*", F.lag(F.struct("v")).over(w).alias("pv"), F.lead(F.struct("v")).over(w).alias("nx"))
+    for slices in (2, 9):
+        b = slice_bounds(df, "t", slices)
+        got = sliced_shift(sliced_shift(df, ["g"], ["t", "i"], ["v"], "pv", -1, b), ["g"], ["t", "i"], ["v"], "nx", +1, b)
+        _same(got, want)
+
+
+def test_scd_rebuild_equals_plain_changes(spark):
     from stationlens.operators.history import scd2_rebuild
     rnd = random.Random(9)
     base = dt.datetime(2024, 1, 1)
-    rows = [("hot" if i % 3 else f"k{i % 7}", base + dt.timedelta(minutes=i), float(rnd.randint(0, 2)))
-            for i in range(1500)]
-    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
-    a = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"]).collect())
-    b = sorted(tuple(r) for r in scd2_rebuild(df, ["k"], "ts", ["v"], strategy="range").collect())
-    assert a == b and len(a) > 100
+    rows = [("hot" if i % 3 else f"k{i % 7}", base + dt.timedelta(minutes=i), float(rnd.randint(0, 2))) for i in range(1500)]
+    got = sorted((r["k"], r["valid_from"], r["valid_to"], r["v"])
+                 for r in scd2_rebuild(spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double"), ["k"], "ts", ["v"]).collect())
+    want = []
+    for k in {r[0] for r in rows}:
+        seen = [r for r in rows if r[0] == k]
+        kept = [r for a, r in zip([None, *seen], seen) if a is None or a[2] != r[2]]
+        want += [(k, r[1], n[1] if n else None, r[2]) for r, n in zip(kept, [*kept[1:], None])]
+    key = lambda x: (x[0], x[1])
+    assert sorted(got, key=key) == sorted(want, key=key) and len(got) > 100
 
 
 def test_top_k_uses_window_group_limit(spark):
@@ -121,7 +141,7 @@ def test_daily_last_is_hash_aggregated_with_map_side_combine(spark):
     out = daily_last(df, "station", "product", "day", "ts", "v", ids=["pid"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
-    assert "partial_max_by" in plan  # second level folds each task's share before its shuffle
+    assert plan.count("partial_max(") == 1 and plan.count("Exchange") == 2  # the aggregate's, the ids'
     hot = [r for r in out.collect() if r["station"] == "hot"]
     # latest time 23:00 is shared by h = 23, 47, ..., 287: ties resolve to the larger value
     assert len(hot) == 1 and hot[0]["nb_updates_jour"] == 300 and hot[0]["v"] == 287.0

@@ -4,6 +4,8 @@ streaming refresh."""
 import datetime as dt
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stationlens.sources import feed as FD
@@ -101,11 +103,27 @@ def test_stream_batch_replay_is_skipped(spark, tmp_dir):
     hist = os.path.join(tmp_dir, "hist_replay")
     t = dt.datetime(2024, 1, 1)
     batch = spark.createDataFrame([("s1", "GAZOLE", "1", "1.70", "2024-01-01 08:00:00", t)], R.RAW_PRICES)
-    run = merge_batch(hist)
+    run = merge_batch(hist, "a")
     run(batch, 0)
     run(batch, 0)  # replay after a committed write: no second copy of version 0
     assert spark.read.parquet(hist).count() == 1
     assert M.latest_version(spark, hist) == 0
+    other = spark.createDataFrame([("s2", "GAZOLE", "1", "1.80", "2024-01-01 09:00:00", t)], R.RAW_PRICES)
+    merge_batch(hist, "b")(other, 0)  # a stream with a new checkpoint: its ids start at 0 again
+    third = spark.createDataFrame([("s3", "GAZOLE", "1", "1.90", "2024-01-01 10:00:00", t)], R.RAW_PRICES)
+    run(third, 5)  # a gap in the ids
+    assert sorted(r["station_id"] for r in M.read_history(spark, hist).collect()) == ["s1", "s2", "s3"]
+    assert M.latest_version(spark, hist) == 2
+
+
+def test_failing_read_is_not_an_empty_history(spark, tmp_dir):
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(os.path.join(bad, "snapshot_version=0"))
+    with open(os.path.join(bad, "snapshot_version=0", "part-0.parquet"), "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        M.latest_version(spark, bad)
+    assert M.latest_version(spark, os.path.join(tmp_dir, "nowhere")) is None
 
 
 def test_compact_history_keeps_last_versions(spark, tmp_dir):
