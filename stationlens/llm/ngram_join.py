@@ -42,7 +42,7 @@ from . import common as C
 SHINGLE, THRESHOLD = 5, 0.8
 HASHES, ROWS, STEP, TOLERANCE = 128, 4, 16, 1e-7
 BANDS = HASHES // ROWS
-BLOCK, VERIFY_BLOCK = 4096, 512
+BLOCK, VERIFY_BLOCK = 512, 512
 BROADCAST_IDS = 2_000_000  # 16 MB of ids
 REMEMBER = 300_000
 _M = np.uint64(0x9E3779B97F4A7C15)
