@@ -148,3 +148,34 @@ def raw_line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("string").alias("maj"),
         ts_literal(AS_OF_LINEITEM).alias("_loaded_at"),
     )
+
+
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested feed rows in the shape of the XML scan (sources.feed): one station per supplier, with
+    missing, empty and NULL nodes by the account balance."""
+    s, n = read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation")
+    nodes = {
+        "_id": "CAST(s_suppkey AS STRING)", "_latitude": "CAST(s_nationkey * 1000 AS STRING)",
+        "_longitude": "CASE WHEN s_acctbal > 0 THEN CAST(s_suppkey AS STRING) END",
+        "_cp": "lpad(CAST(s_suppkey AS STRING), 5, '0')", "_pop": "CASE WHEN s_acctbal > 5000 THEN 'R' END",
+        "adresse": "CASE WHEN s_acctbal > 0 THEN s_name END", "ville": "n_name",
+        "services": """CASE WHEN s_acctbal >= 0 THEN named_struct('service', CASE WHEN s_acctbal < 2000 THEN CAST(array() AS ARRAY<STRING>)
+            ELSE array('Lavage', '', CAST(NULL AS STRING), concat('Boutique ', s_nationkey)) END) END""",
+        "horaires": """CASE WHEN s_acctbal >= 0 THEN named_struct('_automate-24-24', CASE WHEN s_acctbal > 5000 THEN '1' END, 'jour',
+            CASE WHEN s_acctbal > 1000 THEN array(
+              named_struct('_nom', 'Lundi', '_ferme', CAST(NULL AS STRING), 'horaire', array(
+                named_struct('_ouverture', '08.00', '_fermeture', '12.00'), named_struct('_ouverture', '14.00', '_fermeture', CAST(NULL AS STRING)))),
+              named_struct('_nom', 'Dimanche', '_ferme', '1', 'horaire', NULL)) END) END""",
+        "prix": """CASE WHEN s_acctbal > 0 THEN array(
+              named_struct('_nom', 'Gazole', '_id', '1', '_valeur', CAST(s_acctbal AS STRING), '_maj', '2024-01-01 08:00:00'),
+              named_struct('_nom', n_name, '_id', CAST(NULL AS STRING), '_valeur', '', '_maj', CAST(NULL AS STRING))) END""",
+    }
+    return s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(*[F.expr(e).alias(c) for c, e in nodes.items()])
+
+
+def feed_shortage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested feed rows with a shortage child for each order that is not finished, none otherwise."""
+    child = """CASE WHEN o_orderstatus = 'F' THEN NULL WHEN o_orderstatus = 'P' THEN array(CAST(NULL AS STRUCT<_nom: STRING, _id: STRING, _debut: STRING, _fin: STRING, _type: STRING>))
+        ELSE array(named_struct('_nom', o_orderpriority, '_id', substr(o_orderpriority, 1, 1), '_debut', CAST(o_orderdate AS STRING),
+                                '_fin', CAST(NULL AS STRING), '_type', 'temporaire')) END"""
+    return read_table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("_id"), F.expr(child).alias("rupture"))

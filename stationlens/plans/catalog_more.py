@@ -602,3 +602,47 @@ WHERE p.carburant_id IS DISTINCT FROM s.carburant_id""", "stg_prix", "seed"))
 def q_dq_product_ids(spark, d):
     """S16 / DQ: feed product ids that differ from the reference table's ids."""
     return Q.product_id_mismatch(EventsBuild(spark, d).prices, fuel.product_seed(spark))
+
+
+# ---------------------------------------------------------------------------
+# Feed flattening and explodes (SRC2-5) over nested rows
+# ---------------------------------------------------------------------------
+
+@register("feed_stations", sql(f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CAST(s_nationkey * 1000 AS VARCHAR) AS latitude,
+       if(s_acctbal > 0, CAST(s_suppkey AS VARCHAR), NULL) AS longitude,
+       lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS cp, if(s_acctbal > 5000, 'R', NULL) AS pop,
+       if(s_acctbal > 0, s_name, '') AS adresse, n_name AS ville,
+       if(s_acctbal >= 2000, 'Lavage,Boutique ' || s_nationkey, '') AS services,
+       if(s_acctbal > 5000, '1', '') AS automate_24_24,
+       if(s_acctbal > 1000, 'Lundi::08.00-12.00;14.00-|Dimanche:1:', '') AS horaires_json, {O.EV_ASOF} AS _loaded_at
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""))
+def q_feed_stations(spark, d):
+    """SRC2 + SRC5: nested station rows flattened; missing nodes give empty texts."""
+    from stationlens.sources.feed import flatten_stations
+    return flatten_stations(A.feed_rows(spark, d), A.AS_OF_EVENTS)
+
+
+@register("feed_prices", sql(f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS station_id, x.n AS carburant_nom, x.i AS carburant_id, x.v AS valeur, x.m AS maj,
+       {O.EV_ASOF} AS _loaded_at
+FROM supplier JOIN nation ON s_nationkey = n_nationkey,
+     LATERAL (SELECT 'Gazole' AS n, '1' AS i, CAST(s_acctbal AS VARCHAR) AS v, '2024-01-01 08:00:00' AS m
+              UNION ALL SELECT n_name, NULL, '', NULL) x
+WHERE s_acctbal > 0"""))
+def q_feed_prices(spark, d):
+    """SRC3: a row for each price child; stations without prices give none."""
+    from stationlens.sources.feed import explode_prices
+    return explode_prices(A.feed_rows(spark, d), A.AS_OF_EVENTS)
+
+
+@register("feed_shortages", sql(f"""
+SELECT CAST(o_custkey AS VARCHAR) AS station_id, if(o_orderstatus = 'O', o_orderpriority, NULL) AS carburant_nom,
+       if(o_orderstatus = 'O', substr(o_orderpriority, 1, 1), NULL) AS carburant_id,
+       if(o_orderstatus = 'O', CAST(o_orderdate AS VARCHAR), NULL) AS debut, CAST(NULL AS VARCHAR) AS fin,
+       if(o_orderstatus = 'O', 'temporaire', NULL) AS type, {O.EV_ASOF} AS _loaded_at
+FROM orders WHERE o_orderstatus <> 'F'"""))
+def q_feed_shortages(spark, d):
+    """SRC4: a row for each shortage child, also an empty one."""
+    from stationlens.sources.feed import explode_shortages
+    return explode_shortages(A.feed_shortage_rows(spark, d), A.AS_OF_EVENTS)
