@@ -1,5 +1,5 @@
 """Data-quality checks (DQ1-12): each check returns the violating rows (zero rows =
-pass); :func:`run_suite` folds many checks into one result table.
+pass); :func:`run_rules` folds the declared ones into one result table.
 
 Every check is a filter or a pre-aggregated group-by; relationship checks
 deduplicate child keys before the anti join, so a hot key is one row by then.
@@ -8,11 +8,10 @@ deduplicate child keys before the anti join, so a hot key is one row by then.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationlens.functions.labels import out_of_box
 from stationlens.operators.enrich import ts_literal
@@ -158,30 +157,92 @@ class Check:
     column: str
     violations: DataFrame
     severity: str = "warn"
-    kind: str = field(default="")
 
 
-SUITE_SCHEMA = T.StructType([
-    T.StructField("check_name", T.StringType()), T.StructField("table_name", T.StringType()),
-    T.StructField("column_name", T.StringType()), T.StructField("severity", T.StringType()),
-    T.StructField("failures", T.LongType()), T.StructField("status", T.StringType()),
-])
+# ---------------------------------------------------------------------------
+# Declared rules: one scan per table
+# ---------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Rule:
+    """One declared rule of a column. The project's default severity is ``warn``."""
+    kind: str
+    args: tuple = ()
+    severity: str = "warn"
+
+    def broken(self, col: str):
+        """Whether a row breaks a rule that rows can break (None for unique and parent)."""
+        c = F.col(col)
+        if self.kind == "not_null":
+            return c.isNull()
+        if self.kind == "between":
+            return c.isNotNull() & ((c < F.lit(self.args[0])) | (c > F.lit(self.args[1])))
+        if self.kind == "length":
+            return c.isNotNull() & (F.length(col) != self.args[0])
+        if self.kind == "accepted":
+            return c.isNotNull() & ~c.isin(list(self.args))
+        return None
+
+
+def unique_rule() -> Rule:
+    return Rule("unique")
+
+
+def not_null_rule() -> Rule:
+    return Rule("not_null")
+
+
+def accepted(values: Iterable) -> Rule:
+    return Rule("accepted", tuple(values))
 
-def run_suite(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
-    """DQ12: one row per check (check, table, column, severity, failures, status).
-    Each check contributes a one-row aggregate; the union is evaluated as one job."""
+
+def between_rule(low, high) -> Rule:
+    return Rule("between", (low, high))
+
+
+def length(n: int) -> Rule:
+    return Rule("length", (n,))
+
+
+def parent(table: str, column: str) -> Rule:
+    return Rule("parent", (table, column))
+
+
+def run_rules(spark: SparkSession, tables: dict[str, DataFrame],
+              declared: dict[str, dict[str, tuple[Rule, ...]]], singular: Sequence[Check] = ()) -> DataFrame:
+    """DQ12: a row for each declared rule (and each check in ``singular``) with its failures. All rules
+    that single rows break are counted in one aggregate over their table; ``unique`` counts repeated
+    keys after a group-by of the column, ``parent`` keys without a parent row after one. Failures of
+    ``accepted`` are the rows outside the set."""
     parts = []
-    for c in checks:
-        n = c.violations.agg(F.count(F.lit(1)).alias("failures"))
-        parts.append(n.select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"),
-                              F.lit(c.column).alias("column_name"), F.lit(c.severity).alias("severity"),
-                              F.col("failures").cast("long").alias("failures")))
-    if not parts:
-        return spark.createDataFrame([], SUITE_SCHEMA)
+
+    def row(name, table, col, severity, n):
+        return F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
+                        F.lit(severity).alias("severity"), n.cast("long").alias("failures"))
+
+    for table, columns in declared.items():
+        df = tables[table]
+        rules = [(col, r) for col, rs in columns.items() for r in rs]
+        counted = [(col, r) for col, r in rules if r.broken(col) is not None]
+        if counted:
+            one = df.agg(*[F.count_if(r.broken(col)).alias(f"_{i}") for i, (col, r) in enumerate(counted)])
+            parts.append(one.select(F.explode(F.array(*[
+                row(f"{r.kind}_{col}", table, col, r.severity, F.col(f"_{i}")) for i, (col, r) in enumerate(counted)])).alias("_r"))
+                .select("_r.*"))
+        for col, r in rules:
+            if r.kind == "unique":
+                bad = unique(df, [col])
+            elif r.kind == "parent":
+                bad = relationships(df, col, tables[r.args[0]], r.args[1])
+            else:
+                continue
+            parts.append(bad.agg(F.count(F.lit(1)).alias("n")).select(row(f"{r.kind}_{col}", table, col, r.severity, F.col("n")).alias("_r"))
+                         .select("_r.*"))
+    for c in singular:
+        parts.append(c.violations.agg(F.count(F.lit(1)).alias("n"))
+                     .select(row(c.name, c.table, c.column, c.severity, F.col("n")).alias("_r")).select("_r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    status = (F.when(F.col("failures") == 0, "pass")
-              .when(F.col("severity") == "error", "error").otherwise("warn"))
+    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
     return out.select("*", status.alias("status"))

@@ -13,6 +13,7 @@ from stationlens.operators.anomalies import freshness_anomalies, volume_anomalie
 from stationlens.operators.enrich import ts_literal
 from stationlens.operators.reports import cheapest
 from stationlens.plans import adapters as A
+from stationlens.plans import checks as CHECKS
 from stationlens.plans import fuel
 from stationlens.plans import oracle as O
 from stationlens.plans.catalog import EventsBuild, neutral, register
@@ -241,7 +242,7 @@ _FRESH_RULES = (("last_success IS NULL", 0), (f"last_success {_OLD}", 1), ("most
                 (f"most_recent_price_update {_OLD}", 3), ("stations_with_recent_data < 100", 4))
 
 
-@register("dq_freshness", sql(f"""
+_FRESHNESS = (f"""
 WITH seen AS (
   SELECT (SELECT max(completed_at) FROM run_log) AS last_successful_ingestion,
          (SELECT max(completed_at) FROM run_log WHERE status = 'SUCCESS') AS last_success,
@@ -249,7 +250,10 @@ WITH seen AS (
          (SELECT count(DISTINCT station_id) FROM stg_prix WHERE NOT date_maj {_OLD}) AS stations_with_recent_data)
 SELECT *, list_filter([{', '.join(f'if({rule}, {q(Q.FRESHNESS_MESSAGES[m])}, NULL)' for rule, m in _FRESH_RULES)}],
                       lambda x: x IS NOT NULL)[1] AS freshness_status
-FROM seen WHERE {' OR '.join(rule for rule, _ in _FRESH_RULES)}""", "run_log", "stg_prix"))
+FROM seen WHERE {' OR '.join(rule for rule, _ in _FRESH_RULES)}""",)
+
+
+@register("dq_freshness", sql(_FRESHNESS[0], "run_log", "stg_prix"))
 def q_dq_freshness(spark, d):
     """DQ9: pipeline freshness (AGG13, AGG14, JOI9)."""
     return Q.pipeline_freshness(run_log(spark, d), EventsBuild(spark, d).prices, A.AS_OF_EVENTS)
@@ -275,67 +279,58 @@ def q_dq_source_freshness(spark, d):
                                "raw_ruptures": A.raw_shortages(spark, d)}, SOURCE_ASOF)
 
 
-@register("dq_suite", sql(f"""
-SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'error' THEN 'error' ELSE 'warn' END AS status
-FROM (
-  SELECT 'unique_station_id' AS check_name, 'stg_stations' AS table_name, 'station_id' AS column_name,
-         'error' AS severity, count(*) AS failures
-  FROM (SELECT station_id FROM stg_stations WHERE station_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) a
-  UNION ALL
-  SELECT 'not_null_code_postal', 'stg_stations', 'code_postal', 'error', count(*)
-  FROM stg_stations WHERE code_postal IS NULL
-  UNION ALL
-  SELECT 'accepted_type_station', 'stg_stations', 'type_station', 'error', count(*)
-  FROM (SELECT type_station FROM stg_stations
-        WHERE type_station IS NOT NULL AND type_station NOT IN ('Route', 'Autoroute', 'Inconnu') GROUP BY 1) b
-  UNION ALL
-  SELECT 'accepted_carburant_nom', 'stg_prix', 'carburant_nom', 'warn', count(*)
-  FROM (SELECT carburant_nom FROM stg_prix
-        WHERE carburant_nom IS NOT NULL AND carburant_nom NOT IN ({_NAMES}) GROUP BY 1) c
-  UNION ALL
-  SELECT 'between_prix_euros', 'stg_prix', 'prix_euros', 'warn', count(*)
-  FROM stg_prix WHERE prix_euros IS NOT NULL AND (prix_euros < 0.5 OR prix_euros > 5.0)
-  UNION ALL
-  SELECT 'between_latitude', 'stg_stations', 'latitude', 'warn', count(*)
-  FROM stg_stations WHERE latitude IS NOT NULL AND (latitude < 41.0 OR latitude > 52.0)
-  UNION ALL
-  SELECT 'length_code_postal', 'stg_stations', 'code_postal', 'warn', count(*)
-  FROM stg_stations WHERE code_postal IS NOT NULL AND length(code_postal) <> 5
-  UNION ALL
-  SELECT 'orphan_prices', 'stg_prix', 'station_id', 'error', count(*)
-  FROM (SELECT DISTINCT station_id FROM stg_prix) p
-  WHERE NOT EXISTS (SELECT 1 FROM stg_stations s WHERE s.station_id = p.station_id)
-  UNION ALL
-  SELECT 'accepted_service_categorie', 'stg_services', 'service_categorie', 'error', count(*)
-  FROM (SELECT service_categorie FROM stg_services WHERE service_categorie IS NOT NULL
-        AND service_categorie NOT IN ({', '.join(q(c) for c in fuel.SERVICE_CATEGORIES)}) GROUP BY 1) e
-  UNION ALL
-  SELECT 'accepted_jour_numero', 'stg_hours', 'jour_numero', 'error', count(*)
-  FROM (SELECT jour_numero FROM stg_hours WHERE jour_numero IS NOT NULL
-        AND jour_numero NOT IN (1, 2, 3, 4, 5, 6, 7) GROUP BY 1) f
-) t""", "stg_stations", "stg_prix", "stg_services", "stg_hours"))
+# oracle name of each checked table
+_CHECKED = {"stg_stations": "stg_stations", "stg_prix": "stg_prix", "stg_services": "stg_services", "stg_hours": "stg_hours",
+            "stg_shortages": "stg_shortages", "stations_enriched": "enriched", "daily_series": "series",
+            "dim_stations": "dim_stations", "dim_produits": "dim_products", "dim_regions": "dim_regions", "dim_date": "date_keys",
+            "fct_prix_produits": "fact", "rpt_prix_moyen_region": "regional", "rpt_stations_moins_cheres": "cheapest",
+            "rpt_evolution_prix_hebdo": "weekly", "seed_produits": "seed"}
+
+
+def _failures(table: str, col: str, rule) -> str:
+    """SQL that counts what breaks a declared rule."""
+    t, a = _CHECKED[table], rule.args
+    text = lambda v: q(v) if isinstance(v, str) else str(v)
+    return {
+        "unique": lambda: f"SELECT count(*) FROM (SELECT {col} FROM {t} GROUP BY {col} HAVING count({col}) > 1)",
+        "not_null": lambda: f"SELECT count(*) - count({col}) FROM {t}",
+        "accepted": lambda: f"SELECT count(*) FROM {t} WHERE {col} NOT IN ({', '.join(map(text, a))})",
+        "between": lambda: f"SELECT count(*) FROM {t} WHERE {col} NOT BETWEEN {a[0]} AND {a[1]}",
+        "length": lambda: f"SELECT count(*) FROM {t} WHERE length({col}) <> {a[0]}",
+        "parent": lambda: f"SELECT count(*) FROM (SELECT DISTINCT {col} AS k FROM {t} WHERE {col} IS NOT NULL) "
+                          f"WHERE k NOT IN (SELECT {a[1]} FROM {_CHECKED[a[0]]})",
+    }[rule.kind]()
+
+
+_SUITE = [(f"{r.kind}_{col}", table, col, r.severity, _failures(table, col, r))
+          for table, columns in CHECKS.DECLARED.items() for col, rules in columns.items() for r in rules]
+_SUITE += [("orphan_prices", "stg_prix", "station_id", "warn",
+            "SELECT count(DISTINCT station_id) FROM stg_prix WHERE station_id NOT IN (SELECT station_id FROM stg_stations)"),
+           ("coordinates_in_box", "stg_stations", "latitude,longitude", "warn",
+            "SELECT count(*) FROM stg_stations WHERE NOT (latitude BETWEEN 41 AND 52 AND longitude BETWEEN -6 AND 10) "
+            "AND left(code_departement, 2) NOT IN ('97', '98')"),
+           ("data_freshness", "run_log", "freshness_status", "warn", "SELECT count(*) FROM stale")]
+cte("stale", ("run_log", "stg_prix"), _FRESHNESS[0])
+
+
+@register("dq_suite", sql("SELECT *, if(failures = 0, 'pass', if(severity = 'error', 'error', 'warn')) AS status FROM (\n" + " UNION ALL\n".join(
+    f"SELECT {q(n)} AS check_name, {q(t)} AS table_name, {q(c)} AS column_name, {q(s)} AS severity, ({f}) AS failures"
+    for n, t, c, s, f in _SUITE) + ")", *_CHECKED.values(), "stale"))
 def q_dq_suite(spark, d):
-    """DQ11/DQ12: severity per check, all checks folded into one result table."""
+    """DQ1-DQ9, DQ11, DQ12: every declared check over all tables, in one result table."""
+    from stationlens.operators.reports import regional, weekly
+    from stationlens.session import checkpoint_dir
+    checkpoint_dir(spark)
     b = EventsBuild(spark, d)
-    st, pr = b.stations, b.prices
-    checks = [
-        Q.Check("unique_station_id", "stg_stations", "station_id", Q.unique(st, ["station_id"]), "error"),
-        Q.Check("not_null_code_postal", "stg_stations", "code_postal", Q.not_null(st, "code_postal"), "error"),
-        Q.Check("accepted_type_station", "stg_stations", "type_station",
-                Q.accepted_values(st, "type_station", ["Route", "Autoroute", "Inconnu"]), "error"),
-        Q.Check("accepted_carburant_nom", "stg_prix", "carburant_nom",
-                Q.accepted_values(pr, "carburant_nom", fuel.PRODUCT_NAMES), "warn"),
-        Q.Check("between_prix_euros", "stg_prix", "prix_euros",
-                Q.between(pr, "prix_euros", fuel.PRICE_MIN, fuel.PRICE_MAX), "warn"),
-        Q.Check("between_latitude", "stg_stations", "latitude", Q.between(st, "latitude", 41.0, 52.0), "warn"),
-        Q.Check("length_code_postal", "stg_stations", "code_postal", Q.length_eq(st, "code_postal", 5), "warn"),
-        Q.Check("orphan_prices", "stg_prix", "station_id", Q.orphans(pr, st), "error"),
-        Q.Check("accepted_service_categorie", "stg_services", "service_categorie",
-                Q.accepted_values(b.services, "service_categorie", fuel.SERVICE_CATEGORIES), "error"),
-        Q.Check("accepted_jour_numero", "stg_hours", "jour_numero",
-                Q.accepted_values(b.hours, "jour_numero", [1, 2, 3, 4, 5, 6, 7]), "error"),
-    ]
-    return Q.run_suite(spark, checks)
+    fact = b.fact().checkpoint()  # read by three reports and a dozen checks
+    tables = {"stg_stations": b.stations, "stg_prix": b.prices, "stg_services": b.services, "stg_hours": b.hours,
+              "stg_shortages": b.shortages, "stations_enriched": b.enriched, "daily_series": fact,
+              "dim_stations": b.dim_stations, "dim_produits": b.dim_products, "dim_regions": b.dim_regions, "dim_date": b.dim_date,
+              "fct_prix_produits": fact, "rpt_prix_moyen_region": regional(fact, b.dim_regions, A.AS_OF_EVENTS),
+              "rpt_stations_moins_cheres": cheapest(fact, b.dim_stations),
+              "rpt_evolution_prix_hebdo": weekly(fact, A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS),
+              "seed_produits": fuel.product_seed(spark)}
+    return Q.run_rules(spark, tables, CHECKS.DECLARED, CHECKS.singular(b.stations, b.prices, run_log(spark, d), A.AS_OF_EVENTS))
 
 
 # ---------------------------------------------------------------------------
