@@ -74,6 +74,18 @@ def volume_anomalies(df: DataFrame, ts: str, bucket: str = "1 day", step_seconds
     return _trailing_z(filled, "row_count", trailing, sensitivity)
 
 
+def run_volume_anomalies(runs: DataFrame, sensitivity: dict[str, float], trailing: int = 14,
+                         default: float = 3.0) -> DataFrame:
+    """OBS1 between builds: ``runs`` has a row for each build and table (table_name, run_at,
+    row_count); each count against the builds before. For tables whose rows carry one load time,
+    buckets of that time would hold a single value."""
+    found = _trailing_z(runs.select("table_name", F.col("run_at").alias("bucket_start"), "row_count"), "row_count", trailing, default)
+    limit = F.lit(default)
+    for table, s in sensitivity.items():
+        limit = F.when(F.col("table_name") == table, F.lit(s)).otherwise(limit)
+    return found.withColumn("is_anomaly", F.coalesce(F.abs("z_score") > limit, F.lit(False)))
+
+
 def freshness_anomalies(df: DataFrame, ts: str, bucket: str = "6 hours", step_seconds: int = 21600,
                         sensitivity: float = 3.0, trailing: int = 14, table: str = "table") -> DataFrame:
     """OBS2: staleness at each bucket end = seconds since the last update seen so far;

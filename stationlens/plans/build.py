@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlens.operators import quality as Q
-from stationlens.operators.anomalies import price_anomalies, volume_anomalies
+from stationlens.operators.anomalies import freshness_anomalies, price_anomalies, run_volume_anomalies, volume_anomalies
 from stationlens.operators.dims import entity_dim, price_fact, product_dim, region_dim
 from stationlens.operators.enrich import enrich
 from stationlens.operators.explode import calendar
@@ -33,10 +33,12 @@ from stationlens.functions.labels import surrogate_key
 from stationlens.plans import fuel
 from stationlens.session import checkpoint_dir, configure
 from stationlens.sources import marts as M
-from stationlens.sources.raw import RAW_PRICES, RAW_SHORTAGES, RAW_STATIONS, read_raw
+from stationlens.plans.checks import DECLARED, singular
+from stationlens.sources.raw import RAW_PRICES, RAW_RUN_LOG, RAW_SHORTAGES, RAW_STATIONS, read_raw
 
-# Monitored tables (OBS3) -> (timestamp column, sensitivity).
-MONITORED_TABLES = {"dim_stations": ("loaded_at", 2.0), "fct_prix_produits": ("derniere_maj", 3.0)}
+# Monitored tables (OBS3) -> sensitivity of their row counts between builds.
+MONITORED_TABLES = {"fct_prix_produits": 3.0, "dim_stations": 2.0, "dim_produits": 3.0, "dim_regions": 3.0, "dim_date": 3.0}
+FACT_SENSITIVITY = 3.0
 STATION_SNAPSHOT_COLS = ("adresse", "ville", "code_postal", "services_list", "is_automate_24_24", "type_station")
 
 
@@ -112,49 +114,42 @@ def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
     _next_version(spark, f"{out}/snap_stations", lambda cur: scd2_check(
         cur, snap_st, ["station_id"], STATION_SNAPSHOT_COLS, cfg.as_of))
 
-    checks = default_checks(stations, prices, services, hours, enriched, fact, d_st, d_pr)
-    M.write_mart(Q.run_suite(spark, checks), f"{out}/quality_results")
-    monitors = [volume_anomalies(M.read_mart(spark, f"{out}/{t}"), ts, sensitivity=sens, table=t)
-                for t, (ts, sens) in MONITORED_TABLES.items()]
-    mon = monitors[0]
-    for m in monitors[1:]:
-        mon = mon.unionByName(m)
-    M.write_mart(mon, f"{out}/volume_monitors")
+    marts = {n: M.read_mart(spark, f"{out}/{n}") for n in (
+        "rpt_prix_moyen_region", "rpt_stations_moins_cheres", "rpt_evolution_prix_hebdo")}
+    tables = {"raw_stations": raw_st, "raw_prix": raw_px, "stg_stations": stations, "stg_prix": prices, "stg_services": services,
+              "stg_hours": hours, "stg_shortages": short, "stations_enriched": enriched, "daily_series": series,
+              "dim_stations": d_st, "dim_produits": d_pr, "dim_regions": d_rg, "dim_date": d_dt, "fct_prix_produits": fact,
+              "seed_produits": seed, **marts}
+    log = read_raw(spark, f"{cfg.raw_base}/raw_ingestion_log", RAW_RUN_LOG)
+    M.write_mart(Q.run_rules(spark, tables, DECLARED, singular(stations, prices, log, cfg.as_of)), f"{out}/quality_results")
+    M.write_mart(Q.source_freshness({"raw_stations": raw_st, "raw_prix": raw_px, "raw_ruptures": raw_ru}, cfg.as_of),
+                 f"{out}/source_freshness")
+    _monitors(spark, out, tables, cfg.as_of)
     return {"entities": n_entities}
 
 
+def _monitors(spark: SparkSession, out: str, tables: dict[str, DataFrame], as_of: _dt.datetime) -> None:
+    """OBS1-OBS3: row counts of the monitored tables kept from build to build, the fact's rows by price
+    day, and the age of its updates."""
+    counted = [tables[t].agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(t).alias("table_name"), F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz").alias("run_at"), "row_count")
+        for t in MONITORED_TABLES]
+    now = counted[0]
+    for c in counted[1:]:
+        now = now.unionByName(c)
+    now.write.mode("append").parquet(f"{out}/run_counts")
+    runs = M.read_mart(spark, f"{out}/run_counts")
+    fact = tables["fct_prix_produits"]
+    by_day = volume_anomalies(fact.filter(F.col("date_prix").isNotNull()).withColumn("day", F.col("date_prix").cast("timestamp")),
+                              "day", sensitivity=FACT_SENSITIVITY, table="fct_prix_produits by day")
+    M.write_mart(run_volume_anomalies(runs, MONITORED_TABLES).unionByName(by_day), f"{out}/volume_monitors")
+    M.write_mart(freshness_anomalies(fact.filter(F.col("derniere_maj").isNotNull()), "derniere_maj",
+                                     sensitivity=FACT_SENSITIVITY, table="fct_prix_produits"), f"{out}/freshness_monitors")
+
+
 def _next_version(spark: SparkSession, base: str, merge) -> int:
     v = M.latest_version(spark, base)
     current = M.read_history(spark, base) if v is not None else None
     nxt = 0 if v is None else v + 1
     M.write_history(merge(current), base, nxt)
     return nxt
-
-
-def default_checks(stations: DataFrame, prices: DataFrame, services: DataFrame, hours: DataFrame,
-                   enriched: DataFrame, fact: DataFrame, d_st: DataFrame, d_pr: DataFrame) -> list[Q.Check]:
-    """The declared column tests and singular tests (DQ1-DQ8) with their severities."""
-    return [
-        Q.Check("unique_station_id", "stg_stations", "station_id", Q.unique(stations, ["station_id"]), "error"),
-        Q.Check("not_null_code_postal", "stg_stations", "code_postal", Q.not_null(stations, "code_postal"), "error"),
-        Q.Check("between_latitude", "stg_stations", "latitude", Q.between(stations, "latitude", 41.0, 52.0), "warn"),
-        Q.Check("between_longitude", "stg_stations", "longitude", Q.between(stations, "longitude", -5.5, 10.0), "warn"),
-        Q.Check("length_code_postal", "stg_stations", "code_postal", Q.length_eq(stations, "code_postal", 5), "warn"),
-        Q.Check("accepted_type_station", "stg_stations", "type_station",
-                Q.accepted_values(stations, "type_station", ["Route", "Autoroute", "Inconnu"]), "error"),
-        Q.Check("accepted_carburant_nom", "stg_prix", "carburant_nom",
-                Q.accepted_values(prices, "carburant_nom", fuel.PRODUCT_NAMES), "warn"),
-        Q.Check("between_prix_euros", "stg_prix", "prix_euros",
-                Q.between(prices, "prix_euros", fuel.PRICE_MIN, fuel.PRICE_MAX), "warn"),
-        Q.Check("accepted_service_categorie", "stg_services", "service_categorie",
-                Q.accepted_values(services, "service_categorie", fuel.SERVICE_CATEGORIES), "error"),
-        Q.Check("accepted_jour_numero", "stg_hours", "jour_numero",
-                Q.accepted_values(hours, "jour_numero", [1, 2, 3, 4, 5, 6, 7]), "error"),
-        Q.Check("between_quality_score", "int_stations_enriched", "data_quality_score",
-                Q.between(enriched, "data_quality_score", 0, 100), "error"),
-        Q.Check("unique_carburant_id", "dim_produits", "carburant_id", Q.unique(d_pr, ["carburant_id"]), "error"),
-        Q.Check("relationship_station_key", "fct_prix_produits", "station_key",
-                Q.relationships(fact, "station_key", d_st, "station_key"), "error"),
-        Q.Check("coordinates_in_box", "stg_stations", "latitude,longitude", Q.in_box(stations), "error"),
-        Q.Check("orphan_prices", "stg_prix", "station_id", Q.orphans(prices, stations), "error"),
-    ]

@@ -280,7 +280,7 @@ def q_dq_source_freshness(spark, d):
 
 
 # oracle name of each checked table
-_CHECKED = {"stg_stations": "stg_stations", "stg_prix": "stg_prix", "stg_services": "stg_services", "stg_hours": "stg_hours",
+_CHECKED = {"raw_stations": "raw_stations", "raw_prix": "raw_prix", "stg_stations": "stg_stations", "stg_prix": "stg_prix", "stg_services": "stg_services", "stg_hours": "stg_hours",
             "stg_shortages": "stg_shortages", "stations_enriched": "enriched", "daily_series": "series",
             "dim_stations": "dim_stations", "dim_produits": "dim_products", "dim_regions": "dim_regions", "dim_date": "date_keys",
             "fct_prix_produits": "fact", "rpt_prix_moyen_region": "regional", "rpt_stations_moins_cheres": "cheapest",
@@ -323,7 +323,7 @@ def q_dq_suite(spark, d):
     checkpoint_dir(spark)
     b = EventsBuild(spark, d)
     fact = b.fact().checkpoint()  # read by three reports and a dozen checks
-    tables = {"stg_stations": b.stations, "stg_prix": b.prices, "stg_services": b.services, "stg_hours": b.hours,
+    tables = {"raw_stations": b.raw_stations, "raw_prix": A.raw_prices(spark, d), "stg_stations": b.stations, "stg_prix": b.prices, "stg_services": b.services, "stg_hours": b.hours,
               "stg_shortages": b.shortages, "stations_enriched": b.enriched, "daily_series": fact,
               "dim_stations": b.dim_stations, "dim_produits": b.dim_products, "dim_regions": b.dim_regions, "dim_date": b.dim_date,
               "fct_prix_produits": fact, "rpt_prix_moyen_region": regional(fact, b.dim_regions, A.AS_OF_EVENTS),

@@ -17,6 +17,8 @@ PRICE = between_rule(fuel.PRICE_MIN, fuel.PRICE_MAX)
 
 # Which columns are checked for what.
 DECLARED: dict[str, dict[str, tuple[Rule, ...]]] = {
+    "raw_stations": {"station_id": (NOT_NULL,)},
+    "raw_prix": {"station_id": (NOT_NULL,)},
     "stg_stations": {"station_id": KEY, "latitude": (between_rule(41.0, 52.0),), "longitude": (between_rule(-5.5, 10.0),),
                      "code_postal": (NOT_NULL, length(5)), "type_station": (accepted(("Route", "Autoroute", "Inconnu")),)},
     "stg_prix": {"station_id": (NOT_NULL,), "carburant_nom": (NOT_NULL, accepted(fuel.PRODUCT_NAMES)), "prix_euros": (PRICE,)},
