@@ -84,5 +84,31 @@ FROM marked GROUP BY doc_id
 """
 
 
+NGRAM_JOIN_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE
+           WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+           WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM words),
+kinds AS (SELECT s, count(*) AS copies, min(doc_id) AS rep FROM sets GROUP BY s),
+grams AS (SELECT rep, len(s) AS n, unnest(s) AS gram FROM kinds),
+shared AS (
+  SELECT a.rep AS x, b.rep AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS n
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.rep <> b.rep GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared WHERE n >= 0.8 * (nx + ny - n)),
+reach AS (
+  SELECT rep AS x, rep AS y FROM kinds
+  UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+named AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+counted AS (SELECT l.x, sum(k.copies) AS n FROM links l JOIN kinds k ON k.rep = l.y GROUP BY l.x)
+SELECT sets.doc_id, named.class_id, CAST(coalesce(counted.n, 0) + kinds.copies - 1 AS BIGINT) AS n_links,
+       kinds.copies - 1 AS n_copies
+FROM sets JOIN kinds ON sets.s = kinds.s JOIN named ON named.x = kinds.rep LEFT JOIN counted ON counted.x = kinds.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_dedup": LINE_DEDUP_SQL}
+    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_line_dedup": LINE_DEDUP_SQL}
