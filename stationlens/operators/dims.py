@@ -1,8 +1,7 @@
 """Star schema: entity, product and region dimensions and the price fact (MOD8-10, MOD12).
 
-Join strategy: the calendar and the product reference table have a size fixed by
-construction (a date range, a seed) and are broadcast explicitly. The product
-and region dimensions are looked up in the fact by a map that a scalar subquery reads
+Join strategy: the calendar has a size fixed by construction (a date range) and is
+broadcast explicitly. The product and region dimensions are looked up in the fact by a map that a scalar subquery reads
 (``lookup_keys``): a shuffle on their few values would leave all but a few tasks idle. The
 entity dimension grows with the data; its key is carried by the series, or its join is left
 to AQE.
@@ -44,7 +43,7 @@ def product_dim(prices: DataFrame, seed: DataFrame) -> DataFrame:
     therefore give two rows with the same coalesced id (caught by the unique check).
     """
     seen = prices.select("carburant_nom", "carburant_id").distinct()
-    s = F.broadcast(seed.alias("s"))
+    s = seed.alias("s")
     j = seen.alias("p").join(s, F.upper(F.trim("p.carburant_nom")) == F.upper(F.trim("s.carburant_nom")),
                              "left")
     combined = j.select(

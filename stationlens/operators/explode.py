@@ -34,10 +34,6 @@ def explode_list(df: DataFrame, col: str, sep: str, out: str, keep: Sequence[str
 DAY_NUMBERS = {name.upper(): i + 1 for i, name in enumerate(DAY_NAMES_FR)}
 
 
-def initcap_word(c: Column) -> Column:
-    return F.initcap(c)
-
-
 def explode_periods(df: DataFrame, col: str, keep: Sequence[str],
                     day_numbers: Mapping[str, int] = DAY_NUMBERS) -> DataFrame:
     """GEN2 + PRJ16/17: 'Day:closed:o-f;o-f|Day:...' -> one row per day.
@@ -67,7 +63,7 @@ def explode_periods(df: DataFrame, col: str, keep: Sequence[str],
     return parsed.select(
         *keep,
         F.try_element_at(numbers, F.upper("_name")).cast("int").alias("jour_numero"),
-        initcap_word(F.col("_name")).alias("jour_nom"),
+        F.initcap("_name").alias("jour_nom"),
         "is_ferme",
         F.when(has_first, part(1, 1)).alias("ouverture_1"),
         F.when(has_first, part(1, 2)).alias("fermeture_1"),

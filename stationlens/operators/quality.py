@@ -92,15 +92,15 @@ def product_id_mismatch(prices: DataFrame, seed: DataFrame, name: str = "carbura
                         pid: str = "carburant_id") -> DataFrame:
     """S16 check: feed (name, id) pairs whose id differs from the reference table's id for
     the same normalised name -- the fact joins the product dimension on the feed id, so
-    such rows get no product key. One row per distinct pair (seed side broadcast: a
-    fixed reference table)."""
+    such rows get no product key. One row per distinct pair."""
     pairs = prices.select(name, pid).distinct()
-    ref = F.broadcast(seed.select(F.upper(F.trim(name)).alias("_n"), F.col(pid).alias("reference_id")))
+    ref = seed.select(F.upper(F.trim(name)).alias("_n"), F.col(pid).alias("reference_id"))
     j = pairs.join(ref, F.upper(F.trim(pairs[name])) == ref["_n"], "inner")
     return j.filter(~F.col(pid).eqNullSafe(F.col("reference_id"))).select(
         name, F.col(pid).alias("feed_id"), "reference_id")
 
 
+# The message of each freshness rule, in the order of the rules.
 FRESHNESS_MESSAGES = (
     "No successful ingestion found", "Last successful ingestion is too old",
     "No recent price data found", "Most recent price update is too old",

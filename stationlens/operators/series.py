@@ -158,10 +158,6 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
     lag_cols = []
     for prev, (a, p) in VARIATION_NAMES.items():
         lag_cols += [prev, a, p]
-    return ranked.select(entity, product, product_id, *attributes, day, value, last_ts_name(),
+    return ranked.select(entity, product, product_id, *attributes, day, value, "derniere_maj",
                          "nb_updates_jour", *lag_cols, *groups.keys(), "percentile_national",
                          *([entity_key] if entity_key else []))
-
-
-def last_ts_name() -> str:
-    return "derniere_maj"
