@@ -8,7 +8,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe_fst, fingerprint, line_dedup, ngram_join, packing, quality, secret_scan, token_count, toxicity
+from . import (
+    ann,
+    bpe_fst,
+    fingerprint,
+    line_dedup,
+    ngram_join,
+    packing,
+    periodic_runs,
+    quality,
+    secret_scan,
+    token_count,
+    toxicity,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +70,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.plant(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
