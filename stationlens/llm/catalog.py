@@ -18,8 +18,10 @@ from . import (
     periodic_runs,
     quality,
     secret_scan,
+    token_alignment,
     token_count,
     toxicity,
+    warc_bundles,
 )
 from .common import table
 
@@ -70,6 +72,15 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN)
 
 
+def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.archive_pages(table(spark, sf_dir, "pages"), min_bytes=1000)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.plant(table(spark, sf_dir, "documents")))
 
@@ -126,5 +137,20 @@ FROM sets JOIN kinds ON sets.s = kinds.s JOIN named ON named.x = kinds.rep LEFT
 """
 
 
+WARC_SQL = """
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS html, url FROM pages),
+sized AS (SELECT *, strlen(html) AS n FROM p),
+kept AS (SELECT html, max(page_id) AS keeper FROM sized WHERE n >= 1000 GROUP BY html),
+marked AS (
+  SELECT s.*, k.keeper, (k.keeper IS NOT NULL AND s.page_id IS DISTINCT FROM k.keeper) AS again
+  FROM sized s LEFT JOIN kept k ON s.html = k.html)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN keeper END AS refers_to, url
+FROM marked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_line_dedup": LINE_DEDUP_SQL}
+    return {"op4_ngram_join": NGRAM_JOIN_SQL, "op7_line_dedup": LINE_DEDUP_SQL, "op11_warc_bundles": WARC_SQL}
