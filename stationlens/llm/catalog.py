@@ -73,7 +73,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc_bundles.archive_pages(table(spark, sf_dir, "pages"), min_bytes=1000)
+    return warc_bundles.archive_pages(table(spark, sf_dir, "pages"), min_bytes=1000).drop("url")
 
 
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +139,7 @@ FROM sets JOIN kinds ON sets.s = kinds.s JOIN named ON named.x = kinds.rep LEFT
 
 WARC_SQL = """
 WITH p AS (
-  SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS html, url FROM pages),
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
 sized AS (SELECT *, strlen(html) AS n FROM p),
 kept AS (SELECT html, max(page_id) AS keeper FROM sized WHERE n >= 1000 GROUP BY html),
 marked AS (
@@ -147,7 +147,7 @@ marked AS (
   FROM sized s LEFT JOIN kept k ON s.html = k.html)
 SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
        CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN again THEN keeper END AS refers_to, url
+       CASE WHEN again THEN keeper END AS refers_to
 FROM marked
 """
 
