@@ -31,6 +31,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,13 +49,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from stationlens.session import checkpoint_dir
 
 from . import common as C
-from .packing import Encoder
-from .token_count import byte_letters, library
+from .token_count import byte_letters
 
 BLOCK_PAIRS = 2_000_000
 #: Characters aligned at a time.
 SLICE_CHARS = 1 << 20
 WIDE = 4096
+#: Chunks remembered in a worker before it starts anew (bounds memory, not work).
+REMEMBER = 300_000
+_CUT = re.compile(r"(?<=\S)(?= )")
 SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
 #: A block: its documents' figures; its distinct pairs, in order, and how many documents hold each;
@@ -124,33 +129,70 @@ class Aligned:
 
 
 class Aligner:
-    """Aligns texts by a byte-level BPE JSON (A) and a sentencepiece model (B)."""
+    """Aligns texts by a byte-level BPE JSON (A) and a sentencepiece model (B).
+
+    Both tokenizers cut before a space that follows a character other than white space (of B this is
+    checked on its vocabulary), so texts are encoded in such chunks, mostly a word each, and chunks are
+    remembered. A text with a chunk whose bytes a tokenizer changes is encoded as a whole."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.encode_a = Encoder(path_a).part  # special strings are plain text
-        self.model_b = _model(path_b)
-        tok, back = library(path_a), {c: b for b, c in enumerate(byte_letters())}
-        self.bytes_a = [bytes(back.get(c, 0) for c in tok.id_to_token(i) or "") for i in range(tok.get_vocab_size())]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.model_a, self.model_b = _plain_library(path_a), _model(path_b)
+        back = {c: b for b, c in enumerate(byte_letters())}
+        n_a, n_b = self.model_a.get_vocab_size(), self.model_b.get_piece_size()
+        self.bytes_a = [bytes(back.get(c, 0) for c in self.model_a.id_to_token(i) or "") for i in range(n_a)]
+        pieces = [self.model_b.id_to_piece(i) for i in range(n_b)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.model_b.is_byte(i) else p.replace("▁", " ").encode()
-                        for i, p in enumerate(map(self.model_b.id_to_piece, range(self.model_b.get_piece_size())))]
+                        for i, p in enumerate(pieces)]
+        self.in_chunks = not any(re.search("[^▁]▁", p) for p in pieces)
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
-        self.width = len(self.bytes_b)
-        if len(self.bytes_a) * self.width >= 1 << 32:
+        self.width = n_b
+        if n_a * n_b >= 1 << 32:
             raise ValueError("pairs of these vocabularies do not fit in 32 bits")
-        self.written, self.written_size = _decimals(max(len(self.bytes_a), self.width))
+        self.written, self.written_size = _decimals(max(n_a, n_b))
+        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+
+    def _encode(self, text: str) -> tuple[bytes, bytes] | None:
+        """Little-endian 32-bit ids of both tokenizers for a text that begins with a space (B adds it),
+        None where the joined bytes are not the text."""
+        a, b = self.model_a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.model_b.encode(text[1:], num_threads=1)
+        same = b"".join(map(self.bytes_b.__getitem__, b)) == text.encode("utf-8") == b"".join(map(self.bytes_a.__getitem__, a))
+        return (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
+
+    def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
+        """Each chunk's ids. Many chunks are encoded as one text; where all tokens of both end at the
+        chunks' ends, no merge ever crossed one, so these are the chunks' own tokens."""
+        for at in range(0, len(chunks), 4096):
+            part = chunks[at : at + 4096]
+            found = self._encode("".join(part))
+            ends = np.cumsum([len(c.encode("utf-8")) for c in part])
+            cuts = []
+            for raw, size in zip(found or (), (self.size_a, self.size_b)):
+                upto = np.cumsum(size[np.frombuffer(raw, "<u4")])
+                k = np.searchsorted(upto, ends)
+                if (upto[k] == ends).all():
+                    cuts.append((raw, [0, *(4 * (k + 1)).tolist()]))
+            if len(cuts) == 2:
+                (a, x), (b, y) = cuts
+                yield from ((a[x[i] : x[i + 1]], b[y[i] : y[i + 1]]) for i in range(len(part)))
+            else:
+                yield from map(self._encode, part)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(A ids, B ids) of each text; none where the joined bytes are not space + text."""
-        out, none = [], np.zeros(0, np.int64)
-        for text, b in zip(texts, self.model_b.encode(texts, num_threads=1) if texts else []):
-            whole = b" " + text.encode("utf-8")
-            if text and b"".join(map(self.bytes_b.__getitem__, b)) == whole:
-                a = np.frombuffer(self.encode_a(" " + text), "<u4").astype(np.int64)
-                if b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole:
-                    out.append((a, np.array(b, np.int64)))
-                    continue
-            out.append((none, none))
-        return out
+        chunks = [_CUT.split(" " + t) if t and self.in_chunks else [] for t in texts]
+        if len(self.known) > REMEMBER:
+            self.known.clear()
+        new = [c for c in dict.fromkeys(itertools.chain.from_iterable(chunks)) if c not in self.known]
+        self.known.update(zip(new, self._encode_chunks(new)))
+        ids: list = [None] * len(texts)
+        for k, cs in enumerate(chunks):
+            found = [self.known[c] for c in cs]
+            if cs and None not in found:
+                ids[k] = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
+            elif texts[k]:
+                ids[k] = self._encode(" " + texts[k])
+        return [tuple(np.frombuffer(x, "<u4").astype(np.int64) for x in pair or (b"", b"")) for pair in ids]
 
     def align(self, texts: list[str]) -> Aligned:
         pairs = self.tokens(texts)
@@ -187,6 +229,16 @@ class Aligner:
         return [hashlib.sha256(flat[x:y]).hexdigest() if y > x else "" for x, y in zip(upto, upto[1:])]
 
 
+@functools.lru_cache(maxsize=4)
+def _plain_library(path: str):
+    """The tokenizer, special strings being plain text."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    return tok
+
+
 @functools.lru_cache(maxsize=4)
 def _model(path: str):
     from sentencepiece import SentencePieceProcessor
