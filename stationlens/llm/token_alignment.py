@@ -31,10 +31,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
+import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,7 +58,9 @@ SLICE_CHARS = 1 << 20
 WIDE = 4096
 #: Chunks remembered in a worker before it starts anew (bounds memory, not work).
 REMEMBER = 300_000
-_CUT = re.compile(r"(?<=\S)(?= )")
+LONG = 50_000
+_RUN = re.compile(r"\s{%d}" % (LONG // 2))
+_CUT = re.compile(r"(?<=[^ ])(?= )")
 SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
           "groups_sha256 string")
 #: A block: its documents' figures; its distinct pairs, in order, and how many documents hold each;
@@ -131,68 +134,68 @@ class Aligned:
 class Aligner:
     """Aligns texts by a byte-level BPE JSON (A) and a sentencepiece model (B).
 
-    Both tokenizers cut before a space that follows a character other than white space (of B this is
-    checked on its vocabulary), so texts are encoded in such chunks, mostly a word each, and chunks are
-    remembered. A text with a chunk whose bytes a tokenizer changes is encoded as a whole."""
+    A: if the vocabulary's ids rise with its merges (checked), ids are ranks, and the rank encoder
+    gives the library's ids faster; else the library encodes. B cuts before a space that follows another
+    character (checked on its vocabulary), so texts are encoded in such chunks, mostly a word each, and
+    chunks are remembered."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.model_a, self.model_b = _plain_library(path_a), _model(path_b)
-        back = {c: b for b, c in enumerate(byte_letters())}
-        n_a, n_b = self.model_a.get_vocab_size(), self.model_b.get_piece_size()
-        self.bytes_a = [bytes(back.get(c, 0) for c in self.model_a.id_to_token(i) or "") for i in range(n_a)]
+        self.encode_a, self.bytes_a = _byte_level(path_a)
+        self.model_b = _model(path_b)
+        n_b = self.model_b.get_piece_size()
         pieces = [self.model_b.id_to_piece(i) for i in range(n_b)]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.model_b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.in_chunks = not any(re.search("[^▁]▁", p) for p in pieces)
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         self.width = n_b
-        if n_a * n_b >= 1 << 32:
+        if len(self.bytes_a) * n_b >= 1 << 32:
             raise ValueError("pairs of these vocabularies do not fit in 32 bits")
-        self.written, self.written_size = _decimals(max(n_a, n_b))
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _encode(self, text: str) -> tuple[bytes, bytes] | None:
-        """Little-endian 32-bit ids of both tokenizers for a text that begins with a space (B adds it),
-        None where the joined bytes are not the text."""
-        a, b = self.model_a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.model_b.encode(text[1:], num_threads=1)
-        same = b"".join(map(self.bytes_b.__getitem__, b)) == text.encode("utf-8") == b"".join(map(self.bytes_a.__getitem__, a))
-        return (array("I", a).tobytes(), array("I", b).tobytes()) if same else None
-
-    def _encode_chunks(self, chunks: list[str]) -> Iterator[tuple[bytes, bytes] | None]:
-        """Each chunk's ids. Many chunks are encoded as one text; where all tokens of both end at the
-        chunks' ends, no merge ever crossed one, so these are the chunks' own tokens."""
+        self.written, self.written_size = _decimals(max(len(self.bytes_a), n_b))
+        self.known: dict[str, bytes] = {}  # chunk without its first space -> B ids, little-endian 32-bit
+
+    def _encode_b(self, text: str) -> bytes:
+        """B ids of a text (B adds a space before it), nothing where the joined bytes are not space + text."""
+        ids = self.model_b.encode(text, num_threads=1)
+        same = b"".join(map(self.bytes_b.__getitem__, ids)) == b" " + text.encode("utf-8")
+        return array("I", ids).tobytes() if same else b""
+
+    def _encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
+        """Each chunk's B ids. Many chunks are encoded as one text; where tokens end at all of the chunks'
+        ends, no merge ever crossed one, so these are the chunks' own tokens."""
         for at in range(0, len(chunks), 4096):
             part = chunks[at : at + 4096]
-            found = self._encode("".join(part))
-            ends = np.cumsum([len(c.encode("utf-8")) for c in part])
-            cuts = []
-            for raw, size in zip(found or (), (self.size_a, self.size_b)):
-                upto = np.cumsum(size[np.frombuffer(raw, "<u4")])
-                k = np.searchsorted(upto, ends)
-                if (upto[k] == ends).all():
-                    cuts.append((raw, [0, *(4 * (k + 1)).tolist()]))
-            if len(cuts) == 2:
-                (a, x), (b, y) = cuts
-                yield from ((a[x[i] : x[i + 1]], b[y[i] : y[i + 1]]) for i in range(len(part)))
+            raw = self._encode_b(" ".join(part))
+            upto = np.cumsum(self.size_b[np.frombuffer(raw, "<u4")])
+            ends = np.cumsum([1 + len(c.encode("utf-8")) for c in part])
+            k = np.searchsorted(upto, ends)
+            if raw and (upto[k] == ends).all():
+                cuts = [0, *(4 * (k + 1)).tolist()]
+                yield from (raw[x:y] for x, y in zip(cuts, cuts[1:]))
             else:
-                yield from map(self._encode, part)
+                yield from map(self._encode_b, part)
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """(A ids, B ids) of each text; none where the joined bytes are not space + text."""
-        chunks = [_CUT.split(" " + t) if t and self.in_chunks else [] for t in texts]
+        none = np.zeros(0, np.int64)
+        chunks = [t.split(" ") if self.in_chunks and t and "  " not in t and t[0] != " " and t[-1] != " " else
+                  [c[1:] for c in _CUT.split(" " + t)] if self.in_chunks and t else [] for t in texts]
         if len(self.known) > REMEMBER:
             self.known.clear()
-        new = [c for c in dict.fromkeys(itertools.chain.from_iterable(chunks)) if c not in self.known]
+        new = list(set().union(*chunks) - self.known.keys())
         self.known.update(zip(new, self._encode_chunks(new)))
-        ids: list = [None] * len(texts)
-        for k, cs in enumerate(chunks):
-            found = [self.known[c] for c in cs]
-            if cs and None not in found:
-                ids[k] = b"".join([f[0] for f in found]), b"".join([f[1] for f in found])
-            elif texts[k]:
-                ids[k] = self._encode(" " + texts[k])
-        return [tuple(np.frombuffer(x, "<u4").astype(np.int64) for x in pair or (b"", b"")) for pair in ids]
+        out = []
+        for t, cs in zip(texts, chunks):
+            n = 1 + len(t.encode("utf-8"))
+            b = np.frombuffer(b"".join(map(self.known.__getitem__, cs)), "<u4")
+            if t and self.size_b[b].sum() != n:  # some chunk's bytes are not its text's, or no chunks
+                b = np.frombuffer(self._encode_b(t), "<u4")
+            a = self.encode_a(" " + t) if len(b) else none
+            if not len(b) or self.size_a[a].sum() != n:
+                a = b = none
+            out.append((a.astype(np.int64), b.astype(np.int64)))
+        return out
 
     def align(self, texts: list[str]) -> Aligned:
         pairs = self.tokens(texts)
@@ -230,13 +233,30 @@ class Aligner:
 
 
 @functools.lru_cache(maxsize=4)
-def _plain_library(path: str):
-    """The tokenizer, special strings being plain text."""
+def _byte_level(path: str) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
+    """(ids of a text, special strings being plain text; the bytes of each id) of a byte-level BPE JSON."""
+    import public_tokenizers
+    import tiktoken
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    return tok
+    back = {c: b for b, c in enumerate(byte_letters())}
+    of_id = [bytes(back.get(c, 0) for c in tok.id_to_token(i) or "") for i in range(tok.get_vocab_size())]
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    plain = spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" \
+        and not spec["pre_tokenizer"].get("add_prefix_space") and spec["pre_tokenizer"].get("use_regex", True)
+    if plain and len(vocab) - len(merged) >= 256 and all(x < y for x, y in zip(merged, merged[1:])):
+        special = {t["content"] for t in spec["added_tokens"]}
+        ranks = {of_id[i]: i for t, i in vocab.items() if t not in special}
+        enc = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # long runs of white space are more than the rank encoder's pattern can hold
+        return lambda text: np.array(enc.encode_ordinary(text) if len(text) < LONG or not _RUN.search(text) else
+                                     tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64), of_id
+    return lambda text: np.array(tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64), of_id
 
 
 @functools.lru_cache(maxsize=4)

@@ -96,7 +96,7 @@ def test_nothing_and_empty_texts(spark, nothing):
 def test_odd_texts(plain):
     r = random.Random(8)
     spice = "abc 'st  12²é\x85\xa0\t\nİΣ漢字ки​\U0001f44d\U0001f3fd<|endoftext|><s>▁_"
-    texts = ["".join(r.choice(spice) for _ in range(r.randint(0, 60))) for _ in range(300)] + ["x" * 5000, "漢" * 3000, " " * 70]
+    texts = ["".join(r.choice(spice) for _ in range(r.randint(0, 60))) for _ in range(300)] + ["x" * 5000, "漢" * 3000, " " * 70, " " * 200_000 + "x", "a\n\n" + "\n" * 100_000]
     got = A.Aligner(*PATHS).align(texts)
     for k, t in enumerate(texts):
         g = plain(t)
