@@ -32,6 +32,7 @@ def run_query(spark: SparkSession, out: str, name: str, product: str = "GAZOLE",
     """One dashboard query over the stored marts (QRY1-QRY11)."""
     from stationlens.operators import dashboard as D
     from stationlens.sources.marts import read_mart
+    from stationlens.sources.tables import table_facts
 
     def mart(m: str) -> DataFrame:
         return read_mart(spark, f"{out}/{m}")
@@ -56,7 +57,7 @@ def run_query(spark: SparkSession, out: str, name: str, product: str = "GAZOLE",
     if name == "tables":
         names = ("dim_stations", "dim_produits", "dim_regions", "dim_date", "fct_prix_produits",
                  "rpt_stations_moins_cheres", "rpt_prix_moyen_region", "rpt_evolution_prix_hebdo")
-        return D.table_counts(spark, {m: mart(m) for m in names})
+        return table_facts(spark, {m: f"{out}/{m}" for m in names}).select("table_name", "row_count")
     raise ValueError(f"unknown query {name!r}; one of {QUERIES}")
 
 

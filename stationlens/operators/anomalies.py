@@ -7,12 +7,15 @@ group into one task. The joined statistics table has one row per group.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlens.functions.aggregates import exact_avg
 from stationlens.functions.labels import ANOMALY_LABELS
 from stationlens.operators.enrich import ts_literal
+from stationlens.operators.ranking import summed
 from stationlens.operators.reports import slice_since
 
 
@@ -25,10 +28,10 @@ def price_anomalies(fact: DataFrame, dim_entity: DataFrame, as_of, days: int = 7
     """OBS4: z-score of each price against its (group, product, day) mean over the last
     ``days`` days, a large-daily-change rule, a severity label: all anomalies, in no order
     (see :func:`top_anomalies`)."""
-    f = slice_since(fact, day, as_of, days)
     keys = [group, product, day]
-    stats = f.groupBy(*keys).agg(exact_avg(value).alias("regional_avg"),
-                                 F.stddev_samp(value).alias("_std"))
+    # rows and statistics read one exchange, dealt by entity
+    f = slice_since(fact, day, as_of, days).select(*keys, entity, value, change, *tiebreak).repartition(entity)
+    stats = summed(f, keys, exact_avg(value).alias("regional_avg"), F.stddev_samp(value).alias("_std"))
     ent = dim_entity.select(F.col(entity).alias("_e"), "ville", "adresse")
     sp = (f.join(ent, f[entity] == ent["_e"], "inner")
           .join(stats, keys, "inner"))
@@ -61,12 +64,30 @@ def _bucket_spine(df: DataFrame, bucket_col: str, step_seconds: int) -> DataFram
         F.col("_lo"), F.col("_hi"), F.make_dt_interval(secs=F.lit(step_seconds)))).alias(bucket_col))
 
 
+def bucket_state(df: DataFrame, ts: str, bucket: str = "1 day") -> DataFrame:
+    """What the monitors need of a table: (bucket_start, row_count, last_ts) of each time bucket. The states
+    of two loads add up to the state of both (:func:`merge_states`), so a table that grows by loads is
+    monitored without reading it again."""
+    return df.filter(F.col(ts).isNotNull()).groupBy(F.window(F.col(ts), bucket).start.cast("timestamp_ntz").alias("bucket_start")) \
+        .agg(F.count(F.lit(1)).alias("row_count"), F.max(ts).alias("last_ts"))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    both = functools.reduce(DataFrame.unionByName, states)
+    return both.groupBy("bucket_start").agg(F.sum("row_count").alias("row_count"), F.max("last_ts").alias("last_ts"))
+
+
 def volume_anomalies(df: DataFrame, ts: str, bucket: str = "1 day", step_seconds: int = 86400,
                      sensitivity: float = 3.0, trailing: int = 14, table: str = "table") -> DataFrame:
     """OBS1: rows per time bucket, z-score against the ``trailing`` previous buckets
     (empty buckets count as 0); anomaly when |z| > sensitivity."""
-    counts = df.groupBy(F.window(F.col(ts), bucket).start.cast("timestamp_ntz").alias("bucket_start")) \
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    return state_volume_anomalies(bucket_state(df, ts, bucket), step_seconds, sensitivity, trailing, table)
+
+
+def state_volume_anomalies(state: DataFrame, step_seconds: int = 86400, sensitivity: float = 3.0, trailing: int = 14,
+                           table: str = "table") -> DataFrame:
+    """OBS1 from a table's state (a row a bucket)."""
+    counts = state.select("bucket_start", "row_count")
     spine = _bucket_spine(counts, "bucket_start", step_seconds)
     filled = spine.join(counts, "bucket_start", "left").select(
         F.lit(table).alias("table_name"), "bucket_start",
@@ -90,8 +111,13 @@ def freshness_anomalies(df: DataFrame, ts: str, bucket: str = "6 hours", step_se
                         sensitivity: float = 3.0, trailing: int = 14, table: str = "table") -> DataFrame:
     """OBS2: staleness at each bucket end = seconds since the last update seen so far;
     z-score against the trailing buckets."""
-    last = df.groupBy(F.window(F.col(ts), bucket).start.cast("timestamp_ntz").alias("bucket_start")) \
-        .agg(F.max(ts).alias("_last"))
+    return state_freshness_anomalies(bucket_state(df, ts, bucket), step_seconds, sensitivity, trailing, table)
+
+
+def state_freshness_anomalies(state: DataFrame, step_seconds: int = 21600, sensitivity: float = 3.0, trailing: int = 14,
+                              table: str = "table") -> DataFrame:
+    """OBS2 from a table's state (a row a bucket)."""
+    last = state.select("bucket_start", F.col("last_ts").alias("_last"))
     spine = _bucket_spine(last, "bucket_start", step_seconds)
     filled = spine.join(last, "bucket_start", "left")
     w = Window.partitionBy(F.lit(table)).orderBy("bucket_start").rowsBetween(Window.unboundedPreceding, 0)

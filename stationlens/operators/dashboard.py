@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationlens.functions.aggregates import exact_avg
@@ -106,15 +106,9 @@ def product_date_range(fact: DataFrame, dim_entity: DataFrame, department: str)
 
 def latest_dates(fact: DataFrame) -> DataFrame:
     """QRY10 / AGG18: latest day per product next to the global latest day."""
-    glob = fact.select(F.max("date_prix")).scalar()
-    return fact.groupBy("carburant_nom").agg(
-        F.max("date_prix").alias("max_date"), F.count(F.lit(1)).alias("nb_rows")).select(
-        "carburant_nom", "max_date", glob.alias("global_max_date"), "nb_rows")
-
-
-def lower_names(df: DataFrame) -> DataFrame:
-    """SRC13: client-facing frame with lower-cased column names."""
-    return df.toDF(*[c.lower() for c in df.columns])
+    by_product = fact.groupBy("carburant_nom").agg(F.max("date_prix").alias("max_date"), F.count(F.lit(1)).alias("nb_rows"))
+    whole = F.max("max_date").over(Window.partitionBy(F.lit(0)))  # over a row a product
+    return by_product.select("carburant_nom", "max_date", whole.alias("global_max_date"), "nb_rows")
 
 
 def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -126,8 +120,3 @@ def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFr
         out = out.unionByName(p)
     return out
 
-
-def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str, DataFrame]:
-    """Tables registered in the session catalogue (for :func:`table_counts`)."""
-    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary or database is None]
-    return {n: spark.table(n) for n in names}

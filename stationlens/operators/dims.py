@@ -1,15 +1,17 @@
 """Star schema: entity, product and region dimensions and the price fact (MOD8-10, MOD12).
 
 Join strategy: the calendar has a size fixed by construction (a date range) and is
-broadcast explicitly. The product and region dimensions are looked up in the fact by a map that a scalar subquery reads
-(``lookup_keys``): a shuffle on their few values would leave all but a few tasks idle. The
-entity dimension grows with the data; its key is carried by the series, or its join is left
-to AQE.
+broadcast explicitly. The product and region dimensions are looked up in the fact while they are small
+(``with_dimension_key``): a shuffle on their few values would leave all but a few tasks idle; beyond a
+measured size they are joined with salted keys. The entity dimension grows with the data; its key is
+carried by the series, or its join is left to AQE.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from stationlens.functions.labels import (
     TREND_DAILY, lookup, price_bucket, surrogate_key, trend_preset,
 )
 from stationlens.operators.enrich import sorted_distinct_list
+from stationlens.operators.ranking import search, steps_for
 
 ENTITY_COLUMNS = (
     "station_id", "latitude", "longitude", "code_postal", "code_departement", "region", "ville",
@@ -85,17 +88,54 @@ def region_dim(enriched: DataFrame, codes: Mapping[str, str], code_default: str,
         F.coalesce("nb_stations", F.lit(0)).cast("long").alias("nb_stations"))
 
 
-MAX_LOOKUP = 100_000
+#: A dimension of up to so many keys and bytes travels with the plan; a larger one is joined.
+LOOKUP_KEYS, LOOKUP_BYTES = 50_000, 4 << 20
+SALTS = 8
 
 
-def lookup_keys(dim: DataFrame, key: Column, value: str) -> Column:
-    """key -> values of a dimension, as a scalar map: one row, shipped with the plan. A dimension of
-    more than ``MAX_LOOKUP`` keys is an error: it is no dimension of products or regions."""
-    lists = dim.select(key.alias("_k"), F.col(value).alias("_v")).filter(F.col("_k").isNotNull()) \
-        .groupBy("_k").agg(F.collect_list("_v").alias("_v"))
-    entries = F.map_from_entries(F.collect_list(F.struct("_k", "_v")))
-    return lists.agg(F.when(F.count(F.lit(1)) <= MAX_LOOKUP, entries).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_LOOKUP} keys in a looked-up dimension")))).scalar()
+@dataclass(frozen=True)
+class DimensionKeys:
+    """key -> values of a dimension: the table, and its text (JSON) if it is small."""
+
+    table: DataFrame  # _k, _vs
+    value: str
+    text: str | None
+    n: int
+
+
+def dimension_keys(dim: DataFrame, key: Column, value: str) -> DimensionKeys:
+    """Measures a dimension by a small job that reads at most ``LOOKUP_KEYS`` + 1 keys."""
+    lists = dim.select(key.cast("string").alias("_k"), F.col(value).cast("string").alias("_v")).filter(F.col("_k").isNotNull()) \
+        .groupBy("_k").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+    rows = lists.limit(LOOKUP_KEYS + 1).collect()
+    text = json.dumps([{"at": r["_k"], "vs": r["_vs"]} for r in rows]) if len(rows) <= LOOKUP_KEYS else ""
+    small = len(rows) <= LOOKUP_KEYS and len(text) <= LOOKUP_BYTES
+    return DimensionKeys(lists, value, text if small else None, len(rows))
+
+
+def with_dimension_key(rows: DataFrame, at: Column, keys: DimensionKeys, spread: str) -> DataFrame:
+    """Adds the value of the dimension row whose key equals ``at`` (NULL where there is none, a row
+    for each where there are several, as a left join).
+
+    A small dimension is a sorted constant array that each row searches by halves: the rows are not
+    shuffled, on five products or fourteen regions least of all. A larger one is joined; hot keys are dealt
+    over ``SALTS`` partitions by a hash of the column ``spread``, and the dimension is repeated for each
+    salt."""
+    value = keys.value
+    if keys.text is not None:
+        array = F.sort_array(F.from_json(F.lit(keys.text), "array<struct<at:string,vs:array<string>>>"))
+
+        def found(b: Column, k: Column, at: Column) -> Column:
+            hit = F.get(b, k)
+            return F.when(hit["at"] == at, hit["vs"])
+
+        values = search(array, at.cast("string"), steps_for(keys.n), found, lambda x: x["at"])
+        return rows.select("*", F.explode_outer(values).alias(value))
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    salted = keys.table.select("_k", "_vs", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt2"))
+    joined = rows.select("*", at.cast("string").alias("_at"), salt.alias("_salt")).join(
+        salted, (F.col("_at") == F.col("_k")) & (F.col("_salt") == F.col("_salt2")), "left")
+    return joined.select("*", F.explode_outer("_vs").alias(value)).drop("_at", "_salt", "_salt2", "_k", "_vs")
 
 
 FACT_MEASURES = (
@@ -108,8 +148,9 @@ FACT_MEASURES = (
 
 def price_fact(series: DataFrame, dim_entity: DataFrame, dim_product: DataFrame,
                dim_date: DataFrame, dim_region: DataFrame, product_key: str = "id",
-               trend_preset_=TREND_DAILY) -> DataFrame:
-    """MOD12: daily series + dimension keys + percentile bucket and trend labels.
+               trend_preset_=TREND_DAILY, keys: tuple[DimensionKeys, DimensionKeys] | None = None) -> DataFrame:
+    """MOD12: daily series + dimension keys + percentile bucket and trend labels. ``keys``: of the products
+    and the regions (see :func:`dimension_keys`), measured here if not given.
 
     ``product_key='id'`` joins the product dimension on the feed's product id (the
     reference behaviour); ``'name'`` joins on the normalised product name instead.
@@ -127,18 +168,17 @@ def price_fact(series: DataFrame, dim_entity: DataFrame, dim_product: DataFrame,
     dd = F.broadcast(dim_date.select("date_key", F.col("date_day").alias("_day")))
     j = p if key_in_series else p.join(ds, F.col("p.station_id") == ds["_sid"], "left")
     j = j.join(dd, F.col("p.date_prix") == dd["_day"], "left")
-    # a key that a dimension holds twice gives two rows, as a join would
-    j = j.select("p.*", *[c for c in ("station_key",) if not key_in_series], "date_key",
-                 F.explode_outer(F.element_at(lookup_keys(dim_product, dc, "carburant_key"), pk)).alias("carburant_key"))
-    j = j.select("*", F.explode_outer(F.element_at(
-        lookup_keys(dim_region, F.col("region_nom"), "region_key"), F.col("region"))).alias("region_key")).alias("p")
+    j = j.select("p.*", *[c for c in ("station_key",) if not key_in_series], "date_key", pk.alias("_pk"))
+    keys = keys or (dimension_keys(dim_product, dc, "carburant_key"), dimension_keys(dim_region, F.col("region_nom"), "region_key"))
+    j = with_dimension_key(j, F.col("_pk"), keys[0], "station_id").drop("_pk")
+    j = with_dimension_key(j, F.col("region"), keys[1], "station_id").alias("p")
     return j.select(
         surrogate_key("p.station_id", "p.carburant_nom", "p.date_prix").alias("prix_key"),
         F.col("p.station_key").alias("station_key"),
         "carburant_key", "date_key", "region_key",
         "p.station_id", "p.carburant_nom", "p.carburant_id", "p.date_prix",
         "p.code_departement", "p.region", "p.type_station",
-        *[F.col(f"p.{m}") for m in FACT_MEASURES],
-        price_bucket(F.col("p.percentile_national")).alias("categorie_prix"),
+        *[F.col(f"p.{m}") for m in FACT_MEASURES if m in series.columns],
+        *[price_bucket(F.col("p.percentile_national")).alias("categorie_prix") for _ in [0] if "percentile_national" in series.columns],
         trend_preset(F.col("p.variation_semaine_pct"), trend_preset_).alias("tendance_prix"),
         "p.derniere_maj")

@@ -7,10 +7,11 @@ deduplicate child keys before the anti join, so a hot key is one row by then.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlens.functions.labels import out_of_box
@@ -160,7 +161,7 @@ class Check:
 
 
 # ---------------------------------------------------------------------------
-# Declared rules: one scan per table
+# Declared rules: one scan per table, one shuffle for all keys
 # ---------------------------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -210,39 +211,47 @@ def parent(table: str, column: str) -> Rule:
 
 def run_rules(spark: SparkSession, tables: dict[str, DataFrame],
               declared: dict[str, dict[str, tuple[Rule, ...]]], singular: Sequence[Check] = ()) -> DataFrame:
-    """DQ12: a row for each declared rule (and each check in ``singular``) with its failures. All rules
-    that single rows break are counted in one aggregate over their table; ``unique`` counts repeated
-    keys after a group-by of the column, ``parent`` keys without a parent row after one. Failures of
-    ``accepted`` are the rows outside the set."""
-    parts = []
-
-    def row(name, table, col, severity, n):
-        return F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"), F.lit(col).alias("column_name"),
-                        F.lit(severity).alias("severity"), n.cast("long").alias("failures"))
-
-    for table, columns in declared.items():
-        df = tables[table]
-        rules = [(col, r) for col, rs in columns.items() for r in rs]
-        counted = [(col, r) for col, r in rules if r.broken(col) is not None]
-        if counted:
-            one = df.agg(*[F.count_if(r.broken(col)).alias(f"_{i}") for i, (col, r) in enumerate(counted)])
-            parts.append(one.select(F.explode(F.array(*[
-                row(f"{r.kind}_{col}", table, col, r.severity, F.col(f"_{i}")) for i, (col, r) in enumerate(counted)])).alias("_r"))
-                .select("_r.*"))
-        for col, r in rules:
-            if r.kind == "unique":
-                bad = unique(df, [col])
-            elif r.kind == "parent":
-                bad = relationships(df, col, tables[r.args[0]], r.args[1])
-            else:
-                continue
-            parts.append(bad.agg(F.count(F.lit(1)).alias("n")).select(row(f"{r.kind}_{col}", table, col, r.severity, F.col("n")).alias("_r"))
-                         .select("_r.*"))
+    """DQ12: a row for each declared rule (and each check in ``singular``) with its failures.
+
+    Each table is scanned once. A row gives an entry (rule, key, child, parent) for each rule of its
+    own that it breaks, for each ``unique`` or ``parent`` rule it has a key for, and for each rule of
+    another table whose parent it is. One shuffle of all tables' entries, summed before it, counts
+    every key: ``unique`` fails where a key has several rows, ``parent`` where it has children and no
+    parent; failures of row rules are their entries. A hot key is one entry a task by then."""
+    rules = [(table, col, r) for table, columns in declared.items() for col, rs in columns.items() for r in rs]
+
+    def entry(rule: int, when: Column, key: Column | None, child: int, parent: int) -> Column:
+        k = (F.lit(None) if key is None else key).cast("string")
+        return F.when(when, F.struct(F.lit(rule).alias("rule"), k.alias("key"), F.lit(child).alias("child"), F.lit(parent).alias("parent")))
+
+    entries: dict[str, list[Column]] = {}
+    for i, (table, col, r) in enumerate(rules):
+        c, broken = F.col(col), r.broken(col)
+        mine = entries.setdefault(table, [])
+        mine.append(entry(i, c.isNotNull(), c, 1, 0) if broken is None else entry(i, broken, None, 1, 0))
+        if r.kind == "parent":
+            c = F.col(r.args[1])
+            entries.setdefault(r.args[0], []).append(entry(i, c.isNotNull(), c, 0, 1))
+    scans = [tables[t].select(F.explode(F.filter(F.array(*es), lambda e: e.isNotNull())).alias("e")).select("e.*") for t, es in entries.items()]
+    keys = functools.reduce(DataFrame.unionByName, scans).groupBy("rule", "key").agg(F.sum("child").alias("n"), F.sum("parent").alias("p"))
+    kinds = [i for i, (_, _, r) in enumerate(rules) if r.kind == "unique"], [i for i, (_, _, r) in enumerate(rules) if r.kind == "parent"]
+    rule = F.col("rule")
+    counted = keys.groupBy("rule").agg(F.sum(
+        F.when(rule.isin(kinds[0]), (F.col("n") > 1).cast("long")).when(rule.isin(kinds[1]), ((F.col("n") > 0) & (F.col("p") == 0)).cast("long"))
+        .otherwise(F.col("n"))).alias("failures"))
+
+    def row(i: int, name: str, table: str, col: str, severity: str) -> Column:
+        return F.struct(F.lit(i).alias("i"), F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+                        F.lit(col).alias("column_name"), F.lit(severity).alias("severity"))
+
+    named = spark.range(1).select(F.explode(F.array(*[row(i, f"{r.kind}_{col}", t, col, r.severity)
+                                                      for i, (t, col, r) in enumerate(rules)])).alias("r")).select("r.*")
+    out = named.join(counted, F.col("i") == rule, "left")
+    parts = [out.select("check_name", "table_name", "column_name", "severity", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))]
     for c in singular:
-        parts.append(c.violations.agg(F.count(F.lit(1)).alias("n"))
-                     .select(row(c.name, c.table, c.column, c.severity, F.col("n")).alias("_r")).select("_r.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        n = c.violations.agg(F.count(F.lit(1)).cast("long").alias("failures"))
+        parts.append(n.select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                              F.lit(c.severity).alias("severity"), "failures"))
+    out = functools.reduce(DataFrame.unionByName, parts)
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "error", "error").otherwise("warn")
     return out.select("*", status.alias("status"))

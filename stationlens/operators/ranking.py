@@ -1,91 +1,196 @@
-"""Exact ranks and neighbours over groups of any size (WIN4-6, WIN8, PRJ27, PRJ30, SCD4).
-
-One layout serves all: an order is cut into *slices* by fixed bounds (quantiles of the first
-order column, read by a scalar subquery inside the plan), so that a group holding a third of all
-rows is spread over as many tasks as there are slices. Rows are numbered inside (group, slice);
-what lies before a slice comes from the slices' counts, a table of at most #slices rows for a
-group, and is joined back on the same (group, slice) partitioning. The slice is a pure function of
-the row, so both reads of the input agree and nothing is materialised or run beforehand.
-
-The order keys must make the order total (append a unique tie-break). Columns of ``base`` must
-not be NULL (series keys never are).
+"""Exact ranks and neighbours over groups of any size (WIN4-6, WIN8, PRJ27, PRJ30, SCD1, SCD4).
+
+One layout serves all. The rows' total order -- (group columns, order columns, unique tie-break) --
+is cut into *slices* of about equal size by bounds taken from a sample, as a range partitioning
+does, but as a plain column: a group that holds a third of all rows is spread over as many slices
+as its share is worth, equal values too (the tie-break is part of the order), and small groups lie
+whole in one slice. The rows are shuffled once, on (group, slice). Rows are numbered inside their
+slice; only groups that a bound cuts need more: what lies before each of their slices, from
+counts of at most a few rows a slice, joined back on the same partitioning.
+
+The counts read the same exchange as the rows (``summed``), so the input is evaluated once. Bounds are a
+constant array; a row finds its slice by binary search. Any bounds give the same result, so they may
+come from a cheaper table with about the same values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_NULL = "\x00"
+#: Slices are twice the shuffle partitions, never more than this (the bounds travel with the plan).
+MAX_SLICES = 8192
+#: Sampled rows per slice.
+SAMPLE = 20
+_HASHES = 1 << 30
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
 
 
-def slice_bounds(source: DataFrame, value: str | Column, slices: int | None = None) -> Column:
-    """Quantiles of ``value`` over ``source`` as a scalar subquery (an array column): one mergeable
-    sketch, no shuffle of rows. ``source`` may be any cheaper table with about the same values.
-    By default as many slices as shuffle partitions, which follow the cluster and the data."""
-    n = slices or max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    v = F.col(value) if isinstance(value, str) else value
-    marks = [i / n for i in range(1, n)] or [0.5]
-    return source.select(F.percentile_approx(v.cast("double"), marks, max(10_000, 20 * n))).scalar()
-
-
-def with_slice(df: DataFrame, value: str | Column, bounds: Column, out: str = "_slice") -> DataFrame:
-    """Adds the number of the slice that a value lies in: never decreasing in the value, NULL last.
-    (The bounds are a column of their own first: a subquery may not stand inside a lambda.)"""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    held = df.select("*", F.coalesce(bounds, F.array().cast("array<double>")).alias("_bounds"), v.alias("_at"))
-    below = F.size(F.filter("_bounds", lambda b: b < F.col("_at")))
-    return held.withColumn(out, F.when(F.col("_at").isNull(), F.size("_bounds") + 1).otherwise(below)).drop("_bounds", "_at")
-
-
-def _text(cols: Sequence[str]) -> Column:
-    """Group columns as one map key."""
-    if not cols:
-        return F.lit("")
-    return F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit(_NULL)) for c in cols])
+def _place(cols: Sequence[str]) -> Column:
+    """A row's place in the order of ``cols`` as one comparable value (NULL last)."""
+    parts = []
+    for i, c in enumerate(cols):
+        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*parts)
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """Places that cut an order into slices, as a constant of the plan."""
+
+    text: str  # JSON
+    schema: str
+    n: int
+
+    def array(self) -> Column:
+        return F.sort_array(F.from_json(F.lit(self.text), self.schema))
+
+
+def order_bounds(source: DataFrame, order: Sequence[str], slices: int | None = None,
+                 counted: DataFrame | None = None) -> Bounds:
+    """Bounds that cut the order of ``order`` into about equal shares of ``source``'s distinct places.
+    Like a range partitioning's, they are read by a small job when the query is built. They come from a
+    hash sample of about ``SAMPLE`` places a slice: the same in every run and retry, however often one place
+    is repeated. ``counted``: a cheap table with at least as many rows as ``source``, by whose size the
+    sample is bounded."""
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(2, min(slices or 2 * parts, MAX_SLICES))
+    total = (source if counted is None else counted).select(F.count(F.lit(1)).alias("n")).scalar()
+    at = _place(order)
+    sample = (source.select(at.alias("at"), F.pmod(F.xxhash64(at), F.lit(_HASHES)).alias("h"))
+              .filter(F.col("h") * total < F.lit(SAMPLE * n * _HASHES)).agg(F.sort_array(F.collect_set("at")).alias("s")))
+    marks = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
+                        lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(n)).cast("int")))
+    bounds = sample.select(F.array_distinct(F.filter(marks, lambda b: b.isNotNull())).alias("b"))
+    row = bounds.select(F.to_json("b").alias("text"), F.size("b").alias("n")).first()
+    return Bounds(row.text, bounds.schema["b"].dataType.simpleString(), row.n)
+
+
+def halvings(size: Column) -> Column:
+    """2 ** k, ..., 2, 1: steps that reach any place among ``size`` elements."""
+    top = F.ceil(F.log2(size + 1)).cast("int")
+    return F.transform(F.sequence(top, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int"))
+
+
+def steps_for(n: int) -> Column:
+    """The same for an array of at most ``n`` elements, as a constant."""
+    return F.array(*[F.lit(1 << k) for k in reversed(range(max(n, 1).bit_length()))])
+
+
+def search(array: Column, at: Column, steps: Column, finish, place=lambda x: x) -> Column:
+    """``finish(array, k, at)``, k = how many elements of the sorted array lie before ``at``, by binary
+    search; ``place``: what of an element is compared. Array and place are carried by reference, not
+    copied into the rows."""
+    def step(acc: Column, size: Column) -> Column:
+        before = place(F.get(acc["b"], acc["k"] + size - 1)) < acc["at"]
+        return F.struct(F.when(before, acc["k"] + size).otherwise(acc["k"]).alias("k"), acc["b"].alias("b"), acc["at"].alias("at"))
+
+    start = F.struct(F.lit(0).alias("k"), array.alias("b"), at.alias("at"))
+    return F.aggregate(steps, start, step, lambda acc: finish(acc["b"], acc["k"], acc["at"]))
+
+
+def with_slice(df: DataFrame, order: Sequence[str], bounds: Bounds, group: int = 0) -> DataFrame:
+    """Adds ``_slice``, the number of bounds before the row, never decreasing in the order, and
+    ``_cut``: may a bound cut the row's group (the first ``group`` order columns)?"""
+    def place_and_cut(b: Column, k: Column, at: Column) -> Column:
+        def same(bound: Column) -> Column:
+            out = bound.isNotNull()
+            for i in range(group):
+                out = out & bound[f"v{i}"].eqNullSafe(at[f"v{i}"])
+            return out
+        return F.struct(k.alias("k"), (same(F.get(b, k)) | same(F.get(b, k - 1))).alias("cut"))
+
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    found = df.select(*cols, search(bounds.array(), _place(order), steps_for(bounds.n), place_and_cut).alias("_found"))
+    return found.select(*cols, F.col("_found.k").alias("_slice"), F.col("_found.cut").alias("_cut"))
+
+
+def summed(laid: DataFrame, by: Sequence[str], *aggs: Column, having: Column | None = None) -> DataFrame:
+    """Aggregates of rows that another branch of the plan reads too, from the exchange that dealt them
+    (``laid`` = ``repartition``). A hash of all columns is part of the aggregate and of its filter:
+    it keeps the optimizer from pruning columns or pushing filters below the exchange in this branch
+    alone, so both branches have the same exchange and Spark runs it once."""
+    rest = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in laid.columns]))
+    out = laid.groupBy(*by).agg(*aggs, rest.alias("_rest"))
+    keep = F.col("_rest").isNotNull()
+    return out.filter(keep if having is None else keep & having).drop("_rest")
 
 
 def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[str, Sequence[str]],
               tiebreak: Sequence[str] = (), percent: str | None = None,
-              bounds: Column | None = None) -> DataFrame:
-    """WIN4/WIN5: row numbers by ascending ``value`` within ``base`` + each extra group,
-    plus ``percent_rank`` within ``base``.
+              bounds: Bounds | None = None) -> DataFrame:
+    """WIN4/WIN5: row numbers by ascending ``value`` (then ``tiebreak``) within ``base`` + each extra
+    group, plus ``percent_rank`` within ``base``.
 
-    ``groups`` maps output name -> extra partition columns (``[]`` = base only). All ranks share
-    one exchange of the rows, on (base, slice)."""
+    ``groups`` maps output name -> extra partition columns (``[]`` = base only; attributes of which
+    a slice holds few values). ``bounds``: see :func:`order_bounds`, over base, value and tiebreak. The
+    order must be total for the row numbers to be determined; base columns must not be NULL."""
     base = list(base)
-    bounds = slice_bounds(df, value) if bounds is None else bounds
-    laid = with_slice(df, value, bounds)
+    order = [*base, value, *tiebreak]
+    bounds = order_bounds(df, order) if bounds is None else bounds
+    cell = [*base, "_slice"]
+    laid = with_slice(df, order, bounds, len(base)).repartition(*cell)
     extra = list(dict.fromkeys(c for cols in groups.values() for c in cols))
-    cells = laid.groupBy(*base, "_slice", *extra).agg(F.count(F.lit(1)).alias("_n"))
-    # Rows before a slice, per group: windows over slice counts (at most #slices x #groups a base).
-    def before(cols):
-        w = Window.partitionBy(*base, *cols).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum("_n").over(w), F.lit(0))
-
-    cells = cells.select(*base, "_slice", *extra, F.sum("_n").over(Window.partitionBy(*base)).alias("_all"),
-                         before([]).alias("_b"), *[before(c).alias(f"_b{i}") for i, c in enumerate(groups.values())])
-    offsets = cells.groupBy(*base, "_slice").agg(
-        F.first("_all").alias("_all"), F.first("_b").alias("_b"),
-        *[F.map_from_entries(F.collect_set(F.struct(_text(c), F.col(f"_b{i}")))).alias(f"_m{i}")
-          for i, c in enumerate(groups.values())])
-    order = [F.col(value).asc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tiebreak]]
-    joined = laid.join(offsets, [*base, "_slice"])
-    out = []
-    for i, (name, cols) in enumerate(groups.items()):
-        w = Window.partitionBy(*base, "_slice", *cols).orderBy(*order)
-        out.append((F.row_number().over(w) + F.element_at(f"_m{i}", _text(cols))).cast("long").alias(name))
+
+    # What lies before each slice of the groups that a bound cuts: a few rows a slice.
+    cut = F.max("_cut").alias("_split")
+    cells = summed(laid, [*cell, *extra], F.count(F.lit(1)).alias("_n"), cut, having=F.col("_split"))
+    earlier = lambda cols: Window.partitionBy(*base, *cols).orderBy("_slice").rangeBetween(Window.unboundedPreceding, -1)
+    before = lambda cols: F.coalesce(F.sum("_n").over(earlier(cols)), F.lit(0))
+    cells = cells.select(*cell, *extra, before([]).alias("_b"), F.sum("_n").over(Window.partitionBy(*base)).alias("_all"),
+                         *[before(c).alias(f"_b{i}") for i, c in enumerate(groups.values())])
+    # the join's keys are aggregates, so that no filter on them is pushed below the shared exchange
+    names = [f"_g{i}" for i in range(len(cell))]
+    offsets = cells.groupBy(*cell).agg(
+        *[F.first(c).alias(g) for c, g in zip(cell, names)], F.first("_all").alias("_all"), F.first("_b").alias("_b"),
+        *[F.sort_array(F.collect_set(F.struct(_place(c).alias("at"), F.col(f"_b{i}").alias("n")))).alias(f"_m{i}")
+          for i, c in enumerate(groups.values()) if c])
+    if percent:
+        offsets = _with_ties(offsets, laid, base, value)
+    joined = laid.join(offsets.drop(*cell), [F.col(c) == F.col(g) for c, g in zip(cell, names)], "left")
+
+    def offset(i: int, cols: Sequence[str]) -> Column:
+        if not cols:
+            return F.col("_b")
+        m = f"_m{i}"
+        return search(F.col(m), _place(cols), halvings(F.size(m)), lambda b, k, at: F.get(b, k)["n"], lambda x: x["at"])
+
+    found = joined.select(*[F.col(f"`{c}`") for c in df.columns], "_slice", "_all", "_b", *(["_low", "_less"] if percent else []), *[
+        F.when(F.col("_cut") & F.col("_b").isNotNull(), offset(i, c)).otherwise(F.lit(0)).alias(f"_o{i}") for i, c in enumerate(groups.values())])
+    total = _sort_cols([value, *tiebreak])
+    out = [(F.row_number().over(Window.partitionBy(*cell, *cols).orderBy(*total)) + F.col(f"_o{i}")).cast("long").alias(name)
+           for i, (name, cols) in enumerate(groups.items())]
     if percent:
-        w = Window.partitionBy(*base, "_slice").orderBy(F.col(value).asc_nulls_last())
-        rank = (F.rank().over(w) + F.col("_b") - 1).cast("double")
-        out.append(F.when(F.col("_all") <= 1, F.lit(0.0)).otherwise(rank / (F.col("_all") - 1).cast("double")).alias(percent))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *out)
+        # equal values of a cut group may lie in several slices: the first of them gives the rank
+        rank = F.when(_place([value]) == F.col("_low"), F.col("_less")).otherwise(
+            F.rank().over(Window.partitionBy(*cell).orderBy(*_sort_cols([value]))) - 1 + F.coalesce("_b", F.lit(0)))
+        n = F.coalesce(F.col("_all"), F.count(F.lit(1)).over(Window.partitionBy(*cell)))
+        out.append(F.when(n <= 1, F.lit(0.0)).otherwise(rank.cast("double") / (n - 1).cast("double")).alias(percent))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], *out)
+
+
+def _with_ties(offsets: DataFrame, laid: DataFrame, base: list[str], value: str) -> DataFrame:
+    """Offsets with ``_low``, the least value of each slice, and ``_less``, the number of the group's
+    rows below it, where the slices before may end with the same value."""
+    cell = [*base, "_slice"]
+    values = summed(laid.select("*", _place([value]).alias("_v")), [*cell, "_v"], F.count(F.lit(1)).alias("_n"),
+                    F.max("_cut").alias("_split"), having=F.col("_split"))
+    ends = values.groupBy(*cell).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+                                     F.max_by("_n", "_v").alias("_top"), F.sum("_n").alias("_n"))
+    w = Window.partitionBy(*base).orderBy("_slice")
+    ends = ends.select("*", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    # rows below a slice's highest value: the least over the slices that end with this value
+    below = F.min(F.col("_before") + F.col("_n") - F.col("_top")).over(Window.partitionBy(*base, "_high"))
+    ends = ends.select("*", below.alias("_below"))
+    less = F.when(F.lag("_high").over(w) == F.col("_low"), F.lag("_below").over(w)).otherwise(F.col("_before"))
+    key = F.struct(*cell)  # never NULL, so no filter on it goes below the shared exchange
+    return offsets.withColumn("_key", key).join(ends.select(key.alias("_key"), "_low", less.alias("_less")), "_key").drop("_key")
 
 
 def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column], k: int,
@@ -99,28 +204,27 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[str | Column]
 
 
 def sliced_shift(df: DataFrame, partition: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 out: str, direction: int = -1, bounds: Column | None = None, by: str | None = None) -> DataFrame:
+                 out: str, direction: int = -1, bounds: Bounds | None = None, by: Sequence[str] | None = None) -> DataFrame:
     """``lag``/``lead`` by one row of ``struct(cols)`` within ``partition`` by ``order`` (``direction``
     -1 = previous row, +1 = next row), for keys of any size: the neighbour comes from the row's
-    slice (of the first order column) or, at a slice's edge, from the nearest slice's edge row
-    (one row per key and slice). ``by``: the column that is sliced, if not the first; it must
-    never decrease in the order."""
-    by = by or order[0]
-    first = F.unix_micros(F.col(by).cast("timestamp")) if dict(df.dtypes)[by].startswith("timestamp") else F.col(by)
-    bounds = slice_bounds(df, first) if bounds is None else bounds
-    laid = with_slice(df, first, bounds)
+    slice or, at the edge of a slice of a key that a bound cuts, from the nearest slice's edge row.
+    ``by``: the order columns that slices are cut by, if not all; they must never decrease in the
+    order within a key. ``bounds``: over partition and ``by``."""
+    partition, by = list(partition), list(by or order)
+    places = [*partition, *by]
+    bounds = order_bounds(df, places) if bounds is None else bounds
+    cell = [*partition, "_slice"]
+    laid = with_slice(df, places, bounds, len(partition)).repartition(*cell)
     payload = F.struct(*[F.col(c) for c in cols])
-    w = Window.partitionBy(*partition, "_slice").orderBy(*_sort_cols(order))
-    local = (F.lag if direction < 0 else F.lead)(payload).over(w)
-    at_edge = (F.lag if direction < 0 else F.lead)(F.lit(1)).over(w).isNull()
-    place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])  # NULL last
-    edge = (F.max_by if direction < 0 else F.min_by)(payload, place)
-    edges = laid.groupBy(*partition, "_slice").agg(edge.alias("_edge"))
-    between = Window.partitionBy(*partition).orderBy("_slice")  # one row per slice
-    beyond = (F.lag if direction < 0 else F.lead)("_edge").over(between)
-    keys = [*partition, "_slice"]
-    edges = edges.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], beyond.alias("_beyond"))
-    marked = laid.select("*", local.alias("_local"), at_edge.alias("_ends"))
-    joined = marked.join(edges, [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(keys)])
-    value = F.when(F.col("_ends"), F.col("_beyond")).otherwise(F.col("_local"))
+    shift = F.lag if direction < 0 else F.lead
+    edge = (F.max if direction < 0 else F.min)(F.struct(_place(order).alias("at"), payload.alias("row")))
+    edges = summed(laid, cell, edge.alias("_edge"), F.max("_cut").alias("_split"), having=F.col("_split"))
+    names = [f"_g{i}" for i in range(len(cell))]
+    beyond = shift(F.col("_edge.row")).over(Window.partitionBy(*partition).orderBy("_slice"))  # one row a slice
+    edges = edges.select(*[F.col(k).alias(n) for k, n in zip(cell, names)], beyond.alias("_beyond"))
+    w = Window.partitionBy(*cell).orderBy(*_sort_cols(order))
+    marked = laid.select("*", shift(payload).over(w).alias("_local"), shift(F.lit(1)).over(w).isNull().alias("_ends"))
+    # a bound cuts one key, so there are at most two edge rows a bound
+    joined = marked.join(F.broadcast(edges), [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(cell, names)], "left")
+    value = F.when(F.col("_ends") & F.col("_cut"), F.col("_beyond")).otherwise(F.col("_local"))
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], value.alias(out))

@@ -21,7 +21,7 @@ from stationlens.functions.calendar import iso_year, week_start
 from stationlens.functions.labels import (
     NATIONAL_BAND_LABELS, NATIONAL_BAND_TOLERANCE, TREND_WEEKLY, band, spread, trend_preset,
 )
-from stationlens.operators.ranking import add_ranks
+from stationlens.operators.ranking import add_ranks, summed
 
 
 def date_literal(value) -> Column:
@@ -57,19 +57,23 @@ CHEAPEST_ENTITY_COLUMNS = ("station_key", "ville", "adresse", "code_postal", "ty
 def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: int = 100,
              group: str = "region", entity: str = "station_id", product: str = "carburant_nom",
              value: str = "prix_euros", day: str = "date_prix", tiebreak: Sequence[str] = ("carburant_id",),
-             bounds: Column | None = None, latest_day: Column | None = None) -> DataFrame:
+             ranks: tuple[str, str] = ("rang_national", "rang_region"), latest_day: Column | None = None) -> DataFrame:
     """MOD13: latest day's cheapest entities: top ``k_group`` per (group, product) OR top
     ``k_all`` per product, each row carrying both full-population ranks.
 
-    ``latest_day`` (a scalar Column) and ``bounds`` (see operators.ranking.slice_bounds) may be
-    given when a cheaper upstream determines the fact's latest day and its range of values; by
-    default they are scalar subqueries on the fact (cheap on the stored, month-partitioned one)."""
+    On its latest day the fact's own ``ranks`` (by product and day, and by region within them, with the
+    same order) are the report's; a fact without them is ranked here. ``latest_day`` (a scalar
+    Column) may be given when a cheaper upstream determines the fact's latest day; by default it
+    is a scalar subquery on the fact (cheap on the stored, month-partitioned one)."""
     last = latest_day if latest_day is not None else fact.select(F.max(day)).scalar()
     latest = fact.filter(F.col(day) == last)
     if PARTITION_MONTH in fact.columns:  # stored fact: read one month directory only
         latest = latest.filter(F.col(PARTITION_MONTH) == F.trunc(last, "month"))
-    ranked = add_ranks(latest, [product], value, {"position_nationale_top100": [], "position_regionale_top10": [group]},
-                       tiebreak=[entity, *tiebreak], bounds=bounds)
+    if set(ranks) <= set(fact.columns):
+        ranked = latest.select("*", *[F.col(r).alias(n) for r, n in zip(ranks, ("position_nationale_top100", "position_regionale_top10"))])
+    else:
+        ranked = add_ranks(latest, [product], value, {"position_nationale_top100": [], "position_regionale_top10": [group]},
+                           tiebreak=[entity, *tiebreak])
     top = ranked.filter((F.col("position_regionale_top10") <= k_group)
                         | (F.col("position_nationale_top100") <= k_all))
     cols = [c for c in CHEAPEST_ENTITY_COLUMNS if c in dim_entity.columns]
@@ -108,7 +112,8 @@ def regional(fact: DataFrame, dim_region: DataFrame | None, as_of, days: int = 3
     nat_mean = F.sum(F.col("_avg").cast("decimal(38,12)")).over(w).cast("double") / F.count("_avg").over(w)
     s = d.select("*", nat_mean.alias("_nat"), F.row_number().over(wr).alias("rang_region"),
                  F.count(group).over(w).alias("total_regions"))
-    latest = latest_day if latest_day is not None else f.select(F.max(day)).scalar()
+    # of the grouped rows: one per group, product and day of the slice
+    latest = latest_day if latest_day is not None else F.max(day).over(Window.partitionBy(F.lit(0)))
     m, nat = F.col("_avg"), F.col("_nat")
     out = s.select(
         group, product, day,
@@ -166,15 +171,18 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
         nat_keys = ["annee", "semaine", "debut_semaine", "fin_semaine", product]
         reg_keys = ["debut_semaine", product]
     v = F.col(value)
-    nat = wk.groupBy(*nat_keys).agg(
+    # both aggregates read one exchange, dealt by entity: no week or product lies in one task
+    wk = wk.select(*dict.fromkeys([*nat_keys, *reg_keys, group, entity, value])).repartition(entity)
+    nat = summed(wk, nat_keys,
         exact_avg(v).alias("_avg"), F.min(v).alias("_min"), F.max(v).alias("_max"),
         F.percentile(v.cast("double"), F.lit(0.5)).alias("_med"),
         F.stddev_samp(v).alias("_std"),
         F.count_distinct(entity).alias("nb_stations"), F.count(F.lit(1)).alias("nb_observations"))
+    nat = nat.select(*nat_keys, "_avg", "_min", "_max", "_med", "_std", "nb_stations", "nb_observations")
     wl = Window.partitionBy(product).orderBy(F.col("debut_semaine").asc_nulls_last(),
                                              F.col("annee").asc_nulls_last())
     nat = nat.select("*", *[F.lag("_avg", n).over(wl).alias(name) for n, name in lags.items()])
-    regional_avg = wk.groupBy(*reg_keys, group).agg(exact_avg(v).alias("_ravg"))
+    regional_avg = summed(wk, [*reg_keys, group], exact_avg(v).alias("_ravg"))
     pivot = (regional_avg.groupBy(*reg_keys)
              .pivot(group, list(pivot_regions.values())).agg(F.first("_ravg")))
     for out_name, region in pivot_regions.items():

@@ -131,16 +131,18 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
                  attributes: Sequence[str] = ("code_departement", "region", "type_station"),
                  rank_groups: Mapping[str, Sequence[str]] | None = None,
                  calendar_exact: bool = False,
-                 entity_key: str | None = None) -> DataFrame:
+                 entity_key: str | None = None, ranked: bool = True) -> DataFrame:
     """MOD7: valid rows -> daily last value -> entity attributes -> lags/variations -> ranks.
 
     Windows: lags partition by (entity, product) (one series, at most one row per day
-    and id); ranks within (product, day) and finer groups number slices of the price
-    range (see operators.ranking) and share one exchange. ``entity_key`` carries the entity
+    and id); ranks within (product, day) and finer groups are numbered in slices of the rows'
+    order (see operators.ranking) and share one exchange. ``entity_key`` carries the entity
     dimension's surrogate key from the attribute join (NULL for unknown entities), so
-    the fact needs no second join with the entity dimension.
+    the fact needs no second join with the entity dimension. ``ranked=False`` leaves out the ranks
+    and the percentile, for consumers that read none of them (no optimizer rule removes the
+    joins and the exchange behind unread window columns).
     """
-    from stationlens.operators.ranking import add_ranks, slice_bounds
+    from stationlens.operators.ranking import add_ranks, order_bounds
 
     valid = valid_observations(prices, day=day)
     daily = daily_last(valid, entity, product, day, ts, value,
@@ -153,11 +155,12 @@ def price_series(prices: DataFrame, entities: DataFrame, entity: str = "station_
                             calendar_exact=calendar_exact)
     groups = rank_groups if rank_groups is not None else {
         "rang_national": [], "rang_departement": ["code_departement"], "rang_region": ["region"]}
-    ranked = add_ranks(varied, [product, day], value, groups, tiebreak=[entity, *tiebreak],
-                       percent="percentile_national", bounds=slice_bounds(valid, value))
+    order = [product, day, value, entity, *tiebreak]
+    done = add_ranks(varied, [product, day], value, groups, tiebreak=[entity, *tiebreak], percent="percentile_national",
+                     bounds=order_bounds(valid, order, counted=prices)) if ranked else varied
     lag_cols = []
     for prev, (a, p) in VARIATION_NAMES.items():
         lag_cols += [prev, a, p]
-    return ranked.select(entity, product, product_id, *attributes, day, value, "derniere_maj",
-                         "nb_updates_jour", *lag_cols, *groups.keys(), "percentile_national",
-                         *([entity_key] if entity_key else []))
+    rank_cols = [*groups, "percentile_national"] if ranked else []
+    return done.select(entity, product, *tiebreak, *attributes, day, value, "derniere_maj",
+                       "nb_updates_jour", *lag_cols, *rank_cols, *([entity_key] if entity_key else []))

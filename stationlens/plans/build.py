@@ -6,35 +6,40 @@ Fault tolerance and lineage:
   cut with ``checkpoint()`` into the shared folder named by ``spark.checkpoint.dir``
   -- reliable storage, so a lost executor never forces a recompute from the raw
   tables, and later stages do not re-run the enrichment aggregates;
-* marts are written with the standard commit protocol (a failed task is retried, a
-  failed job leaves the previous output committed);
-* the history is appended as a new version next to the one it was read from;
+* every table is published (sources.tables): a build that dies leaves each table at its last whole
+  version, and dashboards read on meanwhile;
+* the history gets a segment of what changed (sources.segments);
 * staged prices (the only large staging model, read by five consumers) are written
   once as a Parquet table instead of being re-derived from raw strings per consumer.
+
+Row counts and latest days come from the manifests, not from scans.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlens.operators import quality as Q
-from stationlens.operators.anomalies import freshness_anomalies, price_anomalies, run_volume_anomalies, volume_anomalies
+from stationlens.operators.anomalies import (
+    bucket_state, price_anomalies, run_volume_anomalies, state_freshness_anomalies, state_volume_anomalies,
+)
 from stationlens.operators.dims import entity_dim, price_fact, product_dim, region_dim
-from stationlens.operators.enrich import enrich
+from stationlens.operators.enrich import enrich, ts_literal
 from stationlens.operators.explode import calendar
-from stationlens.operators.history import scd2_check, scd2_timestamp
+from stationlens.operators.history import check_changes, timestamp_changes
 from stationlens.operators.reports import cheapest, regional, weekly
 from stationlens.operators.series import price_series
 from stationlens.functions.labels import surrogate_key
 from stationlens.plans import fuel
 from stationlens.session import checkpoint_dir, configure
 from stationlens.sources import marts as M
+from stationlens.sources import segments, tables
 from stationlens.plans.checks import DECLARED, singular
-from stationlens.sources.raw import RAW_PRICES, RAW_RUN_LOG, RAW_SHORTAGES, RAW_STATIONS, read_raw
+from stationlens.sources.raw import RAW_PRICES, RAW_RUN_LOG, RAW_SHORTAGES, RAW_STATIONS, RUN_LOG, read_raw, read_seed
 
 # Monitored tables (OBS3) -> sensitivity of their row counts between builds.
 MONITORED_TABLES = {"fct_prix_produits": 3.0, "dim_stations": 2.0, "dim_produits": 3.0, "dim_regions": 3.0, "dim_date": 3.0}
@@ -52,104 +57,109 @@ class BuildConfig:
     weekly_compat: bool = False
 
 
-def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
+@dataclass
+class Models:
+    """What one build published: where, the number of entities, and the staging models that stay
+    unstored (small, or read once)."""
+
+    out: str
+    entities: int
+    staged: dict[str, DataFrame] = field(default_factory=dict)
+
+
+def publish_models(spark: SparkSession, out: str, raw: dict[str, DataFrame], seed: DataFrame, as_of,
+                   price_bounds: tuple[float, float] = (fuel.PRICE_MIN, fuel.PRICE_MAX), product_key: str = "id",
+                   weekly_compat: bool = False, price_type: str | None = None) -> Models:
+    """MOD1-MOD16: raw tables (stations, prices, shortages) -> published staged prices, dimensions, fact,
+    reports and anomalies below ``out``. ``price_type``: type of the price column (as staged by default)."""
     configure(spark)
     checkpoint_dir(spark)
     # Station-side models are small at any scale: their joins are left to AQE (measured
     # broadcasts), not pinned to a shared hash partitioning.
-    raw_st = read_raw(spark, f"{cfg.raw_base}/raw_stations", RAW_STATIONS)
-    raw_px = read_raw(spark, f"{cfg.raw_base}/raw_prix", RAW_PRICES)
-    raw_ru = read_raw(spark, f"{cfg.raw_base}/raw_ruptures", RAW_SHORTAGES)
-
-    stations = fuel.clean_stations(raw_st)
-    # Staged prices feed five consumers (station summary, series, product dimension,
-    # history, checks). Written once as a Parquet table so the raw strings are parsed
-    # once and every consumer reads only the typed columns it needs.
-    M.write_mart(fuel.clean_prices(raw_px), f"{cfg.out_base}/stg_prix")
-    prices = M.read_mart(spark, f"{cfg.out_base}/stg_prix")
-    services = fuel.station_services(raw_st)
-    hours = fuel.opening_hours(raw_st)
-    short = fuel.shortages(raw_ru)
-
-    enriched = enrich(stations, services, hours, prices, short, cfg.as_of, fuel.region_of).checkpoint()
-    n_entities = enriched.count()  # reads the checkpoint: cheap
+    stations = fuel.clean_stations(raw["stations"])
+    staged = fuel.clean_prices(raw["prices"], *price_bounds)
+    M.write_mart(staged.withColumn("prix_euros", F.col("prix_euros").cast(price_type)) if price_type else staged, f"{out}/stg_prix")
+    prices = M.read_mart(spark, f"{out}/stg_prix")
+    services, hours, short = fuel.station_services(raw["stations"]), fuel.opening_hours(raw["stations"]), fuel.shortages(raw["shortages"])
+    enriched = enrich(stations, services, hours, prices, short, as_of, fuel.region_of).checkpoint()
     series = price_series(prices, enriched, entity_key="station_key").checkpoint()
 
-    seed = (spark.read.csv(cfg.seed_path, header=True, schema=fuel.PRODUCT_SEED_SCHEMA)
-            if cfg.seed_path else fuel.product_seed(spark))
-    d_st = entity_dim(enriched)
-    d_pr = product_dim(prices, seed)
-    d_rg = region_dim(enriched, fuel.REGION_CODES, fuel.REGION_CODE_DEFAULT, fuel.REGION_CHIEF_TOWNS)
-    d_dt = calendar(spark)
-    out = cfg.out_base
-    for name, df in (("dim_stations", d_st), ("dim_produits", d_pr), ("dim_regions", d_rg), ("dim_date", d_dt)):
-        M.write_mart(df, f"{out}/{name}")
-    d_st, d_pr, d_rg = (M.read_mart(spark, f"{out}/{n}") for n in ("dim_stations", "dim_produits", "dim_regions"))
-    d_dt = M.read_mart(spark, f"{out}/dim_date")
-
-    fact = price_fact(series, d_st, d_pr, d_dt, d_rg, product_key=cfg.product_key)
-    M.write_fact(fact, f"{out}/fct_prix_produits")
+    dims = {"dim_stations": entity_dim(enriched), "dim_produits": product_dim(prices, seed),
+            "dim_regions": region_dim(enriched, fuel.REGION_CODES, fuel.REGION_CODE_DEFAULT, fuel.REGION_CHIEF_TOWNS),
+            "dim_date": calendar(spark)}
+    versions = {name: M.write_mart(df, f"{out}/{name}") for name, df in dims.items()}
+    d_st, d_pr, d_rg, d_dt = (M.read_mart(spark, f"{out}/{n}") for n in dims)
+
+    written = M.write_fact(price_fact(series, d_st, d_pr, d_dt, d_rg, product_key=product_key), f"{out}/fct_prix_produits",
+                           ranges=["derniere_maj"])
     fact = M.read_mart(spark, f"{out}/fct_prix_produits")  # keeps mois_prix for pruning
+    # The latest day is in the fact's manifest, so the reports read that day's month directory only.
+    last_day = F.lit(written.greatest["date_prix"]).cast("date")
+    M.write_mart(cheapest(fact, d_st, latest_day=last_day), f"{out}/rpt_stations_moins_cheres")
+    M.write_mart(regional(fact, d_rg, as_of), f"{out}/rpt_prix_moyen_region", ranges=["date_prix"])
+    M.write_mart(weekly(fact, as_of, fuel.WEEKLY_PIVOT_REGIONS, compat=weekly_compat, dim_date=d_dt), f"{out}/rpt_evolution_prix_hebdo")
+    M.write_mart(price_anomalies(fact, d_st, as_of), f"{out}/analysis_price_anomalies")
+    return Models(out, versions["dim_stations"].rows, {
+        "raw_stations": raw["stations"], "raw_prix": raw["prices"], "stg_stations": stations, "stg_services": services,
+        "stg_hours": hours, "stg_shortages": short, "stations_enriched": enriched, "daily_series": series, "seed_produits": seed})
+
+
+#: Tables that a build publishes.
+PUBLISHED = ("stg_prix", "dim_stations", "dim_produits", "dim_regions", "dim_date", "fct_prix_produits", "rpt_stations_moins_cheres",
+             "rpt_prix_moyen_region", "rpt_evolution_prix_hebdo", "analysis_price_anomalies")
+
 
-    # Latest day from the checkpointed series (one scalar), so the report prunes the
-    # stored fact to that day's month directory instead of scanning its date column.
-    last_day = series.agg(F.max("date_prix")).first()[0]
-    M.write_mart(cheapest(fact, d_st, latest_day=F.lit(last_day)),
-                 f"{out}/rpt_stations_moins_cheres")
-    M.write_mart(regional(fact, d_rg, cfg.as_of), f"{out}/rpt_prix_moyen_region")
-    M.write_mart(weekly(fact, cfg.as_of, fuel.WEEKLY_PIVOT_REGIONS, compat=cfg.weekly_compat, dim_date=d_dt),
-                 f"{out}/rpt_evolution_prix_hebdo")
-    M.write_mart(price_anomalies(fact, d_st, cfg.as_of), f"{out}/analysis_price_anomalies")
-
-    # History: next version of each snapshot, written beside the one it reads.
-    snap_src = prices.filter(~F.col("is_prix_invalide")).select(
+def checked_tables(spark: SparkSession, models: Models) -> dict[str, DataFrame]:
+    """Every table that a declared check reads."""
+    return models.staged | {n: M.read_mart(spark, f"{models.out}/{n}") for n in PUBLISHED}
+
+
+def build(spark: SparkSession, cfg: BuildConfig) -> dict[str, int]:
+    configure(spark)
+    base, out = cfg.raw_base, cfg.out_base
+    raw = {"stations": read_raw(spark, f"{base}/raw_stations", RAW_STATIONS), "prices": read_raw(spark, f"{base}/raw_prix", RAW_PRICES),
+           "shortages": read_raw(spark, f"{base}/raw_ruptures", RAW_SHORTAGES)}
+    seed = read_seed(spark, cfg.seed_path, fuel.PRODUCT_SEED_SCHEMA) if cfg.seed_path else fuel.product_seed(spark)
+    models = publish_models(spark, out, raw, seed, cfg.as_of, product_key=cfg.product_key, weekly_compat=cfg.weekly_compat)
+    checked = checked_tables(spark, models)
+
+    # History: a segment of each snapshot with what changed.
+    prices, enriched = checked["stg_prix"], checked["stations_enriched"]
+    snap = prices.filter(~F.col("is_prix_invalide")).select(
         surrogate_key("station_id", "carburant_nom").alias("prix_snapshot_key"), "station_id",
         "carburant_nom", "carburant_id", "prix_euros", "date_maj", "date_prix", "is_prix_invalide",
         "is_prix_suspect", F.col("_loaded_at").alias("source_loaded_at"))
-    _next_version(spark, f"{out}/snap_prix", lambda cur: scd2_timestamp(
-        cur, snap_src, ["prix_snapshot_key"], "date_maj", ["prix_euros", "carburant_id"]))
-    snap_st = enriched.select("station_id", *[c for c in enriched.columns
-                                              if c not in ("station_id", "_loaded_at")],
+    key = ["prix_snapshot_key"]
+    segments.run_changes(spark, f"{out}/snap_prix", key, snap,
+                         lambda known: timestamp_changes(known, snap, key, "date_maj", ["prix_euros", "carburant_id"]))
+    snap_st = enriched.select("station_id", *[c for c in enriched.columns if c not in ("station_id", "_loaded_at")],
                               F.col("_loaded_at").alias("source_loaded_at"))
-    _next_version(spark, f"{out}/snap_stations", lambda cur: scd2_check(
-        cur, snap_st, ["station_id"], STATION_SNAPSHOT_COLS, cfg.as_of))
-
-    marts = {n: M.read_mart(spark, f"{out}/{n}") for n in (
-        "rpt_prix_moyen_region", "rpt_stations_moins_cheres", "rpt_evolution_prix_hebdo")}
-    tables = {"raw_stations": raw_st, "raw_prix": raw_px, "stg_stations": stations, "stg_prix": prices, "stg_services": services,
-              "stg_hours": hours, "stg_shortages": short, "stations_enriched": enriched, "daily_series": series,
-              "dim_stations": d_st, "dim_produits": d_pr, "dim_regions": d_rg, "dim_date": d_dt, "fct_prix_produits": fact,
-              "seed_produits": seed, **marts}
-    log = read_raw(spark, f"{cfg.raw_base}/raw_ingestion_log", RAW_RUN_LOG)
-    M.write_mart(Q.run_rules(spark, tables, DECLARED, singular(stations, prices, log, cfg.as_of)), f"{out}/quality_results")
-    M.write_mart(Q.source_freshness({"raw_stations": raw_st, "raw_prix": raw_px, "raw_ruptures": raw_ru}, cfg.as_of),
+    segments.run_changes(spark, f"{out}/snap_stations", ["station_id"], snap_st, lambda known: check_changes(
+        known, snap_st, ["station_id"], STATION_SNAPSHOT_COLS, cfg.as_of), all_keys=True)
+
+    log = spark.read.schema(RAW_RUN_LOG).parquet(f"{base}/{RUN_LOG}")
+    M.write_mart(Q.run_rules(spark, checked, DECLARED, singular(checked["stg_stations"], prices, log, cfg.as_of)), f"{out}/quality_results")
+    M.write_mart(Q.source_freshness({"raw_stations": raw["stations"], "raw_prix": raw["prices"], "raw_ruptures": raw["shortages"]}, cfg.as_of),
                  f"{out}/source_freshness")
-    _monitors(spark, out, tables, cfg.as_of)
-    return {"entities": n_entities}
-
-
-def _monitors(spark: SparkSession, out: str, tables: dict[str, DataFrame], as_of: _dt.datetime) -> None:
-    """OBS1-OBS3: row counts of the monitored tables kept from build to build, the fact's rows by price
-    day, and the age of its updates."""
-    counted = [tables[t].agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(t).alias("table_name"), F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz").alias("run_at"), "row_count")
-        for t in MONITORED_TABLES]
-    now = counted[0]
-    for c in counted[1:]:
-        now = now.unionByName(c)
-    now.write.mode("append").parquet(f"{out}/run_counts")
-    runs = M.read_mart(spark, f"{out}/run_counts")
-    fact = tables["fct_prix_produits"]
-    by_day = volume_anomalies(fact.filter(F.col("date_prix").isNotNull()).withColumn("day", F.col("date_prix").cast("timestamp")),
-                              "day", sensitivity=FACT_SENSITIVITY, table="fct_prix_produits by day")
-    M.write_mart(run_volume_anomalies(runs, MONITORED_TABLES).unionByName(by_day), f"{out}/volume_monitors")
-    M.write_mart(freshness_anomalies(fact.filter(F.col("derniere_maj").isNotNull()), "derniere_maj",
-                                     sensitivity=FACT_SENSITIVITY, table="fct_prix_produits"), f"{out}/freshness_monitors")
+    _monitors(spark, out, checked["daily_series"], cfg.as_of)
+    return {"entities": models.entities}
+
 
+def monitored_counts(spark: SparkSession, out: str, as_of) -> DataFrame:
+    """OBS3: row counts of the monitored tables, from their manifests: (table_name, run_at, row_count)."""
+    facts = tables.table_facts(spark, {t: f"{out}/{t}" for t in MONITORED_TABLES})
+    return facts.select("table_name", ts_literal(as_of).alias("run_at"), "row_count")
 
-def _next_version(spark: SparkSession, base: str, merge) -> int:
-    v = M.latest_version(spark, base)
-    current = M.read_history(spark, base) if v is not None else None
-    nxt = 0 if v is None else v + 1
-    M.write_history(merge(current), base, nxt)
-    return nxt
+
+def _monitors(spark: SparkSession, out: str, series: DataFrame, as_of: _dt.datetime) -> None:
+    """OBS1-OBS3 without reading a stored table: row counts kept from build to build come from the
+    manifests; the fact's rows by price day and the age of its updates from states of the series it was
+    made of (a row a bucket, published with the build)."""
+    tables.append_rows(monitored_counts(spark, out, as_of), f"{out}/run_counts")
+    runs = spark.read.parquet(f"{out}/run_counts")
+    M.write_mart(bucket_state(series.withColumn("day", F.col("date_prix").cast("timestamp_ntz")), "day"), f"{out}/state_days")
+    M.write_mart(bucket_state(series, "derniere_maj", "6 hours"), f"{out}/state_updates")
+    by_day = state_volume_anomalies(M.read_mart(spark, f"{out}/state_days"), sensitivity=FACT_SENSITIVITY, table="fct_prix_produits by day")
+    M.write_mart(run_volume_anomalies(runs, MONITORED_TABLES).unionByName(by_day), f"{out}/volume_monitors")
+    M.write_mart(state_freshness_anomalies(M.read_mart(spark, f"{out}/state_updates"), sensitivity=FACT_SENSITIVITY,
+                                           table="fct_prix_produits"), f"{out}/freshness_monitors")

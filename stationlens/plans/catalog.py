@@ -21,6 +21,7 @@ from stationlens.session import configure
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
+_dimension_keys: dict[tuple[str, str], tuple] = {}
 
 
 def register(name: str, oracle_sql: str | None):
@@ -103,13 +104,6 @@ class EventsBuild:
             v = v.filter(since("date_prix", A.AS_OF_EVENTS, since_days))
         return v.select(F.max("date_prix")).scalar()
 
-    @cached_property
-    def bounds(self):
-        """Price quantiles of the raw observations: the slices of every rank over the fact."""
-        from stationlens.operators.ranking import slice_bounds
-        from stationlens.operators.series import valid_observations
-        return slice_bounds(valid_observations(self.prices), "prix_euros")
-
     def series(self) -> DataFrame:
         from stationlens.operators.series import price_series
 
@@ -137,12 +131,17 @@ class EventsBuild:
         from stationlens.operators.explode import calendar
         return calendar(self.spark)
 
-    def fact(self) -> DataFrame:
-        from stationlens.operators.dims import price_fact
+    def fact(self, ranked: bool = True) -> DataFrame:
+        """The price fact; ``ranked=False``: without rank, percentile and price-class columns."""
+        from stationlens.operators.dims import dimension_keys, price_fact
         from stationlens.operators.series import price_series
         p = self.prices.withColumn("prix_euros", F.col("prix_euros").cast("double"))
-        series = price_series(p, self.enriched, entity_key="station_key")
-        return price_fact(series, self.dim_stations, self.dim_products, self.dim_date, self.dim_regions)
+        series = price_series(p, self.enriched, entity_key="station_key", ranked=ranked)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _dimension_keys:  # measured once in an application and folder
+            _dimension_keys[key] = (dimension_keys(self.dim_products, F.col("carburant_id"), "carburant_key"),
+                                    dimension_keys(self.dim_regions, F.col("region_nom"), "region_key"))
+        return price_fact(series, self.dim_stations, self.dim_products, self.dim_date, self.dim_regions, keys=_dimension_keys[key])
 
 
 def li_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +277,7 @@ def q_cheapest(spark, d):
     """MOD13: JOI10 (scalar max date), WIN6 (two ranks, OR filter), PRJ27, PRJ30, JOI14."""
     from stationlens.operators.reports import cheapest
     b = EventsBuild(spark, d)
-    return neutral(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day(), bounds=b.bounds))
+    return neutral(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day()))
 
 
 @register("regional_report", O.sql("SELECT * FROM regional", "regional"))
@@ -286,7 +285,7 @@ def q_regional(spark, d):
     """MOD14: PRJ28, AGG7, AGG12, WIN7, WIN8, JOI11, JOI15, PRJ24, PRJ25."""
     from stationlens.operators.reports import regional
     b = EventsBuild(spark, d)
-    return regional(b.fact(), b.dim_regions, A.AS_OF_EVENTS, days=30, latest_day=b.latest_day(since_days=30))
+    return regional(b.fact(ranked=False), b.dim_regions, A.AS_OF_EVENTS, days=30, latest_day=b.latest_day(since_days=30))
 
 
 @register("weekly_report", O.sql("SELECT * FROM weekly", "weekly"))
@@ -294,13 +293,13 @@ def q_weekly(spark, d):
     """MOD15: AGG8 (median), AGG9, AGG10 (pivot), WIN9, JOI6, PRJ23 (weekly), PRJ25, PRJ26."""
     from stationlens.operators.reports import weekly
     b = EventsBuild(spark, d)
-    return weekly(b.fact(), A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS, weeks=12)
+    return weekly(b.fact(ranked=False), A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS, weeks=12)
 
 
 def _anomalies(spark, d):
     from stationlens.operators.anomalies import price_anomalies
     b = EventsBuild(spark, d)
-    return price_anomalies(b.fact(), b.dim_stations, A.AS_OF_EVENTS, days=7)
+    return price_anomalies(b.fact(ranked=False), b.dim_stations, A.AS_OF_EVENTS, days=7)
 
 
 @register("price_anomalies", O.sql("SELECT * FROM anomalies", "anomalies"))
@@ -344,12 +343,14 @@ def q_trend_labels(spark, d):
     """PRJ22/PRJ23 presets: daily (+-0.5/2), weekly (+-1/3), macro (+-1/5, 'Inconnu'); UDF2-4."""
     from stationlens.functions.labels import (
         TREND_DAILY, TREND_MACRO, TREND_WEEKLY, pct_variation, price_bucket, trend_preset)
-    from stationlens.operators.ranking import add_ranks, slice_bounds
+    from stationlens.operators.ranking import add_ranks, order_bounds
     from stationlens.operators.series import add_variations, valid_observations
     v = add_variations(_li_daily(spark, d), "station_id", "carburant_nom", "date_prix", "prix_euros",
                        tiebreak=[F.col("carburant_id").asc_nulls_last()])
     v = add_ranks(v, ["carburant_nom", "date_prix"], "prix_euros", {}, percent="percentile",
-                  bounds=slice_bounds(valid_observations(li_prices(spark, d)), "prix_euros"))
+                  tiebreak=["station_id", "carburant_id"],
+                  bounds=order_bounds(valid_observations(li_prices(spark, d)),
+                                      ["carburant_nom", "date_prix", "prix_euros", "station_id", "carburant_id"]))
     x = F.col("variation_semaine_pct")
     return v.select(
         "station_id", "carburant_nom", "carburant_id", "date_prix", "variation_semaine_pct",

@@ -3,21 +3,29 @@ and the dashboard query API (QRY1-11)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from stationlens.functions.labels import surrogate_key
 from stationlens.operators import dashboard as D
 from stationlens.operators import history as H
 from stationlens.operators import quality as Q
-from stationlens.operators.anomalies import freshness_anomalies, volume_anomalies
+from stationlens.operators.anomalies import (
+    bucket_state, freshness_anomalies, merge_states, state_volume_anomalies, volume_anomalies,
+)
 from stationlens.operators.enrich import ts_literal
-from stationlens.operators.reports import cheapest
 from stationlens.plans import adapters as A
 from stationlens.plans import checks as CHECKS
 from stationlens.plans import fuel
 from stationlens.plans import oracle as O
+from stationlens.plans import stored
+from stationlens.plans.build import MONITORED_TABLES, PUBLISHED, checked_tables, monitored_counts
 from stationlens.plans.catalog import EventsBuild, neutral, register
 from stationlens.plans.oracle import cte, q, rnd, sk, sql
+from stationlens.sources import feed as FEED
+from stationlens.sources import raw as RAW
+from stationlens.sources import segments, tables
 
 # ---------------------------------------------------------------------------
 # History (SCD1-4)
@@ -36,13 +44,16 @@ def _snap_source(b: EventsBuild):
                     "is_prix_invalide", "is_prix_suspect", F.col("_loaded_at").alias("source_loaded_at"))
 
 
-def price_history(spark, d):
-    b = EventsBuild(spark, d)
-    src = _snap_source(b)
-    cut = ts_literal(SNAP_CUT)
-    order = ["prix_euros", "carburant_id"]
-    h1 = H.scd2_timestamp(None, src.filter(F.col("date_maj") < cut), ["prix_snapshot_key"], "date_maj", order)
-    return H.scd2_timestamp(h1, src.filter(F.col("date_maj") >= cut), ["prix_snapshot_key"], "date_maj", order)
+def price_history(spark, d, compacted=False):
+    """Two loads into a new history of segments, read back."""
+    src, cut, key = _snap_source(EventsBuild(spark, d)), ts_literal(SNAP_CUT), ["prix_snapshot_key"]
+    path = stored.folder(spark, "history")
+    for load in (src.filter(F.col("date_maj") < cut), src.filter(F.col("date_maj") >= cut)):
+        segments.run_changes(spark, path, key, load, lambda known, load=load: H.timestamp_changes(
+            known, load, key, "date_maj", ["prix_euros", "carburant_id"]))
+    if compacted:
+        segments.compact(spark, path)
+    return segments.read_history(spark, path)
 
 
 cte("snap_src", ("stg_prix",), f"""
@@ -67,6 +78,12 @@ def q_scd_prices(spark, d):
     return price_history(spark, d)
 
 
+@register("scd_compacted", sql("SELECT * FROM price_hist", "price_hist"))
+def q_scd_compacted(spark, d):
+    """SCD1: the same history after its segments were merged."""
+    return price_history(spark, d, compacted=True)
+
+
 @register("scd_asof", sql(f"""
 SELECT * FROM price_hist WHERE valid_from <= TIMESTAMP '{ASOF_READ}'
   AND (valid_to IS NULL OR TIMESTAMP '{ASOF_READ}' < valid_to)""", "price_hist"))
@@ -173,8 +190,7 @@ WHERE f.station_id IS NOT NULL
 GROUP BY f.station_id""", "fact", "dim_stations"))
 def q_dq_relationships(spark, d):
     """DQ4 / JOI13: fact -> entity dimension."""
-    b = EventsBuild(spark, d)
-    return Q.relationships(b.fact(), "station_id", b.dim_stations, "station_id")
+    return Q.relationships(stored.fact(spark, d), "station_id", stored.mart(spark, d, "dim_stations"), "station_id")
 
 
 @register("dq_between", sql(f"""
@@ -318,19 +334,8 @@ cte("stale", ("run_log", "stg_prix"), _FRESHNESS[0])
     for n, t, c, s, f in _SUITE) + ")", *_CHECKED.values(), "stale"))
 def q_dq_suite(spark, d):
     """DQ1-DQ9, DQ11, DQ12: every declared check over all tables, in one result table."""
-    from stationlens.operators.reports import regional, weekly
-    from stationlens.session import checkpoint_dir
-    checkpoint_dir(spark)
-    b = EventsBuild(spark, d)
-    fact = b.fact().checkpoint()  # read by three reports and a dozen checks
-    tables = {"raw_stations": b.raw_stations, "raw_prix": A.raw_prices(spark, d), "stg_stations": b.stations, "stg_prix": b.prices, "stg_services": b.services, "stg_hours": b.hours,
-              "stg_shortages": b.shortages, "stations_enriched": b.enriched, "daily_series": fact,
-              "dim_stations": b.dim_stations, "dim_produits": b.dim_products, "dim_regions": b.dim_regions, "dim_date": b.dim_date,
-              "fct_prix_produits": fact, "rpt_prix_moyen_region": regional(fact, b.dim_regions, A.AS_OF_EVENTS),
-              "rpt_stations_moins_cheres": cheapest(fact, b.dim_stations),
-              "rpt_evolution_prix_hebdo": weekly(fact, A.AS_OF_EVENTS, fuel.WEEKLY_PIVOT_REGIONS),
-              "seed_produits": fuel.product_seed(spark)}
-    return Q.run_rules(spark, tables, CHECKS.DECLARED, CHECKS.singular(b.stations, b.prices, run_log(spark, d), A.AS_OF_EVENTS))
+    checked = checked_tables(spark, stored.models(spark, d))
+    return Q.run_rules(spark, checked, CHECKS.DECLARED, CHECKS.singular(checked["stg_stations"], checked["stg_prix"], run_log(spark, d), A.AS_OF_EVENTS))
 
 
 # ---------------------------------------------------------------------------
@@ -408,33 +413,27 @@ WHERE f.carburant_nom = '{PRODUCT}'
 
 
 def _selection(spark, d):
-    b = EventsBuild(spark, d)
-    return D.search_selection(b.fact(), b.dim_stations, PRODUCT, city=CITY, latest_day=b.latest_day(PRODUCT))
+    return D.search_selection(stored.fact(spark, d), stored.mart(spark, d, "dim_stations"), PRODUCT, city=CITY)
 
 
 @register("qry_cheapest", sql(f"""
 SELECT * FROM cheapest WHERE carburant_nom = '{PRODUCT}' ORDER BY rang_national, station_id LIMIT 20""", "cheapest"))
 def q_qry_cheapest(spark, d):
     """QRY1: cheapest stations for a product, first n."""
-    b = EventsBuild(spark, d)
-    return neutral(D.cheapest_stations(cheapest(b.fact(), b.dim_stations, latest_day=b.latest_day(), bounds=b.bounds),
-                                       PRODUCT, n=20))
+    return neutral(D.cheapest_stations(stored.mart(spark, d, "rpt_stations_moins_cheres"), PRODUCT, n=20))
 
 
 @register("qry_regional_latest", sql("SELECT * FROM regional WHERE is_latest", "regional"))
 def q_qry_regional(spark, d):
     """QRY2: latest regional prices."""
-    from stationlens.operators.reports import regional
-    b = EventsBuild(spark, d)
-    return D.regional_latest(regional(b.fact(), b.dim_regions, A.AS_OF_EVENTS,
-                                      latest_day=b.latest_day(since_days=30)))
+    return D.regional_latest(stored.mart(spark, d, "rpt_prix_moyen_region"))
 
 
 @register("qry_products", sql("SELECT DISTINCT carburant_nom FROM dim_products WHERE carburant_nom IS NOT NULL",
                               "dim_products"))
 def q_qry_products(spark, d):
     """QRY3 / SRT5: ordered product list."""
-    return D.products(EventsBuild(spark, d).dim_products)
+    return D.products(stored.mart(spark, d, "dim_produits"))
 
 
 @register("qry_search", sql(f"{_SEARCH} ORDER BY f.prix_euros, f.station_id, f.carburant_id NULLS LAST LIMIT 500",
@@ -464,7 +463,7 @@ SELECT ville, count(*) AS nb_stations FROM dim_stations WHERE code_departement =
 GROUP BY ville ORDER BY nb_stations DESC, ville LIMIT 50""", "dim_stations"))
 def q_qry_cities(spark, d):
     """QRY7 / AGG15: cities of a department, top 50."""
-    return D.cities_top(EventsBuild(spark, d).dim_stations, DEPT)
+    return D.cities_top(stored.mart(spark, d, "dim_stations"), DEPT)
 
 
 @register("qry_product_distribution", sql(f"""
@@ -474,8 +473,7 @@ FROM fact f JOIN dim_stations s ON f.station_id = s.station_id
 WHERE s.code_departement = '{DEPT}' GROUP BY f.carburant_nom""", "fact", "dim_stations"))
 def q_qry_distribution(spark, d):
     """QRY8 / AGG16."""
-    b = EventsBuild(spark, d)
-    return D.product_distribution(b.fact(), b.dim_stations, DEPT)
+    return D.product_distribution(stored.fact(spark, d), stored.mart(spark, d, "dim_stations"), DEPT)
 
 
 @register("qry_product_dates", sql(f"""
@@ -485,8 +483,7 @@ FROM fact f JOIN dim_stations s ON f.station_id = s.station_id
 WHERE s.code_departement = '{DEPT}' GROUP BY f.carburant_nom""", "fact", "dim_stations"))
 def q_qry_dates(spark, d):
     """QRY9 / AGG17."""
-    b = EventsBuild(spark, d)
-    return D.product_date_range(b.fact(), b.dim_stations, DEPT)
+    return D.product_date_range(stored.fact(spark, d), stored.mart(spark, d, "dim_stations"), DEPT)
 
 
 @register("qry_latest_dates", sql("""
@@ -494,7 +491,7 @@ SELECT carburant_nom, max(date_prix) AS max_date, (SELECT max(date_prix) FROM fa
        count(*) AS nb_rows FROM fact GROUP BY carburant_nom""", "fact"))
 def q_qry_latest(spark, d):
     """QRY10 / AGG18."""
-    return D.latest_dates(EventsBuild(spark, d).fact())
+    return D.latest_dates(stored.fact(spark, d))
 
 
 _TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -603,7 +600,7 @@ def q_dq_product_ids(spark, d):
 # Feed flattening and explodes (SRC2-5) over nested rows
 # ---------------------------------------------------------------------------
 
-@register("feed_stations", sql(f"""
+_FEED_STATIONS = f"""
 SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CAST(s_nationkey * 1000 AS VARCHAR) AS latitude,
        if(s_acctbal > 0, CAST(s_suppkey AS VARCHAR), NULL) AS longitude,
        lpad(CAST(s_suppkey AS VARCHAR), 5, '0') AS cp, if(s_acctbal > 5000, 'R', NULL) AS pop,
@@ -611,7 +608,10 @@ SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CAST(s_nationkey * 1000 AS VARC
        if(s_acctbal >= 2000, 'Lavage,Boutique ' || s_nationkey, '') AS services,
        if(s_acctbal > 5000, '1', '') AS automate_24_24,
        if(s_acctbal > 1000, 'Lundi::08.00-12.00;14.00-|Dimanche:1:', '') AS horaires_json, {O.EV_ASOF} AS _loaded_at
-FROM supplier JOIN nation ON s_nationkey = n_nationkey"""))
+FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
+
+
+@register("feed_stations", sql(_FEED_STATIONS))
 def q_feed_stations(spark, d):
     """SRC2 + SRC5: nested station rows flattened; missing nodes give empty texts."""
     from stationlens.sources.feed import flatten_stations
@@ -641,3 +641,95 @@ def q_feed_shortages(spark, d):
     """SRC4: a row for each shortage child, also an empty one."""
     from stationlens.sources.feed import explode_shortages
     return explode_shortages(A.feed_shortage_rows(spark, d), A.AS_OF_EVENTS)
+
+
+# ---------------------------------------------------------------------------
+# Stored tables (SRC6-SRC9, SRC11-SRC14, AGG12, OBS1, OBS3) and the feed as XML (SRC1, SRC5)
+# ---------------------------------------------------------------------------
+
+@register("stored_fact", sql("SELECT * FROM fact", "fact"))
+def q_stored_fact(spark, d):
+    """SRC11-SRC13: the fact as published (month folders, ranges by day, product and station), read back."""
+    return stored.fact(spark, d).drop("mois_prix")
+
+
+_STORED = {"stg_prix": "stg_prix", "dim_stations": "dim_stations", "dim_produits": "dim_products", "dim_regions": "dim_regions",
+           "dim_date": "date_keys", "fct_prix_produits": "fact", "rpt_stations_moins_cheres": "cheapest", "rpt_prix_moyen_region": "regional",
+           "rpt_evolution_prix_hebdo": "weekly", "analysis_price_anomalies": "anomalies"}
+_RANGED = ("fct_prix_produits", "rpt_prix_moyen_region")
+
+
+def _counts(names) -> list[str]:
+    day = lambda t, f: f"CAST({f}(date_prix) AS VARCHAR)" if t in _RANGED else "CAST(NULL AS VARCHAR)"
+    return [f"SELECT '{t}' AS table_name, count(*) AS row_count, {day(t, 'min')} AS least, {day(t, 'max')} AS greatest FROM {_STORED[t]}" for t in names]
+
+
+@register("stored_counts", sql(" UNION ALL ".join(_counts(PUBLISHED)), *_STORED.values()))
+def q_stored_counts(spark, d):
+    """SRC14 / QRY11 / AGG12: row counts and day ranges of the published tables, from their manifests."""
+    out = stored.models(spark, d).out
+    return tables.table_facts(spark, {t: f"{out}/{t}" for t in PUBLISHED}, "date_prix")
+
+
+@register("monitored_tables", sql(f"SELECT table_name, {O.EV_ASOF} AS run_at, row_count FROM ({' UNION ALL '.join(_counts(MONITORED_TABLES))})",
+                                  *[_STORED[t] for t in MONITORED_TABLES]))
+def q_monitored(spark, d):
+    """OBS3: the monitored tables' row counts of a build."""
+    return monitored_counts(spark, stored.models(spark, d).out, A.AS_OF_EVENTS)
+
+
+@register("monitor_states", sql(_zsql(_VOL, "events", "1 day").replace("metric", "row_count")))
+def q_monitor_states(spark, d):
+    """OBS1 kept up by loads: each load adds its buckets to the published state, the monitor reads the state."""
+    ev, at = A.read_table(spark, d, "events"), stored.folder(spark, "state")
+    cut = ts_literal(SNAP_CUT)
+    tables.publish(bucket_state(ev.filter(F.col("ts") < cut), "ts"), at)
+    tables.publish(merge_states(tables.read_table(spark, at), bucket_state(ev.filter(F.col("ts") >= cut), "ts")), at)
+    return _round_monitor(state_volume_anomalies(tables.read_table(spark, at), table="events"), "row_count")
+
+
+def _feed_files(spark, d) -> str:
+    """The feed as XML files: stations with prices, one element an order with its shortage (a NULL child is
+    not written), and a broken element for each supplier with a negative balance."""
+    at = stored.folder(spark, "feed")
+    FEED.write_feed(A.feed_rows(spark, d), f"{at}/stations")
+    FEED.write_feed(A.feed_shortage_rows(spark, d), f"{at}/shortages")
+    broken = A.read_table(spark, d, "supplier").filter("s_acctbal < 0").select(
+        F.format_string('<pdv id="%s" cp="00000"><adresse>a & b</adresse></pdv>', F.col("s_suppkey").cast("string")))
+    broken.write.text(f"{at}/broken")
+    return f"{at}/*"
+
+
+@register("feed_roundtrip", sql(_FEED_STATIONS))
+def q_feed_roundtrip(spark, d):
+    """SRC1, SRC2, SRC5: stations written as XML and scanned back, broken elements left out."""
+    scan = FEED.read_feed(spark, _feed_files(spark, d), keep_malformed=True)
+    return FEED.flatten_stations(FEED.well_formed(scan).filter(F.col("_cp").isNotNull()), A.AS_OF_EVENTS)
+
+
+def _ingested(spark, d) -> str:
+    """The raw tables of an ingestion of the feed files."""
+    raw = stored.folder(spark, "raw")
+    RAW.ingest(spark, _feed_files(spark, d), raw, dt.datetime.fromisoformat(A.AS_OF_EVENTS))
+    return raw
+
+
+@register("feed_rejected", sql(f"""
+SELECT '<pdv id="' || s_suppkey || '" cp="00000"><adresse>a & b</adresse></pdv>' AS element, {O.EV_ASOF} AS _loaded_at
+FROM supplier WHERE s_acctbal < 0"""))
+def q_feed_rejected(spark, d):
+    """SRC1: the malformed elements of the feed, as an ingestion keeps them."""
+    return tables.read_table(spark, f"{_ingested(spark, d)}/raw_rejected")
+
+
+@register("ingest_run", sql("""
+SELECT 'raw_stations' AS table_name, (SELECT count(*) FROM supplier) + (SELECT count(*) FROM orders) AS row_count, 'SUCCESS' AS status
+UNION ALL SELECT 'raw_prix', 2 * count(*), 'SUCCESS' FROM supplier WHERE s_acctbal > 0
+UNION ALL SELECT 'raw_ruptures', count(*), 'SUCCESS' FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT 'raw_rejected', count(*), 'SUCCESS' FROM supplier WHERE s_acctbal < 0"""))
+def q_ingest_run(spark, d):
+    """SRC1, SRC5-SRC8: an ingestion of the feed files: published raw tables with their counts, run log."""
+    raw = _ingested(spark, d)
+    status = RAW.read_raw(spark, f"{raw}/{RAW.RUN_LOG}", RAW.RAW_RUN_LOG).select(F.max("status")).scalar()
+    counts = tables.table_facts(spark, {t: f"{raw}/{t}" for t in RAW.RAW_TABLES})
+    return counts.select("table_name", "row_count", status.alias("status"))

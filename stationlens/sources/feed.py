@@ -36,12 +36,36 @@ FEED_SCHEMA = T.StructType([
 ])
 
 
+#: Text of an element that is no XML or does not fit the schema.
+MALFORMED = "_malformed"
+
+
 def read_feed(spark: SparkSession, path: str, encoding: str = "ISO-8859-1",
-              row_tag: str = "pdv") -> DataFrame:
-    """SRC1: one row per ``row_tag`` element, explicit schema (no inference pass)."""
+              row_tag: str = "pdv", keep_malformed: bool = False) -> DataFrame:
+    """SRC1: one row per ``row_tag`` element, explicit schema (no inference pass). Malformed elements are
+    dropped, or kept as rows with their text in ``MALFORMED`` (see :func:`rejected`)."""
+    schema = T.StructType([*FEED_SCHEMA.fields, T.StructField(MALFORMED, S)]) if keep_malformed else FEED_SCHEMA
     return (spark.read.format("xml").option("rowTag", row_tag).option("encoding", encoding)
             .option("attributePrefix", "_").option("ignoreSurroundingSpaces", "false")
-            .schema(FEED_SCHEMA).load(path))
+            .option("mode", "PERMISSIVE" if keep_malformed else "DROPMALFORMED")
+            .option("columnNameOfCorruptRecord", MALFORMED).schema(schema).load(path))
+
+
+def well_formed(scan: DataFrame) -> DataFrame:
+    """The elements that could be read."""
+    return scan.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
+
+
+def rejected(scan: DataFrame, as_of) -> DataFrame:
+    """The malformed elements' texts, for the table beside the raw ones. The scan must be persisted: Spark
+    reads no file for its malformed text alone."""
+    return scan.filter(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("element"), ts_literal(as_of).alias("_loaded_at"))
+
+
+def write_feed(rows: DataFrame, path: str, encoding: str = "ISO-8859-1", row_tag: str = "pdv", root: str = "pdv_liste") -> None:
+    """Nested rows (FEED_SCHEMA or some of its columns) as feed files."""
+    (rows.write.format("xml").option("rowTag", row_tag).option("rootTag", root).option("encoding", encoding)
+     .option("attributePrefix", "_").option("declaration", f"version='1.0' encoding='{encoding}'").save(path))
 
 
 def _txt(c: Column) -> Column:

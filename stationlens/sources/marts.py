@@ -1,98 +1,46 @@
-"""Mart sinks and readers (SRC11-SRC13) and versioned history storage.
+"""Mart sinks and readers (SRC11-SRC13).
 
-* marts are rewritten in full (overwrite);
+* marts are published: a new version is written beside the old one and a manifest switches readers to
+  it (see ``sources.tables``);
 * the fact is laid out for pruning: one directory per month, rows range-partitioned
-  and sorted by (date, product) so Parquet min/max statistics are tight;
-* a versioned history is an append-only dataset partitioned by version: a run writes
-  version n+1 next to the untouched version n (never overwriting what it reads), and
-  readers pick the highest version.
+  and sorted by (date, product, entity) so Parquet min/max statistics are tight.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationlens.sources.tables import Version, publish, read_table
 
 MONTH_COL = "mois_prix"  # fact partition column: first day of the month (DATE)
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """SRC11: full rebuild of a mart table."""
-    df.write.mode("overwrite").parquet(path)
+def write_mart(df: DataFrame, path: str, ranges: Sequence[str] = ()) -> Version:
+    """SRC11: full rebuild of a mart table; readers see the old one until the new one is whole."""
+    return publish(df, path, ranges=ranges)
 
 
 def write_fact(df: DataFrame, path: str, day: str = "date_prix", product: str = "carburant_nom",
-               num_partitions: int | None = None) -> None:
-    """SRC12: clustered fact: month directories, range-partitioned and sorted by
-    (day, product) inside. Date filters prune directories, then row groups.
+               tail: Sequence[str] = ("station_id", "carburant_id"), ranges: Sequence[str] = (),
+               num_partitions: int | None = None) -> Version:
+    """SRC12: clustered fact: month directories, range-partitioned and sorted by (day, product,
+    ``tail``) inside. Date filters prune directories, then row groups. The tail is part of the range
+    bounds, so one (day, product), however large, is split over as many tasks as its share is worth.
 
     Without ``num_partitions`` the range exchange is left to AQE, which coalesces it to
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` -- file sizes follow the data
     instead of the shuffle-partition count (which, sized for the raw input, would
     write thousands of tiny files per month)."""
+    order = [day, product, *[c for c in tail if c in df.columns]]
     with_month = df.withColumn(MONTH_COL, F.trunc(F.col(day), "month"))
-    ranged = (with_month.repartitionByRange(num_partitions, F.col(day), F.col(product)) if num_partitions
-              else with_month.repartitionByRange(F.col(day), F.col(product)))
-    laid = ranged.sortWithinPartitions(day, product)
-    laid.write.mode("overwrite").partitionBy(MONTH_COL).parquet(path)
+    ranged = with_month.repartitionByRange(num_partitions, *order) if num_partitions else with_month.repartitionByRange(*order)
+    return publish(ranged.sortWithinPartitions(*order), path, partition_by=[MONTH_COL], ranges=[day, *ranges])
 
 
 def read_mart(spark: SparkSession, path: str, lower: bool = True) -> DataFrame:
     """SRC13: mart scan with lower-cased column names."""
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     return df.toDF(*[c.lower() for c in df.columns]) if lower else df
-
-
-VERSION_COL, SOURCE_COL = "snapshot_version", "snapshot_source"
-
-
-def _history(spark: SparkSession, base: str) -> DataFrame | None:
-    """The stored versions, None when there is no dataset yet; any other failure is raised (a
-    storage fault must not look like an empty history)."""
-    try:
-        return spark.read.parquet(base)
-    except AnalysisException as e:
-        if (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    """Highest committed version under ``base`` (None when there is none yet)."""
-    df = _history(spark, base)
-    row = None if df is None else df.select(F.max(VERSION_COL).alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
-
-
-def version_sources(spark: SparkSession, base: str) -> set[str]:
-    """What wrote the versions (one name a version)."""
-    df = _history(spark, base)
-    return set() if df is None else {r[0] for r in df.select(SOURCE_COL).distinct().collect()}
-
-
-def read_history(spark: SparkSession, base: str) -> DataFrame | None:
-    v = latest_version(spark, base)
-    if v is None:
-        return None
-    return spark.read.parquet(base).filter(F.col(VERSION_COL) == v).drop(VERSION_COL, SOURCE_COL)
-
-
-def write_history(df: DataFrame, base: str, version: int, source: str = "run") -> None:
-    """Append version ``version`` as a new partition; earlier versions stay readable."""
-    df.withColumn(VERSION_COL, F.lit(version)).withColumn(SOURCE_COL, F.lit(source)) \
-        .write.mode("append").partitionBy(VERSION_COL, SOURCE_COL).parquet(base)
-
-
-def compact_history(spark: SparkSession, base: str, new_base: str, keep: int = 1) -> int | None:
-    """Retention without a table format: copy the last ``keep`` versions of the history at
-    ``base`` to ``new_base`` (which must not exist yet) and return the latest version.
-    Readers switch to ``new_base``; the old location can then be dropped by the storage
-    layer's own tools. Versions are partitions, so the copy reads only the kept ones."""
-    v = latest_version(spark, base)
-    if v is None:
-        return None
-    kept = spark.read.parquet(base).filter(F.col(VERSION_COL) > F.lit(v - keep))
-    kept.write.mode("errorifexists").partitionBy(VERSION_COL, SOURCE_COL).parquet(new_base)
-    return v

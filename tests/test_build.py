@@ -5,6 +5,7 @@ import os
 
 from stationlens.plans.build import BuildConfig, build
 from stationlens.sources import marts as M
+from stationlens.sources import segments as S
 from stationlens.sources.raw import ingest
 from test_sources import AS_OF, _feed_file
 
@@ -27,9 +28,9 @@ def test_full_build(spark, tmp_dir):
     st = {r["station_id"]: r for r in M.read_mart(spark, f"{out}/dim_stations").collect()}
     assert st["1001"]["region"] == "Île-de-France" and st["1002"]["region"] == "DOM-TOM"
     assert st["1001"]["services_list"] == "BOUTIQUE, LAVAGE AUTOMATIQUE" and st["1001"]["has_lavage"]
-    build(spark, cfg)  # second run: next history version, unchanged rows stay open
-    assert M.latest_version(spark, f"{out}/snap_prix") == 1
-    h = M.read_history(spark, f"{out}/snap_prix")
+    build(spark, cfg)  # second run: next history segment, unchanged rows stay open
+    assert S.open_history(spark, f"{out}/snap_prix").run == 1
+    h = S.read_history(spark, f"{out}/snap_prix")
     assert h.filter("valid_to IS NULL").count() == 2
 
 

@@ -70,3 +70,32 @@ def test_open_days_and_quality_score(spark):
     assert out["1"]["data_quality_score"] == 100  # located, address, services, 3 products, fresh (S25)
     assert out["2"]["data_quality_score"] == 20   # floors: 10 (products) + 10 (freshness)
     assert not out["2"]["is_ouvert_7j_7"] and out["2"]["jours_ouverts_semaine"] == 0
+
+
+def test_dimension_keys_looked_up_or_joined(spark, monkeypatch):
+    """Small dimensions are searched, large ones joined: the same rows, also for repeated and missing keys."""
+    from stationlens.operators import dims as D
+    dim = spark.createDataFrame([("a", "1"), ("b", "2"), ("b", "3"), (None, "4"), ("é", "5")], "k string, v string")
+    rows = spark.createDataFrame([(f"s{i}", ["a", "b", "x", None, "é"][i % 5]) for i in range(60)], "station_id string, at string")
+    small = D.dimension_keys(dim, F.col("k"), "v")
+    monkeypatch.setattr(D, "LOOKUP_KEYS", 2)
+    large = D.dimension_keys(dim, F.col("k"), "v")
+    assert small.text and large.text is None
+    found = lambda keys: D.with_dimension_key(rows, F.col("at"), keys, "station_id")
+    assert "Join" not in found(small)._jdf.queryExecution().optimizedPlan().toString()
+    want = rows.join(dim.filter("k is not null"), F.col("at") == F.col("k"), "left").select("station_id", "at", "v")
+    for keys in (small, large):
+        assert sorted(map(repr, found(keys).collect())) == sorted(map(repr, want.collect()))
+    empty = found(D.dimension_keys(dim.limit(0), F.col("k"), "v"))
+    assert empty.count() == 60 and empty.filter("v is not null").count() == 0
+
+
+def test_a_dimension_of_a_million_keys(spark):
+    """Beyond the lookup's size the rows are joined with salted keys: no cap, no error."""
+    from stationlens.operators import dims as D
+    dim = spark.range(1_000_000).select(F.col("id").cast("string").alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    keys = D.dimension_keys(dim, F.col("k"), "v")
+    assert keys.text is None
+    rows = spark.range(3000).select(F.concat(F.lit("s"), "id").alias("station_id"), (F.col("id") * 400).cast("string").alias("at"))
+    got = D.with_dimension_key(rows, F.col("at"), keys, "station_id")
+    assert got.filter("v = md5(at)").count() == 2500 and got.filter("v is null").count() == 500

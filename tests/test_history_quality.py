@@ -32,7 +32,7 @@ def test_scd_timestamp_batches_equal_one(spark):
         for lo, hi in zip(cuts, cuts[1:]):
             part = df.filter(F.col("ts").isNull() | ((F.col("ts") >= base + dt.timedelta(hours=lo))
                                                      & (F.col("ts") < base + dt.timedelta(hours=hi))))
-            hist = H.scd2_timestamp(hist, part, ["k"], "ts").cache()
+            hist = H.scd2_timestamp(hist, part, ["k"], "ts").checkpoint()
         got = sorted(((r["k"], r["valid_from"], r["valid_to"]) for r in hist.collect()), key=key)
         assert got == sorted(want, key=key)
         again = H.scd2_timestamp(hist, df, ["k"], "ts")  # a replay adds nothing
@@ -46,7 +46,7 @@ def test_scd_check_repeated_and_null_keys(spark):
     s1 = spark.createDataFrame([("k", "1", "p"), ("k", "1", "q"), (None, "2", "r"), ("k", None, "s"), (None, None, "t")], cols)
     h = None
     for day in (1, 2, 3):  # the same rows again change nothing
-        h = H.scd2_check(h, s1, ["a", "b"], ["x"], f"2024-01-0{day} 00:00:00").cache()
+        h = H.scd2_check(h, s1, ["a", "b"], ["x"], f"2024-01-0{day} 00:00:00").checkpoint()
     got = sorted((r["a"] or "", r["b"] or "", r["x"], r["valid_to"]) for r in h.collect())
     assert got == [("", "", "t", None), ("", "2", "r", None), ("k", "", "s", None), ("k", "1", "q", None)]
     assert h.select("scd_id").distinct().count() == 4
@@ -95,7 +95,31 @@ def test_quality_checks(spark):
     assert [(r["id"], r["n_records"]) for r in rel] == [("a", 2)]
     plan = Q.orphans(df, parent, "id")._jdf.queryExecution().executedPlan().toString()
     assert "LeftAnti" in plan
-    suite = Q.run_suite(spark, [Q.Check("u", "t", "id", Q.unique(df, ["id"]), "error"),
-                                Q.Check("n", "t", "id", Q.not_null(df, "id").limit(0), "warn")])
-    got = {r["check_name"]: (r["failures"], r["status"]) for r in suite.collect()}
-    assert got == {"u": (1, "error"), "n": (0, "pass")}
+    declared = {"t": {"id": (Q.Rule("unique", severity="error"), Q.not_null_rule(), Q.parent("pa", "id")),
+                      "cp": (Q.length(5),), "v": (Q.between_rule(0.5, 6.0),), "p": (Q.accepted(["GAZOLE"]),)},
+                "pa": {"id": (Q.unique_rule(),)}}
+    single = Q.Check("none", "t", "id", Q.not_null(df, "id").limit(0), "warn")
+    suite = Q.run_rules(spark, {"t": df, "pa": parent}, declared, [single])
+    got = {(r["table_name"], r["check_name"]): (r["failures"], r["status"]) for r in suite.collect()}
+    assert got == {("t", "unique_id"): (1, "error"), ("t", "not_null_id"): (1, "warn"), ("t", "parent_id"): (1, "warn"),
+                   ("t", "length_cp"): (1, "warn"), ("t", "between_v"): (0, "pass"), ("t", "accepted_p"): (1, "warn"),
+                   ("pa", "unique_id"): (0, "pass"), ("t", "none"): (0, "pass")}
+
+
+def test_rules_scan_each_table_once(spark):
+    """All rules of all tables: one scan a table, one shuffle of keys (and one of the rules' counts)."""
+    import random
+    rnd = random.Random(4)
+    child = spark.createDataFrame([(rnd.choice(["a", "b", "c", None, f"k{i}"]), i % 7 if i % 5 else None, f"u{i // 2}") for i in range(400)], "k string, n int, u string")
+    parent = spark.createDataFrame([("a",), ("b",), ("b",), (None,)] + [(f"k{i}",) for i in range(0, 400, 2)], "k string")
+    declared = {"c": {"k": (Q.not_null_rule(), Q.parent("p", "k")), "n": (Q.between_rule(0, 4), Q.not_null_rule()), "u": (Q.unique_rule(),)},
+                "p": {"k": (Q.unique_rule(), Q.not_null_rule())}}
+    out = Q.run_rules(spark, {"c": child, "p": parent}, declared)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") == 2 and plan.count("Exchange hashpartitioning(rule") <= 2
+    got = {(r["table_name"], r["check_name"]): r["failures"] for r in out.collect()}
+    assert got == {("c", "not_null_k"): Q.not_null(child, "k").count(), ("c", "parent_k"): Q.relationships(child, "k", parent, "k").count(),
+                   ("c", "between_n"): Q.between(child, "n", 0, 4).count(), ("c", "not_null_n"): Q.not_null(child, "n").count(),
+                   ("c", "unique_u"): Q.unique(child, ["u"]).count(), ("p", "unique_k"): Q.unique(parent, ["k"]).count(),
+                   ("p", "not_null_k"): 1}
+    assert got[("c", "unique_u")] == 200 and got[("c", "parent_k")] > 10

@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stationlens.operators.ranking import add_ranks, slice_bounds, sliced_shift
+from stationlens.operators.ranking import add_ranks, order_bounds, sliced_shift, with_slice
 from stationlens.operators.series import add_calendar_lags, add_lags, daily_last
 
 
@@ -59,11 +59,12 @@ def test_ranks_equal_windows(spark):
     df = spark.createDataFrame(rows, "e string, p string, r string, v double").withColumn("d", F.lit("2024-01-01"))
     groups = {"rn_all": [], "rn_reg": ["r"], "rn_two": ["r", "e"]}
     want = _windows(df, ["p", "d"], groups, "v", ["e"])
-    for slices in (2, 7, 64):
-        _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", slice_bounds(df, "v", slices)), want)
-    far = slice_bounds(spark.createDataFrame([(5e9,)], "v double"), "v", 4)  # bounds of other data: same ranks
+    order = ["p", "d", "v", "e"]
+    for slices in (2, 7, 64, 500):
+        _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", order_bounds(df, order, slices)), want)
+    far = order_bounds(df.select("p", "d", (F.col("v") * 7).alias("v"), "e"), order, 9)  # bounds of other data: same ranks
     _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", far), want)
-    none = slice_bounds(df.limit(0), "v", 4)
+    none = order_bounds(df.limit(0), order, 4)
     _same(add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", none), want)
     assert add_ranks(df.limit(0), ["p", "d"], "v", groups, ["e"], "pr").count() == 0
 
@@ -87,12 +88,43 @@ def test_rows_are_ranked_in_slices(spark):
 
 
 def test_a_hot_product_day_is_spread(spark):
-    """A product-day with a third of all rows: no (group, slice) holds more than its share."""
-    rows = [(f"s{i}", "hot" if i % 3 == 0 else f"p{i % 97}", float(i % 1009)) for i in range(9000)]
+    """A product-day with a third of all rows, all of one price: no (group, slice) holds much more than a
+    slice's share, and groups that no bound cuts are known."""
+    rows = [(f"s{i}", "hot" if i % 3 == 0 else f"p{i % 97}", 1.5 if i % 3 == 0 else float(i % 1009)) for i in range(9000)]
     df = spark.createDataFrame(rows, "e string, p string, v double")
-    from stationlens.operators.ranking import with_slice
-    biggest = with_slice(df, "v", slice_bounds(df, "v", 30)).groupBy("p", "_slice").count().agg(F.max("count")).first()[0]
-    assert biggest < 3000 / 30 * 1.5
+    order = ["p", "v", "e"]
+    laid = with_slice(df, order, order_bounds(df, order, 30), 1)
+    assert laid.groupBy("p", "_slice").count().agg(F.max("count")).first()[0] < 9000 / 30 * 2
+    per = {r["p"]: r for r in laid.groupBy("p").agg(F.count_distinct("_slice").alias("n"), F.max("_cut").alias("cut")).collect()}
+    assert per["hot"]["n"] >= 8 and all(r["cut"] for r in per.values() if r["n"] > 1)
+    assert sum(not r["cut"] for r in per.values()) > 50
+
+
+def _final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_and_counts_read_one_exchange(spark):
+    """The input of the ranks is evaluated once: the counts reuse the rows' exchange."""
+    rows = [(f"s{i % 50}", "p", i % 7, float(i % 11)) for i in range(3000)]
+    df = (spark.createDataFrame(rows, "e string, p string, d int, x double").groupBy("e", "p", "d")
+          .agg(F.sum("x").alias("v"), F.max("x").alias("unread")))
+    order = ["p", "d", "v", "e"]
+    source = spark.createDataFrame([("p", 3, float(v), f"s{v}") for v in range(50)], "p string, d int, v double, e string")
+    out = add_ranks(df, ["p", "d"], "v", {"a": [], "b": ["e"]}, ["e"], "pr", order_bounds(source, order, 12))
+    plan = _final_plan(out)
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 2
+    assert final.count("partial_sum(x") == 1, final
+
+
+def test_neighbours_read_one_exchange(spark):
+    df = spark.createDataFrame([("k", i, i % 5) for i in range(2000)], "g string, t int, v int").groupBy("g", "t").agg(F.sum("v").alias("v"))
+    source = spark.createDataFrame([("k", i) for i in range(2000)], "g string, t int")
+    final = _final_plan(sliced_shift(df, ["g"], ["t"], ["v"], "pv", -1, order_bounds(source, ["g", "t"], 8))).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("partial_sum(v") == 1
 
 
 def test_neighbours_equal_windows(spark):
@@ -102,8 +134,8 @@ def test_neighbours_equal_windows(spark):
     w = Window.partitionBy("g").orderBy("t", "i")
     want = df.select("*", F.lag(F.struct("v")).over(w).alias("pv"), F.lead(F.struct("v")).over(w).alias("nx"))
     for slices in (2, 9):
-        b = slice_bounds(df, "t", slices)
-        got = sliced_shift(sliced_shift(df, ["g"], ["t", "i"], ["v"], "pv", -1, b), ["g"], ["t", "i"], ["v"], "nx", +1, b)
+        b = order_bounds(df, ["g", "t"], slices)
+        got = sliced_shift(sliced_shift(df, ["g"], ["t", "i"], ["v"], "pv", -1, b, by=["t"]), ["g"], ["t", "i"], ["v"], "nx", +1, b, by=["t"])
         _same(got, want)
 
 
