@@ -4,6 +4,13 @@ Toxic documents go; lines that many documents repeat stay only in the newest; of
 near copies one document stays; secrets are masked; the rest is packed into sequences. Every
 stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the next
 one's documents. All but the last return the documents' columns.
+
+Cases, in every stage: a null text is the empty one (it is scored, counts as a copy of the other
+empty texts, and packs as one end id) and stays null while it is kept; blank and very long texts are
+read whole; a row with a null id stays through the stages that compare documents and its lines count
+nowhere; rows that repeat an id go or stay together, and equal rows of it are kept once by the n-gram
+join; of equally similar documents the least doc_id stays, of repeated lines those of the largest; extra
+columns are carried along whatever their names; empty tables give empty results.
 """
 
 from __future__ import annotations
