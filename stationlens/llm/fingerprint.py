@@ -2,7 +2,7 @@
 
 A text is the multiset of its paragraphs (lines). Every paragraph hashes to a wide vector and the
 fingerprint is their sum: ``EXACT`` components modulo 2**64 hashed from the whole paragraph
-decide equality, and ``LANES`` components modulo 2**16 hashed from the paragraph's word triples
+decide equality, and ``LANES`` components modulo 2**32 hashed from the paragraph's word triples
 (each adds 1 or -1 to one lane) let two sums be compared. Sums don't depend on the order, and
 inserting or deleting a paragraph adds or subtracts its vector, without the rest of the text.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 EXACT, LANES, TRIPLE = 4, 192, 3
-WIDTH = 8 * EXACT + 2 * LANES
+WIDTH = 8 * EXACT + 4 * LANES
 _M = np.uint64(0x9E3779B97F4A7C15)  # odd multiplier that mixes word hashes
 REMEMBER = 200_000
 
@@ -82,7 +82,7 @@ class Hasher:
         sign = ((h >> np.uint64(40)) & np.uint64(1)).astype(np.int64) * 2 - 1
         lanes = np.bincount(lane.astype(np.int64), weights=sign, minlength=LANES).astype(np.int64)
         return np.concatenate([self.exact(paragraphs).view(np.uint8),
-                               (lanes & 0xFFFF).astype("<u2").view(np.uint8)])
+                               (lanes & 0xFFFFFFFF).astype("<u4").view(np.uint8)])
 
     def text(self, text: str) -> np.ndarray:
         return self.sum(text.split("\n"))
@@ -92,14 +92,14 @@ def combine(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """Fingerprint of the sum (``sign`` 1: insert) or difference (-1: delete) of two multisets."""
     cut = 8 * EXACT
     wide = a[:cut].view("<u8") + (b[:cut].view("<u8") if sign > 0 else np.uint64(0) - b[:cut].view("<u8"))
-    lanes = a[cut:].view("<u2").astype(np.int64) + sign * b[cut:].view("<u2").astype(np.int64)
-    return np.concatenate([wide.view(np.uint8), (lanes & 0xFFFF).astype("<u2").view(np.uint8)])
+    lanes = a[cut:].view("<u4").astype(np.int64) + sign * b[cut:].view("<u4").astype(np.int64)
+    return np.concatenate([wide.view(np.uint8), (lanes & 0xFFFFFFFF).astype("<u4").view(np.uint8)])
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if a.tobytes() == b.tobytes():
         return 1.0
-    x, y = (v[8 * EXACT :].view("<i2").astype(np.float64) for v in (a, b))
+    x, y = (v[8 * EXACT :].view("<i4").astype(np.float64) for v in (a, b))
     both = float(x @ x + y @ y)
     return min(max(1.0 - float((x - y) @ (x - y)) / both, 0.0), 1.0) if both else 0.0
 

@@ -9,10 +9,13 @@ code points or more count. The state is
   documents or more.
 
 ``insert`` and ``delete`` change all three for the documents given, and only recount the keys
-these hold; a key that falls below ``min_docs`` leaves its filter again. ``dedup`` asks the
+these hold; a key that falls below ``min_docs`` leaves its filter again. A filter that is full is built anew
+from the shard's counts, with twice the room, and when shards have grown too large all are, with more
+shards. ``save`` and ``load`` keep a state across applications. ``dedup`` asks the
 filters first: most lines are in none and need nothing else. The others are looked up in the
 exact counts, so the filters' false positives never decide. Filters of up to ``SHIPPED`` bytes
-(checked beforehand) go to every task; larger ones stay out, and all lines are looked up.
+(checked beforehand) go to every task; to larger ones the lines' keys go, shard by shard, each shard
+dealt over ``SALTS`` streams of sorted rows that begin with its filter.
 
 Skew: counts are summed in each task before the shuffle, so a line of a third of all documents
 arrives once per task; looking up lines is a join that adaptive execution splits at hot keys;
@@ -26,12 +29,14 @@ id stay, also several of them; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationlens.session import checkpoint_dir
@@ -39,7 +44,7 @@ from stationlens.session import checkpoint_dir
 from . import common as C
 
 BLANK = " \t\n\x0b\x0c\r"
-SHARD_KEYS, MIN_SHARDS, SHIPPED = 1 << 16, 8, 64 << 20
+SHARD_KEYS, MIN_SHARDS, SHIPPED, SALTS = 1 << 16, 8, 64 << 20, 8
 SCHEMA = "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
 KEY = ["k1", "k2"]
 
@@ -61,11 +66,11 @@ def keys_of(text: str, min_chars: int) -> np.ndarray:
 class Cuckoo:
     """A cuckoo filter: four 16-bit marks a bucket, two buckets a key; what finds no place after
     ``KICKS`` moves is kept in a list, so an insertion never fails."""
-    SLOTS, KICKS = 4, 200
+    SLOTS, KICKS, LOAD = 4, 200, 0.8
 
     def __init__(self, capacity: int = 64, data: bytes | None = None):
         if data is None:
-            m = 1 << max(int(np.ceil(np.log2(max(capacity, 16) / (0.8 * self.SLOTS)))), 2)
+            m = 1 << max(int(np.ceil(np.log2(max(capacity, 16) / (self.LOAD * self.SLOTS)))), 2)
             self.table, self.extra = np.zeros((m, self.SLOTS), np.uint16), []
         else:
             m, n = np.frombuffer(data[:16], "<i8")
@@ -74,6 +79,13 @@ class Cuckoo:
             self.extra = [tuple(x) for x in np.frombuffer(data[cut:], "<i8").reshape(int(n), 2).tolist()]
         self.mask = np.uint64(len(self.table) - 1)
 
+    def keys(self) -> int:
+        return int((self.table > 0).sum()) + len(self.extra)
+
+    def room(self) -> int:
+        """Keys that still fit well."""
+        return int(self.LOAD * self.table.size) - self.keys()
+
     def to_bytes(self) -> bytes:
         head = np.array([len(self.table), len(self.extra)], "<i8")
         return head.tobytes() + self.table.astype("<u2").tobytes() + np.array(self.extra, "<i8").tobytes()
@@ -192,14 +204,17 @@ class LineState:
 
 def _change_filters(filters: DataFrame | None, changes: DataFrame, n_shards: int) -> DataFrame:
     """The filters after ``changes``: rows (k1, k2, add) of keys that come or go. One shard's
-    changes and filter meet in a task; shards are as many as keep them small."""
+    changes and filter meet in a task; shards are as many as keep them small. A filter without room for
+    what comes is given as NULL."""
     changes = changes.select(F.pmod("k2", F.lit(n_shards)).cast("int").alias("shard"), "k1", "add")
     schema = "shard int, data binary"
 
-    def change(old: bytes | None, new: pd.DataFrame) -> bytes:
+    def change(old: bytes | None, new: pd.DataFrame) -> bytes | None:
         come, go = new.k1[new["add"]].to_numpy(np.int64), new.k1[~new["add"]].to_numpy(np.int64)
         f = Cuckoo(2 * len(come), old)
         f.delete(go)
+        if len(come) > f.room():
+            return None
         f.insert(come)
         return f.to_bytes()
 
@@ -239,8 +254,42 @@ def _changed(state: LineState, rows: DataFrame, touched: DataFrame) -> LineState
     now = fresh.where(F.col("n_docs") >= state.min_docs).select(*KEY, F.lit(True).alias("now"))
     changes = was.join(now, KEY, "full").where("was is null or now is null") \
         .select(*KEY, F.col("now").isNotNull().alias("add"))
-    filters = _change_filters(state.filters, changes, state.n_shards).checkpoint()
-    return LineState(rows, refs, filters, state.n_shards, state.min_chars, state.min_docs)
+    new = LineState(rows, refs, state.filters, state.n_shards, state.min_chars, state.min_docs)
+    new.filters = _grown(new, changes)
+    return new
+
+
+def _grown(state: LineState, changes: DataFrame) -> DataFrame:
+    """The filters after ``changes``; full ones, or all when shards have grown too large, are built anew
+    from the counts."""
+    keys = state.frequent().select(*KEY, F.lit(True).alias("add"))
+    n = keys.count()
+    if n > 4 * state.n_shards * SHARD_KEYS:
+        state.n_shards = -(-n // SHARD_KEYS)
+        return _change_filters(None, keys, state.n_shards).checkpoint()
+    changed = _change_filters(state.filters, changes, state.n_shards).checkpoint()
+    full = changed.where("data is null").select(F.col("shard").alias("full"))
+    if not full.limit(1).count():
+        return changed
+    again = keys.join(full, F.pmod("k2", F.lit(state.n_shards)).cast("int") == F.col("full"), "left_semi")
+    return changed.where("data is not null").unionByName(_change_filters(None, again, state.n_shards)).checkpoint()
+
+
+def save(state: LineState, path: str) -> None:
+    """Writes a state to a folder (whose path should be new)."""
+    spark = state.references.sparkSession
+    for name in ("postings", "references", "filters"):
+        getattr(state, name).write.parquet(f"{path}/{name}")
+    spark.createDataFrame([(state.n_shards, state.min_chars, state.min_docs)], "n_shards int, min_chars int, min_docs int") \
+        .coalesce(1).write.parquet(f"{path}/state")  # last: a state without it is not whole
+
+
+def load(spark: SparkSession, path: str) -> LineState:
+    """A saved state."""
+    meta = spark.read.parquet(f"{path}/state").first()
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{path}/{name}")
+    return LineState(read("postings", "k1 long, k2 long, doc_id long"), read("references", "k1 long, k2 long, n_docs long, keeper long"),
+                     read("filters", "shard int, data binary"), meta.n_shards, meta.min_chars, meta.min_docs)
 
 
 def insert(state: LineState, docs: DataFrame) -> LineState:
@@ -263,14 +312,47 @@ def dropped_keys(state: LineState, docs: DataFrame) -> DataFrame:
     """(doc_id, drops): each document's keys whose lines go, if any."""
     sc = docs.sparkSession.sparkContext
     size = state.filters.agg(F.sum(F.octet_length("data")).alias("n")).first().n or 0
-    filters = None
     if size <= SHIPPED:
         filters = sc.broadcast(Filters({r.shard: bytes(r.data) for r in state.filters.collect()}, state.n_shards))
-    return (postings(docs, state.min_chars, filters).join(state.frequent(), KEY)
+        maybe = postings(docs, state.min_chars, filters)
+    else:
+        maybe = ask_shards(postings(docs, state.min_chars), state)
+    return (maybe.join(state.frequent(), KEY)
             .where(F.col("doc_id") != F.col("keeper"))
             .groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("drops")))  # at most a document's lines
 
 
+def ask_shards(rows: DataFrame, state: LineState) -> DataFrame:
+    """The rows (k1, k2, doc_id) whose keys may be in their shard's filter. Rows and filters meet in sorted
+    streams, one for each shard and salt: first the filter, then its rows, none of which is held."""
+    salted = rows.select(F.pmod("k2", F.lit(state.n_shards)).cast("int").alias("shard"),
+                         F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+                         F.lit(None).cast("binary").alias("data"), *KEY, "doc_id")
+    none = F.lit(None).cast("long")
+    filters = state.filters.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), "data",
+                                   none.alias("k1"), none.alias("k2"), none.alias("doc_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, held = None, None
+        for batch in batches:
+            shard, salt, k1 = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "salt", "k1"))
+            begins = np.flatnonzero(np.r_[True, (shard[1:] != shard[:-1]) | (salt[1:] != salt[:-1])])
+            hit = np.zeros(len(shard), bool)
+            for x, y in zip(begins.tolist(), [*begins[1:].tolist(), len(shard)]):
+                if (int(shard[x]), int(salt[x])) != where:
+                    where = int(shard[x]), int(salt[x])
+                    data = batch.column("data")[x].as_py()
+                    held = None if data is None else Cuckoo(data=data)  # no filter: no frequent key in this shard
+                    x += data is not None
+                if held is not None and y > x:
+                    hit[x:y] = held.contains(batch.column("k1").slice(x, y - x).to_numpy())
+            part = batch.filter(pa.array(hit))
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in (*KEY, "doc_id")], [*KEY, "doc_id"])
+
+    return (salted.unionByName(filters).repartition("shard", "salt")
+            .sortWithinPartitions("shard", "salt", F.col("data").isNull()).mapInArrow(run, "k1 long, k2 long, doc_id long"))
+
+
 def split_lines(text: str, drops, min_chars: int) -> tuple[list[str], int]:
     """(lines that stay, number of lines)."""
     lines = text.split("\n")

@@ -9,7 +9,8 @@ more and reports, for each document, its class (connected documents) and its num
    Buckets of the same members are taken once.
 3. In a bucket the MinHash values are compared ``STEP`` at a time; a pair is dropped as soon as the
    posterior probability (uniform prior) that its similarity reaches the threshold falls below
-   ``TOLERANCE``. Only who is connected is kept of the rest, as stars, not the pairs.
+   ``TOLERANCE``. Only who is connected is kept of the rest, as stars, not the pairs; in a large
+   bucket, rows that are connected already are not compared any more.
 4. Inside each connected candidate component all pairs are pruned the same way once more, and the
    rest is verified exactly on the shingle sets. Links are counted, with the nodes' counts as
    weights, and connected nodes get one class.
@@ -139,6 +140,43 @@ def prune(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np
     return out
 
 
+def reached(sig: np.ndarray, row: int, others: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the signature rows ``others`` stay candidates with ``row``."""
+    table = _PRUNE.setdefault(threshold, least_matches(threshold, TOLERANCE))
+    same, done = np.zeros(len(others), np.int64), 0
+    for m, k in table:
+        same += (sig[others, done:m] == sig[row, done:m]).sum(axis=1)
+        ok = same >= k
+        if not ok.all():
+            others, same = others[ok], same[ok]
+        done = m
+    return others
+
+
+def linked_parts(sig: np.ndarray, side: np.ndarray, threshold: float, across: bool) -> np.ndarray:
+    """Least member of the part that each row lies in, where unpruned pairs (``across``: of two sides)
+    connect. A row is compared with rows not reached yet only, so a group of near copies costs about a
+    comparison a row."""
+    n = len(sig)
+    label, waiting = np.arange(n), np.ones(n, bool)
+    left = np.arange(n)
+    while len(left):
+        root = left[0]
+        waiting[root] = False
+        queue = [root]
+        while queue:
+            row = queue.pop()
+            left = left[waiting[left]]
+            if not len(left):
+                break
+            found = reached(sig, row, left[side[left] != side[row]] if across else left, threshold)
+            label[found] = root
+            waiting[found] = False
+            queue += found.tolist()
+        left = left[waiting[left]]
+    return label
+
+
 def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least member of the connected part that each of n nodes lies in."""
     label = np.arange(n)
@@ -158,12 +196,16 @@ def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def candidate_pairs(group: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+SMALL = 48
+
+
+def candidate_pairs(group: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.ndarray,
+                    large: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group (rows sorted by group), in pieces: all inside a block, those
-    across in a pair of blocks. ``side``: the row's block."""
+    across in a pair of blocks. ``side``: the row's block; ``large``: also of groups above ``SMALL``."""
     begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[begin, len(group)])
-    for s, n in zip(begin[size > 48].tolist(), size[size > 48].tolist()):
+    for s, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()) if large else ():
         for r in range(n - 1):  # rows of a large group, some at a time
             if r % 64 == 0:
                 top = np.arange(r, min(r + 64, n - 1))
@@ -171,9 +213,9 @@ def candidate_pairs(group: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.nd
                 y = np.concatenate([np.arange(t + 1, n) for t in top])
                 ok = (i[s] == j[s]) | (side[s + x] != side[s + y])
                 yield s + x[ok], s + y[ok]
-    small = np.repeat(np.where(size <= 48, size, 0), size)
+    small = np.repeat(np.where(size <= SMALL, size, 0), size)
     place = np.arange(len(group)) - np.repeat(begin, size)
-    for d in range(1, 48):
+    for d in range(1, SMALL):
         x = np.flatnonzero(place + d < small)
         if not len(x):
             break
@@ -273,12 +315,10 @@ def _name():
     return F.concat(*[F.lpad(F.hex(k), 16, "0") for k in KEY])
 
 
-def _hex(k1: np.ndarray, k2: np.ndarray) -> list[str]:
-    return [f"{a & (1 << 64) - 1:016X}{b & (1 << 64) - 1:016X}" for a, b in zip(k1.tolist(), k2.tolist())]
-
-
 def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): stars over the nodes that are connected by unpruned pairs of a bucket."""
+    """(a, b): stars over the nodes that are connected by unpruned pairs of a bucket, each around its least
+    node, so that the buckets of one group of near copies agree on few centres. A node is the first half
+    of its key: two nodes of one number would only be compared in vain."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
@@ -295,22 +335,20 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in by_group(batches, ["bucket", "i", "j"]):
-            sig = signatures(t)
-            i, j, side = (t.column(c).to_numpy() for c in ("i", "j", "side"))
-            label = np.arange(t.num_rows)
-            kept = [(x[p], y[p]) for x, y in candidate_pairs(group_ids(t, ["bucket", "i", "j"]), side, i, j)
+            sig, group = signatures(t), group_ids(t, ["bucket", "i", "j"])
+            i, j, side, k1 = (t.column(c).to_numpy() for c in ("i", "j", "side", "k1"))
+            kept = [(x[p], y[p]) for x, y in candidate_pairs(group, side, i, j, large=False)
                     for p in [prune(sig, x, y, threshold)] if p.any()]
-            if not kept:
-                continue
-            label = components(t.num_rows, *(np.concatenate(c) for c in zip(*_stars(kept, t.num_rows))))
+            label = components(t.num_rows, *(np.concatenate(c) for c in zip(*_stars(kept, t.num_rows)))) if kept else np.arange(t.num_rows)
+            begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            size = np.diff(np.r_[begin, len(group)])
+            for s, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()):
+                label[s : s + n] = s + linked_parts(sig[s : s + n], side[s : s + n], threshold, bool(i[s] != j[s]))
             at = np.flatnonzero(label != np.arange(len(label)))
-            k1, k2 = (t.column(k).to_numpy() for k in KEY)
-            to = label[at]
-            yield pa.RecordBatch.from_arrays([pa.array(_hex(k1[at], k2[at]), pa.string()),
-                                              pa.array(_hex(k1[to], k2[to]), pa.string())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k1[label[at]])], ["a", "b"])
 
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j") \
-        .mapInArrow(run, "a string, b string").distinct()
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "k1") \
+        .mapInArrow(run, "a long, b long").distinct()
 
 
 def _stars(pieces: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -357,8 +395,8 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, n: int, thresh
     the documents it is linked to, the least node of its connected part there, and whether the
     component has one block."""
     sized = comps.join(comps.groupBy("label").agg(F.count("*").alias("members")), "label") \
-        .select(F.col("node"), F.col("label").alias("comp"), "members")
-    wanted = nodes.withColumn("node", _name()).join(sized, "node").checkpoint()
+        .select(F.col("node").alias("k1"), F.col("label").alias("comp"), "members")
+    wanted = nodes.withColumn("node", _name()).join(sized, "k1").checkpoint()
     ids = wanted.select(F.col("rep").alias("id")).distinct()
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
@@ -422,7 +460,7 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE) -> Dat
     nodes = rows.groupBy(*KEY).agg(
         F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("rep"), F.min("doc_id").alias("least"),
         F.count("*").alias("copies"), F.first("sig").alias("sig"), F.first("bands").alias("bands")).checkpoint()
-    edges = candidate_edges(nodes.where(F.length("sig") > 0), threshold).checkpoint()
+    edges = candidate_edges(nodes, threshold).checkpoint()
     got = verified(docs, nodes.drop("bands"), connect(edges), n, threshold).checkpoint()
     links = got.groupBy("node").agg(F.sum("links").alias("links"))
     single = got.where("whole").select("node", "label")

@@ -1,6 +1,7 @@
 """Cost-balanced packing of documents into training sequences.
 
-Each task tokenises its documents and packs groups of about ``GROUP_TOKENS`` ids. The cost of a
+Each task tokenises its documents and packs groups of about ``GROUP_TOKENS`` ids (fewer where these are
+more than ``GROUP_DOCS`` documents, so many short ones do not make a large group). The cost of a
 sequence is estimated as ``LINEAR * tokens + QUADRATIC * sum(piece length ** 2)``: attention
 runs inside a document's piece. Whole sequences are cut from long documents first; then the
 other documents, longest first, go to the lowest-cost sequence with room for them; what fits
@@ -34,7 +35,7 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
           "sequence_tokens"]
 TYPES = [pa.int64()] * 7 + [pa.int32()]
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS, GROUP_DOCS = 4_000_000, 50_000
 #: Cost of a token outside attention, and of a token pair in it, relative to it.
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 REMEMBER = 500_000
@@ -170,7 +171,7 @@ def pack_documents(docs: DataFrame, path: str, end_id: int = 1, size: int = 2048
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     held.append((doc_id, ids := enc.encode(text) + end))
                     n_held += len(ids) // 4
-                    if n_held >= GROUP_TOKENS:
+                    if n_held >= GROUP_TOKENS or len(held) >= GROUP_DOCS:
                         yield flush()
         if held:
             yield flush()

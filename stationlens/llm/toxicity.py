@@ -10,8 +10,9 @@ score.
 
 Lexicon, exceptions and curve are learned from a hash sample of about ``TRAIN_ROWS`` labelled
 rows (never held-out ones). An entry needs a likelihood ratio that no chance word among all
-candidates would reach, so rare words of a few copied documents stay out. Scoring is one scan
-without a shuffle; the automaton holds at most ``MAX_ENTRIES`` + ``MAX_EXCEPTIONS`` strings.
+candidates would reach, so rare words of a few copied documents stay out. Every term of the sample's
+toxic documents is tested, in Spark; what passes is all that comes to the driver. Its size is bounded
+by the sample alone: an entry needs several toxic documents of it. Scoring is one scan without a shuffle.
 
 Cases: a null or empty text has no match and the score of a clean text; without two labels the
 lexicon is empty; long texts are read whole; repeated rows score alike; an empty table gives no
@@ -34,10 +35,9 @@ from stationlens.session import checkpoint_dir
 
 from . import common as C
 
-TRAIN_ROWS, MAX_ENTRIES, MAX_EXCEPTIONS, STEMS = 20_000, 2_000, 2_000, (4, 5, 6, 7, 8)
-#: Terms of toxic documents that are counted in clean ones; documents that a candidate and an
-#: exception must at least occur in.
-MAX_CANDIDATES, MIN_TOXIC, MIN_CLEAN = 50_000, 4, 4
+TRAIN_ROWS, STEMS = 20_000, (4, 5, 6, 7, 8)
+#: Documents that a candidate and an exception must at least occur in.
+MIN_TOXIC, MIN_CLEAN = 4, 4
 
 # Letters of other scripts that look like a Latin one, and signs used for letters.
 HOMOGLYPHS = {
@@ -150,18 +150,16 @@ class Matcher:
         return float(C.sigmoid(np.float64(a + b * x + c * y)))
 
 
-def _terms(folded: str, wanted=None) -> dict[str, int]:
-    """Times that each whole word and stem (of ``wanted``) occurs."""
+def _terms(folded: str) -> dict[str, int]:
+    """Times that each whole word and stem occurs."""
     out: dict[str, int] = {}
     for w, k in Counter(folded.split()).items():
         for n in STEMS:
             if len(w) < n:
                 break
             stem = " " + w[:n]
-            if wanted is None or stem in wanted:
-                out[stem] = out.get(stem, 0) + k
-        if wanted is None or f" {w} " in wanted:
-            out[f" {w} "] = k
+            out[stem] = out.get(stem, 0) + k
+        out[f" {w} "] = k
     return out
 
 
@@ -185,8 +183,16 @@ def _tally(sample: DataFrame, finder) -> DataFrame:
             .agg(F.sum("once").alias("once"), F.sum("twice").alias("twice")))
 
 
-def _gain(t: float, c: float, base: float) -> float:
-    """Log-likelihood ratio of a term's split between the labels against the base rate."""
+def _gain(t: str, c: str, base: float):
+    """Log-likelihood ratio of a term's split between the labels (columns) against the base rate."""
+    t, c = F.col(t).cast("double"), F.col(c).cast("double")
+    p = F.try_divide(t, t + c)
+    gain = t * F.ln(p / base) + F.when(c > 0, c * F.ln((1 - p) / (1 - base))).otherwise(0.0)
+    return F.when((t > 0) & (p > base), gain).otherwise(0.0)
+
+
+def _gain_of(t: float, c: float, base: float) -> float:
+    """The same of two numbers."""
     p = t / (t + c) if t else 0.0
     if p <= base:
         return 0.0
@@ -203,28 +209,29 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> Lexico
         return Lexicon()
     base = toxic / (toxic + clean)
     bad, good = sample.where("label = 1"), sample.where("label = 0")
-    cand = {r.term: (r.once, r.twice) for r in
-            _tally(bad, lambda: _terms).where(F.col("once") >= MIN_TOXIC)
-            .orderBy(F.desc("twice"), F.desc("once"), "term").limit(MAX_CANDIDATES).collect()}
-
-    def counter():
-        return lambda folded: _terms(folded, cand)
-
-    seen = {r.term: (r.once, r.twice) for r in _tally(good, counter).collect()}  # candidates only
     # no chance word among the terms that recur (some 10 for each document) gets to this ratio
     need = math.log((toxic + clean) * 10.0)
+    # a term in too few toxic documents cannot reach it, even if no clean one held it
+    could = _tally(bad, lambda: _terms).where((F.col("once") >= MIN_TOXIC) & (F.col("once") >= F.lit(need / -math.log(base)))) \
+        .select("term", F.col("once").alias("t0"), F.col("twice").alias("t1"))
+    seen = _tally(good, lambda: _terms).select("term", F.col("once").alias("c0"), F.col("twice").alias("c1"))
+    tested = could.join(seen, "term", "left").fillna(0, ["c0", "c1"])
+    passing = tested.where(F.greatest(_gain("t0", "c0", base), _gain("t1", "c1", base)) >= need * (1 - 1e-9))
     ranked = []
-    for term, t in cand.items():
-        c = seen.get(term, (0, 0))
-        gain, k = max((_gain(t[k], c[k], base), -k) for k in (0, 1))
+    for r in passing.collect():
+        gain, k = max((_gain_of(t, c, base), -k) for k, (t, c) in enumerate(((r.t0, r.c0), (r.t1, r.c1))))
         if gain >= need:
-            weight = math.log((t[-k] + 0.5) / (toxic + 1)) - math.log((c[-k] + 0.5) / (clean + 1))
-            ranked.append((-gain, -len(term), term, weight))
+            t, c = (r.t0, r.c0) if k == 0 else (r.t1, r.c1)
+            weight = math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1))
+            ranked.append((-gain, -len(r.term), r.term, weight))
     entries: dict[str, float] = {}
+    begun: set[str] = set()  # beginnings of entries
     for _, _, term, weight in sorted(ranked):
         # not the same word again by a better stem or the whole word
-        if len(entries) < MAX_ENTRIES and not any(term.startswith(e) or e.startswith(term) for e in entries):
+        heads = [term[:n] for n in range(1, len(term) + 1)]
+        if term not in begun and not any(h in entries for h in heads):
             entries[term] = weight
+            begun.update(heads)
     lexicon = Lexicon(entries)
     if not entries:
         return lexicon
@@ -246,7 +253,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_ROWS) -> Lexico
 
     clean_only = (_tally(good, contexts).where(F.col("once") >= MIN_CLEAN)
                   .join(_tally(bad, contexts).select("term"), "term", "left_anti"))
-    lexicon.exceptions = [r.term for r in clean_only.orderBy(F.desc("once"), "term").limit(MAX_EXCEPTIONS).collect()]
+    lexicon.exceptions = sorted(r.term for r in clean_only.select("term").collect())
 
     def make():
         matcher = Matcher(lexicon)

@@ -50,7 +50,7 @@ from stationlens.session import checkpoint_dir
 from . import common as C
 
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 32 << 20
-HOT_SHARE = 2000
+HOT_SHARE, MAX_TASKS = 2000, 100_000
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed values of the Zstandard and seekable formats.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEK_MAGIC, WITH_CHECKSUMS = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -291,7 +291,9 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                 bundle.close()
 
-    return read_index(spark, folder).select("bundle").distinct().mapInArrow(run, RECORDS)
+    bundles = read_index(spark, folder).select("bundle").distinct()
+    n = bundles.count()  # by number, so that many bundles are not put into one task for their short names
+    return bundles.repartition(max(1, min(n, MAX_TASKS)), "bundle").mapInArrow(run, RECORDS)
 
 
 def fetch(wanted: DataFrame, folder: str) -> DataFrame:

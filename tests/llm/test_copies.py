@@ -34,7 +34,7 @@ def plain_dedup(rows: list[tuple], min_chars: int, min_docs: int) -> list[tuple]
 
 
 @pytest.mark.parametrize("which", ["documents", "edges", "nothing"])
-@pytest.mark.parametrize("shipped", [64 << 20, -1])  # with and without the filters in the tasks
+@pytest.mark.parametrize("shipped", [64 << 20, -1])  # the filters in the tasks, or lines sent to them
 def test_line_dedup(which, shipped, request, monkeypatch):
     monkeypatch.setattr(line_dedup, "SHIPPED", shipped)
     df = request.getfixturevalue(which)
@@ -49,7 +49,7 @@ def test_line_dedup(which, shipped, request, monkeypatch):
 def tables(state) -> tuple:
     keys = state.frequent().select("k1", "k2").collect()
     filters = line_dedup.Filters({r.shard: bytes(r.data) for r in state.filters.collect()}, state.n_shards)
-    marks = sum(int((f.table > 0).sum()) + len(f.extra) for f in filters.shards.values())
+    marks = sum(f.keys() for f in filters.shards.values())
     k = np.array([tuple(x) for x in keys], np.int64).reshape(-1, 2)
     assert filters.maybe(k).all() and marks == len(k)  # each frequent key once, nothing else
     return sorted(map(tuple, state.references.select("k1", "k2", "n_docs", "keeper").collect()))
@@ -72,6 +72,35 @@ def test_insertions_and_deletions_undo(spark):
     assert tables(empty) == []
 
 
+def test_filters_grow(spark):
+    """Inserting far more lines than the first filters were made for: none ends in a list, none is lost, and
+    deleting them gives the first state back."""
+    frame = lambda some: spark.createDataFrame(some, "doc_id long, text string")
+    line = lambda k: f"this is line number {k} of a text that has many lines"
+    rows = [(i, "\n".join(line(k) for k in range(3000 if i > 3 else 20))) for i in range(8)]
+    state = line_dedup.build(frame(rows[:4]), 40, 3)
+    grown = line_dedup.insert(state, frame(rows[4:]))
+    held = [line_dedup.Cuckoo(data=bytes(r.data)) for r in grown.filters.collect()]
+    assert sum(f.keys() for f in held) == 3000 and sum(len(f.extra) for f in held) < 10
+    assert tables(grown) == tables(line_dedup.build(frame(rows), 40, 3))
+    assert tables(line_dedup.delete(grown, frame(rows[4:]).select("doc_id"))) == tables(state)
+
+
+def test_shards_are_built_anew_when_they_grow(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 2)
+    monkeypatch.setattr(line_dedup, "MIN_SHARDS", 1)
+    frame = lambda some: spark.createDataFrame(some, "doc_id long, text string")
+    rows = [(i, "\n".join(prose(100 + k, 12) for k in range(i % 40))) for i in range(160)]
+    state = line_dedup.build(frame(rows[:8]), 40, 2)
+    grown = line_dedup.insert(state, frame(rows[8:]))
+    assert grown.n_shards > 4 * state.n_shards
+    assert tables(grown) == tables(line_dedup.build(frame(rows), 40, 2))
+    line_dedup.save(grown, f"file://{tmp_path}/s")
+    back = line_dedup.load(spark, f"file://{tmp_path}/s")
+    assert tables(back) == tables(grown)
+    assert tables(line_dedup.delete(back, frame(rows[8:]).select("doc_id"))) == tables(state)
+
+
 def test_cuckoo_holds_what_was_put_in():
     r = np.random.default_rng(3)
     h = r.integers(-(1 << 62), 1 << 62, 3000)
@@ -212,6 +241,29 @@ def test_fingerprints_are_homomorphic():
     assert fingerprint.likeness(both, both) == 1.0
 
 
+def plain_likeness(a: str, b: str) -> float:
+    """What the lanes estimate, from the multisets of word triples themselves."""
+    def triples(t: str) -> Counter:
+        out = Counter()
+        for p in t.split("\n"):
+            w = p.split()
+            out.update([tuple(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [tuple(w)] if w else [])
+        return out
+    x, y = triples(a), triples(b)
+    apart = sum((x[k] - y[k]) ** 2 for k in x | y)
+    both = sum(v * v for v in x.values()) + sum(v * v for v in y.values())
+    return min(max(1 - apart / both, 0.0), 1.0) if both else 0.0
+
+
+def test_likeness_of_much_repeated_words():
+    """Sums do not wrap: one triple may recur a hundred thousand times."""
+    h = fingerprint.Hasher()
+    for a, b in (("w " * 40_000, "w " * 30_000), ("w " * 20_000, "w " * 15_000), ("w " * 100_000, "w " * 100_000 + "v " * 50_000)):
+        assert abs(fingerprint.likeness(h.text(a), h.text(b)) - plain_likeness(a, b)) < 0.02
+    text, other = prose(1, 3000), prose(1, 3000)[:9000] + prose(2, 1500)
+    assert abs(fingerprint.likeness(h.text(text), h.text(other)) - plain_likeness(text, other)) < 0.2
+
+
 def test_likeness_follows_what_is_shared():
     h = fingerprint.Hasher()
     lines = [prose(i, 12) + f" tail{i} end{i} stop{i}" for i in range(200)]
