@@ -2,7 +2,6 @@
 
   python -m stationlens ingest --feed FEED_DIR --raw RAW_DIR [--as-of TS]
   python -m stationlens build  --raw RAW_DIR --out MARTS_DIR [--as-of TS] [--seed CSV] [--weekly-compat]
-                               [--max-window-rows N]
   python -m stationlens query  --out MARTS_DIR NAME [--product P] [--region R] [--city C]
                                [--department D] [--n N]
 

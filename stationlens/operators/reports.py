@@ -189,7 +189,9 @@ def weekly(fact: DataFrame, as_of, pivot_regions: Mapping[str, str], weeks: int
         pivot = pivot.withColumnRenamed(region, out_name)
     pivot = pivot.select(F.col("debut_semaine").alias("_ws"), F.col(product).alias("_pp"),
                          *pivot_regions.keys())
-    j = nat.join(pivot, (nat["debut_semaine"] == pivot["_ws"]) & (nat[product] == pivot["_pp"]), "left")
+    # keys compared as one struct: a filter on them would go below the exchange in one branch only
+    same = F.struct(nat["debut_semaine"], nat[product]) == F.struct(pivot["_ws"], pivot["_pp"])
+    j = nat.join(pivot, same & nat["debut_semaine"].isNotNull() & nat[product].isNotNull(), "left")
     m = F.col("_avg")
     prev = list(lags.values())
 

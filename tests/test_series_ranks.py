@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -177,3 +178,14 @@ def test_daily_last_is_hash_aggregated_with_map_side_combine(spark):
     hot = [r for r in out.collect() if r["station"] == "hot"]
     # latest time 23:00 is shared by h = 23, 47, ..., 287: ties resolve to the larger value
     assert len(hot) == 1 and hot[0]["nb_updates_jour"] == 300 and hot[0]["v"] == 287.0
+
+
+@pytest.mark.parametrize("name", ["daily_series", "weekly_report", "price_anomalies", "regional_report"])
+def test_the_fact_is_evaluated_once(spark, name):
+    """Branches of one query share exchanges: the price events are scanned once in the executed plan."""
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    df = entry.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("events.parquet") == 1
