@@ -28,6 +28,7 @@ read whole; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,6 +106,7 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+@functools.lru_cache(maxsize=16)
 def least_matches(threshold: float, tolerance: float) -> list[tuple[int, int]]:
     """(values compared, least matches): with fewer, the posterior probability of reaching the
     threshold is below the tolerance."""
@@ -120,12 +122,9 @@ def least_matches(threshold: float, tolerance: float) -> list[tuple[int, int]]:
     return out
 
 
-_PRUNE: dict[float, list[tuple[int, int]]] = {}
-
-
 def prune(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs (a[i], b[i]) of signature rows stay candidates."""
-    table = _PRUNE.setdefault(threshold, least_matches(threshold, TOLERANCE))
+    table = least_matches(threshold, TOLERANCE)
     stay, done = np.arange(len(a)), 0
     same = np.zeros(len(a), np.int16)
     for m, k in table:
@@ -140,40 +139,26 @@ def prune(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np
     return out
 
 
-def reached(sig: np.ndarray, row: int, others: np.ndarray, threshold: float) -> np.ndarray:
-    """Which of the signature rows ``others`` stay candidates with ``row``."""
-    table = _PRUNE.setdefault(threshold, least_matches(threshold, TOLERANCE))
-    same, done = np.zeros(len(others), np.int64), 0
-    for m, k in table:
-        same += (sig[others, done:m] == sig[row, done:m]).sum(axis=1)
-        ok = same >= k
-        if not ok.all():
-            others, same = others[ok], same[ok]
-        done = m
-    return others
-
-
 def linked_parts(sig: np.ndarray, side: np.ndarray, threshold: float, across: bool) -> np.ndarray:
     """Least member of the part that each row lies in, where unpruned pairs (``across``: of two sides)
-    connect. A row is compared with rows not reached yet only, so a group of near copies costs about a
-    comparison a row."""
+    connect. Rows reached last are compared, many at a time, with rows not reached yet only: of near
+    copies the first row reaches most, so a large group of them costs far less than all its pairs."""
     n = len(sig)
-    label, waiting = np.arange(n), np.ones(n, bool)
-    left = np.arange(n)
+    label, left = np.arange(n), np.arange(n)
     while len(left):
-        root = left[0]
-        waiting[root] = False
-        queue = [root]
-        while queue:
-            row = queue.pop()
-            left = left[waiting[left]]
-            if not len(left):
-                break
-            found = reached(sig, row, left[side[left] != side[row]] if across else left, threshold)
+        root, left = left[0], left[1:]
+        queue = np.array([root])
+        while len(queue) and len(left):
+            some = max(1, (1 << 18) // len(left))
+            rows, queue = queue[:some], queue[some:]
+            x, y = np.repeat(rows, len(left)), np.tile(left, len(rows))
+            if across:
+                ok = side[x] != side[y]
+                x, y = x[ok], y[ok]
+            found = np.unique(y[prune(sig, x, y, threshold)])
             label[found] = root
-            waiting[found] = False
-            queue += found.tolist()
-        left = left[waiting[left]]
+            queue = np.concatenate([queue, found])
+            left = np.setdiff1d(left, found, assume_unique=True)
     return label
 
 
@@ -196,16 +181,17 @@ def components(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-SMALL = 48
+SMALL, LARGE = 48, 1024
 
 
 def candidate_pairs(group: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.ndarray,
-                    large: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                    most: float = float("inf")) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of rows of one group (rows sorted by group), in pieces: all inside a block, those
-    across in a pair of blocks. ``side``: the row's block; ``large``: also of groups above ``SMALL``."""
+    across in a pair of blocks. ``side``: the row's block; ``most``: rows of a group that is paired."""
     begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     size = np.diff(np.r_[begin, len(group)])
-    for s, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()) if large else ():
+    paired = (size > SMALL) & (size <= most)
+    for s, n in zip(begin[paired].tolist(), size[paired].tolist()):
         for r in range(n - 1):  # rows of a large group, some at a time
             if r % 64 == 0:
                 top = np.arange(r, min(r + 64, n - 1))
@@ -337,12 +323,12 @@ def candidate_edges(nodes: DataFrame, threshold: float) -> DataFrame:
         for t in by_group(batches, ["bucket", "i", "j"]):
             sig, group = signatures(t), group_ids(t, ["bucket", "i", "j"])
             i, j, side, k1 = (t.column(c).to_numpy() for c in ("i", "j", "side", "k1"))
-            kept = [(x[p], y[p]) for x, y in candidate_pairs(group, side, i, j, large=False)
+            kept = [(x[p], y[p]) for x, y in candidate_pairs(group, side, i, j, LARGE)
                     for p in [prune(sig, x, y, threshold)] if p.any()]
             label = components(t.num_rows, *(np.concatenate(c) for c in zip(*_stars(kept, t.num_rows)))) if kept else np.arange(t.num_rows)
             begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             size = np.diff(np.r_[begin, len(group)])
-            for s, n in zip(begin[size > SMALL].tolist(), size[size > SMALL].tolist()):
+            for s, n in zip(begin[size > LARGE].tolist(), size[size > LARGE].tolist()):
                 label[s : s + n] = s + linked_parts(sig[s : s + n], side[s : s + n], threshold, bool(i[s] != j[s]))
             at = np.flatnonzero(label != np.arange(len(label)))
             yield pa.RecordBatch.from_arrays([pa.array(k1[at]), pa.array(k1[label[at]])], ["a", "b"])

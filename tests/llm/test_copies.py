@@ -172,6 +172,8 @@ def test_join_of_large_groups(block, copies, monkeypatch):
         monkeypatch.setattr(ngram_join, "BLOCK", block)
         monkeypatch.setattr(ngram_join, "VERIFY_BLOCK", block)
         monkeypatch.setattr(ngram_join, "BROADCAST_IDS", 0)
+        monkeypatch.setattr(ngram_join, "LARGE", 8)
+        monkeypatch.setattr(ngram_join, "SMALL", 4)
     assert joined(copies) == Counter(plain_join(texts_of(copies)))
 
 
