@@ -129,9 +129,9 @@ def prune(sig: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np
     same = np.zeros(len(a), np.int16)
     for m, k in table:
         hit = np.empty(len(stay), np.int16)
-        for i in range(0, len(stay), 1 << 17):
-            p = stay[i : i + (1 << 17)]
-            hit[i : i + (1 << 17)] = (sig[a[p], done:m] == sig[b[p], done:m]).sum(axis=1)
+        for i in range(0, len(stay), 1 << 14):
+            p = stay[i : i + (1 << 14)]
+            hit[i : i + (1 << 14)] = (sig[a[p], done:m] == sig[b[p], done:m]).sum(axis=1)
         same[stay] += hit
         stay, done = stay[same[stay] >= k], m
     out = np.zeros(len(a), bool)
@@ -149,7 +149,7 @@ def linked_parts(sig: np.ndarray, side: np.ndarray, threshold: float, across: bo
         root, left = left[0], left[1:]
         queue = np.array([root])
         while len(queue) and len(left):
-            some = max(1, (1 << 18) // len(left))
+            some = max(1, (1 << 15) // len(left))
             rows, queue = queue[:some], queue[some:]
             x, y = np.repeat(rows, len(left)), np.tile(left, len(rows))
             if across:
@@ -210,7 +210,7 @@ def candidate_pairs(group: np.ndarray, side: np.ndarray, i: np.ndarray, j: np.nd
         yield x[ok], y[ok]
 
 
-def by_group(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 4096) -> Iterator[pa.Table]:
+def by_group(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int = 512) -> Iterator[pa.Table]:
     """Tables of at least ``rows`` rows that end where a group (equal ``keys``, adjacent) ends."""
     held: list[pa.RecordBatch] = []
     n = 0
@@ -404,7 +404,7 @@ def verified(docs: DataFrame, nodes: DataFrame, comps: DataFrame, n: int, thresh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["comp", "i", "j"]
-        for t in by_group(batches, keys, rows=512):
+        for t in by_group(batches, keys, rows=128):
             sig = signatures(t)
             sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
             size = np.array([len(s) for s in sets], np.int64)
