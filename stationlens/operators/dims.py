@@ -15,12 +15,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationlens.functions.labels import (
     TREND_DAILY, lookup, price_bucket, surrogate_key, trend_preset,
 )
 from stationlens.operators.enrich import sorted_distinct_list
-from stationlens.operators.ranking import search, steps_for
+from stationlens.operators.ranking import constants, with_position
 
 ENTITY_COLUMNS = (
     "station_id", "latitude", "longitude", "code_postal", "code_departement", "region", "ville",
@@ -91,6 +92,7 @@ def region_dim(enriched: DataFrame, codes: Mapping[str, str], code_default: str,
 #: A dimension of up to so many keys and bytes travels with the plan; a larger one is joined.
 LOOKUP_KEYS, LOOKUP_BYTES = 50_000, 4 << 20
 SALTS = 8
+_ENTRY = T.StructType([T.StructField("at", T.StringType()), T.StructField("vs", T.ArrayType(T.StringType()))])
 
 
 @dataclass(frozen=True)
@@ -123,14 +125,13 @@ def with_dimension_key(rows: DataFrame, at: Column, keys: DimensionKeys, spread:
     salt."""
     value = keys.value
     if keys.text is not None:
-        array = F.sort_array(F.from_json(F.lit(keys.text), "array<struct<at:string,vs:array<string>>>"))
-
-        def found(b: Column, k: Column, at: Column) -> Column:
-            hit = F.get(b, k)
-            return F.when(hit["at"] == at, hit["vs"])
-
-        values = search(array, at.cast("string"), steps_for(keys.n), found, lambda x: x["at"])
-        return rows.select("*", F.explode_outer(values).alias(value))
+        entries = sorted(json.loads(keys.text), key=lambda e: e["at"].encode("utf-8"))  # Spark's order of strings
+        array = constants([json.dumps(e) for e in entries], _ENTRY)
+        placed = rows.select("*", at.cast("string").alias("_at"))
+        found = with_position(placed, "_at", [json.dumps(e["at"]) for e in entries], T.StringType(), "_n")
+        hit = F.get(array, F.col("_n"))
+        values = F.when(hit["at"] == F.col("_at"), hit["vs"])
+        return found.select(*[F.col(f"`{c}`") for c in rows.columns], F.explode_outer(values).alias(value))
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
     salted = keys.table.select("_k", "_vs", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt2"))
     joined = rows.select("*", at.cast("string").alias("_at"), salt.alias("_salt")).join(

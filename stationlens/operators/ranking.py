@@ -8,9 +8,9 @@ whole in one slice. The rows are shuffled once, on (group, slice). Rows are numb
 slice; only groups that a bound cuts need more: what lies before each of their slices, from
 counts of at most a few rows a slice, joined back on the same partitioning.
 
-The counts read the same exchange as the rows (``summed``), so the input is evaluated once. Bounds are a
-constant array; a row finds its slice by binary search. Any bounds give the same result, so they may
-come from a cheaper table with about the same values.
+The counts read the same exchange as the rows (``summed``), so the input is evaluated once. Bounds are
+constants; a row finds its slice by binary search (``with_position``). Any bounds give the same result, so
+they may come from a cheaper table with about the same values.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Slices are twice the shuffle partitions, never more than this (the bounds travel with the plan).
 MAX_SLICES = 8192
@@ -42,14 +43,14 @@ def _place(cols: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class Bounds:
-    """Places that cut an order into slices, as a constant of the plan."""
+    """Places that cut an order into slices, as constants of the plan."""
 
-    text: str  # JSON
-    schema: str
-    n: int
+    places: tuple[str, ...]  # sorted, each as JSON
+    type: T.StructType
 
-    def array(self) -> Column:
-        return F.sort_array(F.from_json(F.lit(self.text), self.schema))
+    @property
+    def n(self) -> int:
+        return len(self.places)
 
 
 def order_bounds(source: DataFrame, order: Sequence[str], slices: int | None = None,
@@ -68,47 +69,50 @@ def order_bounds(source: DataFrame, order: Sequence[str], slices: int | None = N
     marks = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
                         lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(n)).cast("int")))
     bounds = sample.select(F.array_distinct(F.filter(marks, lambda b: b.isNotNull())).alias("b"))
-    row = bounds.select(F.to_json("b").alias("text"), F.size("b").alias("n")).first()
-    return Bounds(row.text, bounds.schema["b"].dataType.simpleString(), row.n)
+    row = bounds.select(F.transform("b", lambda b: F.to_json(b)).alias("b")).first()
+    fields = bounds.schema["b"].dataType.elementType.fields
+    return Bounds(tuple(row.b), T.StructType([T.StructField(f.name, f.dataType) for f in fields]))
 
 
-def halvings(size: Column) -> Column:
-    """2 ** k, ..., 2, 1: steps that reach any place among ``size`` elements."""
-    top = F.ceil(F.log2(size + 1)).cast("int")
-    return F.transform(F.sequence(top, F.lit(0), F.lit(-1)), lambda k: F.pow(F.lit(2), k).cast("int"))
+def constants(texts: Sequence[str], of: T.DataType) -> Column:
+    """A constant array of JSON texts; the optimizer reads them once."""
+    return F.from_json(F.lit(f"[{','.join(texts)}]"), T.ArrayType(of))
 
 
-def steps_for(n: int) -> Column:
-    """The same for an array of at most ``n`` elements, as a constant."""
-    return F.array(*[F.lit(1 << k) for k in reversed(range(max(n, 1).bit_length()))])
+def with_position(df: DataFrame, at: str, texts: Sequence[str], of: T.DataType, out: str) -> DataFrame:
+    """Adds ``out``, how many of the sorted constants (JSON texts of type ``of``) lie before column ``at``.
 
-
-def search(array: Column, at: Column, steps: Column, finish, place=lambda x: x) -> Column:
-    """``finish(array, k, at)``, k = how many elements of the sorted array lie before ``at``, by binary
-    search; ``place``: what of an element is compared. Array and place are carried by reference, not
-    copied into the rows."""
-    def step(acc: Column, size: Column) -> Column:
-        before = place(F.get(acc["b"], acc["k"] + size - 1)) < acc["at"]
-        return F.struct(F.when(before, acc["k"] + size).otherwise(acc["k"]).alias("k"), acc["b"].alias("b"), acc["at"].alias("at"))
-
-    start = F.struct(F.lit(0).alias("k"), array.alias("b"), at.alias("at"))
-    return F.aggregate(steps, start, step, lambda acc: finish(acc["b"], acc["k"], acc["at"]))
+    A binary search written as one plain projection a step, each with the constants that step can
+    meet: compiled code that copies nothing. (A higher-order function copies its whole
+    accumulator, the array with it, at every step: its cost per row grows with the array.)"""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    found = df.select(*cols, F.lit(0).alias(out))
+    for bit in reversed(range(len(texts).bit_length())):
+        size = 1 << bit
+        middle = F.get(constants(texts[size - 1::2 * size], of), F.shiftright(F.col(out), bit + 1))
+        found = found.select(*cols, (F.col(out) + F.when(middle < F.col(at), size).otherwise(0)).alias(out))
+    return found
 
 
 def with_slice(df: DataFrame, order: Sequence[str], bounds: Bounds, group: int = 0) -> DataFrame:
     """Adds ``_slice``, the number of bounds before the row, never decreasing in the order, and
     ``_cut``: may a bound cut the row's group (the first ``group`` order columns)?"""
-    def place_and_cut(b: Column, k: Column, at: Column) -> Column:
-        def same(bound: Column) -> Column:
-            out = bound.isNotNull()
-            for i in range(group):
-                out = out & bound[f"v{i}"].eqNullSafe(at[f"v{i}"])
-            return out
-        return F.struct(k.alias("k"), (same(F.get(b, k)) | same(F.get(b, k - 1))).alias("cut"))
-
     cols = [F.col(f"`{c}`") for c in df.columns]
-    found = df.select(*cols, search(bounds.array(), _place(order), steps_for(bounds.n), place_and_cut).alias("_found"))
-    return found.select(*cols, F.col("_found.k").alias("_slice"), F.col("_found.cut").alias("_cut"))
+    placed = df.select(*cols, _place(order).cast(bounds.type).alias("_at"))
+    found = with_position(placed, "_at", bounds.places, bounds.type, "_slice")
+    # the groups of the bounds on either side of each slice
+    sides = T.StructType([T.StructField(side, T.StructType(bounds.type.fields[:2 * group])) for side in ("p", "x")])
+    ends = ["null", *bounds.places, "null"]
+    near = [f'{{"p":{p},"x":{x}}}' for p, x in zip(ends, ends[1:])]
+    found = found.select("*", F.get(constants(near, sides), F.col("_slice")).alias("_near"))
+
+    def same(bound: Column) -> Column:
+        out = bound.isNotNull()
+        for i in range(group):
+            out = out & bound[f"v{i}"].eqNullSafe(F.col(f"_at.v{i}"))
+        return out
+
+    return found.select(*cols, "_slice", (same(F.col("_near.x")) | same(F.col("_near.p"))).alias("_cut"))
 
 
 def summed(laid: DataFrame, by: Sequence[str], *aggs: Column, having: Column | None = None) -> DataFrame:
@@ -149,17 +153,14 @@ def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[st
     names = [f"_g{i}" for i in range(len(cell))]
     offsets = cells.groupBy(*cell).agg(
         *[F.first(c).alias(g) for c, g in zip(cell, names)], F.first("_all").alias("_all"), F.first("_b").alias("_b"),
-        *[F.sort_array(F.collect_set(F.struct(_place(c).alias("at"), F.col(f"_b{i}").alias("n")))).alias(f"_m{i}")
+        *[F.map_from_entries(F.collect_set(F.struct(_place(c).alias("at"), F.col(f"_b{i}").alias("n")))).alias(f"_m{i}")
           for i, c in enumerate(groups.values()) if c])
     if percent:
         offsets = _with_ties(offsets, laid, base, value)
     joined = laid.join(offsets.drop(*cell), [F.col(c) == F.col(g) for c, g in zip(cell, names)], "left")
 
     def offset(i: int, cols: Sequence[str]) -> Column:
-        if not cols:
-            return F.col("_b")
-        m = f"_m{i}"
-        return search(F.col(m), _place(cols), halvings(F.size(m)), lambda b, k, at: F.get(b, k)["n"], lambda x: x["at"])
+        return F.element_at(f"_m{i}", _place(cols)) if cols else F.col("_b")
 
     found = joined.select(*[F.col(f"`{c}`") for c in df.columns], "_slice", "_all", "_b", *(["_low", "_less"] if percent else []), *[
         F.when(F.col("_cut") & F.col("_b").isNotNull(), offset(i, c)).otherwise(F.lit(0)).alias(f"_o{i}") for i, c in enumerate(groups.values())])

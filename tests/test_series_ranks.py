@@ -1,6 +1,7 @@
 """Daily series, lags, ranks in slices against plain windows."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -101,6 +102,25 @@ def test_a_hot_product_day_is_spread(spark):
     assert sum(not r["cut"] for r in per.values()) > 50
 
 
+def test_slices_are_found_by_plain_projections(spark):
+    """A row's slice comes from compiled comparisons with constants: no higher-order function, which copies
+    the bounds at each of its steps (the time per row grew with their number), and no row carries them."""
+    df = spark.createDataFrame([(f"p{i % 3}", float(i % 700), f"s{i}") for i in range(3000)], "p string, v double, e string")
+    order = ["p", "v", "e"]
+    for slices in (2, 300):
+        bounds = order_bounds(df, order, slices)
+        assert list(bounds.places) == sorted(set(bounds.places), key=bounds.places.index) and 0 < bounds.n < slices
+        laid = with_slice(df, order, bounds, 1)
+        assert "lambdafunction" not in laid._jdf.queryExecution().optimizedPlan().toString()
+        assert laid.columns == [*df.columns, "_slice", "_cut"]
+        places = [json.loads(b) for b in bounds.places]
+        for r in laid.collect():
+            before = sum((b["v0"], b["v1"], b["v2"]) < (r["p"], r["v"], r["e"]) for b in places)
+            assert r["_slice"] == before
+    ranks = add_ranks(df, ["p"], "v", {"a": [], "b": ["e"]}, ["e"], "pr", order_bounds(df, order, 300))
+    assert "lambdafunction" not in ranks._jdf.queryExecution().optimizedPlan().toString()
+
+
 def _final_plan(df) -> str:
     df.write.format("noop").mode("overwrite").save()
     df.collect()
