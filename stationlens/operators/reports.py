@@ -21,7 +21,7 @@ from stationlens.functions.calendar import iso_year, week_start
 from stationlens.functions.labels import (
     NATIONAL_BAND_LABELS, NATIONAL_BAND_TOLERANCE, TREND_WEEKLY, band, spread, trend_preset,
 )
-from stationlens.operators.ranking import add_ranks, summed
+from stationlens.operators.ranking import Bounds, add_ranks, summed
 
 
 def date_literal(value) -> Column:
@@ -57,23 +57,20 @@ CHEAPEST_ENTITY_COLUMNS = ("station_key", "ville", "adresse", "code_postal", "ty
 def cheapest(fact: DataFrame, dim_entity: DataFrame, k_group: int = 10, k_all: int = 100,
              group: str = "region", entity: str = "station_id", product: str = "carburant_nom",
              value: str = "prix_euros", day: str = "date_prix", tiebreak: Sequence[str] = ("carburant_id",),
-             ranks: tuple[str, str] = ("rang_national", "rang_region"), latest_day: Column | None = None) -> DataFrame:
+             latest_day: Column | None = None, bounds: Bounds | None = None) -> DataFrame:
     """MOD13: latest day's cheapest entities: top ``k_group`` per (group, product) OR top
     ``k_all`` per product, each row carrying both full-population ranks.
 
-    On its latest day the fact's own ``ranks`` (by product and day, and by region within them, with the
-    same order) are the report's; a fact without them is ranked here. ``latest_day`` (a scalar
+    The latest day's rows are ranked here, whatever ranks the fact carries. ``latest_day`` (a scalar
     Column) may be given when a cheaper upstream determines the fact's latest day; by default it
-    is a scalar subquery on the fact (cheap on the stored, month-partitioned one)."""
+    is a scalar subquery on the fact (cheap on the stored, month-partitioned one). ``bounds`` (see
+    ``ranking.order_bounds``, over product, value, entity and tiebreak) may come from that upstream too."""
     last = latest_day if latest_day is not None else fact.select(F.max(day)).scalar()
     latest = fact.filter(F.col(day) == last)
     if PARTITION_MONTH in fact.columns:  # stored fact: read one month directory only
         latest = latest.filter(F.col(PARTITION_MONTH) == F.trunc(last, "month"))
-    if set(ranks) <= set(fact.columns):
-        ranked = latest.select("*", *[F.col(r).alias(n) for r, n in zip(ranks, ("position_nationale_top100", "position_regionale_top10"))])
-    else:
-        ranked = add_ranks(latest, [product], value, {"position_nationale_top100": [], "position_regionale_top10": [group]},
-                           tiebreak=[entity, *tiebreak])
+    ranked = add_ranks(latest, [product], value, {"position_nationale_top100": [], "position_regionale_top10": [group]},
+                       tiebreak=[entity, *tiebreak], bounds=bounds)
     top = ranked.filter((F.col("position_regionale_top10") <= k_group)
                         | (F.col("position_nationale_top100") <= k_all))
     cols = [c for c in CHEAPEST_ENTITY_COLUMNS if c in dim_entity.columns]
