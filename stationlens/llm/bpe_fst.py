@@ -30,7 +30,7 @@ from . import common as C
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pre-tokens and transitions remembered in a worker before it starts anew.
-REMEMBER, TRANSITIONS = 200_000, 400_000
+REMEMBER, TRANSITIONS = 200_000, 800_000
 #: Pre-tokens of a text encoded and decoded at a time.
 CHUNK = 50_000
 NONE = -1
@@ -83,7 +83,10 @@ class Transducer:
         """Forgets the states and transitions made so far."""
         self.states: list[tuple] = []
         self.number: dict[tuple, int] = {}
-        self.moves: dict[int, tuple[int, tuple]] = {}  # state << 8 | byte -> (state, emitted)
+        # state << 8 | byte -> next state, or ~i where tokens are emitted: emits[i] is (next state, tokens).
+        # Plain numbers, which the garbage collector never visits.
+        self.moves: dict[int, int] = {}
+        self.emits: list[tuple[int, tuple]] = []
         self.start = self.state(((0, NONE, ()),))
 
     def state(self, items: tuple) -> int:
@@ -138,25 +141,36 @@ class Transducer:
             else:
                 limit, b = b + 1, right[0]
 
-    def move(self, s: int, b: int) -> tuple[int, tuple]:
-        """The transition from state ``s`` on byte ``b``: (state, emitted tokens); made once."""
+    def move(self, s: int, b: int) -> int:
+        """The transition from state ``s`` on byte ``b``, as in ``moves``; made once."""
+        below, follows = self.next, self.follows
         alive, last = [], None
         for node, prev, pending in self.states[s]:
-            child = self.next[node].get(b)
+            child = below[node].get(b)
             if child is None:
                 continue
-            t = self.whole(child)
-            if last is None and t != NONE and self.may_follow(prev, t):
-                last = (0, t, (*pending, t))
-            if self.next[child]:
+            if last is None:
+                t = self.token[child] if self.checked[child] else self.whole(child)
+                if t != NONE and (follows.get(prev << 32 | t) or self.may_follow(prev, t)):
+                    last = (0, t, (*pending, t))
+            if below[child]:
                 alive.append((child, prev, pending))
         alive.append(last)  # one token always ends here: every prefix has an encoding
-        sure = 0
-        first = alive[0][2]
-        while all(len(p) > sure and p[sure] == first[sure] for _, _, p in alive) and sure < len(first):
-            sure += 1
-        out = first[:sure]
-        to = (self.state(tuple((n, p, q[sure:]) for n, p, q in alive)), out)
+        out = alive[0][2]
+        for _, _, p in alive:  # what all agree on
+            if not out:
+                break
+            if p[: len(out)] != out:
+                sure = 0
+                while sure < len(p) and p[sure] == out[sure]:
+                    sure += 1
+                out = out[:sure]
+        if out:
+            sure = len(out)
+            to = ~len(self.emits)
+            self.emits.append((self.state(tuple([(n, p, q[sure:]) for n, p, q in alive])), out))
+        else:
+            to = self.state(tuple(alive))
         self.moves[s << 8 | b] = to
         return to
 
@@ -169,11 +183,16 @@ class Transducer:
         ids: list[int] = []
         s, moves = self.start, self.moves
         for b in piece:
-            to = moves.get(s << 8 | b) or self.move(s, b)
-            s = to[0]
-            if to[1]:
-                ids += to[1]
-        return ids + list(self.states[s][-1][2])
+            to = moves.get(s << 8 | b)
+            if to is None:
+                to = self.move(s, b)
+            if to < 0:
+                s, out = self.emits[~to]
+                ids += out
+            else:
+                s = to
+        ids += self.states[s][-1][2]
+        return ids
 
 
 class Utf8Stream:
@@ -253,29 +272,22 @@ class Codec:
         self.latin_words = re.compile(latin).findall
         codec = self
 
-        class Known(dict):  # pre-token -> its ids, decimal, joined by commas
+        class Known(dict):  # pre-token -> its ids, decimal, joined by commas, and their bytes, decoded id by id
             old: dict = {}
 
-            def __missing__(self, word: str) -> str:
+            def __missing__(self, word: str) -> tuple[str, bytes]:
                 if len(self) > REMEMBER:
                     self.old = dict(self)
                     self.clear()
-                row = self.old.get(word) or ",".join(map(str, codec.fst.encode(word.encode("utf-8"))))
+                row = self.old.get(word)
+                if row is None:
+                    ids = codec.fst.encode(word.encode("utf-8"))
+                    row = ",".join(map(str, ids)), codec.decode_bytes(ids)
                 if len(word) <= 64:
                     self[word] = row
                 return row
 
-        class Runs(dict):  # a pre-token's ids, as in Known -> their bytes, decoded id by id
-            def __missing__(self, ids: str) -> bytes:
-                if len(self) > REMEMBER:
-                    self.clear()
-                run = b"".join(map(codec.bytes_of.__getitem__, ids.split(",")))
-                if len(ids) <= 256:
-                    self[ids] = run
-                return run
-
-        self.known, self.runs = Known(), Runs()
-        self.bytes_of = {str(i): t for i, t in self.fst.bytes_of.items()}
+        self.known = Known()
 
     def pieces(self, text: str) -> list[str]:
         return self.latin_words(text) if C.BEYOND_LATIN1.search(text) is None else self.any_words(text)
@@ -300,21 +312,27 @@ class Codec:
         pieces = self.pieces(text)
         for at in range(0, len(pieces), CHUNK):
             part = pieces[at : at + CHUNK]
-            rows = list(map(self.known.__getitem__, part))
+            rows, runs = zip(*map(self.known.__getitem__, part))
             ids = ",".join(rows)
             hashed.update(("," * bool(at) + ids).encode("ascii"))
             n += ids.count(",") + 1
-            decoded.update(stream.feed(b"".join(map(self.runs.__getitem__, rows))).encode("utf-8"))
+            decoded.update(stream.feed(b"".join(runs)).encode("utf-8"))
         decoded.update(stream.end().encode("utf-8"))
         return n, hashed.hexdigest(), decoded.hexdigest()
 
 
+@functools.lru_cache(maxsize=2)
+def _codec(path: str, pattern: str) -> Codec:
+    """One codec a worker: its next task goes on with the words and transitions met before."""
+    return Codec(path, pattern)
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per document: number of ids, digest of the ids, digest of the decoded bytes. One
     scan, no shuffle."""
 
     def make():
-        codec = Codec(path, pattern)
+        codec = _codec(path, pattern)
 
         def run(cols: dict) -> dict:
             rows = [codec.digest(t) for t in cols["text"]]

@@ -177,3 +177,19 @@ def test_pairs_meet_as_their_bytes_merge():
     for n in range(1, 7):
         for piece in map(bytes, itertools.product(b"abc", repeat=n)):
             assert [fst.bytes_of[i] for i in fst.encode(piece)] == ([piece] if piece in ranks else plain(piece, ranks))
+
+
+def test_codec_is_kept_between_tasks():
+    """A worker's next task goes on with the pre-tokens and transitions met before, and makes none anew."""
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    made = []
+    codec = bpe_fst._codec(path, P.PATTERN)
+    before = [codec.digest(t) for t in odd_texts(40)]
+    fst = bpe_fst._codec(path, P.PATTERN).fst
+    plain = fst.move
+    fst.move = lambda *args: made.append(args) or plain(*args)
+    try:
+        assert [bpe_fst._codec(path, P.PATTERN).digest(t) for t in odd_texts(40)] == before and not made
+    finally:
+        del fst.move
+    assert all(type(to) is int for to in fst.moves.values())
