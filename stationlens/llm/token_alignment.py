@@ -56,7 +56,7 @@ BLOCK_PAIRS = 2_000_000
 #: Characters aligned at a time.
 SLICE_CHARS = 1 << 20
 WIDE = 4096
-#: Chunks remembered in a worker before it starts anew (bounds memory, not work).
+#: Chunks remembered in a worker before a new generation starts; two are kept (bounds memory, not work).
 REMEMBER = 300_000
 LONG = 50_000
 _RUN = re.compile(r"\s{%d}" % (LONG // 2))
@@ -154,6 +154,7 @@ class Aligner:
             raise ValueError("pairs of these vocabularies do not fit in 32 bits")
         self.written, self.written_size = _decimals(max(len(self.bytes_a), n_b))
         self.known: dict[str, bytes] = {}  # chunk without its first space -> B ids, little-endian 32-bit
+        self.old: dict[str, bytes] = {}  # those of the generation before
 
     def _encode_b(self, text: str) -> bytes:
         """B ids of a text (B adds a space before it), nothing where the joined bytes are not space + text."""
@@ -182,8 +183,11 @@ class Aligner:
         chunks = [t.split(" ") if self.in_chunks and t and "  " not in t and t[0] != " " and t[-1] != " " else
                   [c[1:] for c in _CUT.split(" " + t)] if self.in_chunks and t else [] for t in texts]
         if len(self.known) > REMEMBER:
-            self.known.clear()
-        new = list(set().union(*chunks) - self.known.keys())
+            self.old, self.known = self.known, {}
+        new = set().union(*chunks) - self.known.keys()
+        again = new & self.old.keys()
+        self.known.update((c, self.old[c]) for c in again)
+        new = list(new - again)
         self.known.update(zip(new, self._encode_chunks(new)))
         out = []
         for t, cs in zip(texts, chunks):
@@ -232,6 +236,12 @@ class Aligner:
         return [hashlib.sha256(flat[x:y]).hexdigest() if y > x else "" for x, y in zip(upto, upto[1:])]
 
 
+@functools.lru_cache(maxsize=2)
+def _aligner(path_a: str, path_b: str) -> Aligner:
+    """One aligner a worker: its next task goes on with the chunks met before."""
+    return Aligner(path_a, path_b)
+
+
 @functools.lru_cache(maxsize=4)
 def _byte_level(path: str) -> tuple[Callable[[str], np.ndarray], list[bytes]]:
     """(ids of a text, special strings being plain text; the bytes of each id) of a byte-level BPE JSON."""
@@ -307,7 +317,7 @@ def align_blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligner = _aligner(path_a, path_b)
         numbers = itertools.count(TaskContext.get().partitionId() << 32)
         ids: list = []
         texts: list[str] = []

@@ -123,3 +123,20 @@ def test_numbers_round_trip():
     x = np.array([0, 1, 255, 256, 70_000, (1 << 32) - 1])
     assert A.unpack_numbers(A.pack_numbers(x)).tolist() == x.tolist()
     assert A.unpack_numbers(A.pack_numbers(x[:0])).tolist() == []
+
+
+def test_aligner_is_kept_and_forgets_by_generations(monkeypatch):
+    """A worker keeps its aligner; a chunk of the generation before is taken over, not encoded again."""
+    monkeypatch.setattr(A, "REMEMBER", 3)
+    aligner = A._aligner(*PATHS)
+    assert A._aligner(*PATHS) is aligner
+    fresh = A.Aligner(*PATHS)
+    asked = []
+    plain = fresh._encode_chunks
+    fresh._encode_chunks = lambda chunks: asked.extend(chunks) or plain(chunks)
+    first = fresh.tokens(["the cat sat on the mat", "a dog"])
+    assert len(asked) == len(set(asked)) == 7
+    again = fresh.tokens(["the cat sat on the mat", "a dog"])
+    assert len(asked) == 7
+    for x, y in zip(first, again):
+        assert all((p == q).all() for p, q in zip(x, y)) and len(x[0])
