@@ -54,17 +54,19 @@ class Bounds:
 
 
 def order_bounds(source: DataFrame, order: Sequence[str], slices: int | None = None,
-                 counted: DataFrame | None = None) -> Bounds:
+                 counted: DataFrame | None = None, hashed: Sequence[str] | None = None) -> Bounds:
     """Bounds that cut the order of ``order`` into about equal shares of ``source``'s distinct places.
     Like a range partitioning's, they are read by a small job when the query is built. They come from a
     hash sample of about ``SAMPLE`` places a slice: the same in every run and retry, however often one place
     is repeated. ``counted``: a cheap table with at least as many rows as ``source``, by whose size the
-    sample is bounded."""
+    sample is bounded. ``hashed``: the order columns whose hash takes the sample, if not all; where they come
+    from one side of a join in ``source``, that side's rows are sampled before they are shuffled for it."""
     parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = max(2, min(slices or 2 * parts, MAX_SLICES))
     total = (source if counted is None else counted).select(F.count(F.lit(1)).alias("n")).scalar()
     at = _place(order)
-    sample = (source.select(at.alias("at"), F.pmod(F.xxhash64(at), F.lit(_HASHES)).alias("h"))
+    taken = F.xxhash64(at) if hashed is None else F.xxhash64(*[F.col(c) for c in hashed])
+    sample = (source.select(at.alias("at"), F.pmod(taken, F.lit(_HASHES)).alias("h"))
               .filter(F.col("h") * total < F.lit(SAMPLE * n * _HASHES)).agg(F.sort_array(F.collect_set("at")).alias("s")))
     marks = F.transform(F.sequence(F.lit(1), F.lit(n - 1)),
                         lambda i: F.get("s", F.floor(i * F.size("s") / F.lit(n)).cast("int")))
@@ -134,7 +136,8 @@ def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[st
 
     ``groups`` maps output name -> extra partition columns (``[]`` = base only; attributes of which
     a slice holds few values). ``bounds``: see :func:`order_bounds`, over base, value and tiebreak. The
-    order must be total for the row numbers to be determined; base columns must not be NULL."""
+    order must be total for the row numbers to be determined; base columns must not be NULL. All columns of
+    ``df`` go through the exchange, so it should hold only those that are read afterwards."""
     base = list(base)
     order = [*base, value, *tiebreak]
     bounds = order_bounds(df, order) if bounds is None else bounds
@@ -157,7 +160,10 @@ def add_ranks(df: DataFrame, base: Sequence[str], value: str, groups: Mapping[st
           for i, c in enumerate(groups.values()) if c])
     if percent:
         offsets = _with_ties(offsets, laid, base, value)
-    joined = laid.join(offsets.drop(*cell), [F.col(c) == F.col(g) for c, g in zip(cell, names)], "left")
+    # A condition that always holds and reads every column: else what the caller does not read is pruned in
+    # this branch alone, the exchanges differ and the input is evaluated twice.
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in laid.columns]) >= F.lit(-(1 << 63))
+    joined = laid.join(offsets.drop(*cell), [*[F.col(c) == F.col(g) for c, g in zip(cell, names)], whole], "left")
 
     def offset(i: int, cols: Sequence[str]) -> Column:
         return F.element_at(f"_m{i}", _place(cols)) if cols else F.col("_b")

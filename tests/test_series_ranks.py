@@ -141,6 +141,50 @@ def test_rows_and_counts_read_one_exchange(spark):
     assert final.count("partial_sum(x") == 1, final
 
 
+@pytest.mark.parametrize("read", [["e", "a"], ["e", "b", "unread"], ["pr"]])
+def test_rows_and_counts_read_one_exchange_whatever_is_read(spark, read):
+    """A caller that reads few of the columns still has the input of the ranks evaluated once."""
+    rows = [(f"s{i % 50}", "p", i % 7, float(i % 11)) for i in range(3000)]
+    df = (spark.createDataFrame(rows, "e string, p string, d int, x double").groupBy("e", "p", "d")
+          .agg(F.sum("x").alias("v"), F.max("x").alias("unread")))
+    source = spark.createDataFrame([("p", 3, float(v), f"s{v}") for v in range(50)], "p string, d int, v double, e string")
+    groups = {} if read == ["pr"] else {"a": [], "b": ["e"]}
+    out = add_ranks(df, ["p", "d"], "v", groups, ["e"], "pr", order_bounds(source, ["p", "d", "v", "e"], 12))
+    final = _final_plan(out.select(*read)).split("== Initial Plan ==")[0]
+    assert final.count("ReusedExchange") >= 2 and final.count("partial_sum(x") == 1, final
+    _same(out.select(*read), _windows(df, ["p", "d"], groups, "v", ["e"]).select(*read))
+
+
+def test_trend_labels_evaluates_its_series_once(spark):
+    """The line items are scanned once, and shuffled only for the join, the daily values, the series and the ranks."""
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    df = entry.queries()["trend_labels"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("lineitem.parquet") == 1
+    dealt = [x for x in final.split("\n") if "Exchange hashpartitioning(station_id" in x and "Reused" not in x]
+    assert len(dealt) == 2, dealt
+    assert sum("_slice" in x and "REPARTITION_BY_COL" in x and "Reused" not in x for x in final.split("\n")) == 1
+
+
+def test_bounds_by_the_hash_of_some_columns(spark):
+    """Sampled by one side's columns of a join, the bounds still cut the order into about equal slices, a repeated
+    place or a hot group too, and give the same ranks."""
+    rows = [(f"s{i % 1500}", i % 40, float(i % 1009), i % 5 == 0) for i in range(9000)] + [("s1", 1, 1.0, True)] * 3000
+    items = spark.createDataFrame(rows, "e string, k int, v double, odd boolean")
+    kinds = spark.createDataFrame([(k, "hot" if k % 3 else f"p{k}") for k in range(40)], "k int, p string")
+    df = items.join(kinds, "k").select("p", "v", "e").distinct()
+    order = ["p", "v", "e"]
+    bounds = order_bounds(df, order, 30, counted=items, hashed=["v", "e"])
+    again = order_bounds(df.repartition(7), order, 30, counted=items, hashed=["v", "e"])
+    assert bounds == again and 15 < bounds.n < 30
+    n = df.count()
+    sizes = [r["count"] for r in with_slice(df, order, bounds, 1).groupBy("_slice").count().collect()]
+    assert sum(sizes) == n and max(sizes) < 3 * n / 30
+    _same(add_ranks(df, ["p"], "v", {"a": []}, ["e"], "pr", bounds), _windows(df, ["p"], {"a": []}, "v", ["e"]))
+
+
 def test_neighbours_read_one_exchange(spark):
     df = spark.createDataFrame([("k", i, i % 5) for i in range(2000)], "g string, t int, v int").groupBy("g", "t").agg(F.sum("v").alias("v"))
     source = spark.createDataFrame([("k", i) for i in range(2000)], "g string, t int")
